@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from litfunnel.llm.common import slices, staged
+from litfunnel.llm.common import slices, staged, texts_of
 from litfunnel.llm.components import connected_components
 
 SIZE = 4
@@ -55,7 +55,7 @@ def shingle_sets(texts: pa.Array, size: int = SIZE) -> list[np.ndarray]:
     A-Z are lower-cased, words are stretches without [\\x20\\x09-\\x0D]. A text of fewer than
     size words has its whole sequence as one shingle; one without words, or null, has none.
     """
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    texts = pa.array(texts_of(texts), pa.large_string())  # a fresh array: Arrow's splitter misreads slices
     parts = pc.ascii_split_whitespace(pc.ascii_lower(texts))
     coded = parts.flatten().dictionary_encode()
     words = coded.dictionary.to_pylist()
