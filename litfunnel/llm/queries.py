@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litfunnel.llm import chat, exact_dedup, fixity, packing, secret_scan, token_counts, toxicity
+from litfunnel.llm import chat, decontaminate, exact_dedup, fixity, lm_score, ngram_join, packing, secret_scan, token_counts, toxicity
 from litfunnel.llm.common import staged, table
 
 
@@ -35,10 +35,24 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    target = lm_score.labelled_target(docs, table(spark, sf_dir, "labels"))
+    return lm_score.cross_entropy_difference(docs, target)
+
+
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.linked_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = staged(token_counts.write_token_files(table(spark, sf_dir, "documents")), "token-files")
     counted = token_counts.count_tokens(files).join(token_counts.manifest(files), ["file_id", "doc_no"])
@@ -59,7 +73,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest_columns(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_chat_format, op2_toxicity, op5_pack, op7_token_counts, op8_exact_dedup, op9_warc_fixity, op10_secret_scan)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_chat_format, op2_toxicity, op3_decontaminate, op4_lm_score, op5_pack, op6_ngram_join, op7_token_counts, op8_exact_dedup, op9_warc_fixity, op10_secret_scan)}
 
 
 def _escaped(column: str) -> str:
@@ -86,4 +100,17 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
           row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST) = 1 AS kept, text_sha256
         FROM d WINDOW g AS (PARTITION BY text_sha256)""",
+    "op6_ngram_join": r"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        s AS (
+          SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+            ELSE list_distinct([array_to_string(words[i : i + 3], ' ') FOR i IN range(1, len(words) - 2)]) END) AS shingle FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        both AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+        link AS (SELECT a, b FROM both JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+        edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT reach.a, edge.b FROM reach JOIN edge ON reach.b = edge.a)
+        SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reach.b) AS component_id
+        FROM w JOIN reach ON reach.a = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id GROUP BY w.doc_id""",
 }
