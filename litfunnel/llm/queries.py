@@ -107,8 +107,8 @@ ORACLE: dict[str, str] = {
           SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
             ELSE list_distinct([array_to_string(words[i : i + 3], ' ') FOR i IN range(1, len(words) - 2)]) END) AS shingle FROM w),
         n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-        both AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
-        link AS (SELECT a, b FROM both JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+        shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+        link AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
         edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
         reach AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT reach.a, edge.b FROM reach JOIN edge ON reach.b = edge.a)
         SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reach.b) AS component_id
