@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from litfunnel.llm.common import TOKENIZER_FILE, slices, texts_of, tokenizer_path
-from litfunnel.llm.tokens import PieceEncoder
+from litfunnel.llm.tokens import encoder_of
 
 END_ID = 1
 WINDOW = 2048
@@ -83,11 +83,11 @@ def pack(docs: DataFrame, window: int = WINDOW, tokenizer_file: str = TOKENIZER_
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder = PieceEncoder(tokenizer_path(tokenizer_file))
+        encoder = encoder_of(tokenizer_path(tokenizer_file))
         doc_ids, starts, lengths, sums, totals = [], [], [], [], []
         for batch in slices(batches, "text"):
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch.column("text")), strict=True):
-                ids = np.append(encoder.ids(text), np.uint32(end_id)).astype("<u4")
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.ids(texts_of(batch.column("text"))), strict=True):
+                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for start in range(0, len(ids), window):
                     piece = ids[start : start + window]
                     doc_ids.append(doc_id)

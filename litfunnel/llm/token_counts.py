@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from litfunnel.llm.common import TOKENIZER_FILE, slices, texts_of, tokenizer_path
-from litfunnel.llm.tokens import PieceEncoder
+from litfunnel.llm.tokens import encoder_of
 
 SEPARATOR = 49407
 BLOCK_TOKENS = 1 << 15
@@ -35,7 +35,7 @@ def write_token_files(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, tokeniz
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder = PieceEncoder(tokenizer_path(tokenizer_file), as_plain_text=True)
+        encoder = encoder_of(tokenizer_path(tokenizer_file), as_plain_text=True)
         file_id, block_no = TaskContext.get().partitionId(), 0
         held, size, ended = [], 0, []  # ended: (position after the separator, doc_id)
 
@@ -43,8 +43,8 @@ def write_token_files(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, tokeniz
             return pa.record_batch([pa.array([file_id], pa.int64()), pa.array([block_no], pa.int64()), pa.array([data.tobytes()], pa.binary()), pa.array([doc_ids], pa.list_(pa.int64()))], names=["file_id", "block_no", "data", "doc_ids"])
 
         for batch in slices(batches, "text"):
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch.column("text")), strict=True):
-                ids = np.append(encoder.ids(text), np.uint32(separator)).astype("<u2")
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.ids(texts_of(batch.column("text"))), strict=True):
+                ids = np.append(ids, np.uint32(separator)).astype("<u2")
                 held.append(ids)
                 size += len(ids)
                 ended.append((size, doc_id))
