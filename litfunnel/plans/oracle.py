@@ -1,5 +1,3 @@
 """The SQL that each registered query must agree with."""
 
-from __future__ import annotations
-
-ORACLE: dict[str, str] = {}
+from litfunnel.plans.queries import ORACLE  # noqa: F401
