@@ -60,7 +60,7 @@ def best_evidence(evidence: DataFrame, key: str, org: str, confidence: str, weig
     # Decimals: a boost on a tie must round up in every engine.
     product = F.col("best.standing").cast("decimal(6,2)") * F.col("best.strength").cast("decimal(8,6)") / F.lit(20).cast("decimal(2,0)")
     boost = F.round(F.least(F.lit(0.5).cast("decimal(12,8)"), product.cast("decimal(12,8)")), 4).cast("double")
-    return g.select(key, (-F.col("best.neg")).alias("org_id"), "considered", F.coalesce(boost, F.lit(0.0)).alias("org_boost"), F.when(F.col("best").isNotNull(), "resolved").otherwise("unresolved").alias("status"))
+    return g.select(key, (-F.col("best.neg")).alias("org_id"), "considered", F.when(F.col("best").isNotNull(), boost).otherwise(0.0).alias("org_boost"), F.when(F.col("best").isNotNull(), "resolved").otherwise("unresolved").alias("status"))
 
 
 def merged(old: DataFrame, new: DataFrame, key: str, policies: Mapping[str, str]) -> DataFrame:
