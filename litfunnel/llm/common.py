@@ -5,8 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
@@ -33,6 +35,18 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most so many rows for what is staged inside, where rows are long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -54,7 +68,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 8 <<
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = [x.as_buffer().size if x.is_valid else 0 for x in batch.column(column).cast(pa.large_string())]
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = held = 0
         for i, n in enumerate(sizes):
             if i > start and held + n > max_bytes:

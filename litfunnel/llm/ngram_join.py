@@ -9,8 +9,9 @@ signature with a group's union cannot reach the threshold with any member, so on
 that share one are opened, and every opened pair is verified on the full shingle sets.
 
 Small groups are opened pair by pair. Large ones (copies of copies) are opened around a
-leader first; members that end up outside their leader's component are then compared with
-every member of the group in another component. Nothing is sampled or capped.
+leader first. Members that end up outside their leader's component are then bounded by the
+union of the other components' shingles: those that still could be linked to a member of
+another component are compared with it. Nothing is sampled or capped.
 """
 
 from __future__ import annotations
@@ -28,14 +29,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from litfunnel.llm.common import slices, staged, texts_of
+from litfunnel.llm.common import arrow_rows, slices, staged, texts_of
 from litfunnel.llm.components import connected_components
 
 SIZE = 4
 PERCENT = 85
 #: Groups up to this size are opened pair by pair.
-SMALL_GROUP = 24
-SHARD_BYTES = 48 << 20
+SMALL_GROUP = 8
+SHARD_BYTES, LEAST_SHARDS = 8 << 20, 64
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -179,7 +180,7 @@ def matrix_rows(docs: DataFrame, shards: int, size: int, percent: int) -> DataFr
                 sizes.append(len(shingles))
                 digests.append(digest.hex())
             yield record(kind=pa.array([0] * len(nodes), pa.int32()), doc_id=batch.column("doc_id"), node=pa.array(nodes, pa.int64()), n=pa.array(sizes, pa.int64()), digest=pa.array(digests), text_key=batch.column("text_key"))
-            if held > 3_000_000:
+            if held > 1_000_000:
                 yield from dealt()
                 sigs, owners, held = [], [], 0
         if held:
@@ -235,7 +236,7 @@ def opened_groups(matrix: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(u, v) of the pairs (digests u < v) whose shingle sets reach the threshold, from their whole texts."""
+    """A table of (u, v): the pairs (digests u < v) whose shingle sets reach the threshold, from their whole texts."""
     need = pairs.select(F.col("u").alias("digest")).unionByName(pairs.select(F.col("v").alias("digest"))).distinct()
     keys = staged(nodes.join(need, "digest", "left_semi").groupBy("digest").agg(F.min("text_key").alias("text_key")), "opened")
     texts = docs.select("text_key", "text").join(keys.select("text_key"), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
@@ -261,7 +262,8 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, per
             yield pa.record_batch([batch.column("u"), batch.column("v"), pa.array(keep)], names=["u", "v", "keep"])
 
     joined = pairs.join(a, "u").join(b, "v").select("u", "v", "text_u", "text_v")
-    return joined.mapInArrow(linked, "u string, v string, keep boolean").where("keep").select("u", "v")
+    with arrow_rows(docs.sparkSession, 300):
+        return staged(joined.mapInArrow(linked, "u string, v string, keep boolean").where("keep").select("u", "v"), "links")
 
 
 def similarity_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
@@ -276,7 +278,8 @@ def similarity_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.md5(F.coalesce("text", F.lit(""))).alias("text_key"))
     volume = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     # About 230 signatures of 16 bytes for 3,300 characters.
-    matrix = staged(matrix_rows(docs, max(1, int(volume * 1.2) // SHARD_BYTES), size, percent), "matrix")
+    with arrow_rows(docs.sparkSession, 1000):
+        matrix = staged(matrix_rows(docs, max(LEAST_SHARDS, int(volume * 1.2) // SHARD_BYTES), size, percent), "matrix")
     nodes = matrix.where("kind = 0").select("doc_id", "node", "n", "digest", "text_key")
     of_node = nodes.select("node", "digest", "n").distinct()
     opened = staged(opened_groups(matrix), "opened-groups")
@@ -284,26 +287,74 @@ def similarity_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     # Sizes further apart than the threshold allows can't be linked.
     named = opened.select("a", "b").distinct().join(x, "a").join(y, "b").where((F.col("u") != F.col("v")) & (100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v")))
     pairs = staged(named.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "pairs")
-    links = staged(verified(pairs, nodes, docs, size, percent), "links")
+    links = verified(pairs, nodes, docs, size, percent)
     parts = staged(connected_components(links), "parts")
-    late = staged(residual_pairs(opened, of_node, parts, pairs, percent), "residual")
-    if not late.isEmpty():
+    members = open_members(opened, of_node, parts, nodes, docs, size, percent)
+    # A group's hub first, then the hub of what it left over, at last all that is still apart.
+    for step in range(3):
+        m = staged(with_component(members, parts), "open-members")
+        if step < 2:
+            hub = hubs(m) if not step else hubs(m.join(hubs(m).select("sig", F.col("component").alias("hub_component")), "sig").where("component != hub_component").drop("hub_component"))
+            late = apart(hub, m, percent)
+        else:
+            late = apart(m, m, percent)
+        late = staged(late.join(pairs, ["u", "v"], "left_anti"), "late")
+        if late.isEmpty():
+            continue
+        pairs = pairs.unionByName(late)
         links = links.unionByName(verified(late, nodes, docs, size, percent))
         parts = staged(connected_components(links), "parts")
     labelled = nodes.join(parts, nodes["digest"] == parts["node"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "digest")).alias("class"), "digest", "text_key")
     return labelled
 
 
-def residual_pairs(opened: DataFrame, of_node: DataFrame, parts: DataFrame, done: DataFrame, percent: int) -> DataFrame:
-    """Pairs of large groups that lie in different components and were not verified yet."""
-    c = of_node.join(parts, of_node["digest"] == parts["node"], "left").select(of_node["node"], "digest", "n", F.coalesce("component", "digest").alias("component"))
+def shared_sizes(members: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(digest, shared): how many shingles of each member (digest, component) some member of
+    another component has too: what it has in common with the union of all other groups."""
+    keys = nodes.join(members, "digest").groupBy("text_key", "component").agg(F.min("digest").alias("digest"))
+    texts = docs.select("text_key", "text").join(keys, "text_key").groupBy("digest", "component").agg(F.first("text").alias("text"))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 1 << 20):
+            sets = shingle_sets(batch.column("text"), size)
+            which = pa.array(np.repeat(np.arange(len(sets)), [len(x) for x in sets]))
+            flat = np.concatenate(sets).astype(np.int64)
+            yield pa.record_batch([pa.array(flat), batch.column("digest").take(which), batch.column("component").take(which)], names=["h", "digest", "component"])
+
+    held = texts.mapInArrow(rows, "h long, digest string, component string")
+    common = held.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("h")
+    return held.join(common, "h", "left_semi").groupBy("digest").agg(F.count("*").alias("shared"))
+
+
+def open_members(opened: DataFrame, of_node: DataFrame, parts: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(sig, digest, n, shared) of members of large groups with several components that can
+    still be linked outside their own: the least partner has percent / 100 of the size."""
     star = opened.where("star")
-    member = star.select("sig", F.col("b").alias("node")).unionByName(star.select("sig", F.col("a").alias("node"))).distinct().join(c, "node").select("sig", "digest", "n", "component").distinct()
-    mixed_groups = member.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("sig")
-    m = member.join(mixed_groups, "sig", "left_semi")
-    left, right = m.select("sig", F.col("digest").alias("u"), F.col("n").alias("n_u"), F.col("component").alias("c_u")), m.select("sig", F.col("digest").alias("v"), F.col("n").alias("n_v"), F.col("component").alias("c_v"))
-    apart = left.join(right, "sig").where((F.col("u") < F.col("v")) & (F.col("c_u") != F.col("c_v")) & (100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v")))
-    return apart.select("u", "v").distinct().join(done, ["u", "v"], "left_anti")
+    member = star.select("sig", F.col("b").alias("node")).unionByName(star.select("sig", F.col("a").alias("node"))).distinct().join(of_node, "node").select("sig", "digest", "n").distinct()
+    m = staged(with_component(member, parts), "members")
+    mixed_groups = m.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("sig")
+    m = staged(m.join(mixed_groups, "sig", "left_semi"), "mixed")
+    with arrow_rows(docs.sparkSession, 300):
+        shared = staged(shared_sizes(m.select("digest", "component").distinct(), nodes, docs, size), "shared")
+    return staged(m.join(shared, "digest").where(100 * F.col("shared") >= percent * F.col("n")).drop("component"), "open")
+
+
+def with_component(members: DataFrame, parts: DataFrame) -> DataFrame:
+    return members.join(parts, members["digest"] == parts["node"], "left").select(*(members[c] for c in members.columns), F.coalesce("component", "digest").alias("component"))
+
+
+def apart(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
+    """(u, v) of members of one group in different components whose sizes and shared sizes allow a
+    link: it needs percent / (100 + percent) * (|u| + |v|) common shingles."""
+    x, y = (d.select("sig", F.col("digest").alias(c), F.col("n").alias(f"n_{c}"), F.col("component").alias(f"c_{c}"), F.col("shared").alias(f"s_{c}")) for d, c in ((left, "x"), (right, "y")))
+    fits = (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) & ((100 + percent) * F.least("s_x", "s_y") >= percent * (F.col("n_x") + F.col("n_y")))
+    return x.join(y, "sig").where((F.col("c_x") != F.col("c_y")) & fits).select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
+
+
+def hubs(members: DataFrame) -> DataFrame:
+    """The member of each group that has most in common with the others' union."""
+    best = members.groupBy("sig").agg(F.max(F.struct((F.col("shared") / F.col("n")).alias("part"), "n", "digest", "component", "shared")).alias("best"))
+    return best.select("sig", "best.digest", "best.n", "best.component", "best.shared")
 
 
 def linked_documents(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
