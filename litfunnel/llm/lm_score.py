@@ -33,8 +33,8 @@ FREQUENT = 256
 CUTOFF = 2
 #: Weight of the word distribution in a bigram's distribution, and of the uniform in the word's.
 BIGRAM_MASS, WORD_MASS = 50.0, 1.0
-SHARD_BYTES = 20 << 20
-BATCH_BYTES = 12 << 20
+SHARD_BYTES = 6 << 20
+BATCH_BYTES = 5 << 20
 BATCH_DOCS = 1 << 16
 
 
