@@ -171,7 +171,7 @@ def notable_org_semijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH r AS (SELECT *, weight * least(1.0, confidence) AS strength, confidence >= 0.6 AND l_suppkey IS NOT NULL AS strong FROM {EVIDENCE}),
   b AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY strong DESC, strength DESC, standing DESC, l_suppkey) AS k, count(*) FILTER (WHERE strong) OVER (PARTITION BY l_orderkey) AS considered FROM r)
-  SELECT l_orderkey, CASE WHEN strong THEN l_suppkey END AS org_id, considered, CAST(CASE WHEN strong THEN round(least(0.5, CAST(standing AS DECIMAL(6,2)) * CAST(strength AS DECIMAL(8,6)) / 20), 4) ELSE 0.0 END AS DOUBLE) AS org_boost,
+  SELECT l_orderkey, CASE WHEN strong THEN l_suppkey END AS org_id, considered, CAST(CASE WHEN strong THEN round(least(0.5, CAST(standing AS DECIMAL(6,2)) * CAST(strength AS DECIMAL(8,6)) * CAST(0.05 AS DECIMAL(3,2))), 4) ELSE 0.0 END AS DOUBLE) AS org_boost,
   CASE WHEN strong THEN 'resolved' ELSE 'unresolved' END AS status FROM b WHERE k = 1""")
 def evidence_argmax_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
     return core.best_evidence(evidence(spark, sf_dir), "l_orderkey", "l_suppkey", "confidence", "weight", "standing", config.CONFIDENCE_FLOOR)
