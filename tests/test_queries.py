@@ -17,7 +17,7 @@ def rows(df: pd.DataFrame) -> list[tuple]:
     def cell(x):
         if isinstance(x, (list, np.ndarray)):
             return tuple(map(cell, x))
-        if x is None or x is pd.NaT or x != x:
+        if x is None or x is pd.NA or x is pd.NaT or x != x:
             return "null"
         return f"{float(x):.9g}" if isinstance(x, (int, float, np.number)) and not isinstance(x, (bool, np.bool_)) else str(x)
 
