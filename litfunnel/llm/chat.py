@@ -48,14 +48,18 @@ def branches(messages: DataFrame) -> DataFrame:
     linked = m.join(known, [same(m, known), m["parent"] == known["k_node"]], "left")
     parents = linked.select("conv_id", "node", F.col("k_node").alias("up"), F.lit(1).alias("n"), "score")
     walk = staged(parents, "walk")
+    # Nodes that have reached their root are set aside: only the others walk on.
+    done, active = walk.where("up IS NULL"), walk.where("up IS NOT NULL")
     for _ in range(40):
-        if walk.where("up IS NOT NULL").isEmpty():
+        if active.isEmpty():
             break
-        hop = walk.select(F.col("conv_id").alias("k_conv"), F.col("node").alias("k_node"), F.col("up").alias("k_up"), F.col("n").alias("k_n"), F.col("score").alias("k_score"))
-        step = walk.join(hop, [walk["conv_id"].eqNullSafe(hop["k_conv"]), walk["up"] == hop["k_node"]], "left")
+        every = done.unionByName(active)
+        hop = every.select(F.col("conv_id").alias("k_conv"), F.col("node").alias("k_node"), F.col("up").alias("k_up"), F.col("n").alias("k_n"), F.col("score").alias("k_score"))
+        step = active.join(hop, [active["conv_id"].eqNullSafe(hop["k_conv"]), active["up"] == hop["k_node"]], "left")
         walk = staged(step.select("conv_id", "node", F.col("k_up").alias("up"), (F.col("n") + F.coalesce("k_n", F.lit(0))).alias("n"), (F.col("score") + F.coalesce("k_score", F.lit(0.0))).alias("score")), "walk")
+        done, active = done.unionByName(walk.where("up IS NULL")), walk.where("up IS NOT NULL")
     inner = parents.where("up IS NOT NULL").select(F.col("conv_id").alias("i_conv"), F.col("up").alias("i_up")).distinct()
-    leaf = walk.where("up IS NULL").join(inner, [walk["conv_id"].eqNullSafe(inner["i_conv"]), walk["node"] == inner["i_up"]], "left_anti")
+    leaf = done.join(inner, [done["conv_id"].eqNullSafe(inner["i_conv"]), done["node"] == inner["i_up"]], "left_anti")
     return leaf.select("conv_id", F.col("node").alias("leaf"), "n", (F.col("score") / F.col("n")).alias("score"))
 
 
