@@ -15,15 +15,15 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from litfunnel.llm.common import slices, texts_of
+from litfunnel.llm.common import slices, staged, texts_of
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))""")
@@ -32,6 +32,9 @@ ASSIGN_WORDS = ("passw", "secret", "token", "api")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+#: What a text must hold for an assignment, and for any other span. An access key of 16 characters is no run of 20.
+ASSIGN_START = r"(?i)passw|secret|token|api|akia"
+RUN = r"[A-Za-z0-9+/_-]{20}"
 
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: From narrow to wide; the first that holds every character is taken.
@@ -112,9 +115,13 @@ def length_class(n: int) -> int:
 
 def candidates(text: str, taken: list[tuple[int, int, str]], log_prose: dict[str, float]) -> list[tuple[int, int, float]]:
     """(start, end, nats against prose) of candidates outside taken that pass the randomness tests."""
-    out = []
+    out, ranges, at = [], sorted((s, e) for s, e, _ in taken), 0
+    reach = 0  # Largest end of the ranges that begin before the candidate's end.
     for m in CANDIDATE.finditer(text):
-        if any(s < m.end() and m.start() < e for s, e, _ in taken):
+        while at < len(ranges) and ranges[at][0] < m.end():
+            reach = max(reach, ranges[at][1])
+            at += 1
+        if reach > m.start():
             continue
         string = m.group().rstrip("=")
         alphabet = ENCODINGS[encoding_of(string)]
@@ -140,23 +147,39 @@ def prose_frequencies(docs: DataFrame) -> dict[str, float]:
     return {c: math.log(n[c] / sum(n.values())) for c in n}
 
 
-def discovery_thresholds(docs: DataFrame, log_prose: dict[str, float], rate: float = FALSE_DISCOVERY_RATE) -> dict[int, float]:
-    """Least nats by length class at which Benjamini-Hochberg accepts, from a histogram of all candidates.
+def all_spans(docs: DataFrame, log_prose: dict[str, float]) -> DataFrame:
+    """doc_id and, in order of start and kind, base spans and all candidates with their class and nats.
 
-    The histogram has a row per length class and quarter nat: its size doesn't grow with the corpus.
+    One pass over the texts. Those without a run of 20 credential characters or the
+    beginning of an assignment are told apart by whole-column searches first.
     """
+    order = {k: i for i, k in enumerate(KINDS)}
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("class", pa.int32()), ("nats", pa.float64())]))
 
-    def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bins: Counter = Counter()
-        for batch in batches:
-            for text in texts_of(batch.column("text")):
-                if CANDIDATE.search(text):
-                    for s, e, nats in candidates(text, base_spans(text), log_prose):
-                        bins[length_class(e - s), int(min(nats, TOP_NATS) * BINS_PER_NAT)] += 1
-        keys = list(bins)
-        yield pa.record_batch([pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.int32()), pa.array([bins[k] for k in keys], pa.int64())], names=["class", "bin", "n"])
+    def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            column = batch.column("text")
+            named = pc.fill_null(pc.match_substring_regex(column, ASSIGN_START), False)
+            run = pc.fill_null(pc.match_substring_regex(column, RUN), False)
+            found = []
+            for text, has_run, maybe in zip(texts_of(column), run.to_pylist(), pc.or_(named, run).to_pylist(), strict=True):
+                spans = [(*span, None, None) for span in base_spans(text)] if maybe else []
+                if has_run:
+                    spans += [(s, e, "random", length_class(e - s), nats) for s, e, nats in candidates(text, [x[:3] for x in spans], log_prose)]
+                spans.sort(key=lambda x: (x[0], order[x[2]]))
+                found.append([dict(zip(("start", "end", "kind", "class", "nats"), x, strict=True)) for x in spans])
+            yield pa.record_batch([batch.column("doc_id"), pa.array(found, kind)], names=["doc_id", "spans"])
 
-    rows = docs.select("text").mapInArrow(binned, "class int, bin int, n long").groupBy("class", "bin").agg(F.sum("n").alias("n")).collect()
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scanned, "doc_id long, spans array<struct<start: int, end: int, kind: string, class: int, nats: double>>")
+
+
+def discovery_thresholds(spans: DataFrame, rate: float = FALSE_DISCOVERY_RATE) -> dict[int, float]:
+    """Least nats by length class at which Benjamini-Hochberg accepts, from a histogram of all candidates.
+
+    The histogram has a row per length class and quarter nat: its size doesn't grow with the corpus.
+    """
+    tested = spans.select(F.explode("spans").alias("s")).where(F.col("s.kind") == "random")
+    rows = tested.groupBy(F.col("s.class").alias("class"), F.floor(F.least("s.nats", F.lit(float(TOP_NATS))) * BINS_PER_NAT).alias("bin")).agg(F.count("*").alias("n")).collect()
     out = {}
     for kind in {r["class"] for r in rows}:
         own = sorted(((r.bin, r.n) for r in rows if r["class"] == kind), reverse=True)
@@ -175,23 +198,11 @@ def scan_secrets(docs: DataFrame, rate: float = FALSE_DISCOVERY_RATE) -> DataFra
     exclusive. Null and empty texts have no spans. Repeated rows and null doc_ids are scanned
     like any row. An empty table gives no rows.
     """
-    log_prose = prose_frequencies(docs)
-    least = discovery_thresholds(docs, log_prose, rate)
-    order = {k: i for i, k in enumerate(KINDS)}
-
-    def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            found = []
-            for text in texts_of(batch.column("text")):
-                spans = base_spans(text)
-                if CANDIDATE.search(text):
-                    spans += [(s, e, "random") for s, e, nats in candidates(text, spans, log_prose) if nats >= least.get(length_class(e - s), math.inf)]
-                spans.sort(key=lambda x: (x[0], order[x[2]]))
-                found.append([{"start": s, "end": e, "kind": k} for s, e, k in spans])
-            kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
-            yield pa.record_batch([batch.column("doc_id"), pa.array(found, kind)], names=["doc_id", "spans"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scanned, "doc_id long, spans array<struct<start: int, end: int, kind: string>>")
+    spans = staged(all_spans(docs, prose_frequencies(docs)), "spans")
+    least = discovery_thresholds(spans, rate)
+    # Every threshold is a number per length class: at most 28 terms.
+    chosen = " OR ".join(["s.kind <> 'random'", *(f"s.class = {size} AND s.nats >= {nats!r}D" for size, nats in least.items())])
+    return spans.select("doc_id", F.expr(f"transform(filter(spans, s -> {chosen}), s -> struct(s.start AS start, s.end AS end, s.kind AS kind))").alias("spans"))
 
 
 def digest_columns(scanned: DataFrame) -> DataFrame:
