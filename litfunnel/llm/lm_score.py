@@ -151,9 +151,13 @@ def sent(texts: DataFrame, models: Models, shards: int, scored: bool) -> DataFra
             owner = text[rest] if scored else np.zeros(len(key), np.int64)
             whole, count = np.unique((key << 16) | owner, return_counts=True)
             key, owner = (whole >> 16).astype("<u4"), (whole & 0xFFFF).astype("<u2")
+            # Counts travel as 16 bits; a greater one is sent in several parts.
+            parts = np.maximum(-(-count // 65535), 1)
+            place = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+            key, owner, count = np.repeat(key, parts), np.repeat(owner, parts), np.minimum(np.repeat(count, parts) - place * 65535, 65535)
             shard = ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(shards)
             order = np.argsort(shard * np.uint64(1 << 16) + owner, kind="stable")
-            key, owner, count, shard = key[order], owner[order], np.minimum(count[order], 65535).astype("<u2"), shard[order]
+            key, owner, count, shard = key[order], owner[order], count[order].astype("<u2"), shard[order]
             edges = np.searchsorted(shard, np.arange(shards + 1))
             for k in range(shards):
                 if edges[k] < edges[k + 1]:
