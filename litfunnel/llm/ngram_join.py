@@ -127,8 +127,8 @@ def part_signatures(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 def matrix_rows(docs: DataFrame, shards: int, size: int, percent: int) -> DataFrame:
     """kind 0: a document (doc_id, node, n, digest, text_key); kind 1: signatures of one shard with
-    their nodes; kind 2: the same of large groups inside the partition, with their leaders.
-    Equal sets of a partition are one node."""
+    their nodes and whether the node leads a large group inside its partition; kind 2: the
+    signatures and nodes of such groups, with their leaders. Equal sets of a partition are one node."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -139,7 +139,7 @@ def matrix_rows(docs: DataFrame, shards: int, size: int, percent: int) -> DataFr
 
         def record(**columns: pa.Array) -> pa.RecordBatch:
             n = len(next(iter(columns.values())))
-            kinds = {"kind": pa.int32(), "doc_id": pa.int64(), "node": pa.int64(), "n": pa.int64(), "digest": pa.string(), "text_key": pa.string(), "shard": pa.int32(), "sigs": pa.binary(), "nodes": pa.binary(), "leaders": pa.binary()}
+            kinds = {"kind": pa.int32(), "doc_id": pa.int64(), "node": pa.int64(), "n": pa.int64(), "digest": pa.string(), "text_key": pa.string(), "shard": pa.int32(), "sigs": pa.binary(), "nodes": pa.binary(), "leaders": pa.binary(), "leads": pa.binary()}
             return pa.record_batch([columns.get(c, pa.nulls(n, k)) for c, k in kinds.items()], names=list(kinds))
 
         def dealt() -> Iterator[pa.RecordBatch]:
@@ -154,15 +154,15 @@ def matrix_rows(docs: DataFrame, shards: int, size: int, percent: int) -> DataFr
                 lead = np.repeat(first, count)
                 yield record(kind=pa.array([2], pa.int32()), sigs=pa.array([s[many].tobytes()]), nodes=pa.array([o[many].tobytes()]), leaders=pa.array([lead[many].tobytes()]))
                 stay = ~many | (o == lead)
-                s, o = s[stay], o[stay]
+                s, o, many = s[stay], o[stay], many[stay]
             shard = (s >> np.uint64(40)) % np.uint64(shards)
             order = np.argsort(shard, kind="stable")
-            s, o, shard = s[order], o[order], shard[order]
+            s, o, many, shard = s[order], o[order], many[order], shard[order]
             edges = np.searchsorted(shard, np.arange(shards + 1))
             full = [k for k in range(shards) if edges[k] < edges[k + 1]]
             for i in range(0, len(full), 64):
                 part = full[i : i + 64]
-                yield record(kind=pa.array([1] * len(part), pa.int32()), shard=pa.array(part, pa.int32()), sigs=pa.array([s[edges[k] : edges[k + 1]].tobytes() for k in part]), nodes=pa.array([o[edges[k] : edges[k + 1]].tobytes() for k in part]))
+                yield record(kind=pa.array([1] * len(part), pa.int32()), shard=pa.array(part, pa.int32()), sigs=pa.array([s[edges[k] : edges[k + 1]].tobytes() for k in part]), nodes=pa.array([o[edges[k] : edges[k + 1]].tobytes() for k in part]), leads=pa.array([many[edges[k] : edges[k + 1]].tobytes() for k in part]))
 
         for batch in slices(batches, "text", 4 << 20):
             nodes, sizes, digests = [], [], []
@@ -186,7 +186,7 @@ def matrix_rows(docs: DataFrame, shards: int, size: int, percent: int) -> DataFr
         if held:
             yield from dealt()
 
-    schema = "kind int, doc_id long, node long, n long, digest string, text_key string, shard int, sigs binary, nodes binary, leaders binary"
+    schema = "kind int, doc_id long, node long, n long, digest string, text_key string, shard int, sigs binary, nodes binary, leaders binary, leads binary"
     return docs.mapInArrow(rows, schema)
 
 
@@ -194,24 +194,29 @@ PAIR_SCHEMA = "sig long, a long, b long, star boolean"
 
 
 def opened_groups(matrix: DataFrame) -> DataFrame:
-    """(sig, a, b, star): the pairs of nodes to verify; star rows are members of large groups with their leader."""
+    """(sig, a, b, star): the pairs of nodes to verify; star rows are members of large groups with their leader.
+
+    A group that is large inside one partition counts as large for its nodes everywhere.
+    """
 
     def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
         s = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["sigs"]])
         o = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["nodes"]])
+        led = np.concatenate([np.frombuffer(x, bool) for x in pdf["leads"]])
         order = np.argsort(s, kind="stable")
-        s, o = s[order], o[order]
+        s, o, led = s[order], o[order], led[order]
         start = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
         count = np.diff(np.r_[start, len(s)])
+        led = np.repeat(np.logical_or.reduceat(led, start), count)
         several = np.repeat(count > 1, count)
-        s, o = s[several], o[several]
+        s, o, led = s[several], o[several], led[several]
         count = count[count > 1]
         start = np.cumsum(count) - count
         large = np.repeat(count > SMALL_GROUP, count)
         frames = []
         if len(s):
             lead = np.repeat(np.minimum.reduceat(o, start), count)
-            star = large & (o != lead)
+            star = (large | led) & (o != lead)
             frames.append(pd.DataFrame({"sig": s[star].astype(np.int64), "a": lead[star], "b": o[star], "star": True}))
             for step in range(1, SMALL_GROUP):
                 same = (s[step:] == s[:-step]) & ~large[step:]
@@ -231,7 +236,7 @@ def opened_groups(matrix: DataFrame) -> DataFrame:
                 n = int(other.sum())
                 yield pa.record_batch([pa.array(np.frombuffer(x["sigs"], np.uint64)[other].astype(np.int64)), pa.array(a[other]), pa.array(b[other]), pa.array(np.ones(n, bool))], names=["sig", "a", "b", "star"])
 
-    across = matrix.where("kind = 1").select("shard", "sigs", "nodes").groupBy("shard").applyInPandas(pairs, PAIR_SCHEMA)
+    across = matrix.where("kind = 1").select("shard", "sigs", "nodes", "leads").groupBy("shard").applyInPandas(pairs, PAIR_SCHEMA)
     return across.unionByName(matrix.where("kind = 2").select("sigs", "nodes", "leaders").mapInArrow(inside, PAIR_SCHEMA))
 
 

@@ -68,6 +68,27 @@ def test_ngram_join_finds_every_link(spark, texts, monkeypatch):
     assert [got[i].n_shingles for i in range(len(texts))] == n
 
 
+def test_ngram_join_group_large_in_one_partition_only(spark):
+    r = random.Random(8)
+    base = ["b" + str(i) for i in range(200)]
+
+    def mutant(k, name):
+        w = list(base)
+        for i in r.sample(range(0, 200, 4), k):
+            w[i] = f"{name}x{i}"
+        return " ".join(w)
+
+    # The leaders of the first partition link with nobody; its last member links with both of the second.
+    texts = [mutant(7, f"m{i}") for i in range(200)] + [mutant(1, x) for x in "abc"]
+    one, two = ([(i, t, None, 0.5, "x", "y") for i, t in enumerate(texts) if (i > 200) == second] for second in (False, True))
+    c = spark.sparkContext
+    d = spark.createDataFrame(c.parallelize(one, 1).union(c.parallelize(two, 1)), SCHEMA)
+    want, _ = components(texts)
+    assert want == [*range(201), 200, 200]
+    got = {x.doc_id: x.component_id for x in ngram_join.linked_documents(d).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
 def test_one_of_each_keeps_columns(spark, texts):
     d = docs_of(spark, texts)
     kept = ngram_join.one_of_each(d)
