@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,10 +42,9 @@ def features(word: str) -> list[int]:
     return [zlib.crc32(f"{n}:{word[:n]}".encode()) % BUCKETS for n in (99, *(n for n in STEMS if n < len(word)))]
 
 
-def log_odds(toxic: np.ndarray, clean: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log-odds of each bucket and its standard error, the prior in proportion to both together."""
-    both = toxic + clean
-    alpha = PRIOR_EACH + PRIOR * both / max(both.sum(), 1)
+def log_odds(toxic: np.ndarray, clean: np.ndarray, corpus: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-odds of each bucket and its standard error, the prior in proportion to the corpus."""
+    alpha = PRIOR_EACH + PRIOR * corpus / max(corpus.sum(), 1)
     n1, n0 = toxic.sum() + alpha.sum(), clean.sum() + alpha.sum()
     y1, y0 = toxic + alpha, clean + alpha
     delta = np.log(y1 / (n1 - y1)) - np.log(y0 / (n0 - y0))
@@ -106,13 +106,13 @@ class Model:
 
     def scores(self, text: str, cache: dict[str, float]) -> np.ndarray:
         words = WORD.findall(text.lower())
-        for w in set(words):
-            if w not in cache:
-                if len(cache) >= CACHE_WORDS:
-                    cache.clear()
-                    return self.scores(text, dict(cache))
-                cache[w] = self.word_score(w)
-        return np.fromiter((cache[w] for w in words), float, len(words))
+        fresh = {w: self.word_score(w) for w in set(words) if w not in cache}
+        if len(cache) + len(fresh) <= CACHE_WORDS:
+            cache.update(fresh)
+            return np.fromiter((cache[w] for w in words), float, len(words))
+        out = np.fromiter((fresh[w] if w in fresh else cache[w] for w in words), float, len(words))
+        cache.clear()
+        return out
 
     def significant(self, text: str, cache: dict[str, float], at_most: float = 1.0) -> tuple[list[tuple[int, int, float]], int]:
         """Segments (first token, end token, -log of the expectation) whose expectation is below at_most; tokens."""
@@ -141,9 +141,40 @@ def fitted_rows(docs: DataFrame, labels: DataFrame, at_most: int = FIT_ROWS) ->
     return d.join(F.broadcast(bounded), d["doc_id"] == bounded["_doc"]).select("text", "toxic", "tuning")
 
 
+def corpus_counts(docs: DataFrame) -> np.ndarray:
+    """In how many documents each bucket's words occur, over all documents; at most BUCKETS rows reach the driver."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(BUCKETS, np.int64)
+        cache: dict[str, list[int]] = {}
+        for batch in slices(batches, "text"):
+            words: Counter[str] = Counter()
+            for text in texts_of(batch.column("text")):
+                words.update(set(WORD.findall(text.lower())))
+            found = []
+            for w in words:
+                f = cache.get(w)
+                if f is None:
+                    f = features(w)
+                    if len(cache) < CACHE_WORDS:
+                        cache[w] = f
+                found.append(f)
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            flat = np.fromiter((b for f in found for b in f), np.int64, int(sizes.sum()))
+            np.add.at(n, flat, np.repeat(np.fromiter(words.values(), np.int64, len(words)), sizes))
+        b = np.flatnonzero(n)
+        yield pa.record_batch([pa.array(b.astype(np.int32)), pa.array(n[b])], names=["bucket", "n"])
+
+    sums = docs.select("text").mapInArrow(counted, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(BUCKETS)
+    out[sums["bucket"].to_numpy(int)] = sums["n"]
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, at_most: int = FIT_ROWS) -> Model:
     """A model from a bounded sample of labelled documents; three quarters give the log-odds,
-    the last quarter, which they never saw, the extreme-value law and the logistic."""
+    the last quarter, which they never saw, the extreme-value law and the logistic. The prior
+    is counted over all documents."""
     rows = staged(fitted_rows(docs, labels, at_most), "toxic-fit")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,27 +194,31 @@ def fit(docs: DataFrame, labels: DataFrame, at_most: int = FIT_ROWS) -> Model:
     sums = rows.where("NOT tuning").select("text", "toxic").mapInArrow(counted, "bucket int, toxic long, clean long").groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).toPandas()
     counts = np.zeros((2, BUCKETS))
     counts[:, sums["bucket"].to_numpy(int)] = sums["toxic"].to_numpy(), sums["clean"].to_numpy()
-    delta, error = log_odds(counts[0], counts[1])
+    delta, error = log_odds(counts[0], counts[1], corpus_counts(docs))
     model = Model(delta.astype(np.float32), error.astype(np.float32))
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, float] = {}
-        for batch in batches:
+        for batch in slices(batches, "text"):
             out = []
             for text in batch.column("text").to_pylist():
                 s = shared.value.scores(text, cache)
-                out.append((sorted((x for _, _, x in maximal_segments(s)), reverse=True)[:50], len(s)))
+                out.append(([x for _, _, x in maximal_segments(s)], len(s)))
             yield pa.record_batch([batch.column("toxic"), pa.array([x for x, _ in out], pa.list_(pa.float64())), pa.array([n for _, n in out], pa.int64())], names=["toxic", "segments", "tokens"])
 
-    tuned = rows.where("tuning").select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(best, "toxic int, segments array<double>, tokens long").toPandas()
-    tune(model, tuned["toxic"].to_numpy(int), list(tuned["segments"]), tuned["tokens"].to_numpy(int))
+    tuned = staged(rows.where("tuning").select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(best, "toxic int, segments array<double>, tokens long"), "toxic-segments")
+    tops = tuned.select("toxic", "tokens", F.coalesce(F.array_max("segments"), F.lit(0.0)).alias("top")).toPandas()
+    set_law(model, tops["toxic"].to_numpy(int), tops["top"].to_numpy(float), tops["tokens"].to_numpy(int))
+    base = F.log(F.greatest(F.lit(model.scale) * F.col("tokens"), F.lit(1e-9)))
+    summed = F.aggregate("segments", F.lit(0.0), lambda total, x: total + F.greatest(F.lit(model.rate) * x - base, F.lit(0.0)))
+    evidence = tuned.select("toxic", summed.alias("evidence")).toPandas()
+    set_logistic(model, evidence["toxic"].to_numpy(int), evidence["evidence"].to_numpy(float))
     return model
 
 
-def tune(model: Model, toxic: np.ndarray, segments: list, tokens: np.ndarray) -> None:
-    """Set lambda and K by the method of moments on clean maxima, then the logistic on summed significance."""
-    top = np.array([x[0] if len(x) else 0.0 for x in segments])
+def set_law(model: Model, toxic: np.ndarray, top: np.ndarray, tokens: np.ndarray) -> None:
+    """Set lambda and K by the method of moments on clean maxima."""
     clean = (toxic == 0) & (tokens > 0)
     if clean.sum() >= 20:
         shifted = top[clean]
@@ -191,7 +226,10 @@ def tune(model: Model, toxic: np.ndarray, segments: list, tokens: np.ndarray) ->
         model.rate = float(np.pi / (np.sqrt(6) * spread))
         mode = shifted.mean() - 0.5772 * spread * np.sqrt(6) / np.pi
         model.scale = float(np.exp(model.rate * mode) / np.exp(np.log(tokens[clean]).mean()))
-    evidence = np.array([sum(e for x in s if (e := model.rate * x - np.log(max(model.scale * n, 1e-9))) > 0) for s, n in zip(segments, tokens, strict=True)])
+
+
+def set_logistic(model: Model, toxic: np.ndarray, evidence: np.ndarray) -> None:
+    """Set the logistic on the summed significance of all segments."""
     x, y = np.log1p(evidence), toxic.astype(float)
     if 0 < y.sum() < len(y):
         w = np.zeros(2)

@@ -284,6 +284,36 @@ def test_toxicity_held_out(spark):
     assert toxicity.toxic_passages(d, model).count() > 0
 
 
+def test_toxicity_scores_more_words_than_the_cache_holds(monkeypatch):
+    monkeypatch.setattr(toxicity, "CACHE_WORDS", 5)
+    r = np.random.default_rng(2)
+    model = toxicity.Model(r.normal(size=toxicity.BUCKETS), np.full(toxicity.BUCKETS, 0.1))
+    cache = {}
+    for text in ("a b c", "a d e f g h a", "h a"):
+        assert model.scores(text, cache).tolist() == [model.word_score(w) for w in text.split()]
+        assert len(cache) <= 5
+
+
+def test_toxicity_fit_uses_all_segments_and_documents(spark):
+    r = random.Random(7)
+    words, texts = ["w" + str(i) for i in range(300)], []
+    for i in range(240):
+        w = r.choices(words, k=r.choice((60, 2000)))
+        for j in range(0, len(w), 15) if r.random() < (0.8 if i % 3 == 0 else 0.1) else ():
+            w[j] = "vile"
+        texts.append(" ".join(w))
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(240)], "doc_id long, quality int, toxic int")
+    d = docs_of(spark, texts)
+    model = toxicity.fit(d, labels)
+    tuning = [i for i in range(240) if (c := zlib.crc32(str(i).encode())) % 3 != 1 and c // 3 % 4 == 0]
+    assert max(len(toxicity.maximal_segments(model.scores(texts[i], {}))) for i in tuning) > 50
+    evidence = np.array([model.evidence(texts[i], {}) for i in tuning])
+    missed = np.array([i % 3 == 0 for i in tuning]) - model.probability(evidence)
+    assert model.slope > 0.01 and missed @ np.log1p(evidence) == pytest.approx(0.05 * model.slope, abs=1e-4)
+    more = toxicity.fit(docs_of(spark, [*texts, *["vile"] * 500]), labels)
+    assert abs(more.delta - model.delta).max() > 0
+
+
 def test_lm_score_against_counts(spark, texts, monkeypatch):
     import math
 
