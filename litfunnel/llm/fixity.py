@@ -1,8 +1,8 @@
 """Merkle fixity audit of WARC replicas.
 
-Records are laid into archives as ordered offset ranges. A leaf hashes a record and its
-range; each inner node hashes FAN_OUT neighbours and the range they span; an archive's root
-covers it all. Two replicas agree where their roots agree; an audit walks down from the
+Records are laid into archives as ordered offset ranges, which are computed and not hashed. A
+leaf hashes a record, its length and its copies; each inner node hashes FAN_OUT neighbouring
+hash slots; an archive's root covers them all. Two replicas agree where their roots agree; an audit walks down from the
 roots and at each level keeps only the children of nodes that differ.
 """
 
