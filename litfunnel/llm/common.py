@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 TOKENIZER_FILE = "word_bpe_49k.json"
@@ -17,10 +19,20 @@ TOKENIZER_FILE = "word_bpe_49k.json"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 
+#: Rows of two or three numbers that may be broadcast: some 100 MB at most.
+BROADCAST_ROWS = 2_000_000
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share. Set here only where the session names none, as in tests."""
+    """The folder all executors share, as the session names it.
+
+    Only a local session, where driver and executors are one process, gets a folder of its
+    own if it names none; on a cluster a machine-local folder would be read by nobody.
+    """
     found = spark.conf.get(CHECKPOINT_KEY, None)
     if not found:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError(f"{CHECKPOINT_KEY} must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="litfunnel-checkpoint-")
         spark.conf.set(CHECKPOINT_KEY, found)
     return found
@@ -32,7 +44,34 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/staged/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a staged table that no later step reads."""
+    jvm = df.sparkSession._jvm
+    path = jvm.org.apache.hadoop.fs.Path(df.staged_path)
+    path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def hidden() -> str:
+    """A column name that no table has."""
+    return f"_{uuid.uuid4().hex}"
+
+
+def without_rows(docs: DataFrame, keys: Mapping[str, Column], lost: DataFrame) -> DataFrame:
+    """docs without the rows whose keys (null equal to null) are in lost, a staged table of these columns.
+
+    Up to BROADCAST_ROWS rows of lost are broadcast, so that docs stay where they are; more
+    are joined by their keys.
+    """
+    names = {k: hidden() for k in keys}
+    right = lost.select(*(F.col(k).alias(names[k]) for k in keys))
+    same = reduce(lambda a, b: a & b, (column.eqNullSafe(F.col(names[k])) for k, column in keys.items()))
+    few = lost.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return docs.join(F.broadcast(right) if few else right.hint("merge"), same, "left_anti")
 
 
 @contextmanager

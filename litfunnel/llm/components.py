@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from litfunnel.llm.common import staged
+from litfunnel.llm.common import discard, staged
 
+ROUNDS = 100
 
-def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+
+def connected_components(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(node, component) of every node that has an edge to another; component is the least node.
 
     edges: u, v of one orderable type; direction, repeats and loops don't matter, rows with a
     null fall out. Each round is a keyed minimum and an equi-join, written to the shared
-    folder; nothing but two numbers a round reaches the driver.
+    folder; nothing but two numbers a round reaches the driver. The number of rounds grows with
+    the logarithm of the edges; one that doesn't settle in so many raises an error. The result is staged.
     """
 
     def least(pairs: DataFrame) -> DataFrame:
@@ -38,9 +41,14 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         if not before[0]:
             break
-        e = staged(small_star(large_star(e)), "stars")
-        now = seal(e)
+        newer = staged(small_star(large_star(e)), "stars")
+        discard(e)
+        e, now = newer, seal(newer)
         if now == before:
             break
         before = now
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    else:
+        raise RuntimeError(f"components didn't settle in {rounds} rounds")
+    out = staged(e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()), "components")
+    discard(e)
+    return out

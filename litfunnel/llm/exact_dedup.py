@@ -18,10 +18,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from litfunnel.llm.common import SPACE_CLASS, staged
+from litfunnel.llm.common import SPACE_CLASS, discard, hidden, staged, without_rows
 
 FAN_IN = 16
 #: Digests of one range when all of its runs have met; a range is what one task holds at most.
@@ -49,10 +49,13 @@ def merged(entries: np.ndarray) -> np.ndarray:
     return out
 
 
+def normal_text() -> Column:
+    return F.regexp_replace(F.coalesce("text", F.lit("")), SPACE_CLASS + "+", " ")
+
+
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, text_sha256, chars of the text with each run of white space as one blank; null counts as empty."""
-    text = F.regexp_replace(F.coalesce("text", F.lit("")), SPACE_CLASS + "+", " ")
-    return docs.select("doc_id", text.alias("t")).select("doc_id", F.sha2("t", 256).alias("text_sha256"), F.length("t").cast("long").alias("chars"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), normal_text().alias("t")).select("doc_id", F.sha2("t", 256).alias("text_sha256"), F.length("t").cast("long").alias("chars"))
 
 
 def first_runs(digested: DataFrame, ranges: int) -> DataFrame:
@@ -128,11 +131,27 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def without_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of docs that exact_duplicates keeps, with all their columns; one row of each group."""
+    """The rows of docs that exact_duplicates keeps, with all their columns; one row of each group.
+
+    Copies are decided on identifiers and digests alone. Texts aren't shuffled: the rows to drop
+    are taken out where docs lie, unless they are too many to be broadcast.
+    """
     digested = staged(digests(docs), "digests")
-    many = keepers(digested).where("group_size > 1").select(F.col("text_sha256").alias("_sha"), F.col("keep_id").alias("_keep"))
-    text = F.regexp_replace(F.coalesce("text", F.lit("")), SPACE_CLASS + "+", " ")
-    tagged = docs.withColumn("_digest", F.sha2(text, 256)).join(many, F.col("_digest") == F.col("_sha"), "left")
-    single = tagged.where("_sha IS NULL")
-    least = tagged.where("_sha IS NOT NULL AND doc_id <=> _keep").dropDuplicates(["_digest"])
-    return single.select(*docs.columns).unionByName(least.select(*docs.columns))
+    many = keepers(digested).where("group_size > 1")
+    rows = digested.groupBy("text_sha256", "doc_id").agg(F.count("*").alias("n"))
+    judged = staged(rows.join(many, "text_sha256").select("doc_id", "text_sha256", "n", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("stays")), "judged")
+    discard(digested)
+    # Rows that repeat the identifier and the text of the one that stays go too, but for one.
+    repeated = staged(judged.where("stays AND n > 1").select("doc_id", "text_sha256"), "repeated")
+    lost = staged(judged.where("NOT stays").select("doc_id", "text_sha256").unionByName(repeated), "lost")
+    discard(judged)
+    sha = hidden()
+    keyed = docs.withColumn(sha, F.sha2(normal_text(), 256))
+    keys = {"doc_id": F.col("doc_id").cast("long"), "text_sha256": F.col(sha)}
+    kept = without_rows(keyed, keys, lost).select(*docs.columns)
+    if repeated.isEmpty():
+        return kept
+    id_name, sha_name = hidden(), hidden()
+    again = repeated.select(F.col("doc_id").alias(id_name), F.col("text_sha256").alias(sha_name))
+    one = keyed.join(again, F.col("doc_id").cast("long").eqNullSafe(F.col(id_name)) & (F.col(sha) == F.col(sha_name))).dropDuplicates([id_name, sha_name])
+    return kept.unionByName(one.select(*docs.columns))

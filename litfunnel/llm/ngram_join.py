@@ -1,42 +1,44 @@
 """Exact self-join of documents on the Jaccard similarity of their word n-gram sets.
 
-A token-group matrix decides what is compared. Its tokens are *part signatures*: the shingle
-space is dealt into so many parts that two sets within the threshold must agree on a whole
-non-empty part (they differ in fewer shingles than there are parts), and the signature of a
-part hashes all of a document's shingles in it. Documents with a signature in common form a
-group; a group's union is the set of its members' signatures; a document that shares no
-signature with a group's union cannot reach the threshold with any member, so only groups
-that share one are opened, and every opened pair is verified on the full shingle sets.
-
-Small groups are opened pair by pair. Large ones (copies of copies) are opened around a
-leader first. Members that end up outside their leader's component are then bounded by the
-union of the other components' shingles: those that still could be linked to a member of
-another component are compared with it. Nothing is sampled or capped.
+A token-group matrix tells, for each token (a shingle), which groups hold it. At first each
+distinct shingle set is a group of its own; its row is dealt by token, so that each shard sees
+all groups of its tokens and sends back, for every group, the tokens that some other group holds
+too. These bound what a set can have in common with the union of all others: sets below the
+threshold of their own size can't be linked and drop out, most of a corpus at once. The others
+are queries. Ordered from tokens of few groups to tokens of many, a query must share one of its
+first tokens with any partner, so it opens only the groups under those, and of them only pairs
+whose places and sizes still allow enough overlap.
+
+Linked sets then become one group. Under a token of few groups all pairs are opened; under a
+token of many, first those with the set that has least to itself, and after that only sets that
+are still in different groups. Every opened pair is decided on all its tokens. Nothing is sampled
+or capped, and no text is shuffled.
 """
 
 from __future__ import annotations
 
-import bisect
-import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from litfunnel.llm.common import arrow_rows, slices, staged, texts_of
+from litfunnel.llm.common import arrow_rows, discard, hidden, slices, staged, texts_of, without_rows
 from litfunnel.llm.components import connected_components
 
 SIZE = 4
 PERCENT = 85
-#: Groups up to this size are opened pair by pair.
+#: Tokens of up to so many groups are opened pair by pair.
 SMALL_GROUP = 8
-SHARD_BYTES, LEAST_SHARDS = 8 << 20, 64
+#: A token has 32 bits and its shard; with 512 shards two different shingles of a pair agree by chance with 5e-13.
+SHARD_BYTES, LEAST_SHARDS, MOST_SHARDS = 6 << 20, 512, 1 << 16
+FLUSH_TOKENS, FLUSH_SETS = 1_000_000, (1 << 16) - 1
+#: A token of more sets of one flush is dealt once, with their number.
+HOT_TOKEN = 64
+MARK = (1 << 16) - 1
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -78,288 +80,295 @@ def shingle_sets(texts: pa.Array, size: int = SIZE) -> list[np.ndarray]:
     return out
 
 
-@lru_cache
-def levels(percent: int = PERCENT) -> tuple[list[int], list[int], list[int]]:
-    """Least size, parts and tolerated empty parts of each level.
+#: What travels: kind 0 documents, 1 tokens of one shard, 2 sets of a flush, 3 owners of a flush's hot tokens.
+SENT = pa.schema([
+    ("kind", pa.int32()), ("shard", pa.int32()), ("flush", pa.int64()), ("tokens", pa.binary()), ("owners", pa.binary()), ("weights", pa.binary()),
+    ("doc_ids", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("digests", pa.list_(pa.string())),
+])
+SENT_SQL = "kind int, shard int, flush long, tokens binary, owners binary, weights binary, doc_ids array<long>, keys array<long>, sizes array<int>, digests array<string>"
+MEMBERS = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("digest", pa.string()), ("n", pa.int32()), ("shared", pa.int32()), ("tokens", pa.binary()), ("prefix", pa.list_(pa.int64()))])
+MEMBERS_SQL = "kind int, doc_id long, text_key long, digest string, n int, shared int, tokens binary, prefix array<long>"
+
+
+def filled(schema: pa.Schema, **columns: object) -> pa.RecordBatch:
+    """A batch of the schema; columns that aren't given are null."""
+    n = len(next(iter(columns.values())))
+    given = lambda f: columns[f.name] if isinstance(columns[f.name], pa.Array) else pa.array(columns[f.name], f.type)
+    return pa.RecordBatch.from_arrays([given(f) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
 
-    Linked sets have sizes of one level or of neighbouring ones; sets of level i meet at
-    levels i and i + 1. At level i linked sets differ in at most D shingles; with
-    D + 1 + tolerated parts, one that both fill is the same in both, unless a set leaves more
-    than the tolerated number empty, and such sets also give signatures of their empty parts.
-    """
-    low, parts, empty = [], [], []
-    least = 1
-    while least < 1 << 40:
-        most = 100 * least // percent
-        d = 2 * most * (100 - percent) // (100 + percent)
-        below = low[-1] if low else 1
-        e = 0
-        for _ in range(8 if d else 0):
-            m = d + 1 + e
-            mean = m * math.exp(-below / m)
-            e = math.ceil(mean + 4 * math.sqrt(mean) + 1)
-        low.append(least)
-        parts.append(d + 1 + e)
-        empty.append(e)
-        least = most + 1
-    return low, parts, empty
-
-
-def part_signatures(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    low, parts, empty = levels(percent)
-    own = bisect.bisect_right(low, len(shingles)) - 1
-    out = []
-    for level in (own, own + 1):
-        m = parts[level]
-        x = mixed(shingles + np.uint64((level + 1) * int(_STEP) % (1 << 64)))
-        part = (x % np.uint64(m)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        part, x = part[order], mixed(x[order])
-        start = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-        total = np.add.reduceat(x, start)
-        base = np.uint64(level) * np.uint64(1 << 32)
-        out.append(mixed(total + mixed(base + part[start].astype(np.uint64) + np.uint64(1))))
-        if m - len(start) > empty[level]:
-            none = np.setdiff1d(np.arange(m), part[start]).astype(np.uint64)
-            out.append(mixed(mixed(base + none + np.uint64(1)) + _STEP))
-    return np.concatenate(out)
-
-
-def matrix_rows(docs: DataFrame, shards: int, size: int, percent: int) -> DataFrame:
-    """kind 0: a document (doc_id, node, n, digest, text_key); kind 1: signatures of one shard with
-    their nodes and whether the node leads a large group inside its partition; kind 2: the
-    signatures and nodes of such groups, with their leaders. Equal sets of a partition are one node."""
+
+def runs_of(sorted_values: np.ndarray) -> np.ndarray:
+    """Where each run of equal values starts."""
+    return np.flatnonzero(np.r_[True, sorted_values[1:] != sorted_values[:-1]])
+
+
+def dealt_tokens(docs: DataFrame, shards: int, size: int) -> DataFrame:
+    """The matrix by rows: documents, and the tokens of each distinct set of a partition by shard."""
+    most = min(max(FLUSH_TOKENS, shards * 1000), 4 * FLUSH_TOKENS)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        base = TaskContext.get().partitionId() << 32
-        known: dict[bytes, int] = {}
-        sigs, owners, held = [], [], 0
-
-        def record(**columns: pa.Array) -> pa.RecordBatch:
-            n = len(next(iter(columns.values())))
-            kinds = {"kind": pa.int32(), "doc_id": pa.int64(), "node": pa.int64(), "n": pa.int64(), "digest": pa.string(), "text_key": pa.string(), "shard": pa.int32(), "sigs": pa.binary(), "nodes": pa.binary(), "leaders": pa.binary(), "leads": pa.binary()}
-            return pa.record_batch([columns.get(c, pa.nulls(n, k)) for c, k in kinds.items()], names=list(kinds))
+        flush = TaskContext.get().partitionId() << 24
+        known: set[bytes] = set()
+        keys, sizes, digests, held = [], [], [], 0
 
         def dealt() -> Iterator[pa.RecordBatch]:
-            s, o = np.concatenate(sigs), np.concatenate(owners)
-            order = np.argsort(s)
-            s, o = s[order], o[order]
-            start = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
-            count = np.diff(np.r_[start, len(s)])
-            many = np.repeat(count > SMALL_GROUP, count)
-            if many.any():
-                first = np.minimum.reduceat(o, start)
-                lead = np.repeat(first, count)
-                yield record(kind=pa.array([2], pa.int32()), sigs=pa.array([s[many].tobytes()]), nodes=pa.array([o[many].tobytes()]), leaders=pa.array([lead[many].tobytes()]))
-                stay = ~many | (o == lead)
-                s, o, many = s[stay], o[stay], many[stay]
-            shard = (s >> np.uint64(40)) % np.uint64(shards)
-            order = np.argsort(shard, kind="stable")
-            s, o, many, shard = s[order], o[order], many[order], shard[order]
-            edges = np.searchsorted(shard, np.arange(shards + 1))
-            full = [k for k in range(shards) if edges[k] < edges[k + 1]]
-            for i in range(0, len(full), 64):
-                part = full[i : i + 64]
-                yield record(kind=pa.array([1] * len(part), pa.int32()), shard=pa.array(part, pa.int32()), sigs=pa.array([s[edges[k] : edges[k + 1]].tobytes() for k in part]), nodes=pa.array([o[edges[k] : edges[k + 1]].tobytes() for k in part]), leads=pa.array([many[edges[k] : edges[k + 1]].tobytes() for k in part]))
+            owner = np.repeat(np.arange(len(keys), dtype=np.uint64), [len(x) for x in keys])
+            # Shard, token and owner in one number: one sort puts all in order.
+            packed = np.sort((np.concatenate(keys) << np.uint64(16)) | owner)
+            key, owner = packed >> np.uint64(16), (packed & np.uint64(MARK)).astype("<u2")
+            start = runs_of(key)
+            count = np.diff(np.r_[start, len(key)])
+            hot = count > HOT_TOKEN
+            home = [flush % shards]
+            yield filled(SENT, kind=[2], shard=home, flush=[flush], sizes=[sizes], digests=[digests])
+            weight = np.ones(len(key), "<u4")
+            if hot.any():
+                inside = np.repeat(hot, count)
+                yield filled(SENT, kind=[3], shard=home, flush=[flush], tokens=[key[inside].tobytes()], owners=[owner[inside].tobytes()])
+                weight[start], owner[start[hot]] = np.where(hot, count, 1), MARK
+                stay = ~inside
+                stay[start] = True
+                key, owner, weight = key[stay], owner[stay], weight[stay]
+            edges = np.searchsorted(key, np.arange(shards + 1, dtype=np.uint64) << np.uint64(32))
+            full = np.flatnonzero(np.diff(edges)).tolist()
+            token = key.astype("<u4")
+            for i in range(0, len(full), 256):
+                cuts = [slice(edges[k], edges[k + 1]) for k in full[i : i + 256]]
+                marked = [owner[c] == MARK for c in cuts]
+                yield filled(
+                    SENT, kind=[1] * len(cuts), shard=full[i : i + 256], flush=[flush] * len(cuts), tokens=[token[c].tobytes() for c in cuts],
+                    owners=[owner[c].tobytes() for c in cuts], weights=[weight[c][m].tobytes() for c, m in zip(cuts, marked, strict=True)],
+                )
 
         for batch in slices(batches, "text", 4 << 20):
-            nodes, sizes, digests = [], [], []
+            own_sizes, own_digests = [], []
             for shingles in shingle_sets(batch.column("text"), size):
                 digest = xxhash.xxh3_128_digest(shingles.tobytes())
-                node = known.get(digest)
-                if node is None:
-                    node = known[digest] = base + len(known)
-                    if len(shingles):
-                        own = part_signatures(shingles, percent)
-                        sigs.append(own)
-                        owners.append(np.full(len(own), node, np.int64))
-                        held += len(own)
-                nodes.append(node)
-                sizes.append(len(shingles))
-                digests.append(digest.hex())
-            yield record(kind=pa.array([0] * len(nodes), pa.int32()), doc_id=batch.column("doc_id"), node=pa.array(nodes, pa.int64()), n=pa.array(sizes, pa.int64()), digest=pa.array(digests), text_key=batch.column("text_key"))
-            if held > 1_000_000:
-                yield from dealt()
-                sigs, owners, held = [], [], 0
+                own_sizes.append(len(shingles))
+                own_digests.append(digest.hex())
+                if len(shingles) and digest not in known:
+                    known.add(digest)
+                    key = np.unique(((shingles >> np.uint64(40)) % np.uint64(shards) << np.uint64(32)) | (shingles & np.uint64(0xFFFFFFFF)))
+                    keys.append(key)
+                    sizes.append(len(shingles))
+                    digests.append(digest.hex())
+                    held += len(key)
+                    if held > most or len(keys) == FLUSH_SETS:
+                        yield from dealt()
+                        flush += 1
+                        keys, sizes, digests, held = [], [], [], 0
+            as_list = lambda c, kind: pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(c).cast(kind))  # noqa: E731, B023
+            yield filled(SENT, kind=[0], shard=[flush % shards], flush=[flush], doc_ids=as_list("doc_id", pa.int64()), keys=as_list("text_key", pa.int64()), sizes=[own_sizes], digests=[own_digests])
         if held:
             yield from dealt()
 
-    schema = "kind int, doc_id long, node long, n long, digest string, text_key string, shard int, sigs binary, nodes binary, leaders binary, leads binary"
-    return docs.mapInArrow(rows, schema)
+    return docs.mapInArrow(rows, SENT_SQL)
+
+
+def joined_bytes(column: pa.ChunkedArray, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of a column of binaries, and how many each row has."""
+    parts = [np.frombuffer(x or b"", kind) for x in column.to_pylist()]
+    return np.concatenate(parts) if parts else np.empty(0, kind), np.array([len(x) for x in parts], np.int64)
+
+
+def shared_tokens(table: pa.Table) -> pa.Table:
+    """One shard: of each row the tokens that another set holds too, with a class of their number of sets."""
+    own = pc.equal(table["kind"], 1)
+    rest, table = table.filter(pc.invert(own)), table.filter(own)
+    if not table.num_rows:
+        return rest
+    token, size = joined_bytes(table["tokens"], "<u4")
+    owner, _ = joined_bytes(table["owners"], "<u2")
+    weight = np.ones(len(token), np.int64)
+    weight[owner == MARK] = joined_bytes(table["weights"], "<u4")[0]
+    order = np.argsort(token, kind="stable")
+    start = runs_of(token[order])
+    sets = np.add.reduceat(weight[order], start)
+    number = np.empty(len(token), np.int64)
+    number[order] = np.repeat(sets, np.diff(np.r_[start, len(token)]))
+    kept = number > 1
+    group = np.minimum(np.log2(number) * 5, 255).astype(np.uint8)
+    edges = np.r_[0, np.cumsum(size)]
+    rows = [(i, slice(a, b)) for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if kept[a:b].any()]
+    pick = pa.array([i for i, _ in rows], pa.int64())
+    out = filled(
+        SENT, kind=table["kind"].combine_chunks().take(pick), shard=table["shard"].combine_chunks().take(pick), flush=table["flush"].combine_chunks().take(pick),
+        tokens=[token[c][kept[c]].tobytes() for _, c in rows], owners=[owner[c][kept[c]].tobytes() for _, c in rows], weights=[group[c][kept[c]].tobytes() for _, c in rows],
+    )
+    return pa.concat_tables([rest, pa.Table.from_batches([out])])
+
+
+def surviving_sets(table: pa.Table, percent: int) -> pa.Table:
+    """One flush: its documents, and of its sets those that could reach the threshold with what all
+    other sets hold: the tokens they share, from tokens of few sets to tokens of many."""
+    kind = table["kind"].to_numpy()
+    out = []
+    for row in table.filter(pa.array(kind == 0)).to_batches():
+        n = len(row.column("doc_ids").flatten())
+        out.append(filled(MEMBERS, kind=[0] * n, doc_id=row.column("doc_ids").flatten(), text_key=row.column("keys").flatten(), digest=row.column("digests").flatten(), n=row.column("sizes").flatten()))
+    sets = table.filter(pa.array(kind == 2))
+    if sets.num_rows:
+        sizes, digests = np.array(sets["sizes"][0].as_py(), np.int64), sets["digests"][0].as_py()
+        sent = table.filter(pa.array(kind == 1))
+        token, count = joined_bytes(sent["tokens"], "<u4")
+        key = (np.repeat(sent["shard"].to_numpy().astype(np.uint64), count) << np.uint64(32)) | token
+        owner, group = joined_bytes(sent["owners"], "<u2")[0].astype(np.int64), joined_bytes(sent["weights"], np.uint8)[0]
+        hot = table.filter(pa.array(kind == 3))
+        if hot.num_rows:
+            marks = np.flatnonzero(owner == MARK)
+            marks = marks[np.argsort(key[marks])]
+            hot_key, hot_owner = np.frombuffer(hot["tokens"][0].as_py(), np.uint64), np.frombuffer(hot["owners"][0].as_py(), "<u2")
+            hot_group = group[marks][np.searchsorted(key[marks], hot_key)]
+            single = owner != MARK
+            key, owner, group = np.r_[key[single], hot_key], np.r_[owner[single], hot_owner], np.r_[group[single], hot_group]
+        shared = np.bincount(owner, minlength=len(sizes))
+        enough = 100 * shared >= percent * sizes
+        stay = enough[owner]
+        key, owner, group = key[stay], owner[stay], group[stay]
+        order = np.lexsort((key, group, owner))
+        key, owner = key[order], owner[order]
+        edges = np.searchsorted(owner, np.arange(len(sizes) + 1))
+        own = np.flatnonzero(enough).tolist()
+        cut = [key[edges[i] : edges[i + 1]] for i in own]
+        # A partner holds at least percent of the set, so one of this many first tokens.
+        first = sizes - -(-percent * sizes // 100) + 1
+        prefix = [x[: max(0, int(first[i] - (sizes[i] - shared[i])))].astype(np.int64) for i, x in zip(own, cut, strict=True)]
+        for a in range(0, len(own), 2000):
+            part = slice(a, a + 2000)
+            out.append(filled(MEMBERS, kind=[1] * len(own[part]), digest=[digests[i] for i in own[part]], n=sizes[own[part]], shared=shared[own[part]], tokens=[x.tobytes() for x in cut[part]], prefix=prefix[part]))
+    return pa.Table.from_batches(out, MEMBERS)
+
+
+def members_of(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """kind 0: documents (doc_id, text_key, digest, n); kind 1: sets that may be linked (digest, n, shared, tokens, prefix)."""
+    volume = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    # About one token of 6 bytes for 6 characters.
+    shards = min(MOST_SHARDS, max(LEAST_SHARDS, int(volume) // SHARD_BYTES))
+    with arrow_rows(docs.sparkSession, 1000):
+        sent = dealt_tokens(docs, shards, size).groupBy("shard").applyInArrow(shared_tokens, SENT_SQL)
+        return staged(sent.groupBy("flush").applyInArrow(lambda t: surviving_sets(t, percent), MEMBERS_SQL), "members")
 
 
-PAIR_SCHEMA = "sig long, a long, b long, star boolean"
+def fits(x: str, y: str, percent: int) -> Column:
+    """Whether two queries that meet first at a token can be linked, by their sizes, what they share
+    with any set and their tokens behind that place."""
+    n, p, s = (lambda side, c=c: F.col(f"{side}.{c}") for c in ("n", "place", "shared"))
+    both = F.lit(percent) * (n(x) + n(y))
+    after = 1 + F.least(n(x) - p(x), n(y) - p(y))
+    return (100 * F.least(n(x), n(y)) >= percent * F.greatest(n(x), n(y))) & ((100 + percent) * F.least(after, s(x), s(y)) >= both)
 
 
-def opened_groups(matrix: DataFrame) -> DataFrame:
-    """(sig, a, b, star): the pairs of nodes to verify; star rows are members of large groups with their leader.
+def ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).where("u <> v").distinct()
 
-    A group that is large inside one partition counts as large for its nodes everywhere.
-    """
 
-    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-        s = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["sigs"]])
-        o = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["nodes"]])
-        led = np.concatenate([np.frombuffer(x, bool) for x in pdf["leads"]])
-        order = np.argsort(s, kind="stable")
-        s, o, led = s[order], o[order], led[order]
-        start = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
-        count = np.diff(np.r_[start, len(s)])
-        led = np.repeat(np.logical_or.reduceat(led, start), count)
-        several = np.repeat(count > 1, count)
-        s, o, led = s[several], o[several], led[several]
-        count = count[count > 1]
-        start = np.cumsum(count) - count
-        large = np.repeat(count > SMALL_GROUP, count)
-        frames = []
-        if len(s):
-            lead = np.repeat(np.minimum.reduceat(o, start), count)
-            star = (large | led) & (o != lead)
-            frames.append(pd.DataFrame({"sig": s[star].astype(np.int64), "a": lead[star], "b": o[star], "star": True}))
-            for step in range(1, SMALL_GROUP):
-                same = (s[step:] == s[:-step]) & ~large[step:]
-                if not same.any():
-                    break
-                x, y = o[:-step][same], o[step:][same]
-                frames.append(pd.DataFrame({"sig": np.int64(0), "a": np.minimum(x, y), "b": np.maximum(x, y), "star": False}))
-        if not frames:
-            return pd.DataFrame({"sig": np.empty(0, np.int64), "a": np.empty(0, np.int64), "b": np.empty(0, np.int64), "star": np.empty(0, bool)})
-        return pd.concat(frames).query("a != b").drop_duplicates()
-
-    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for x in batch.to_pylist():
-                a, b = np.frombuffer(x["leaders"], np.int64), np.frombuffer(x["nodes"], np.int64)
-                other = a != b
-                n = int(other.sum())
-                yield pa.record_batch([pa.array(np.frombuffer(x["sigs"], np.uint64)[other].astype(np.int64)), pa.array(a[other]), pa.array(b[other]), pa.array(np.ones(n, bool))], names=["sig", "a", "b", "star"])
-
-    across = matrix.where("kind = 1").select("shard", "sigs", "nodes", "leads").groupBy("shard").applyInPandas(pairs, PAIR_SCHEMA)
-    return across.unionByName(matrix.where("kind = 2").select("sigs", "nodes", "leaders").mapInArrow(inside, PAIR_SCHEMA))
-
-
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """A table of (u, v): the pairs (digests u < v) whose shingle sets reach the threshold, from their whole texts."""
-    need = pairs.select(F.col("u").alias("digest")).unionByName(pairs.select(F.col("v").alias("digest"))).distinct()
-    keys = staged(nodes.join(need, "digest", "left_semi").groupBy("digest").agg(F.min("text_key").alias("text_key")), "opened")
-    texts = docs.select("text_key", "text").join(keys.select("text_key"), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
-    texts = staged(texts.join(keys, "text_key").select("digest", "text"), "opened-texts")
-    a, b = (texts.select(F.col("digest").alias(c), F.col("text").alias(t)) for c, t in (("u", "text_u"), ("v", "text_v")))
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """A table of (u, v): the pairs (digests u < v) whose shingle sets reach the threshold."""
+    a, b = (sets.select(F.col("digest").alias(c), F.col("n").alias(f"n_{c}"), F.col("tokens").alias(f"t_{c}")) for c in ("u", "v"))
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, last_set = None, np.empty(0, np.uint64)
-        for batch in slices(slices(batches, "text_u"), "text_v"):
-            keep = []
-            us = batch.column("u").to_pylist()
-            right = shingle_sets(batch.column("text_v"), size)
-            left_at = {}
-            fresh = [i for i, u in enumerate(us) if u != last and left_at.setdefault(u, i) == i]
-            sets = dict(zip([us[i] for i in fresh], shingle_sets(batch.column("text_u").take(pa.array(fresh, pa.int64())), size), strict=True)) if fresh else {}
-            if last is not None:
-                sets.setdefault(last, last_set)
-            for u, y in zip(us, right, strict=True):
-                x = sets[u]
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            last, last_set = us[-1], sets[us[-1]]
-            yield pa.record_batch([batch.column("u"), batch.column("v"), pa.array(keep)], names=["u", "v", "keep"])
-
-    joined = pairs.join(a, "u").join(b, "v").select("u", "v", "text_u", "text_v")
-    with arrow_rows(docs.sparkSession, 300):
-        return staged(joined.mapInArrow(linked, "u string, v string, keep boolean").where("keep").select("u", "v"), "links")
+        for batch in slices(slices(batches, "t_u"), "t_v"):
+            n = batch.column("n_u").to_numpy().astype(np.int64) + batch.column("n_v").to_numpy()
+            both = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True)) for x, y in zip(batch.column("t_u").to_pylist(), batch.column("t_v").to_pylist(), strict=True)]
+            keep = (100 + percent) * np.array(both, np.int64) >= percent * n
+            yield pa.record_batch([batch.column("u"), batch.column("v")], names=["u", "v"]).filter(pa.array(keep))
+
+    with arrow_rows(sets.sparkSession, 1000):
+        return staged(pairs.join(a, "u").join(b, "v").select("u", "v", "n_u", "n_v", "t_u", "t_v").mapInArrow(linked, "u string, v string"), "links")
+
+
+def query_places(sets: DataFrame) -> DataFrame:
+    """(h, digest, n, shared, own, place): each first token of each query, its place and how many tokens are the query's own."""
+    own = F.col("n") - F.col("shared")
+    return sets.select("digest", "n", "shared", own.alias("own"), F.posexplode("prefix").alias("i", "h")).select("h", "digest", "n", "shared", "own", (F.col("own") + F.col("i") + 1).alias("place"))
+
+
+def opened_pairs(places: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
+    """(u, v): all pairs under tokens of few queries, and those with the least own set under tokens of many."""
+    item = F.struct("digest", "n", "shared", "place").alias("y")
+    few = places.join(heads.where(f"k <= {SMALL_GROUP}").select("h"), "h").groupBy("h").agg(F.collect_list(item).alias("g"))
+    few = few.select(F.posexplode("g").alias("i", "x"), "g").select("x", F.explode(F.slice("g", F.col("i") + 2, F.size("g"))).alias("y"))
+    many = places.join(heads.where(f"k > {SMALL_GROUP}").select("h", F.col("head").alias("x")), "h").select("x", item)
+    a, b = (d.where(fits("x", "y", percent)).select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b")) for d in (few, many))
+    return ordered(a.unionByName(b))
+
+
+def with_component(places: DataFrame, parts: DataFrame) -> DataFrame:
+    return places.join(parts.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
+
+
+def still_apart(places: DataFrame, percent: int, hub_only: bool) -> DataFrame:
+    """(u, v) of queries in different groups that meet under one token and can still be linked;
+    with hub_only only those with the least own set that is not in the token's greatest component."""
+    bounds = places.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("n").alias("least")).where("lo <> hi").drop("lo")
+    # A place that leaves too little for even the smallest partner under the token is of no use.
+    partner = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
+    open_places = places.join(bounds, "h").where((100 + percent) * F.least(1 + F.col("n") - F.col("place"), "shared") >= percent * (F.col("n") + partner))
+    open_places = staged(open_places.select("h", "digest", "n", "shared", "own", "place", "component", "hi"), "open-places")
+    x = open_places
+    if hub_only:
+        best = open_places.where("component <> hi").groupBy("h").agg(F.min(F.struct("own", "digest", "n", "shared", "place", "component")).alias("best"))
+        x = best.select("h", "best.*")
+    a, b = x.select("h", F.struct("digest", "n", "shared", "place", "component").alias("x")), open_places.select("h", F.struct("digest", "n", "shared", "place", "component").alias("y"))
+    order = F.col("x.component") != F.col("y.component") if hub_only else F.col("x.component") < F.col("y.component")
+    out = staged(ordered(a.join(b, "h").where(order & fits("x", "y", percent)).select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b"))), "late")
+    discard(open_places)
+    return out
+
+
+def set_components(members: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of every digest that is linked with another."""
+    sets = staged(members.where("kind = 1").select("digest", "n", "shared", "tokens", "prefix").dropDuplicates(["digest"]), "sets")
+    places = staged(query_places(sets.drop("tokens")), "places")
+    heads = staged(places.groupBy("h").agg(F.count("*").alias("k"), F.min(F.struct("own", "digest", "n", "shared", "place")).alias("head")).where("k > 1"), "heads")
+    pairs = staged(opened_pairs(places, heads, percent), "pairs")
+    links = verified(pairs, sets, percent)
+    parts = connected_components(links)
+    wide = staged(places.join(heads.where(f"k > {SMALL_GROUP}").select("h"), "h"), "wide")
+    for spent in (places, heads):
+        discard(spent)
+    # Hubs of what is left first, at last all that is still apart.
+    for hub_only in (True, False):
+        late = still_apart(with_component(wide, parts), percent, hub_only)
+        fresh = staged(late.join(pairs, ["u", "v"], "left_anti"), "fresh")
+        discard(late)
+        if not fresh.isEmpty():
+            more = verified(fresh, sets, percent)
+            joined = staged(parts.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more), "links")
+            newer = connected_components(joined)
+            for spent in (parts, more, joined):
+                discard(spent)
+            parts = newer
+            if hub_only:
+                both = staged(pairs.unionByName(fresh), "pairs")
+                discard(pairs)
+                pairs = both
+        discard(fresh)
+    for spent in (sets, pairs, links, wide):
+        discard(spent)
+    return parts
 
 
 def similarity_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, class (digest of the least linked set), digest, text_key.
+    """One row per document: doc_id, text_key, digest, n_shingles, class (digest of the least linked set).
 
     docs needs doc_id and text; other columns are ignored. Documents with equal shingle sets
     are one class; classes are linked where 100 * |intersection| >= percent * |union|; class
     is the component. Documents without words (null or blank text) have n_shingles 0 and are
-    each alone: their class is null. An empty table gives no rows. Shingles and sets are told
-    apart by 64-bit and 128-bit hashes.
+    each alone: their class is null. An empty table gives no rows. Sets are told apart by
+    128-bit hashes, the shingles of a pair by 41 bits or more.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.md5(F.coalesce("text", F.lit(""))).alias("text_key"))
-    volume = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    # About 230 signatures of 16 bytes for 3,300 characters.
-    with arrow_rows(docs.sparkSession, 1000):
-        matrix = staged(matrix_rows(docs, max(LEAST_SHARDS, int(volume * 1.2) // SHARD_BYTES), size, percent), "matrix")
-    nodes = matrix.where("kind = 0").select("doc_id", "node", "n", "digest", "text_key")
-    of_node = nodes.select("node", "digest", "n").distinct()
-    opened = staged(opened_groups(matrix), "opened-groups")
-    x, y = (of_node.select(F.col("node").alias(c), F.col("digest").alias(d), F.col("n").alias(n)) for c, d, n in (("a", "u", "n_u"), ("b", "v", "n_v")))
-    # Sizes further apart than the threshold allows can't be linked.
-    named = opened.select("a", "b").distinct().join(x, "a").join(y, "b").where((F.col("u") != F.col("v")) & (100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v")))
-    pairs = staged(named.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "pairs")
-    links = verified(pairs, nodes, docs, size, percent)
-    parts = staged(connected_components(links), "parts")
-    members = open_members(opened, of_node, parts, nodes, docs, size, percent)
-    # A group's hub first, then the hub of what it left over, at last all that is still apart.
-    for step in range(3):
-        m = staged(with_component(members, parts), "open-members")
-        if step < 2:
-            hub = hubs(m) if not step else hubs(m.join(hubs(m).select("sig", F.col("component").alias("hub_component")), "sig").where("component != hub_component").drop("hub_component"))
-            late = apart(hub, m, percent)
-        else:
-            late = apart(m, m, percent)
-        late = staged(late.join(pairs, ["u", "v"], "left_anti"), "late")
-        if late.isEmpty():
-            continue
-        pairs = pairs.unionByName(late)
-        links = links.unionByName(verified(late, nodes, docs, size, percent))
-        parts = staged(connected_components(links), "parts")
-    labelled = nodes.join(parts, nodes["digest"] == parts["node"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "digest")).alias("class"), "digest", "text_key")
-    return labelled
-
-
-def shared_sizes(members: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """(digest, shared): how many shingles of each member (digest, component) some member of
-    another component has too: what it has in common with the union of all other groups."""
-    keys = nodes.join(members, "digest").groupBy("text_key", "component").agg(F.min("digest").alias("digest"))
-    texts = docs.select("text_key", "text").join(keys, "text_key").groupBy("digest", "component").agg(F.first("text").alias("text"))
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 20):
-            sets = shingle_sets(batch.column("text"), size)
-            which = pa.array(np.repeat(np.arange(len(sets)), [len(x) for x in sets]))
-            flat = np.concatenate(sets).astype(np.int64)
-            yield pa.record_batch([pa.array(flat), batch.column("digest").take(which), batch.column("component").take(which)], names=["h", "digest", "component"])
-
-    held = texts.mapInArrow(rows, "h long, digest string, component string")
-    common = held.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("h")
-    return held.join(common, "h", "left_semi").groupBy("digest").agg(F.count("*").alias("shared"))
-
-
-def open_members(opened: DataFrame, of_node: DataFrame, parts: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(sig, digest, n, shared) of members of large groups with several components that can
-    still be linked outside their own: the least partner has percent / 100 of the size."""
-    star = opened.where("star")
-    member = star.select("sig", F.col("b").alias("node")).unionByName(star.select("sig", F.col("a").alias("node"))).distinct().join(of_node, "node").select("sig", "digest", "n").distinct()
-    m = staged(with_component(member, parts), "members")
-    mixed_groups = m.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("sig")
-    m = staged(m.join(mixed_groups, "sig", "left_semi"), "mixed")
-    with arrow_rows(docs.sparkSession, 300):
-        shared = staged(shared_sizes(m.select("digest", "component").distinct(), nodes, docs, size), "shared")
-    return staged(m.join(shared, "digest").where(100 * F.col("shared") >= percent * F.col("n")).drop("component"), "open")
-
-
-def with_component(members: DataFrame, parts: DataFrame) -> DataFrame:
-    return members.join(parts, members["digest"] == parts["node"], "left").select(*(members[c] for c in members.columns), F.coalesce("component", "digest").alias("component"))
-
-
-def apart(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
-    """(u, v) of members of one group in different components whose sizes and shared sizes allow a
-    link: it needs percent / (100 + percent) * (|u| + |v|) common shingles."""
-    x, y = (d.select("sig", F.col("digest").alias(c), F.col("n").alias(f"n_{c}"), F.col("component").alias(f"c_{c}"), F.col("shared").alias(f"s_{c}")) for d, c in ((left, "x"), (right, "y")))
-    fits = (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) & ((100 + percent) * F.least("s_x", "s_y") >= percent * (F.col("n_x") + F.col("n_y")))
-    return x.join(y, "sig").where((F.col("c_x") != F.col("c_y")) & fits).select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
-
-
-def hubs(members: DataFrame) -> DataFrame:
-    """The member of each group that has most in common with the others' union."""
-    best = members.groupBy("sig").agg(F.max(F.struct((F.col("shared") / F.col("n")).alias("part"), "n", "digest", "component", "shared")).alias("best"))
-    return best.select("sig", "best.digest", "best.n", "best.component", "best.shared")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
+    members = members_of(docs, size, percent)
+    parts = set_components(members, percent)
+    nodes = members.where("kind = 0").select("doc_id", "text_key", "digest", F.col("n").alias("n_shingles"))
+    labelled = nodes.join(parts.withColumnRenamed("node", "digest"), "digest", "left")
+    out = staged(labelled.select("doc_id", "text_key", "digest", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component", "digest")).alias("class")), "classes")
+    discard(members)
+    discard(parts)
+    return out
 
 
 def linked_documents(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
@@ -367,19 +376,20 @@ def linked_documents(docs: DataFrame, size: int = SIZE, percent: int = PERCENT)
 
     A null doc_id gets the least id of its class, or null where none has an id.
     """
-    c = staged(similarity_classes(docs, size, percent), "classes")
+    c = similarity_classes(docs, size, percent)
     least = c.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("component_id"))
-    return c.join(least, "class", "left").select("doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    out = c.join(least, "class", "left")
+    return out.select("doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """docs with one document of each class: the one of the least doc_id, then of the least text
-    digest. Documents without words stay; rows equal in both doc_id and text stay or go together."""
-    c = staged(similarity_classes(docs, size, percent), "classes")
+    hash. Documents without words stay; rows equal in both doc_id and text stay or go together."""
+    c = similarity_classes(docs, size, percent)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
-    best = c.where("class IS NOT NULL").groupBy("class").agg(F.min(order).alias("best"))
-    lost = c.join(best, "class").where(order != F.col("best"))
-    lost = lost.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text")).distinct()
-    text_key = F.md5(F.coalesce("text", F.lit("")))
-    keyed = docs.withColumn("_key", text_key)
-    return keyed.join(lost, (F.col("_key") == F.col("_text")) & keyed["doc_id"].eqNullSafe(F.col("_id")), "left_anti").select(*docs.columns)
+    best = c.where("class IS NOT NULL").groupBy("class").agg(F.min(order).alias("best"), F.count("*").alias("k")).where("k > 1")
+    lost = staged(c.join(best, "class").where(order != F.col("best")).select("doc_id", "text_key").distinct(), "lost")
+    discard(c)
+    key = hidden()
+    keyed = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit(""))))
+    return without_rows(keyed, {"doc_id": F.col("doc_id").cast("long"), "text_key": F.col(key)}, lost).select(*docs.columns)
