@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litfunnel.llm import decontaminate, exact_dedup, ngram_join, packing, toxicity
-from litfunnel.llm.common import staged, table
+from litfunnel.llm.common import hidden, staged, table
 
 TOXIC_FROM = 0.7
 
@@ -20,7 +20,8 @@ TOXIC_FROM = 0.7
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below TOXIC_FROM."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score_toxicity(docs, model, "_toxicity").where(F.col("_toxicity") < TOXIC_FROM).select(*docs.columns)
+    score = hidden()
+    return toxicity.score_toxicity(docs, model, score).where(F.col(score) < TOXIC_FROM).select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
