@@ -2,13 +2,14 @@
 
 Words are the alphabet. The CGK embedding walks a window of words with a random walk, so
 that two windows at a small edit distance get strings at a small Hamming distance; sampled
-positions of the string are LSH keys; WALKS x SAMPLINGS repetitions reach the recall aimed
-at. Each item gives item-sized windows at its head and tail; document windows of the same
-sizes that hold too few benchmark words for any item are passed over (no loss: edits bound
-the number of foreign words), the rest are embedded, and each window that shares a key with
-an item is verified by exact edit distance on the words around it.
-
-The benchmark is taken in blocks of bounded size; each block is shipped to all tasks and
+positions of the string are LSH keys. How many walks are repeated is found for each window
+size by embedding edited windows until the target recall is reached. Each item gives
+item-sized windows at its head and tail; document windows of the same sizes that hold too few
+benchmark words for any item are passed over (no loss: edits bound the number of foreign
+words), the rest are embedded, and each window that shares a key with an item is verified by
+exact edit distance on the words around it.
+
+The benchmark is taken in blocks of bounded bytes; each block is shipped to all tasks and
 documents are scanned where they lie. Texts are never shuffled.
 """
 
@@ -16,24 +17,28 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from litfunnel.llm.common import slices, texts_of
+from litfunnel.llm.common import slices, staged, texts_of
 from litfunnel.llm.words import coded_words
 
-#: Edits allowed, as a share of the item's words, and the least words of an item.
+#: Edits allowed, as a share of the item's words. Items of fewer words allow none and are looked up as they are.
 EDITS = 0.2
 LEAST_WORDS = 5
-WALKS, SAMPLINGS, SAMPLED = 10, 4, 3
-BLOCK_ITEMS = 2000
-#: Words of one item that count; a longer item is matched by pieces of this many.
-ITEM_WORDS = 512
-_GRID_RATIO = 1.15
+#: Share of edited items that must share a key, of those with as many edits as allowed.
+RECALL = 0.97
+SAMPLINGS, SAMPLED = 4, 3
+LEAST_WALKS, MOST_WALKS, TRIALS = 4, 32, 40
+BLOCK_BYTES = 16 << 20
+#: Words of one piece of a longer item. Of an item within the edits some piece is, too; pieces nominate
+#: places, the whole item is verified there.
+ITEM_WORDS = 64
+_GRID_RATIO = 1.2
 #: Shares of an item window's words, rarest first, by which windows are passed over.
 RARE_SHARES = (0.6, 1.0, 0.35)
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -46,16 +51,16 @@ def size_grid(top: int) -> list[int]:
     return sizes
 
 
-def embedded_keys(ids: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+def embedded_keys(ids: np.ndarray, starts: np.ndarray, size: int, walks: int) -> np.ndarray:
     """LSH keys, one row per start and one column per repetition, of the windows ids[start : start + size].
 
     Step j of a walk shows the word under the pointer, which then moves on by a random bit of
-    (walk, j, word). Past its end a window shows 0.
+    (walk, j, word). Past its end a window shows 0. The first walks are the same however many follow.
     """
     rng = np.random.default_rng(size)
     steps = 2 * size
-    keys = np.empty((len(starts), WALKS * SAMPLINGS), np.uint64)
-    for walk in range(WALKS):
+    keys = np.empty((len(starts), walks * SAMPLINGS), np.uint64)
+    for walk in range(walks):
         sampled = [rng.choice(steps, SAMPLED, replace=False) for _ in range(SAMPLINGS)]
         bits = rng.integers(1, 1 << 62, steps).astype(np.uint64) | np.uint64(1)
         pointer = np.zeros(len(starts), np.int64)
@@ -72,6 +77,48 @@ def embedded_keys(ids: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
     return keys
 
 
+def edited(words: np.ndarray, n: int, kind: int, rng: np.random.Generator) -> np.ndarray:
+    """words after n edits at random places: 0 substitutions, 1 deletions, 2 insertions, 3 any of them."""
+    out = words.tolist()
+    for _ in range(n):
+        at, foreign = int(rng.integers(len(out))), int(rng.integers(1 << 40, 1 << 41))
+        what = kind if kind < 3 else int(rng.integers(3))
+        out[at : at + (what < 2)] = [] if what == 1 and len(out) > 1 else [foreign]
+    return np.array(out)
+
+
+@lru_cache
+def walks_for(size: int, edits: float, recall: float) -> int:
+    """Walks that reach the recall for windows of this size with as many edits as allowed, whatever
+    their kind, found on TRIALS edited items of each kind."""
+    rng = np.random.default_rng(7 * size + 1)
+    length = max(size, min(int(size * _GRID_RATIO), ITEM_WORDS))
+    words = rng.integers(1, 1 << 30, (4 * TRIALS, length))
+    texts, item_at, text_at, trial = [], [], [], []
+    for t in range(4 * TRIALS):
+        changed = edited(words[t], int(edits * length), t % 4, rng)
+        base = sum(map(len, texts))
+        texts.append(np.r_[changed, rng.integers(1 << 41, 1 << 42, size + 4)])
+        # The windows that begin where the item's head and tail window do, and their neighbours.
+        tail = max(0, len(changed) - size)
+        for start, places in ((0, range(3)), (length - size, range(max(0, tail - 2), tail + 3))):
+            text_at += [base + a for a in places]
+            item_at += [t * length + start] * len(places)
+            trial += [t] * len(places)
+    ids, item_at, text_at = np.concatenate(texts), np.array(item_at), np.array(text_at)
+    walks = LEAST_WALKS
+    while walks < MOST_WALKS:
+        walks = min(2 * walks, MOST_WALKS)
+        same = embedded_keys(words.ravel(), item_at, size, walks) == embedded_keys(ids, text_at, size, walks)
+        found = np.zeros((4 * TRIALS, walks), bool)
+        np.logical_or.at(found, np.array(trial), same.reshape(len(trial), walks, SAMPLINGS).any(2))
+        by_kind = np.logical_or.accumulate(found, axis=1).reshape(TRIALS, 4, walks).mean(0).min(0)
+        enough = np.flatnonzero(by_kind >= recall)
+        if len(enough):
+            return max(LEAST_WALKS, int(enough[0]) + 1)
+    return MOST_WALKS
+
+
 def closest_stretch(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
     """(edits, start, end) of the stretch of words nearest to item by edit distance, the first such."""
     n = len(words)
@@ -99,22 +146,34 @@ class Block:
     """A bounded part of the benchmark, ready for the scan."""
 
     vocabulary: dict[str, int]
-    items: list[tuple[int, np.ndarray]]  # item_id, word ids
-    #: By window size: the filters (which words count, how many are needed), sorted keys, and for each key item number and offset.
-    sizes: dict[int, tuple[list[tuple[np.ndarray, int]], np.ndarray, np.ndarray, np.ndarray]]
-
-
-def block_of(rows: list[tuple[int, str]], edits: float = EDITS) -> Block:
-    distinct, codes, bounds = coded_words([t for _, t in rows])
-    items = []
-    for (item_id, _), a, b in zip(rows, bounds[:-1], bounds[1:], strict=True):
-        pieces = max(1, -(-(b - a) // ITEM_WORDS))
-        for piece in np.array_split(codes[a:b] + 1, pieces):
-            if len(piece) >= LEAST_WORDS:
-                items.append((item_id, piece))
+    items: list[tuple[int, np.ndarray]]  # number of the text, word ids of the whole item
+    pieces: list[tuple[int, int]]  # item, first word of the piece
+    #: By window size: walks, the filters (which words count, how many are needed), sorted keys, and for each key piece and offset.
+    sizes: dict[int, tuple[int, list[tuple[np.ndarray, int]], np.ndarray, np.ndarray, np.ndarray]]
+    #: By number of words below LEAST_WORDS: the items' words.
+    short: dict[int, list[int]]
+
+
+def block_of(texts: list[str], edits: float = EDITS, recall: float = RECALL) -> Block:
+    """Items are numbered by their place in texts; those without words aren't items."""
+    distinct, codes, bounds = coded_words(texts)
+    items, pieces, piece_words, short = [], [], [], {}
+    for number, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+        words = codes[a:b] + 1
+        if not len(words):
+            continue
+        items.append((number, words))
+        if len(words) < LEAST_WORDS:
+            short.setdefault(len(words), []).append(len(items) - 1)
+            continue
+        first = 0
+        for piece in np.array_split(words, max(1, -(-len(words) // ITEM_WORDS))):
+            pieces.append((len(items) - 1, first))
+            piece_words.append(piece)
+            first += len(piece)
     grid = size_grid(ITEM_WORDS)
     by_size: dict[int, list[int]] = {}
-    for k, (_, words) in enumerate(items):
+    for k, words in enumerate(piece_words):
         by_size.setdefault(max(g for g in grid if g <= len(words)), []).append(k)
     sizes = {}
     # Rare words first: in few items, and long.
@@ -122,12 +181,13 @@ def block_of(rows: list[tuple[int, str]], edits: float = EDITS) -> Block:
     rarity = np.empty(len(distinct) + 1, np.int64)
     rarity[np.lexsort((-np.array([99, *map(len, distinct)]), held_by))] = np.arange(len(distinct) + 1)
     for size, own in by_size.items():
+        walks = walks_for(size, edits, recall)
         keys, number, offset = [], [], []
         filters = []
         for share in RARE_SHARES:
             q, counts, least = max(1, int(share * size)), np.zeros(len(distinct) + 1, bool), size
             for k in own:
-                words = items[k][1]
+                words = piece_words[k]
                 for start in np.unique([0, len(words) - size]):
                     window = words[start : start + size]
                     # Ties in rarity take in every place of a word, so that a count bounds the edits.
@@ -137,132 +197,182 @@ def block_of(rows: list[tuple[int, str]], edits: float = EDITS) -> Block:
                     least = min(least, len(chosen) - int(edits * len(words)))
             filters.append((counts, least))
         for k in own:
-            words = items[k][1]
+            words = piece_words[k]
             starts = np.unique([0, len(words) - size])
-            got = embedded_keys(words, starts, size)
+            got = embedded_keys(words, starts, size, walks)
             keys.append(got.ravel())
             number.append(np.full(got.size, k))
             offset.append(np.repeat(starts, got.shape[1]))
         flat = np.concatenate(keys)
         order = np.argsort(flat, kind="stable")
-        sizes[size] = (filters, flat[order], np.concatenate(number)[order], np.concatenate(offset)[order])
-    return Block({w: i + 1 for i, w in enumerate(distinct)}, items, sizes)
+        sizes[size] = (walks, filters, flat[order], np.concatenate(number)[order], np.concatenate(offset)[order])
+    return Block({w: i + 1 for i, w in enumerate(distinct)}, items, pieces, sizes, short)
 
 
-def matches(texts: list[str], block: Block, edits: float = EDITS) -> list[tuple[int, int, int, int, int]]:
-    """(text number, item number, edits, first word, end word) of every stretch found."""
-    distinct, codes, bounds = coded_words(texts)
-    lookup = np.fromiter((block.vocabulary.get(w, 0) for w in distinct), np.int64, len(distinct))
-    ids = lookup[codes] if len(codes) else np.empty(0, np.int64)
+def open_windows(ids: np.ndarray, owner_end: np.ndarray, size: int, filters: list[tuple[np.ndarray, int]]) -> np.ndarray:
+    """Starts of the windows that hold enough of the benchmark's words."""
+    starts = None
+    for counts, least in filters:
+        if least <= 0:
+            continue
+        held = np.zeros(len(ids) + size + 1, np.int32)
+        np.cumsum(counts[ids], out=held[1 : len(ids) + 1])
+        held[len(ids) + 1 :] = held[len(ids)]
+        if starts is None:
+            starts = np.flatnonzero(held[size:-1] - held[: len(ids)] >= least)
+        else:
+            starts = starts[held[np.minimum(starts + size, owner_end[starts])] - held[starts] >= least]
+    return np.arange(len(ids)) if starts is None else starts
+
+
+def nominated(ids: np.ndarray, bounds: np.ndarray, block: Block, exact: bool) -> dict[tuple[int, int, int], tuple[int, int]]:
+    """Places to verify: (text, item, slot) with the first and the last place where the item may begin."""
     owner_end = np.repeat(bounds[1:], np.diff(bounds))
     found: dict[tuple[int, int, int], tuple[int, int]] = {}
-    for size, (filters, keys, number, offset) in block.sizes.items():
-        if len(ids) == 0:
-            break
-        starts = None
-        for counts, least in filters:
-            if least <= 0:
-                continue
-            held = np.zeros(len(ids) + size + 1, np.int32)
-            np.cumsum(counts[ids], out=held[1 : len(ids) + 1])
-            held[len(ids) + 1 :] = held[len(ids)]
-            if starts is None:
-                starts = np.flatnonzero(held[size:-1] - held[: len(ids)] >= least)
-            else:
-                starts = starts[held[np.minimum(starts + size, owner_end[starts])] - held[starts] >= least]
-        if starts is None:
-            starts = np.arange(len(ids))
+
+    def note(text: np.ndarray, piece: np.ndarray, place: np.ndarray) -> None:
+        for t, k, p in set(zip(text.tolist(), piece.tolist(), place.tolist(), strict=True)):
+            item, first = block.pieces[k]
+            slot = (t, item, (p - first) // max(1, len(block.items[item][1]) // 2))
+            a, b = found.get(slot, (p - first, p - first))
+            found[slot] = (min(a, p - first), max(b, p - first))
+
+    for size, (walks, filters, keys, number, offset) in block.sizes.items():
+        starts = open_windows(ids, owner_end, size, filters)
         if not len(starts):
             continue
+        text_of = lambda at: np.searchsorted(bounds, at, "right") - 1
+        if exact:
+            for k in np.unique(number):
+                for o in np.unique(offset[number == k]):
+                    note(text_of(starts), np.full(len(starts), k), starts - o)
+            continue
         # A window at the end of its text is filled up with 0, a word of no item.
         padded = np.r_[ids, np.zeros(size, np.int64)]
         short = starts[starts + size > owner_end[starts]]
         whole = starts[starts + size <= owner_end[starts]]
-        got, at = [embedded_keys(padded, whole, size)], [whole]
+        got, at = [embedded_keys(padded, whole, size, walks)], [whole]
         if len(short):
             tail = np.zeros((len(short), size), np.int64)
             for i, s in enumerate(short):
                 tail[i, : owner_end[s] - s] = ids[s : owner_end[s]]
-            got.append(embedded_keys(tail.ravel(), np.arange(len(short)) * size, size))
+            got.append(embedded_keys(tail.ravel(), np.arange(len(short)) * size, size, walks))
             at.append(short)
         flat, where = np.concatenate(got), np.concatenate(at)
         low, high = np.searchsorted(keys, flat.ravel(), "left"), np.searchsorted(keys, flat.ravel(), "right")
         hit = np.flatnonzero(high > low)
         count = high[hit] - low[hit]
         entry = np.repeat(low[hit] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        place = np.repeat(where[hit // flat.shape[1]], count) - offset[entry]
-        text = np.searchsorted(bounds, np.repeat(where[hit // flat.shape[1]], count), "right") - 1
-        for t, k, p in set(zip(text.tolist(), number[entry].tolist(), place.tolist(), strict=True)):
-            near = max(1, len(block.items[k][1]) // 2)
-            slot = (t, k, p // near)
-            a, b = found.get(slot, (p, p))
-            found[slot] = (min(a, p), max(b, p))
+        start = np.repeat(where[hit // flat.shape[1]], count)
+        note(text_of(start), number[entry], start - offset[entry])
+    return found
+
+
+def short_matches(ids: np.ndarray, bounds: np.ndarray, block: Block) -> list[tuple[int, int, int, int, int]]:
+    """Items of fewer than LEAST_WORDS words where they stand word for word."""
     out = []
-    for (t, k, _), (a, b) in found.items():
+    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    for size, items in block.short.items():
+        n = len(ids) - size + 1
+        if n <= 0:
+            continue
+        windows = np.lib.stride_tricks.sliding_window_view(ids, size)
+        inside = text[:n] == text[size - 1 :]
+        for item in items:
+            at = np.flatnonzero(inside & (windows == block.items[item][1]).all(1))
+            out += [(t, item, 0, int(a - bounds[t]), int(a + size - bounds[t])) for t, a in zip(text[at].tolist(), at.tolist(), strict=True)]
+    return out
+
+
+def matches(texts: list[str], block: Block, edits: float = EDITS, exact: bool = False) -> list[tuple[int, int, int, int, int]]:
+    """(text number, item number, edits, first word, end word) of every stretch found.
+
+    exact verifies every open window instead of those that share a key.
+    """
+    distinct, codes, bounds = coded_words(texts)
+    lookup = np.fromiter((block.vocabulary.get(w, 0) for w in distinct), np.int64, len(distinct))
+    if not len(codes):
+        return []
+    ids = lookup[codes]
+    out = short_matches(ids, bounds, block)
+    for (t, k, _), (a, b) in nominated(ids, bounds, block, exact).items():
         item = block.items[k][1]
-        room = int(edits * len(item)) + 1
-        lo, hi = max(bounds[t], a - room), min(bounds[t + 1], b + len(item) + room)
+        allowed = int(edits * len(item))
+        lo, hi = max(bounds[t], a - allowed - 1), min(bounds[t + 1], b + len(item) + allowed + 1)
+        # Words of no item stand for edits whatever they are.
         n, start, end = closest_stretch(item, ids[lo:hi])
-        if n <= int(edits * len(item)):
+        if n <= allowed:
             out.append((t, k, n, int(lo + start - bounds[t]), int(lo + end - bounds[t])))
     return out
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, block_items: int = BLOCK_ITEMS) -> DataFrame:
+def blocks_of(benchmark: DataFrame, edits: float, recall: float, block_bytes: int) -> tuple[DataFrame, list[tuple[list[str], Block]]]:
+    """The benchmark's (item_id, text_key), staged, and its distinct texts in blocks of about block_bytes.
+
+    Texts that many items share are taken once. The driver reads one block after another; what it
+    holds and ships is the benchmark itself, a fixed input that doesn't grow with the documents.
+    """
+    own = staged(benchmark.where("text IS NOT NULL").select("item_id", F.md5("text").alias("text_key"), "text"), "benchmark")
+    texts = own.groupBy("text_key").agg(F.first("text").alias("text"))
+    volume, distinct = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
+    n = max(1, min(distinct, -(-volume // block_bytes)))
+    out = []
+    for k in range(n):
+        rows = list((texts if n == 1 else texts.where(F.pmod(F.xxhash64("text_key"), F.lit(n)) == k)).toLocalIterator())
+        out.append(([r.text_key for r in rows], block_of([r.text for r in rows], edits, recall)))
+    return own.select("item_id", "text_key"), out
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, recall: float = RECALL, exact: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document and item found in it: doc_id, item_id, edits, item_words, first_word, end_word.
 
     docs needs doc_id and text, benchmark item_id and text; other columns are ignored. An item
-    is found where some stretch of the document's words is within edits * (words of the item)
-    word edits of it; the nearest, then first, stretch is shown. Items of more than ITEM_WORDS
-    words are searched by pieces. Items of fewer than LEAST_WORDS words, null and empty texts
-    find nothing: so few words are no evidence. Repeated items and rows are all reported.
+    is found where some stretch of the document's words is within floor(edits * words of the
+    item) word edits of it; the nearest, then first, stretch is shown. Items of fewer than
+    LEAST_WORDS words allow no edit and are found word for word; items without words, null and
+    empty texts find nothing. Items of more than ITEM_WORDS words are nominated by their pieces
+    and verified whole. Repeated documents and repeated items are all reported, an item_id once
+    for each of its texts. recall is the share of items with as many edits as allowed that a
+    window must lead to; with exact every window that could hold an item is verified.
     """
-    n = benchmark.where("text IS NOT NULL").count()
-    blocks = max(1, -(-n // block_items))
-    own = benchmark.where("text IS NOT NULL").select("item_id", "text")
-    parts = []
-    for k in range(blocks):
-        # Each block is read by itself: the driver never holds more than block_items rows.
-        rows = own if blocks == 1 else own.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        parts.append(scanned(docs, block_of([(r.item_id, r.text) for r in rows.toLocalIterator()], edits), edits))
-    return reduce(DataFrame.unionByName, parts)
+    named, blocks = blocks_of(benchmark, edits, recall, block_bytes)
+    found = reduce(DataFrame.unionByName, [scanned(docs, keys, block, edits, exact) for keys, block in blocks])
+    # As many rows as the benchmark has items: broadcast only if Spark finds them few.
+    return found.join(named, "text_key").select("doc_id", "item_id", "edits", "item_words", "first_word", "end_word")
 
 
-def scanned(docs: DataFrame, block: Block, edits: float) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(block)
+def scanned(docs: DataFrame, keys: list[str], block: Block, edits: float, exact: bool) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast((keys, block))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 16 << 20):
-            block = shared.value
+            keys, block = shared.value
             doc_ids = batch.column("doc_id")
             best: dict[tuple[int, int], tuple] = {}
-            for t, k, n, a, b in matches(texts_of(batch.column("text")), block, edits):
-                row = (n, a, b, len(block.items[k][1]), block.items[k][0])
+            for t, k, n, a, b in matches(texts_of(batch.column("text")), block, edits, exact):
+                row = (n, a, b, len(block.items[k][1]))
                 if (t, k) not in best or row < best[t, k]:
                     best[t, k] = row
             got = sorted(best.items())
             yield pa.record_batch(
-                [doc_ids.take(pa.array([t for (t, _), _ in got], pa.int64())), *(pa.array([r[i] for _, r in got], pa.int64()) for i in (4, 0, 3, 1, 2))],
-                names=["doc_id", "item_id", "edits", "item_words", "first_word", "end_word"],
+                [doc_ids.take(pa.array([t for (t, _), _ in got], pa.int64())), pa.array([keys[block.items[k][0]] for (_, k), _ in got], pa.string()), *(pa.array([r[i] for _, r in got], pa.int64()) for i in (0, 3, 1, 2))],
+                names=["doc_id", "text_key", "edits", "item_words", "first_word", "end_word"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(rows, "doc_id long, item_id long, edits long, item_words long, first_word long, end_word long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(rows, "doc_id long, text_key string, edits long, item_words long, first_word long, end_word long")
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFrame:
-    """The rows of docs in which no item is found, with all their columns."""
-    n = benchmark.where("text IS NOT NULL").count()
-    blocks = max(1, -(-n // BLOCK_ITEMS))
-    own = benchmark.where("text IS NOT NULL").select("item_id", "text")
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, recall: float = RECALL, exact: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of docs in which no item is found, with all their columns; cases as in contaminated."""
+    _, blocks = blocks_of(benchmark, edits, recall, block_bytes)
     kept = docs
-    for k in range(blocks):
-        rows = own if blocks == 1 else own.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        shared = docs.sparkSession.sparkContext.broadcast(block_of([(r.item_id, r.text) for r in rows.toLocalIterator()], edits))
+    for _, block in blocks:
+        shared = docs.sparkSession.sparkContext.broadcast(block)
 
-        def flagged(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, "text", 16 << 20):
-                hit = {x[0] for x in matches(texts_of(batch.column("text")), shared.value, edits)}
+                hit = {x[0] for x in matches(texts_of(batch.column("text")), shared.value, edits, exact)}
                 yield batch.filter(pa.array([i not in hit for i in range(batch.num_rows)], pa.bool_()))
 
-        kept = kept.mapInArrow(flagged, docs.schema)
+        kept = kept.mapInArrow(clean, docs.schema)
     return kept
