@@ -1,115 +1,161 @@
 """Merkle fixity audit of WARC replicas.
 
-Records are laid into archives as ordered offset ranges, which are computed and not hashed. A
-leaf hashes a record, its length and its copies; each inner node hashes FAN_OUT neighbouring
-hash slots; an archive's root covers them all. Two replicas agree where their roots agree; an audit walks down from the
-roots and at each level keeps only the children of nodes that differ.
+A store is an index of records: archive, offset, length, page and the digest of what it holds
+there. A tree stands over each archive: a leaf covers the records that begin in one range of
+RANGE_BYTES, in order of their offsets, and hashes the offset, end, page, digest and copies of
+each; an inner node hashes the numbers, offset ranges and hashes of FAN_OUT neighbouring nodes.
+Replicas agree where their roots agree; an audit reads the children of differing nodes only, down
+to the ranges that differ, so a lost, changed, moved or added record is located without reading
+the rest.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from litfunnel.llm.common import staged
+from litfunnel.llm.common import discard, staged
 
 FAN_OUT = 16
-LEVELS = 3
+RANGE_BYTES = 1 << 16
 ARCHIVE_RECORDS = 1024
+INDEX = ["page_id", "archive", "offset", "record_bytes", "record_sha256", "copies"]
+
+
+def warc_record(url: Column, html: Column) -> Column:
+    """A WARC response record: header lines and the html; null url or html counts as empty."""
+    body = F.coalesce(html, F.lit(""))
+    head = F.concat(F.lit("WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: "), F.coalesce(url, F.lit("")), F.lit("\r\nContent-Length: "), F.octet_length(body), F.lit("\r\n\r\n"))
+    return F.concat(head, body, F.lit("\r\n\r\n"))
 
 
 def warc_records(pages: DataFrame) -> DataFrame:
-    """page_id, record_bytes, record_sha256, copies: a WARC response record of each page, by content.
+    """page_id, record_sha256, record_bytes, copies of the distinct records of pages.
 
-    A record is its header lines and the html; null url or html counts as empty. Repeated
-    rows are one record with copies > 1. Null page_ids are kept.
+    Repeated rows are one record with copies > 1. Null page_ids are kept.
     """
-    body = F.coalesce("html", F.lit(""))
-    head = F.concat(F.lit("WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: "), F.coalesce("url", F.lit("")), F.lit("\r\nContent-Length: "), F.octet_length(body), F.lit("\r\n\r\n"))
-    record = F.concat(head, body, F.lit("\r\n\r\n"))
+    record = warc_record(F.col("url"), F.col("html"))
     hashed = pages.select("page_id", F.sha2(record, 256).alias("record_sha256"), F.octet_length(record).cast("long").alias("record_bytes"))
     return hashed.groupBy("page_id", "record_sha256", "record_bytes").agg(F.count("*").alias("copies"))
 
 
-def archive_of(page_id: F.Column, archives: int) -> F.Column:
-    """Archive of a page, alike in all replicas."""
-    return F.pmod(F.xxhash64(page_id), F.lit(archives))
-
+def number_of(digest: Column) -> Column:
+    """The first 32 bits of a hexadecimal digest."""
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
 
-def leaves(records: DataFrame, archives: int) -> DataFrame:
-    """archive, slot, page_id, record_sha256, offset, end, copies, hash: the ordered leaves of each archive.
 
-    Each page has one slot per distinct record. Slots come from the page and not from the
-    place in this replica, so that a lost or added record shifts no other leaf.
-    """
-    r = records.withColumn("archive", archive_of(F.col("page_id"), archives))
+def laid_out(records: DataFrame, archives: int) -> DataFrame:
+    """records with archive and offset: dealt to archives by their digest, so that a page with many
+    records fills none, and written one after another in order of page_id (null first) and digest."""
+    r = records.withColumn("archive", F.pmod(number_of(F.col("record_sha256")), F.lit(archives)))
     order = Window.partitionBy("archive").orderBy(F.col("page_id").asc_nulls_first(), "record_sha256")
-    end = F.sum(F.col("record_bytes") * F.col("copies")).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    r = r.withColumn("end", end).withColumn("offset", F.col("end") - F.col("record_bytes") * F.col("copies"))
-    slot = F.pmod(F.xxhash64("page_id", F.lit(1)), F.lit(FAN_OUT**LEVELS))
-    return r.withColumn("slot", slot).withColumn("hash", F.sha2(F.concat_ws(":", "page_id", "record_sha256", "record_bytes", "copies"), 256))
-
-
-def tree(leaf: DataFrame) -> list[DataFrame]:
-    """Levels of (archive, node, hash), leaf slots first, the root of each archive last."""
-    def gathered(df: DataFrame, node: F.Column) -> DataFrame:
-        listed = F.array_sort(F.collect_list(F.struct("key", "hash")))
-        joined = F.array_join(F.transform(listed, lambda x: x["hash"]), ",")
-        return df.select("archive", node.alias("node"), "key", "hash").groupBy("archive", "node").agg(F.sha2(joined, 256).alias("hash"))
-
-    levels = [gathered(leaf.select("archive", "slot", "hash", F.col("hash").alias("key")), F.col("slot"))]
-    for _ in range(LEVELS):
-        below = levels[-1].withColumnRenamed("node", "key")
-        levels.append(gathered(below, F.floor(F.col("key") / FAN_OUT)))
+    end = F.sum("record_bytes").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return r.withColumn("offset", end - F.col("record_bytes"))
+
+
+def store_of(pages: DataFrame, archive_records: int = ARCHIVE_RECORDS) -> DataFrame:
+    """The index of a sound store of pages, staged."""
+    records = staged(warc_records(pages), "records")
+    out = staged(laid_out(records, max(1, records.count() // archive_records)).select(*INDEX), "store")
+    discard(records)
+    return out
+
+
+def children_hash(children: DataFrame, node: Column, order: str, shown: list[str]) -> DataFrame:
+    """(archive, node, first, last, hash) over children in order; a node's children are few, by design."""
+    listed = F.array_sort(F.collect_list(F.struct(order, F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in shown)).alias("shown"))))
+    joined = F.array_join(F.transform(listed, lambda x: x["shown"]), ",")
+    rows = children.select("archive", node.alias("node"), order, *(c for c in shown if c != order), *(c for c in ("first", "last") if c not in (order, *shown)))
+    return rows.groupBy("archive", "node").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sha2(joined, 256).alias("hash"))
+
+
+def levels_of(stores: list[DataFrame], range_bytes: int = RANGE_BYTES) -> int:
+    """Levels above the leaves that bring the largest archive of all stores to one root."""
+    top = max((s.agg(F.max("offset")).first()[0] or 0 for s in stores), default=0) // range_bytes
+    levels = 0
+    while top:
+        top, levels = top // FAN_OUT, levels + 1
     return levels
 
 
+def tree(store: DataFrame, levels: int, range_bytes: int = RANGE_BYTES) -> list[DataFrame]:
+    """Staged levels of (archive, node, first, last, hash), the leaf ranges first, the roots last."""
+    records = store.withColumn("first", F.col("offset")).withColumn("last", F.col("offset") + F.col("record_bytes"))
+    out = [staged(children_hash(records, F.floor(F.col("offset") / range_bytes), "offset", ["offset", "last", "page_id", "record_sha256", "copies"]), "level-0")]
+    for k in range(levels):
+        below = out[-1].withColumnRenamed("node", "child")
+        out.append(staged(children_hash(below, F.floor(F.col("child") / FAN_OUT), "child", ["child", "first", "last", "hash"]), f"level-{k + 1}"))
+    return out
+
+
 def differing(a: list[DataFrame], b: list[DataFrame]) -> DataFrame:
-    """(archive, slot) of the leaf slots in which two trees differ, found from the roots down."""
-    open_nodes = None
+    """(archive, node) of the leaf ranges in which two trees differ, staged; found from the roots down."""
+    found = None
     for x, y in zip(reversed(a), reversed(b), strict=True):
-        if open_nodes is not None:
-            x, y = (t.join(open_nodes, [t["archive"] == open_nodes["o_archive"], F.floor(t["node"] / FAN_OUT) == open_nodes["o_node"]], "left_semi") for t in (x, y))
-        y = y.select(F.col("archive").alias("y_archive"), F.col("node").alias("y_node"), F.col("hash").alias("y_hash"))
-        pair = x.join(y, [x["archive"] == y["y_archive"], x["node"] == y["y_node"]], "full")
-        open_nodes = pair.where(~F.col("hash").eqNullSafe(F.col("y_hash"))).select(F.coalesce("archive", "y_archive").alias("o_archive"), F.coalesce("node", "y_node").alias("o_node"))
-    return open_nodes.select(F.col("o_archive").alias("archive"), F.col("o_node").alias("slot"))
-
-
-def audit(pages: DataFrame, replica: DataFrame, archive_records: int = ARCHIVE_RECORDS) -> DataFrame:
-    """One row per distinct record of pages, and per record that only the replica holds.
-
-    Columns: page_id, archive, offset, end, record_sha256, copies, replica_sha256, status:
-    `ok`, `corrupt` (the replica holds another record of the page), `copies` (another number
-    of copies), `missing` (the replica holds none of the page) or `extra`. Where a page has several records in a
-    replica, those that match are ok, and the rest are paired in order of their digests.
-    Empty tables give no rows. Null page_ids are one page.
+        if found is not None:
+            inside = found.select(F.col("archive").alias("o_archive"), F.col("node").alias("o_node"))
+            x, y = (t.join(inside, (t["archive"] == inside["o_archive"]) & (F.floor(t["node"] / FAN_OUT) == inside["o_node"]), "left_semi") for t in (x, y))
+        x, y = (t.select("archive", "node", F.struct("first", "last", "hash").alias(side)) for t, side in ((x, "ours"), (y, "theirs")))
+        below = staged(x.join(y, ["archive", "node"], "full").where(~F.col("ours").eqNullSafe(F.col("theirs"))).select("archive", "node"), "differing")
+        if found is not None:
+            discard(found)
+        found = below
+    return found
+
+
+def audit(store: DataFrame, replica: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """One row per record of store, and per record that only the replica holds.
+
+    store and replica have the columns INDEX; others are ignored. Columns: page_id, archive,
+    offset, record_bytes, record_sha256, copies, replica_sha256, status: `ok`; `copies` (another
+    number of copies); `corrupt` (the replica holds something else of that page at that offset);
+    `moved` (it holds the record elsewhere); `missing`; or `extra`. A record both moved and changed
+    is missing and extra. Of several records at one offset of the replica the one with the least
+    page and digest is compared, the rest are extra unless moved. Null page_ids are one page. Empty tables give no rows.
     """
-    ours, theirs = staged(warc_records(pages), "records"), staged(warc_records(replica), "replica")
-    archives = max(1, ours.count() // archive_records)
-    leaf_a, leaf_b = staged(leaves(ours, archives), "leaves"), staged(leaves(theirs, archives), "leaves")
-    bad = staged(differing(tree(leaf_a), tree(leaf_b)), "differing")
-    shown = ["page_id", "archive", "offset", "end", "record_sha256", "copies"]
-    whole = leaf_a.join(bad, ["archive", "slot"], "left_anti").select(*shown, F.col("record_sha256").alias("replica_sha256"), F.lit("ok").alias("status"))
-    x, y = (t.join(bad, ["archive", "slot"], "left_semi") for t in (leaf_a, leaf_b))
-    # Equal records of a differing slot first, then the rest of each page in order.
-    y = y.select(F.col("page_id").alias("y_page"), F.col("archive").alias("y_archive"), F.col("offset").alias("y_offset"), F.col("end").alias("y_end"), F.col("record_sha256").alias("replica_sha256"), F.col("copies").alias("y_copies"))
-    same = [x["page_id"].eqNullSafe(y["y_page"]), x["record_sha256"] == y["replica_sha256"]]
-    equal = x.join(y, same).select(*shown, "replica_sha256", F.when(F.col("copies") == F.col("y_copies"), "ok").otherwise("copies").alias("status"))
-    rank = lambda page, sha: F.row_number().over(Window.partitionBy(page).orderBy(sha))
-    rest_x = x.join(y, same, "left_anti").withColumn("n", rank("page_id", "record_sha256"))
-    rest_y = y.join(x, same, "left_anti").withColumn("m", rank("y_page", "replica_sha256"))
-    pair = rest_x.join(rest_y, [rest_x["page_id"].eqNullSafe(rest_y["y_page"]), rest_x["n"] == rest_y["m"]], "full")
-    there, here = F.col("m").isNotNull(), F.col("n").isNotNull()
-    status = F.when(here & there, "corrupt").when(here, "missing").otherwise("extra")
-    differ = pair.select(*(F.when(here, F.col(c)).otherwise(F.col(o)).alias(c) for c, o in (("page_id", "y_page"), ("archive", "y_archive"), ("offset", "y_offset"), ("end", "y_end"))), "record_sha256", F.when(here, F.col("copies")).otherwise(F.col("y_copies")).alias("copies"), "replica_sha256", status.alias("status"))
-    return reduce(DataFrame.unionByName, [whole, equal, differ])
-
-
-def damaged_replica(pages: DataFrame) -> DataFrame:
-    """A stand-in for a second store: pages in which storage errors are planted by the checksum
-    of the page's URL: a changed byte in about 1 of 97, a lost record in about 1 of 211."""
-    seal = F.crc32(F.coalesce("url", F.lit("")))
-    return pages.where(seal % 211 != 0).withColumn("html", F.when(seal % 97 == 0, F.concat(F.col("html"), F.lit("\u0000"))).otherwise(F.col("html")))
+    ours, theirs = (s.select(*INDEX) for s in (store, replica))
+    levels = levels_of([ours, theirs], range_bytes)
+    a, b = tree(ours, levels, range_bytes), tree(theirs, levels, range_bytes)
+    bad = differing(a, b)
+    for level in (*a, *b):
+        discard(level)
+    within = lambda s: s.withColumn("node", F.floor(F.col("offset") / range_bytes))
+    whole = within(ours).join(bad, ["archive", "node"], "left_anti").select(*INDEX, F.col("record_sha256").alias("replica_sha256"), F.lit("ok").alias("status"))
+    x = staged(within(ours).join(bad, ["archive", "node"], "left_semi").select(*INDEX), "ours")
+    y = within(theirs).join(bad, ["archive", "node"], "left_semi").select(*(F.col(c).alias(f"y_{c}") for c in INDEX))
+    # Numbered by place: only the first record of an offset can be the one that belongs there.
+    place = Window.partitionBy("y_archive", "y_offset").orderBy(F.col("y_page_id").asc_nulls_first(), "y_record_sha256")
+    y = staged(y.withColumn("m", F.row_number().over(place)), "theirs")
+    page = x["page_id"].eqNullSafe(y["y_page_id"])
+    here = (x["archive"] == y["y_archive"]) & (x["offset"] == y["y_offset"]) & (y["m"] == 1) & page
+    same = F.col("record_sha256") == F.col("y_record_sha256")
+    status = F.when(same & (F.col("copies") == F.col("y_copies")), "ok").when(same, "copies").otherwise("corrupt")
+    at_place = x.join(y, here).select(*INDEX, F.col("y_record_sha256").alias("replica_sha256"), status.alias("status"))
+    rest_x, rest_y = x.join(y, here, "left_anti"), y.join(x, here, "left_anti")
+    by_record = Window.partitionBy("y_page_id", "y_record_sha256").orderBy("y_archive", "y_offset", "m")
+    rest_y = rest_y.withColumn("k", F.row_number().over(by_record))
+    pair = rest_x.join(rest_y, rest_x["page_id"].eqNullSafe(rest_y["y_page_id"]) & (rest_x["record_sha256"] == rest_y["y_record_sha256"]) & (rest_y["k"] == 1), "full")
+    there, held = F.col("k").isNotNull(), F.col("copies").isNotNull()
+    shown = [F.when(held, F.col(c)).otherwise(F.col(f"y_{c}")).alias(c) for c in INDEX if c != "record_sha256"]
+    apart = pair.select(*shown, F.col("record_sha256"), F.col("y_record_sha256").alias("replica_sha256"), F.when(held & there, "moved").when(held, "missing").otherwise("extra").alias("status"))
+    columns = [*INDEX, "replica_sha256", "status"]
+    return reduce(DataFrame.unionByName, (d.select(*columns) for d in (whole, at_place, apart)))
+
+
+def damaged_store(pages: DataFrame, archive_records: int = ARCHIVE_RECORDS) -> DataFrame:
+    """A stand-in for a second store, staged: laid out as store_of does, with storage errors by the
+    digest of a page's URL: about 1 record of 211 is lost, of 97 has another first byte of html,
+    of 131 is indexed 512 bytes too far."""
+    html = F.coalesce("html", F.lit(""))
+    seal = number_of(F.md5(F.coalesce("url", F.lit(""))))
+    sound, held = warc_record(F.col("url"), F.col("html")), warc_record(F.col("url"), F.concat(F.lit("!"), F.substring(html, 2, 1 << 30)))
+    rows = pages.select("page_id", F.sha2(sound, 256).alias("record_sha256"), F.octet_length(sound).cast("long").alias("record_bytes"), seal.alias("seal"), F.when(seal % 97 == 0, F.sha2(held, 256)).alias("changed"))
+    rows = staged(rows.groupBy("page_id", "record_sha256", "record_bytes").agg(F.count("*").alias("copies"), F.min("seal").alias("seal"), F.min("changed").alias("changed")), "records")
+    laid = laid_out(rows, max(1, rows.count() // archive_records)).where(F.col("seal") % 211 != 0)
+    moved = F.when((F.col("seal") % 131 == 0) & F.col("changed").isNull(), 512).otherwise(0)
+    out = laid.select("page_id", "archive", (F.col("offset") + moved).alias("offset"), "record_bytes", F.coalesce("changed", "record_sha256").alias("record_sha256"), "copies")
+    kept = staged(out, "damaged")
+    discard(rows)
+    return kept

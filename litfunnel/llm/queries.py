@@ -40,9 +40,8 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    target = lm_score.labelled_target(docs, table(spark, sf_dir, "labels"))
-    return lm_score.cross_entropy_difference(docs, target)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm_score.cross_entropy_difference(lm_score.with_target(docs, table(spark, sf_dir, "labels")))
 
 
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,8 +64,8 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    audited = fixity.audit(pages, fixity.damaged_replica(pages))
-    return audited.select("page_id", "record_sha256", "replica_sha256", "status", (F.col("end") - F.col("offset")).alias("record_bytes"))
+    audited = fixity.audit(fixity.store_of(pages), fixity.damaged_store(pages))
+    return audited.select("page_id", "archive", "offset", "record_bytes", "record_sha256", "replica_sha256", "status")
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +82,11 @@ def _escaped(column: str) -> str:
     return out
 
 
+def _warc(html: str) -> str:
+    lines = "'WARC/1.1' || crlf || 'WARC-Type: response' || crlf || 'WARC-Target-URI: ' || url || crlf || 'Content-Length: ' || strlen(html) || crlf || crlf || html || crlf || crlf"
+    return lines.replace("crlf", "chr(13) || chr(10)").replace("html", html)
+
+
 ORACLE: dict[str, str] = {
     "op1_chat_format": f"""
         WITH rows AS (
@@ -95,6 +99,14 @@ ORACLE: dict[str, str] = {
           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
           sum(length({_escaped("role")}) + length({_escaped("text")}) + {len(chat.TURN + chat.SAYS + chat.END)})::BIGINT AS formatted_chars
         FROM rows GROUP BY conv_id""",
+    "op9_warc_fixity": rf"""
+        WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages),
+        r AS (SELECT page_id, url, {_warc("html")} AS sound, {_warc("changed")} AS held FROM (SELECT *, '!' || substr(html, 2) AS changed FROM p)),
+        d AS (SELECT page_id, sha256(sound) AS record_sha256, strlen(sound) AS record_bytes, min(('0x' || substr(md5(url), 1, 8))::BIGINT) AS seal, min(sha256(held)) AS held_sha256 FROM r GROUP BY 1, 2, 3),
+        a AS (SELECT *, ('0x' || substr(record_sha256, 1, 8))::BIGINT % (SELECT greatest(1, count(*) // {fixity.ARCHIVE_RECORDS}) FROM d) AS archive FROM d)
+        SELECT page_id, archive, CAST(sum(record_bytes) OVER (PARTITION BY archive ORDER BY page_id NULLS FIRST, record_sha256 ROWS UNBOUNDED PRECEDING) - record_bytes AS BIGINT) AS "offset",
+          record_bytes, record_sha256, CASE WHEN seal % 211 = 0 THEN NULL WHEN seal % 97 = 0 THEN held_sha256 ELSE record_sha256 END AS replica_sha256,
+          CASE WHEN seal % 211 = 0 THEN 'missing' WHEN seal % 97 = 0 THEN 'corrupt' WHEN seal % 131 = 0 THEN 'moved' ELSE 'ok' END AS status FROM a""",
     "op8_exact_dedup": r"""
         WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
