@@ -1,18 +1,21 @@
 """Secret scanning: fixed credential patterns, and a battery of randomness tests for the rest.
 
-Strings of 20 or more credential characters that no pattern covers are candidates. For each,
-the narrowest encoding that holds its characters is inferred, and
-- chi-squared uniformity over that alphabet, a runs test about its middle and lag-1 serial
-  correlation ask whether it can be a random string of the encoding (Stouffer's combination);
-- the likelihood ratio of the encoding against the corpus's own character frequencies bounds
-  the chance that prose gives such a string: P(ratio >= r) <= 1 / r, whatever the length.
-Benjamini-Hochberg control over all candidates, by length class, decides on that bound, so
-short strings must be far less like prose than long ones.
+Strings of 20 or more credential characters, and their parts between separators, are candidates
+where no pattern covers them. For each, the narrowest encoding that holds its characters is
+inferred, and three tests ask whether it can be a random string of that encoding: chi-squared
+uniformity over the alphabet, the number of runs about its middle, and lag-1 serial correlation.
+Each gives a p-value that is uniform for random strings; Fisher's method combines them.
+
+Two decisions by Benjamini-Hochberg follow, each by length class over all candidates:
+- those whose combined p-value is rejected aren't random, so that of true random keys about
+  RANDOM_LOST are lost at most, whatever their length;
+- the rest must be unlike prose: the likelihood ratio of the encoding against the corpus's own
+  character frequencies bounds the chance that prose gives such a string, P(ratio >= r) <= 1 / r.
 """
 
 from __future__ import annotations
 
-import hashlib
+import bisect
 import math
 import re
 from collections.abc import Iterator
@@ -32,6 +35,7 @@ ASSIGN_WORDS = ("passw", "secret", "token", "api")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+PART = re.compile(r"[A-Za-z0-9]{20,}")
 #: What a text must hold for an assignment, and for any other span. An access key of 16 characters is no run of 20.
 ASSIGN_START = r"(?i)passw|secret|token|api|akia"
 RUN = r"[A-Za-z0-9+/_-]{20}"
@@ -53,9 +57,14 @@ ENCODINGS = {
 }
 CREDENTIAL_BYTES = np.frombuffer(ENCODINGS["mixed"].encode(), np.uint8)
 
-FALSE_DISCOVERY_RATE = 0.001
-RANDOMNESS_FLOOR = 1e-3
+FALSE_DISCOVERY_RATE, RANDOM_LOST = 0.001, 0.01
+LEAST_LENGTH = 20
+#: Covariance of -2 log p of two two-sided tests whose normal scores correlate with 3 / 4.
+SHARED = 2.25
+#: Bins of -log p of the battery and of nats against prose.
 BINS_PER_NAT, TOP_NATS = 4, 200
+#: nats of 1 - RANDOM_LOST and more lie in the first bins of the battery, finely cut.
+BATTERY_BINS_PER_NAT, BATTERY_TOP = 10, 40
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -75,31 +84,56 @@ def encoding_of(string: str) -> str:
     return next(name for name, alphabet in ENCODINGS.items() if held <= set(alphabet))
 
 
-def normal_tail(z: float) -> float:
+def two_sided(z: float) -> float:
     """P(|Z| >= |z|)."""
     return math.erfc(abs(z) / math.sqrt(2))
 
 
-def randomness(string: str, alphabet: str) -> float:
-    """p-value of the hypothesis that string is uniformly random over alphabet."""
+def upper_tail(z: float) -> float:
+    """P(Z >= z)."""
+    return math.erfc(z / math.sqrt(2)) / 2
+
+
+def battery(string: str, alphabet: str) -> tuple[float, float, float]:
+    """p-values of uniformity, runs and serial correlation under the hypothesis that string is random over alphabet."""
     n, k = len(string), len(alphabet)
     place = {c: i for i, c in enumerate(alphabet)}
-    x = np.array([place[c] for c in string], float)
-    chi2 = float(((np.bincount(x.astype(int), minlength=k) - n / k) ** 2).sum() * k / n)
-    # Wilson-Hilferty; only too uneven counts speak against randomness.
-    z_chi = ((chi2 / (k - 1)) ** (1 / 3) - (1 - 2 / (9 * (k - 1)))) / math.sqrt(2 / (9 * (k - 1)))
+    x = np.array([place[c] for c in string])
+    chi2 = float((np.bincount(x, minlength=k) ** 2).sum()) * k / n - n
+    # A gamma law of the statistic's own mean and variance, which strings shorter than their
+    # alphabet need, by Wilson and Hilferty's cube root.
+    mean, variance = k - 1, 2 * (k - 1) * (n - 1) / n
+    scale = variance / (9 * mean * mean)
+    uniformity = upper_tail(((max(chi2, 1e-9) / mean) ** (1 / 3) - (1 - scale)) / math.sqrt(scale))
     high = x >= k / 2
     a, b = int(high.sum()), int((~high).sum())
+    runs = 1.0
     if a and b:
-        mean = 2 * a * b / n + 1
-        spread = math.sqrt(max((mean - 1) * (mean - 2) / (n - 1), 1e-9))
-        z_runs = (1 + int((high[1:] != high[:-1]).sum()) - mean) / spread
-    else:
-        z_runs = math.sqrt(n)
-    variance = (k * k - 1) / 12
-    y = x - (k - 1) / 2
-    z_serial = float((y[1:] * y[:-1]).sum()) / (variance * math.sqrt(n - 1))
-    return normal_tail((max(z_chi, 0) + abs(z_runs) + abs(z_serial) - 2 * math.sqrt(2 / math.pi)) / math.sqrt(3))
+        expected = 2 * a * b / n + 1
+        spread = math.sqrt(max((expected - 1) * (expected - 2) / (n - 1), 1e-9))
+        runs = two_sided((1 + int((high[1:] != high[:-1]).sum()) - expected) / spread)
+    elif n > 1:
+        runs = 2.0 ** (1 - n)
+    y = x - x.mean()
+    power = float((y * y).sum())
+    # Of a shuffled string the lag-1 correlation has mean -1 / n and a variance near 1 / n.
+    serial = two_sided((float((y[1:] * y[:-1]).sum()) / power + 1 / n) * n / math.sqrt(max(n - 2, 1))) if power else 2.0 ** (1 - n)
+    return uniformity, runs, serial
+
+
+def not_random(string: str, alphabet: str) -> float:
+    """-log of the battery's combined p-value: exponentially distributed for random strings.
+
+    Fisher's sum, with Brown's correction: runs and serial correlation see the same neighbours
+    (their normal scores correlate with 3 / 4), which adds 2 * SHARED to the variance of the sum.
+    """
+    total = -2 * sum(math.log(max(p, 1e-300)) for p in battery(string, alphabet))
+    mean, variance = 6.0, 12.0 + 2 * SHARED
+    stretch, freedom = variance / (2 * mean), 2 * mean * mean / variance
+    scale = 2 / (9 * freedom)
+    z = ((total / stretch / freedom) ** (1 / 3) - (1 - scale)) / math.sqrt(scale)
+    p = upper_tail(z)
+    return -math.log(p) if p > 0 else z * z / 2
 
 
 def prose_bound(string: str, alphabet: str, log_prose: dict[str, float]) -> float:
@@ -113,22 +147,33 @@ def length_class(n: int) -> int:
     return max(0, n.bit_length() - 5)
 
 
-def candidates(text: str, taken: list[tuple[int, int, str]], log_prose: dict[str, float]) -> list[tuple[int, int, float]]:
-    """(start, end, nats against prose) of candidates outside taken that pass the randomness tests."""
-    out, ranges, at = [], sorted((s, e) for s, e, _ in taken), 0
-    reach = 0  # Largest end of the ranges that begin before the candidate's end.
-    for m in CANDIDATE.finditer(text):
-        while at < len(ranges) and ranges[at][0] < m.end():
-            reach = max(reach, ranges[at][1])
-            at += 1
-        if reach > m.start():
+def free_stretches(start: int, end: int, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What taken (sorted, may overlap) leaves of start..end."""
+    out = []
+    for a, b in taken:
+        if b <= start or a >= end:
             continue
-        string = m.group().rstrip("=")
-        alphabet = ENCODINGS[encoding_of(string)]
-        nats = prose_bound(string, alphabet, log_prose)
-        if nats and randomness(string, alphabet) < RANDOMNESS_FLOOR:
-            nats = 0.0
-        out.append((m.start(), m.end(), nats))
+        if a > start:
+            out.append((start, a))
+        start = max(start, b)
+    if start < end:
+        out.append((start, end))
+    return out
+
+
+def candidates(text: str, taken: list[tuple[int, int, str]], log_prose: dict[str, float]) -> list[tuple[int, int, float, float]]:
+    """(start, end, -log p of the battery, nats against prose) of each string outside taken, and of its parts between separators."""
+    out, ranges = [], sorted((s, e) for s, e, _ in taken)
+    for m in CANDIDATE.finditer(text):
+        at = bisect.bisect_left(ranges, (m.end(),))
+        near = [r for r in ranges[:at] if r[1] > m.start()]
+        for a, b in free_stretches(m.start(), m.end(), near) if near else [m.span()]:
+            pieces = {(a, b), *((a + p.start(), a + p.end()) for p in PART.finditer(text[a:b]))}
+            for s, e in sorted(pieces):
+                string = text[s:e].rstrip("=")
+                if len(string) >= LEAST_LENGTH:
+                    alphabet = ENCODINGS[encoding_of(string)]
+                    out.append((s, e, not_random(string, alphabet), prose_bound(string, alphabet, log_prose)))
     return out
 
 
@@ -137,7 +182,7 @@ def prose_frequencies(docs: DataFrame) -> dict[str, float]:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(256, np.int64)
-        for batch in batches:
+        for batch in slices(batches, "text"):
             for text in texts_of(batch.column("text")):
                 total += np.bincount(np.frombuffer(text.encode(), np.uint8), minlength=256)
         yield pa.record_batch([pa.array(CREDENTIAL_BYTES.astype(np.int32)), pa.array(total[CREDENTIAL_BYTES])], names=["code", "n"])
@@ -148,13 +193,13 @@ def prose_frequencies(docs: DataFrame) -> dict[str, float]:
 
 
 def all_spans(docs: DataFrame, log_prose: dict[str, float]) -> DataFrame:
-    """doc_id and, in order of start and kind, base spans and all candidates with their class and nats.
+    """doc_id and, in order of start and kind, base spans and all candidates with their class, battery and nats.
 
     One pass over the texts. Those without a run of 20 credential characters or the
     beginning of an assignment are told apart by whole-column searches first.
     """
     order = {k: i for i, k in enumerate(KINDS)}
-    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("class", pa.int32()), ("nats", pa.float64())]))
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("class", pa.int32()), ("battery", pa.float64()), ("nats", pa.float64())]))
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -163,45 +208,61 @@ def all_spans(docs: DataFrame, log_prose: dict[str, float]) -> DataFrame:
             run = pc.fill_null(pc.match_substring_regex(column, RUN), False)
             found = []
             for text, has_run, maybe in zip(texts_of(column), run.to_pylist(), pc.or_(named, run).to_pylist(), strict=True):
-                spans = [(*span, None, None) for span in base_spans(text)] if maybe else []
+                spans = [(*span, None, None, None) for span in base_spans(text)] if maybe else []
                 if has_run:
-                    spans += [(s, e, "random", length_class(e - s), nats) for s, e, nats in candidates(text, [x[:3] for x in spans], log_prose)]
+                    spans += [(s, e, "random", length_class(e - s), p, nats) for s, e, p, nats in candidates(text, [x[:3] for x in spans], log_prose)]
                 spans.sort(key=lambda x: (x[0], order[x[2]]))
-                found.append([dict(zip(("start", "end", "kind", "class", "nats"), x, strict=True)) for x in spans])
+                found.append([dict(zip(("start", "end", "kind", "class", "battery", "nats"), x, strict=True)) for x in spans])
             yield pa.record_batch([batch.column("doc_id"), pa.array(found, kind)], names=["doc_id", "spans"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scanned, "doc_id long, spans array<struct<start: int, end: int, kind: string, class: int, nats: double>>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scanned, "doc_id long, spans array<struct<start: int, end: int, kind: string, class: int, battery: double, nats: double>>")
 
 
-def discovery_thresholds(spans: DataFrame, rate: float = FALSE_DISCOVERY_RATE) -> dict[int, float]:
-    """Least nats by length class at which Benjamini-Hochberg accepts, from a histogram of all candidates.
+def rejected_from(bins: list[tuple[int, int]], per_nat: int, rate: float) -> float | None:
+    """Benjamini-Hochberg on (bin of -log p, number): the least -log p that is rejected, None if none is."""
+    m, rank, out = sum(n for _, n in bins), 0, None
+    for b, n in sorted(bins, reverse=True):
+        rank += n
+        if b and math.exp(-b / per_nat) <= rate * rank / m:
+            out = b / per_nat
+    return out
+
 
-    The histogram has a row per length class and quarter nat: its size doesn't grow with the corpus.
+def discovery_thresholds(spans: DataFrame, rate: float = FALSE_DISCOVERY_RATE, lost: float = RANDOM_LOST) -> dict[int, tuple[float, float]]:
+    """By length class: the -log p of the battery from which a string isn't random, and the nats
+    against prose from which one of the others is a secret.
+
+    Taken from a histogram of all candidates; its size doesn't grow with the corpus.
     """
     tested = spans.select(F.explode("spans").alias("s")).where(F.col("s.kind") == "random")
-    rows = tested.groupBy(F.col("s.class").alias("class"), F.floor(F.least("s.nats", F.lit(float(TOP_NATS))) * BINS_PER_NAT).alias("bin")).agg(F.count("*").alias("n")).collect()
+    binned = lambda c, top, per: F.floor(F.least(c, F.lit(float(top))) * per)
+    rows = tested.groupBy(F.col("s.class").alias("class"), binned("s.battery", BATTERY_TOP, BATTERY_BINS_PER_NAT).alias("battery"), binned("s.nats", TOP_NATS, BINS_PER_NAT).alias("nats")).agg(F.count("*").alias("n")).collect()
     out = {}
-    for kind in {r["class"] for r in rows}:
-        own = sorted(((r.bin, r.n) for r in rows if r["class"] == kind), reverse=True)
-        m, rank = sum(n for _, n in own), 0
-        for b, n in own:
-            rank += n
-            if b and math.exp(-b / BINS_PER_NAT) <= rate * rank / m:
-                out[kind] = b / BINS_PER_NAT
+    for size in {r["class"] for r in rows}:
+        own = [r for r in rows if r["class"] == size]
+        random_below = rejected_from([(r.battery, r.n) for r in own], BATTERY_BINS_PER_NAT, lost)
+        random_below = math.inf if random_below is None else random_below
+        least = rejected_from([(r.nats, r.n) for r in own if r.battery / BATTERY_BINS_PER_NAT < random_below], BINS_PER_NAT, rate)
+        if least is not None:
+            out[size] = random_below, least
     return out
 
 
-def scan_secrets(docs: DataFrame, rate: float = FALSE_DISCOVERY_RATE) -> DataFrame:
+def scan_secrets(docs: DataFrame, rate: float = FALSE_DISCOVERY_RATE, lost: float = RANDOM_LOST) -> DataFrame:
     """One row per document: doc_id, spans array<struct<start, end, kind>> in order of start, then kind.
 
     docs needs doc_id and text; other columns are ignored. Offsets are code points, end
-    exclusive. Null and empty texts have no spans. Repeated rows and null doc_ids are scanned
-    like any row. An empty table gives no rows.
+    exclusive. Of a string and its parts the string itself is shown if it is a secret. Null and
+    empty texts have no spans. Repeated rows and null doc_ids are scanned like any row. An empty
+    table gives no rows.
     """
     spans = staged(all_spans(docs, prose_frequencies(docs)), "spans")
-    least = discovery_thresholds(spans, rate)
-    # Every threshold is a number per length class: at most 28 terms.
-    chosen = " OR ".join(["s.kind <> 'random'", *(f"s.class = {size} AND s.nats >= {nats!r}D" for size, nats in least.items())])
+    found = discovery_thresholds(spans, rate, lost)
+    # Two numbers per length class: at most 28 terms.
+    terms = [f"(%s.class = {size} AND %s.battery < {'double(\'infinity\')' if math.isinf(p) else f'{p!r}D'} AND %s.nats >= {nats!r}D)" for size, (p, nats) in found.items()]
+    secret = lambda x: "(" + " OR ".join([f"{x}.kind <> 'random'", *(t.replace("%s", x) for t in terms)]) + ")"
+    inside = f"exists(spans, w -> w.kind = 'random' AND w.start <= s.start AND w.end >= s.end AND w.end - w.start > s.end - s.start AND {secret('w')})"
+    chosen = f"{secret('s')} AND NOT (s.kind = 'random' AND {inside})"
     return spans.select("doc_id", F.expr(f"transform(filter(spans, s -> {chosen}), s -> struct(s.start AS start, s.end AS end, s.kind AS kind))").alias("spans"))
 
 
@@ -211,8 +272,3 @@ def digest_columns(scanned: DataFrame) -> DataFrame:
     n = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     base = F.filter("spans", lambda s: s["kind"] != "random")
     return scanned.select("doc_id", *map(n, KINDS), F.sha2(shown(base), 256).alias("base_sha256"), shown(F.col("spans")).alias("spans"))
-
-
-def base_digest(text: str) -> str:
-    spans = sorted(base_spans(text), key=lambda x: (x[0], KINDS.index(x[2])))
-    return hashlib.sha256(",".join(f"{k}:{s}:{e}" for s, e, k in spans).encode()).hexdigest()

@@ -201,26 +201,57 @@ def test_chat_round_trip_of_any_text(spark):
         assert x.loss == "".join(r[3] for r in rows if r[0] == x.conv_id and r[2] == "assistant")
 
 
-def test_decontamination_recall_and_exactness(spark):
-    r = random.Random(4)
+def edit_distance_within(item, words):
+    """Least word edits of item against any stretch of words, by the plain table."""
+    row = [0] * (len(words) + 1)
+    for i, x in enumerate(item, 1):
+        new = [i]
+        for j, y in enumerate(words, 1):
+            new.append(min(row[j - 1] + (x != y), row[j] + 1, new[j - 1] + 1))
+        row = new
+    return min(row)
+
+
+@pytest.mark.parametrize("kind", ["substitutions", "deletions", "insertions", "any"])
+def test_decontamination_against_plain_edit_distance(spark, kind):
+    """Recall with as many edits as allowed, against a scan of all documents by plain edit distance."""
+    r = random.Random(kind)
     words = ["w" + str(i) for i in range(3000)]
-    items = [(i, " ".join(r.choices(words, k=r.randint(8, 60)))) for i in range(30)] + [(98, "a b"), (99, None)]
-    want, texts = set(), []
+    items = [(i, " ".join(r.choices(words, k=r.randint(5, 60) if i < 28 else 150))) for i in range(30)]
+    planted, texts = set(), []
     for k in range(120):
-        body, item = r.choices(words, k=r.randint(0, 300)), items[k % 30]
-        w = item[1].split()
-        for _ in range(r.randint(0, int(0.15 * len(w)))):
-            w[r.randrange(len(w))] = "other" + str(k)
+        body, item = r.choices(words, k=r.randint(0, 120)), items[k % 30][1].split()
+        w = list(item)
+        for _ in range(int(0.2 * len(item)) if k % 4 else 0):
+            at, what = r.randrange(len(w)), kind if kind != "any" else r.choice(["substitutions", "deletions", "insertions"])
+            w[at : at + (what != "insertions")] = [] if what == "deletions" else ["other" + str(k)]
         at = r.randint(0, len(body))
         texts.append(" ".join(body[:at] + w + body[at:]))
-        want.add((k, item[0]))
-    texts += [None, "", " ".join(r.choices(words, k=500))]
+        planted.add((k, k % 30))
+    texts += [" ".join(r.choices(words, k=300))]
+    want = {(d, i) for d, t in enumerate(texts) for i, item in items if (d, i) in planted or r.random() < 0.02 if edit_distance_within(item.split(), t.split()) <= int(0.2 * len(item.split()))}
     bench = spark.createDataFrame(items, "item_id long, text string")
-    found = {(x.doc_id, x.item_id) for x in decontaminate.contaminated(docs_of(spark, texts), bench).collect()}
-    assert found <= want and len(found) >= 0.95 * len(want)
-    d = docs_of(spark, texts)
+    found = {(x.doc_id, x.item_id): x for x in decontaminate.contaminated(docs_of(spark, texts), bench).collect()}
+    assert want >= planted and set(found) <= planted and len(set(found) & want) >= 0.95 * len(want)
+    for (d, i), x in found.items():
+        item, t = items[i][1].split(), texts[d].split()
+        assert x.edits == edit_distance_within(item, t) == edit_distance_within(item, t[x.first_word : x.end_word])
+
+
+def test_decontamination_exact_way_and_special_items(spark):
+    r = random.Random(9)
+    words = ["w" + str(i) for i in range(500)]
+    long = r.choices(words, k=1300)
+    items = [(1, "alpha beta"), (2, "alpha beta gamma delta epsilon zeta"), (3, "alpha beta gamma delta epsilon zeta"), (4, None), (5, "  "), (3, "other words that are not there at all"), (6, " ".join(long))]
+    changed = [w for i, w in enumerate(long) if i % 9]
+    texts = ["x alpha, Beta y", "alpha gamma beta", "so alpha beta gamma delta epsilon eta end", " ".join(["pre"] * 50 + changed + ["post"] * 50), " ".join(long[:600]), None, "", "   "]
+    d, bench = docs_of(spark, texts), spark.createDataFrame(items, "item_id long, text string")
+    want = {(0, 1), (2, 1), (2, 2), (2, 3), (3, 6)}
+    for options in ({}, {"exact": True}, {"block_bytes": 4000}):
+        assert {(x.doc_id, x.item_id) for x in decontaminate.contaminated(d, bench, **options).collect()} == want
     kept = decontaminate.without_contaminated(d, bench)
-    assert kept.columns == d.columns and {x.doc_id for x in kept.collect()} == set(range(len(texts))) - {i for i, _ in found}
+    assert kept.columns == d.columns and sorted(x.doc_id for x in kept.collect()) == [1, 4, 5, 6, 7]
+    assert decontaminate.walks_for(20, 0.2, 0.9) <= decontaminate.walks_for(20, 0.2, 0.99)
 
 
 def test_closest_stretch():
@@ -228,25 +259,158 @@ def test_closest_stretch():
     assert (n, a, b) == (1, 1, 6)
 
 
-def test_fixity(spark):
-    rows = [(i, f"http://x/{i}", "h" * i) for i in range(300)] + [(7, "http://x/7", "h" * 7), (None, None, None)]
-    a = spark.createDataFrame(rows, "page_id long, url string, html string")
-    b = a.where("page_id IS NULL OR page_id <> 5").withColumn("html", F.when(F.col("page_id") == 9, "zz").otherwise(F.col("html"))).unionByName(spark.createDataFrame([(1000, "u", "h")], a.schema))
-    got = collections.Counter(r.status for r in fixity.audit(a, b, archive_records=20).collect())
-    assert got == {"ok": 299, "missing": 1, "corrupt": 1, "extra": 1}
-    assert {r.status for r in fixity.audit(a, a).collect()} == {"ok"}
+def plain_record(url, html):
+    body = (html or "").encode()
+    return b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: " + (url or "").encode() + b"\r\nContent-Length: " + str(len(body)).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
+
+
+def plain_root(rows, levels, range_bytes):
+    """The root over one archive's rows (page_id, offset, bytes, digest, copies), by hashlib."""
+    sha = lambda parts: hashlib.sha256(",".join(parts).encode()).hexdigest()
+    nodes = collections.defaultdict(list)
+    for page, offset, size, digest, copies in sorted(rows, key=lambda x: x[1]):
+        nodes[offset // range_bytes].append((offset, offset + size, f"{offset}:{offset + size}:{'null' if page is None else page}:{digest}:{copies}"))
+    level = {n: (x[0][0], max(e for _, e, _ in x), sha([t for *_, t in x])) for n, x in nodes.items()}
+    for _ in range(levels):
+        up = collections.defaultdict(list)
+        for n in sorted(level):
+            up[n // fixity.FAN_OUT].append((level[n][0], level[n][1], f"{n}:{level[n][0]}:{level[n][1]}:{level[n][2]}"))
+        level = {n: (x[0][0], max(e for _, e, _ in x), sha([t for *_, t in x])) for n, x in up.items()}
+    return level[0][2]
+
+
+def test_fixity_trees_against_hashlib(spark):
+    rows = [(i, f"http://x/{i}", "hé" * (i % 50)) for i in range(300)] + [(7, "http://x/7", "hé" * 7), (None, None, None), (None, "u", "")]
+    store = fixity.store_of(spark.createDataFrame(rows, "page_id long, url string, html string"), archive_records=60)
+    index = [tuple(r) for r in store.collect()]
+    held = collections.Counter((p, hashlib.sha256(plain_record(u, h)).hexdigest(), len(plain_record(u, h))) for p, u, h in rows)
+    assert {(p, sha, size): n for p, _, _, size, sha, n in index} == held
+    by_archive = collections.defaultdict(list)
+    for page, archive, offset, size, sha, n in index:
+        by_archive[archive].append((page, offset, size, sha, n))
+    for own in by_archive.values():
+        own.sort(key=lambda x: x[1])
+        assert [o for _, o, *_ in own] == list(np.cumsum([0, *(x[2] for x in own)])[:-1])
+    levels = fixity.levels_of([store], 256)
+    roots = {r.archive: r.hash for r in fixity.tree(store, levels, 256)[-1].collect()}
+    assert levels == 2 and roots == {a: plain_root(own, levels, 256) for a, own in by_archive.items()}
+
+
+def test_fixity_finds_every_kind_of_damage(spark):
+    rows = [(i, f"http://x/{i}", "h" * i) for i in range(300)] + [(7, "http://x/7", "h" * 7), (None, None, None), (None, "u", "a")]
+    store = fixity.store_of(spark.createDataFrame(rows, "page_id long, url string, html string"), archive_records=60)
+    assert {r.status for r in fixity.audit(store, store).collect()} == {"ok"}
+    sound = sorted((tuple(r) for r in store.collect()), key=lambda r: (r[1], r[2]))
+    p, a, o, size, sha, n = range(6)
+    changed, expected = [list(r) for r in sound], {}
+    for at, status in ((3, "corrupt"), (9, "missing"), (20, "moved"), (30, "copies")):
+        expected[tuple(sound[at][:3])] = status
+    changed[3][sha] = "0" * 64
+    changed[20][o] += 1
+    changed[30][n] += 1
+    # Two neighbours in reversed order: both begin elsewhere.
+    x, y = changed[40], changed[41]
+    assert x[a] == y[a] and sound[40][p] != sound[41][p]
+    x[o], y[o] = sound[40][o] + y[size], sound[40][o]
+    expected |= {tuple(sound[i][:3]): "moved" for i in (40, 41)}
+    replica = [tuple(r) for i, r in enumerate(changed) if i != 9] + [(999, 0, 10**7, 10, "f" * 64, 1)]
+    got = {(r.page_id, r.archive, r.offset): r.status for r in fixity.audit(store, spark.createDataFrame(replica, store.schema), range_bytes=512).collect()}
+    assert got.pop((999, 0, 10**7)) == "extra"
+    assert got == {tuple(r[:3]): expected.get(tuple(r[:3]), "ok") for r in sound}
+    empty = store.limit(0)
+    assert fixity.audit(empty, empty).count() == 0
+    assert {r.status for r in fixity.audit(store, empty).collect()} == {"missing"} and {r.status for r in fixity.audit(empty, store).collect()} == {"extra"}
+
+
+def plain_spans(text):
+    """The base patterns by hand, character by character where the contract speaks of runs."""
+    out, low = [], "".join(c.lower() if c.isascii() else c for c in text)
+
+    def run(start, allowed):
+        end = start
+        while end < len(text) and text[end] in allowed:
+            end += 1
+        return end
+
+    digits, lower = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+    upper = lower.upper()
+    at = 0
+    while at < len(text):
+        word = next((w for w in ("password", "passwd", "secret", "token", "api_key", "apikey") if low.startswith(w, at)), None)
+        end = None
+        if word:
+            i = at + len(word)
+            i += text[i : i + 1] in ('"', "'") and i < len(text)
+            i = run(i, " ")
+            if i < len(text) and text[i] in ":=":
+                i = run(i + 1, " ")
+                quoted = i < len(text) and text[i] in "\"'"
+                value = run(i + quoted, digits + lower + upper + "+/_.=-")
+                end = value if value > i + quoted else None
+                if end and end - i - quoted >= 8:
+                    out.append((at, "assign", end))
+        at = end or at + 1
+    for kind, head, allowed, least in (("access", "AKIA", digits + upper, 16), ("hex", "", digits + "abcdef", 32)):
+        at = 0
+        while at < len(text):
+            end = run(at + len(head), allowed) if text.startswith(head, at) else at
+            if end - at > len(head) and end - at >= least:
+                out.append((at, kind, end))
+            at = max(end, at + 1)
+    return sorted(out, key=lambda x: (x[0], ["assign", "access", "hex"].index(x[1])))
+
+
+def test_base_spans_against_a_plain_scanner():
+    r = random.Random(11)
+    pool = ["password", "Passwd", "SECRET", "token", "api_key", "apikey", "api", ":", "=", " ", '"', "'", "AKIA", "ABCDEFGH12345678", "0123456789abcdef", "x", "é", "K", ".-_", "\n", "abcdefgh"]
+    for _ in range(4000):
+        t = "".join(r.choices(pool, k=r.randint(0, 14)))
+        assert [(s, k, e) for s, e, k in sorted(secret_scan.base_spans(t), key=lambda x: (x[0], secret_scan.KINDS.index(x[2])))] == plain_spans(t), t
+
+
+def test_battery_is_uniform_for_random_strings():
+    r = np.random.default_rng(5)
+    for name, n in (("decimal", 24), ("hex", 40), ("lower", 64), ("base62", 20), ("base64url", 128)):
+        alphabet = list(secret_scan.ENCODINGS[name])
+        strings = ["".join(r.choice(alphabet, n)) for _ in range(1200)]
+        p = np.array([[*secret_scan.battery(s, alphabet), np.exp(-secret_scan.not_random(s, alphabet))] for s in strings])
+        assert (abs((p < 0.05).mean(0) - 0.05) < 0.03).all() and (abs((p < 0.5).mean(0) - 0.5) < 0.11).all()
+    for prose in ("thequickbrownfoxjumpsoverthelazydog" * 3, "a" * 40, "ab" * 30, "0123456789" * 4):
+        assert secret_scan.not_random(prose, secret_scan.ENCODINGS[secret_scan.encoding_of(prose)]) > 4.6
 
 
 def test_secrets(spark):
     key = hashlib.sha256(b"1").hexdigest()[:40]
-    random_b64 = "q8Zr4TnW2xYpL0vKs7Jd3HfBm9Ec6Ga1"
-    texts = [f'token = "{key}" x', "token=token:abcdefgh", "AKIAABCDEFGHIJKL AKIAB", None, "", "this is plain prose and the quick brown fox jumps over a very lazy dog with long words " * 200, f"see {random_b64} here", "thisisaverylongwordofplainprose"]
+    prose = "this is plain prose and the quick brown fox jumps over a very lazy dog with long words "
+    texts = [f'token = "{key}" x', "token=token:abcdefgh", "AKIAABCDEFGHIJKL AKIAB", None, "", prose * 200, "see q8Zr4TnW2xYpL0vKs7Jd3HfBm9Ec6Ga1 here", "thisisaverylongwordofplainprose", "a/path/to/users/q8Zr4TnW2xYpL0vKs7Jd3HfBm9Ec6Ga1"]
     rows = {r.doc_id: r for r in secret_scan.digest_columns(secret_scan.scan_secrets(docs_of(spark, texts))).collect()}
     assert (rows[0].n_assign, rows[0].n_hex) == (1, 1)
-    assert rows[1].n_assign == 0 and rows[2].n_access == 1 and rows[3].spans == rows[5].spans == rows[7].spans == ""
-    assert rows[6].n_random == 1
+    assert rows[1].n_assign == 0 and rows[2].n_access == 1 and rows[3].spans == rows[4].spans == rows[5].spans == rows[7].spans == ""
+    assert rows[6].n_random == 1 and rows[8].n_random == 1
     for i, t in enumerate(texts):
-        assert rows[i].base_sha256 == secret_scan.base_digest(t or "")
+        shown = ",".join(f"{k}:{s}:{e}" for s, k, e in plain_spans(t or ""))
+        assert rows[i].base_sha256 == hashlib.sha256(shown.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("encoding", ["hex_upper", "base32", "base36", "base62", "base64", "base64url", "decimal"])
+def test_secret_recall(spark, encoding):
+    """Planted random keys of each encoding and length among prose with long words."""
+    r = random.Random(encoding)
+    vocabulary = ["".join(r.choices("etaoinshrdlu", weights=[12, 9, 8, 8, 7, 7, 6, 6, 6, 4, 4, 3], k=r.randint(2, 9))) for _ in range(2000)]
+    texts, planted = [], {}
+    for i in range(300):
+        w = r.choices(vocabulary, k=150)
+        if i % 3 == 0:
+            w[r.randrange(150)] = "".join(r.choices(vocabulary, k=6))
+        if i % 5 == 0:
+            w[75] = "".join(r.choices(secret_scan.ENCODINGS[encoding], k=(24, 32, 48)[i % 3]))
+            planted[i] = w[75].rstrip("=")
+        texts.append(" ".join(w))
+    rows = secret_scan.scan_secrets(docs_of(spark, texts)).collect()
+    found = {x.doc_id: {texts[x.doc_id][s.start : s.end] for s in x.spans if s.kind == "random"} for x in rows}
+    hit = sum(any(p in f or f in p for f in found[i]) for i, p in planted.items())
+    assert hit >= 0.9 * len(planted)
+    assert sum(bool(f) for i, f in found.items() if i not in planted) <= 3
 
 
 def test_maximal_segments_against_brute_force():
@@ -314,26 +478,25 @@ def test_toxicity_fit_uses_all_segments_and_documents(spark):
     assert abs(more.delta - model.delta).max() > 0
 
 
-def test_lm_score_against_counts(spark, texts, monkeypatch):
+@pytest.mark.parametrize(("head", "frequent"), [(1 << 16, 1024), (30, 4), (2, 1)])
+def test_lm_score_against_counts(spark, texts, monkeypatch, head, frequent):
+    """The scores don't depend on which words and pairs are shipped beforehand."""
     import math
 
-    monkeypatch.setattr(lm_score, "FREQUENT", 4)
+    monkeypatch.setattr(lm_score, "FREQUENT", frequent)
     monkeypatch.setattr(lm_score, "BATCH_BYTES", 2000)
-    monkeypatch.setattr(lm_score, "SHARD_BYTES", 4000)
-    own = [t for t in texts if t and len(t) < 5000][:80]
-    target = own[:30]
-    got = {x.doc_id: x for x in lm_score.cross_entropy_difference(docs_of(spark, [*own, None]), docs_of(spark, target)).collect()}
+    monkeypatch.setattr(lm_score, "LEAST_SHARDS", 7)
+    own = [*[t for t in texts if t and len(t) < 5000][:80], "only here and only once", "one"]
+    d = docs_of(spark, [*own, None]).withColumn("target", F.when(F.col("doc_id") != 40, F.col("doc_id") < 30))
+    got = {x.doc_id: x for x in lm_score.cross_entropy_difference(d, head=head).collect()}
     toks = [t.lower().split() for t in own]
     uni = [collections.Counter(w for t in toks[:n] for w in t) for n in (len(own), 30)]
     bi = [collections.Counter(p for t in toks[:n] for p in zip(t, t[1:])) for n in (len(own), 30)]
     size, total = len(uni[0]) + 1, [sum(u.values()) for u in uni]
-    top = {None, *[w for w, _ in sorted(uni[0].items(), key=lambda x: (-x[1], x[0]))[:3]]}
     share = lambda k, w: (uni[k][w] + 1 / size) / (total[k] + 1)
 
     def diff(a, b):
-        n = [bi[0][a, b], bi[1][a, b]]
-        if sum(n) < 2 and not (a in top and b in top):
-            n = [0, 0]
+        n = [bi[0][a, b], bi[1][a, b]] if bi[0][a, b] > 1 else [0, 0]
         p = [(n[k] + 50 * share(k, b)) / (uni[k][a] + 50) for k in (0, 1)]
         return math.log(p[0]) - math.log(p[1])
 
@@ -343,9 +506,17 @@ def test_lm_score_against_counts(spark, texts, monkeypatch):
     assert got[len(own)].n_tokens == 0 and got[len(own)].score == 0
 
 
+def test_lm_score_marks_labelled_documents(spark):
+    d = docs_of(spark, ["a", "b", "c"], [1, None, 3])
+    labels = spark.createDataFrame([(1, 1), (1, 1), (3, 0), (None, 1)], "doc_id long, quality int")
+    assert sorted((r.doc_id or 0, r.target) for r in lm_score.with_target(d, labels).collect()) == [(0, False), (1, True), (3, False)]
+    with pytest.raises(ValueError):
+        lm_score.fitted_words(d, head=1 << 17)
+
+
 def test_empty_tables(spark):
     d = docs_of(spark, ["x"]).limit(0)
     bench = spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string")
     assert packing.pack(d).count() == exact_dedup.exact_duplicates(d).count() == ngram_join.linked_documents(d).count() == 0
-    assert decontaminate.contaminated(d, bench).count() == secret_scan.scan_secrets(d).count() == lm_score.cross_entropy_difference(d, d).count() == 0
+    assert decontaminate.contaminated(d, bench).count() == secret_scan.scan_secrets(d).count() == lm_score.cross_entropy_difference(d.withColumn("target", F.lit(True))).count() == 0
     assert decontaminate.contaminated(docs_of(spark, ["x y z"]), bench.limit(0)).count() == 0
