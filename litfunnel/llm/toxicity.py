@@ -34,7 +34,7 @@ SHRINK = 1.5
 DRIFT = 0.7
 #: Bound on the labelled documents a model is fitted on (those with the least hash of doc_id).
 FIT_ROWS = 20_000
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 
 
 def features(word: str) -> list[int]:
@@ -180,7 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, at_most: int = FIT_ROWS) -> Model:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros((2, BUCKETS), np.int64)
         cache: dict[str, list[int]] = {}
-        for batch in batches:
+        for batch in slices(batches, "text"):
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
                 for w in set(WORD.findall(text.lower())):
                     if w not in cache:
