@@ -36,11 +36,33 @@ def in_days(df: DataFrame, at: str, first: str, last: str, inclusive: bool = Tru
 
 
 def percentile_slice(df: DataFrame, score: str, key: str, percent: float) -> DataFrame:
-    """The best max(1, round half even of n * percent / 100) rows by (score desc, key); none of none.
-    The count is one number on the driver; the slice itself is a distributed top-k."""
+    """The best max(1, round half even of n * percent / 100) rows by (score desc, null last, key); none of none.
+
+    A histogram of the distinct scores tells which score the cut falls in. Rows above it stay
+    where they are; only rows of that one score are ranked, in slices of their keys' hash.
+    """
     n = df.count()
     keep = max(1, round(n * percent / 100)) if n else 0
-    return df.orderBy(F.desc(score), key).limit(keep)
+    ranked = ranked_globally(df, [F.desc_nulls_last(score)], [score], [F.col(key)], key, "_place")
+    return ranked.where(F.col("_place") <= keep).drop("_place")
+
+
+def ranked_globally(df: DataFrame, order: Sequence[Column], coarse: Sequence[str], ties: Sequence[Column], key: str, name: str, slices: int = 64) -> DataFrame:
+    """df with its row number by order, then ties, in a column name; no task ranks all rows.
+
+    coarse are the columns that order sorts by; rows that agree in them are cut into ranges of key
+    (sorted like the first of ties), each range is ranked by itself, and the sizes of all ranges
+    before it, a table of at most slices rows for each distinct value of coarse, are added.
+    """
+    bounds = [x for x in df.stat.approxQuantile(key, [i / slices for i in range(1, slices)], 0.001)] if df.schema[key].dataType.typeName() in ("long", "integer", "double") else []
+    part = sum((F.when(F.col(key) > b, 1).otherwise(0) for b in sorted(set(bounds))), F.lit(0)) if bounds else F.lit(0)
+    tagged = df.withColumn("_part", part)
+    sizes = tagged.groupBy(*coarse, "_part").agg(F.count("*").alias("_n"))
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy(*order, "_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    right = before.select(*(F.col(c).alias(f"_r_{c}") for c in (*coarse, "_part")), "_before")
+    inside = F.row_number().over(Window.partitionBy(*coarse, "_part").orderBy(*ties))
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in (*coarse, "_part")))
+    return tagged.withColumn("_inside", inside).join(right, same).select(*df.columns, (F.col("_before") + F.col("_inside")).alias(name))
 
 
 def routed(routes: Mapping[str, DataFrame], key: str) -> DataFrame:
@@ -51,21 +73,33 @@ def routed(routes: Mapping[str, DataFrame], key: str) -> DataFrame:
 
 def best_evidence(evidence: DataFrame, key: str, org: str, confidence: str, weight: str, standing: str, floor: float) -> DataFrame:
     """By key: the organisation of the strongest evidence (weight * min(1, confidence), then
-    standing, then the least id), how much evidence counted, the boost and its status."""
+    standing, then the least id), its standing, how much evidence counted, the boost and its status.
+
+    The boost takes the strength rounded to three places. Keys without evidence have no row:
+    with_evidence gives them theirs.
+    """
     conf = F.coalesce(F.col(confidence), F.lit(1.0))
     strong = (conf >= floor) & F.col(org).isNotNull()
-    strength = F.col(weight) * F.least(F.lit(1.0), conf)
+    # Decimals: a boost on a tie must round up in every engine.
+    strength = (F.col(weight) * F.least(F.lit(1.0), conf)).cast("decimal(10,6)")
     best = F.max(F.when(strong, F.struct(strength.alias("strength"), F.col(standing).alias("standing"), (-F.col(org)).alias("neg")))).alias("best")
     g = evidence.groupBy(key).agg(best, F.count(F.when(strong, 1)).alias("considered"))
-    # Decimals: a boost on a tie must round up in every engine.
-    product = F.col("best.standing").cast("decimal(6,2)") * F.col("best.strength").cast("decimal(8,6)") / F.lit(20).cast("decimal(2,0)")
+    product = F.col("best.standing").cast("decimal(6,1)") * F.round("best.strength", 3).cast("decimal(8,3)") / F.lit(20).cast("decimal(2,0)")
     boost = F.round(F.least(F.lit(0.5).cast("decimal(12,8)"), product.cast("decimal(12,8)")), 4).cast("double")
-    return g.select(key, (-F.col("best.neg")).alias("org_id"), "considered", F.when(F.col("best").isNotNull(), boost).otherwise(0.0).alias("org_boost"), F.when(F.col("best").isNotNull(), "resolved").otherwise("unresolved").alias("status"))
+    found = F.col("best").isNotNull()
+    return g.select(key, (-F.col("best.neg")).alias("org_id"), "considered", F.when(found, F.round("best.standing", 1)).otherwise(0.0).alias("org_score"), F.when(found, boost).otherwise(0.0).alias("org_boost"), F.when(found, "resolved").otherwise("unresolved").alias("status"))
+
+
+def with_evidence(items: DataFrame, best: DataFrame, key: str) -> DataFrame:
+    """items with the columns of best_evidence; those without any evidence are no_evidence_supplied."""
+    j = items.join(best, key, "left")
+    filled = {"considered": 0, "org_score": 0.0, "org_boost": 0.0, "status": "no_evidence_supplied"}
+    return j.select(*items.columns, "org_id", *(F.coalesce(c, F.lit(v)).alias(c) for c, v in filled.items()))
 
 
 def merged(old: DataFrame, new: DataFrame, key: str, policies: Mapping[str, str]) -> DataFrame:
     """Upsert by full outer join. Policies by column: new (new else old), old (old else new),
-    overwrite (new row wins, null too), fill (old unless null or empty)."""
+    overwrite (new row wins, null too), fill (old unless null or empty), list (new array unless null or empty)."""
     o, n = old.alias("o"), new.alias("n")
     both = o.join(n, F.col(f"o.{key}") == F.col(f"n.{key}"), "full")
     there = F.col(f"n.{key}").isNotNull()
@@ -78,6 +112,8 @@ def merged(old: DataFrame, new: DataFrame, key: str, policies: Mapping[str, str]
             return F.coalesce(a, b)
         if policy == "fill":
             return F.coalesce(F.nullif(a, F.lit("")), b)
+        if policy == "list":
+            return F.when(F.size(b) > 0, b).otherwise(a)
         if policy == "overwrite":
             return F.when(there, b).otherwise(a)
         raise ValueError(f"unknown policy {policy!r}")
@@ -96,9 +132,11 @@ def appended_null_safe(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> D
     return old.unionByName(n.join(o, same, "left_anti"))
 
 
-def replaced_positions(old: DataFrame, new: DataFrame, key: str, position: str, carried: Sequence[str]) -> DataFrame:
-    """new takes the place of old for the keys it has; carried columns stay where (key, position) does."""
-    kept = old.join(new.select(key).distinct(), key, "left_anti")
+def replaced_positions(old: DataFrame, new: DataFrame, key: str, position: str, carried: Sequence[str], emptied: DataFrame | None = None) -> DataFrame:
+    """new takes the place of old for the keys it has, and for those in emptied, which may have no new
+    rows; carried columns stay where (key, position) does."""
+    gone = new.select(key) if emptied is None else new.select(key).unionByName(emptied.select(key))
+    kept = old.join(gone.distinct(), key, "left_anti")
     with_id = new.join(old.select(key, position, *carried), [key, position], "left")
     return kept.unionByName(with_id.select(*old.columns))
 

@@ -1,3 +1,4 @@
-"""The SQL that each registered query must agree with."""
+"""All registered queries, and the SQL that each of them must agree with."""
 
-from litfunnel.plans.queries import ORACLE  # noqa: F401
+from litfunnel.plans import funnel  # noqa: F401  registers its queries
+from litfunnel.plans.queries import ORACLE, QUERIES  # noqa: F401

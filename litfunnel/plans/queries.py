@@ -169,9 +169,9 @@ def notable_org_semijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey").join(notable_items(spark, sf_dir), F.col("o_orderkey") == F.col("user_id"), "left_semi")
 
 
-@query(f"""WITH r AS (SELECT *, weight * least(1.0, confidence) AS strength, confidence >= 0.6 AND l_suppkey IS NOT NULL AS strong FROM {EVIDENCE}),
+@query(f"""WITH r AS (SELECT *, CAST(weight * least(1.0, confidence) AS DECIMAL(10,6)) AS strength, confidence >= 0.6 AND l_suppkey IS NOT NULL AS strong FROM {EVIDENCE}),
   b AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY strong DESC, strength DESC, standing DESC, l_suppkey) AS k, count(*) FILTER (WHERE strong) OVER (PARTITION BY l_orderkey) AS considered FROM r)
-  SELECT l_orderkey, CASE WHEN strong THEN l_suppkey END AS org_id, considered, CAST(CASE WHEN strong THEN round(least(0.5, CAST(standing AS DECIMAL(6,2)) * CAST(strength AS DECIMAL(8,6)) * CAST(0.05 AS DECIMAL(3,2))), 4) ELSE 0.0 END AS DOUBLE) AS org_boost,
+  SELECT l_orderkey, CASE WHEN strong THEN l_suppkey END AS org_id, considered, CASE WHEN strong THEN round(standing, 1) ELSE 0.0 END AS org_score, CAST(CASE WHEN strong THEN round(least(0.5, CAST(standing AS DECIMAL(6,1)) * CAST(round(strength, 3) AS DECIMAL(8,3)) * CAST(0.05 AS DECIMAL(3,2))), 4) ELSE 0.0 END AS DOUBLE) AS org_boost,
   CASE WHEN strong THEN 'resolved' ELSE 'unresolved' END AS status FROM b WHERE k = 1""")
 def evidence_argmax_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
     return core.best_evidence(evidence(spark, sf_dir), "l_orderkey", "l_suppkey", "confidence", "weight", "standing", config.CONFIDENCE_FLOOR)
@@ -292,8 +292,13 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def day_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("day").orderBy(F.desc(F.coalesce("upvotes", F.lit(-1))), "user_id")
-    return daily(spark, sf_dir).withColumn("day_rank", F.row_number().over(w))
+    sizes = daily(spark, sf_dir).groupBy("day", "upvotes").agg(F.count("*").alias("n"))
+    # A day's ranks: inside one vote count, plus those with more votes.
+    more = Window.partitionBy("day").orderBy(F.desc(F.coalesce("upvotes", F.lit(-1)))).rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("day", "upvotes", F.coalesce(F.sum("n").over(more), F.lit(0)).alias("before"))
+    inside = daily(spark, sf_dir).withColumn("k", F.row_number().over(Window.partitionBy("day", "upvotes").orderBy("user_id")))
+    same = inside["day"].eqNullSafe(before["day"]) & inside["upvotes"].eqNullSafe(before["upvotes"])
+    return inside.join(before, same).select("user_id", inside["day"], inside["upvotes"], (F.col("before") + F.col("k")).alias("day_rank"))
 
 
 RANKED = f"(SELECT *, row_number() OVER (PARTITION BY day ORDER BY coalesce(upvotes, -1) DESC, user_id) AS day_rank FROM {DAILY})"
@@ -314,12 +319,7 @@ def cross_day_best(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT user_id, CAST(row_number() OVER (ORDER BY final DESC, coalesce(quality, 0) DESC, user_id) AS BIGINT) AS our_rank FROM (SELECT user_id, {Q_SQL} AS quality, {FINAL_SQL} AS final FROM {WIDE}) WHERE final IS NOT NULL")
 def global_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = quality_of(wide(spark, sf_dir)).where("final IS NOT NULL").select("user_id", "final", F.coalesce("quality", F.lit(0)).alias("q"))
-    # Ranks without one task for all rows: rank inside each score, plus how many have a better one.
-    # Scores are fixed to four places, so their histogram is at most 100,001 rows.
-    inside = Window.partitionBy("final").orderBy(F.desc("q"), "user_id")
-    sizes = q.groupBy("final").count()
-    before = sizes.select("final", F.coalesce(F.sum("count").over(Window.orderBy(F.desc("final")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    return q.withColumn("k", F.row_number().over(inside)).join(before, "final").select("user_id", (F.col("before") + F.col("k")).alias("our_rank"))
+    return core.ranked_globally(q, [F.desc("final"), F.desc("q")], ["final", "q"], [F.col("user_id")], "user_id", "our_rank", slices=8).select("user_id", "our_rank")
 
 
 A_SET, B_SET = "(SELECT DISTINCT user_id FROM events WHERE event_type = 'error' AND value > 20)", "(SELECT DISTINCT user_id FROM events WHERE event_type = 'signup' AND value > 18)"
@@ -373,10 +373,10 @@ def golden_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.groupBy("source").agg(F.count("*").alias("compared"), hit.alias("matched"), F.round(100.0 * hit / F.count("*"), 1).alias("accuracy"))
 
 
-@query(f"SELECT count(*) AS n, count(*) FILTER (WHERE list_has_any(a, b)) AS any_overlap, count(*) FILTER (WHERE list_sort(a) = list_sort(b)) AS exact FROM (SELECT user_id, list(DISTINCT event_type) FILTER (WHERE event_id % 2 = 0) AS a, list(DISTINCT event_type) FILTER (WHERE event_id % 2 = 1) AS b FROM events WHERE value > 30 GROUP BY 1) WHERE a IS NOT NULL AND b IS NOT NULL")
+@query(f"SELECT count(*) AS n, count(*) FILTER (WHERE list_has_any(a, b)) AS any_overlap, count(*) FILTER (WHERE list_sort(a) = list_sort(b)) AS exact FROM (SELECT user_id, list(DISTINCT event_type) FILTER (WHERE event_id % 2 = 0) AS a, list(DISTINCT event_type) FILTER (WHERE event_id % 2 = 1) AS b FROM events GROUP BY 1) WHERE a IS NOT NULL AND b IS NOT NULL")
 def setwise_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     even = F.col("event_id") % 2 == 0
-    g = table(spark, sf_dir, "events").where("value > 30").groupBy("user_id").agg(F.array_sort(F.collect_set(F.when(even, F.col("event_type")))).alias("a"), F.array_sort(F.collect_set(F.when(~even, F.col("event_type")))).alias("b"))
+    g = table(spark, sf_dir, "events").groupBy("user_id").agg(F.array_sort(F.collect_set(F.when(even, F.col("event_type")))).alias("a"), F.array_sort(F.collect_set(F.when(~even, F.col("event_type")))).alias("b"))
     g = g.where((F.size("a") > 0) & (F.size("b") > 0))
     return g.agg(F.count("*").alias("n"), F.count_if(F.arrays_overlap("a", "b")).alias("any_overlap"), F.count_if(F.col("a") == F.col("b")).alias("exact"))
 
@@ -386,28 +386,33 @@ PROSE_TOPICS = {"the": [r"\bthe\b", r"\bthat\b"], "and": [r"\band\b", r"tion\b",
 
 
 def _hits_sql(patterns: list[str]) -> str:
-    return " + ".join(f"CAST(regexp_matches(lower(text), '{p}') AS INT)" for p in patterns)
+    # RE2's word bounds know ASCII letters only.
+    word = r"[^\p{L}\p{N}_]"
+    bounded = [(f"(^|{word})" + p[2:] if p.startswith(r"\b") else p) for p in patterns]
+    bounded = [(p[:-2] + f"($|{word})" if p.endswith(r"\b") else p) for p in bounded]
+    return " + ".join(f"CAST(regexp_matches(lower(text), '{p}') AS INT)" for p in bounded)
 
 
 def hits(patterns: list[str]) -> Column:
-    return sum((F.lower("text").rlike(p).cast("int") for p in patterns[1:]), F.lower("text").rlike(patterns[0]).cast("int"))
+    """Patterns in the column text, which is lower-cased already."""
+    return sum((F.col("text").rlike(p).cast("int") for p in patterns[1:]), F.col("text").rlike(patterns[0]).cast("int"))
 
 
 def _relevance_sql(total: str) -> str:
     return f"least(10.0, round((CASE WHEN {total} > 0 THEN least(6.5, 3.0 + 0.7 * ({total})) ELSE 0.0 END)::DOUBLE + CASE WHEN source IN ('src1', 'src2') THEN 2.0 ELSE 0.0 END + CASE WHEN lang = 'en' THEN 0.8 ELSE 0.0 END, 2))"
 
 
-@query(f"SELECT doc_id, CAST({_relevance_sql('(' + ' + '.join('(' + _hits_sql(p) + ')' for p in PROSE_TOPICS.values()) + ')')} AS DOUBLE) AS relevance FROM documents WHERE lang IN ('en', 'es')")
+@query(f"SELECT doc_id, CAST({_relevance_sql('(' + ' + '.join('(' + _hits_sql(p) + ')' for p in PROSE_TOPICS.values()) + ')')} AS DOUBLE) AS relevance FROM documents")
 def topic_relevance(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = sum((hits(p) for p in list(PROSE_TOPICS.values())[1:]), hits(PROSE_TOPICS["the"]))
-    d = table(spark, sf_dir, "documents").where(F.col("lang").isin("en", "es"))
+    d = table(spark, sf_dir, "documents").withColumn("text", F.lower("text"))
     return d.select("doc_id", scoring.relevance(total, F.col("source").isin("src1", "src2"), F.col("lang") == "en").alias("relevance"))
 
 
-@query("SELECT doc_id, t[1].name AS primary_topic, array_to_string([x.name FOR x IN t[2:4]], ',') AS secondary FROM (SELECT doc_id, list_sort([x FOR x IN [" + ", ".join(f"{{'neg': -({_hits_sql(p)}), 'name': '{n}'}}" for n, p in PROSE_TOPICS.items()) + "] IF x.neg < 0]) AS t FROM documents WHERE lang = 'en')")
+@query("SELECT doc_id, t[1].name AS primary_topic, array_to_string([x.name FOR x IN t[2:4]], ',') AS secondary FROM (SELECT doc_id, list_sort([x FOR x IN [" + ", ".join(f"{{'neg': -({_hits_sql(p)}), 'name': '{n}'}}" for n, p in PROSE_TOPICS.items()) + "] IF x.neg < 0]) AS t FROM documents)")
 def topic_primary_secondary(spark: SparkSession, sf_dir: str) -> DataFrame:
     all_topics = F.array(*(F.struct((-hits(p)).alias("neg"), F.lit(n).alias("name")) for n, p in PROSE_TOPICS.items()))
-    t = table(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", F.array_sort(F.filter(all_topics, lambda x: x["neg"] < 0)).alias("t"))
+    t = table(spark, sf_dir, "documents").withColumn("text", F.lower("text")).select("doc_id", F.array_sort(F.filter(all_topics, lambda x: x["neg"] < 0)).alias("t"))
     return t.select("doc_id", F.get("t", F.lit(0))["name"].alias("primary_topic"), F.array_join(F.transform(F.slice("t", 2, 3), lambda x: x["name"]), ",").alias("secondary"))
 
 
@@ -426,10 +431,10 @@ def grounding_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grams.join(names, "phrase").groupBy("n_nationkey").agg(F.count("*").alias("n"))
 
 
-@query(r"""WITH u AS (SELECT page_id, regexp_replace(url, '#.*$', '') AS u FROM pages), p AS (SELECT page_id, lower(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) AS scheme,
+@query(r"""WITH u AS (SELECT page_id, url, regexp_replace(trim(url), '#.*$', '') AS u FROM pages), p AS (SELECT page_id, url, lower(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) AS scheme,
   regexp_replace(lower(regexp_extract(u, '^[^:]+://([^/?]*)', 1)), '^www\.', '') AS host, regexp_replace(regexp_extract(u, '^[^:]+://[^/?]*([^?]*)', 1), '/+$', '') AS path,
-  [x FOR x IN string_split(regexp_extract(u, '\?(.*)$', 1), '&') IF x <> '' AND split_part(x, '=', 1) NOT IN ('utm_source','utm_medium','utm_campaign','utm_term','utm_content','gclid','fbclid','mc_cid','mc_eid')] AS q FROM u)
-  SELECT page_id, scheme || '://' || host || path || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS url FROM p""")
+  [CASE WHEN contains(x, '=') THEN x ELSE x || '=' END FOR x IN string_split(regexp_extract(u, '\?(.*)$', 1), '&') IF x <> '' AND lower(split_part(x, '=', 1)) NOT IN ('utm_source','utm_medium','utm_campaign','utm_term','utm_content','gclid','fbclid','mc_cid','mc_eid')] AS q FROM u)
+  SELECT page_id, scheme || '://' || host || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS url FROM p""")
 def url_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", text.normal_url(F.col("url")).alias("url"))
 
@@ -508,15 +513,14 @@ def dedup_append_nullsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return core.appended_null_safe(old, new, ["status", "priority"]).groupBy("status", "priority").agg(F.count("*").alias("n"))
 
 
-@query("SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 10 = 0 THEN upper(l_returnflag) || '!' ELSE l_returnflag END AS name, l_partkey FROM lineitem WHERE l_orderkey % 10 <> 0 OR l_linenumber <= 2")
+@query("SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 10 = 0 THEN upper(f) || '!' ELSE f END AS name, l_partkey FROM (SELECT l_orderkey, l_linenumber, min(l_returnflag) AS f, min(l_partkey) AS l_partkey FROM lineitem GROUP BY 1, 2) WHERE l_orderkey % 10 <> 0 OR l_linenumber <= 2")
 def positional_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_returnflag").alias("name"), "l_partkey")
-    new = li.where("l_orderkey % 10 = 0 AND l_linenumber <= 2").select("l_orderkey", "l_linenumber", F.concat(F.upper("name"), F.lit("!")).alias("name"), F.col("l_partkey").alias("same"))
-    old = li.withColumn("same", F.col("l_partkey"))
-    kept = old.join(new.select("l_orderkey").distinct(), "l_orderkey", "left_anti")
-    carried = new.join(old.select("l_orderkey", "l_linenumber", "l_partkey", "same"), ["l_orderkey", "l_linenumber", "same"])
-    emptied = old.where("l_orderkey % 10 = 0").join(new.select("l_orderkey").distinct(), "l_orderkey", "left_anti").limit(0)
-    return kept.where("l_orderkey % 10 <> 0").unionByName(emptied).select("l_orderkey", "l_linenumber", "name", "l_partkey").unionByName(carried.select("l_orderkey", "l_linenumber", "name", "l_partkey"))
+    """New names for every tenth order, fewer than before; the part stays with its position."""
+    old = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_partkey")
+    old = old.groupBy("l_orderkey", "l_linenumber").agg(F.min("l_returnflag").alias("name"), F.min("l_partkey").alias("l_partkey"))
+    new = old.where("l_orderkey % 10 = 0 AND l_linenumber <= 2").select("l_orderkey", "l_linenumber", F.concat(F.upper("name"), F.lit("!")).alias("name"))
+    emptied = old.where("l_orderkey % 10 = 0").select("l_orderkey").distinct()
+    return core.replaced_positions(old, new, "l_orderkey", "l_linenumber", ["l_partkey"], emptied)
 
 
 @query(f"SELECT user_id, task, score FROM (SELECT user_id, unnest(['click', 'view', 'signup']) AS task, unnest([click, view, signup]) AS score FROM {WIDE}) WHERE score IS NOT NULL")
@@ -535,10 +539,10 @@ def vocab_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged(spark, sf_dir).select("user_id", F.col("day").cast("string").alias("day"), F.array_join(F.array_sort(core.in_vocabulary(F.col("tags"), words)), ",").alias("known"), F.array_join(F.array_sort(core.out_of_vocabulary(F.col("tags"), words, "tag")), ",").alias("unknown"))
 
 
-@query(f"SELECT event_id, CASE WHEN event_id % 9 = 0 THEN 'no JSON object' WHEN event_id % 7 = 0 THEN 'missing score' WHEN value * 2 <> floor(value * 2) THEN 'not a half point' WHEN value > 10 THEN 'out of range' END AS problem FROM events WHERE event_type = 'signup'")
+@query(f"SELECT event_id, CASE WHEN event_id % 9 = 0 THEN 'no JSON object' WHEN event_id % 7 = 0 THEN 'missing score' WHEN value * 2 <> floor(value * 2) THEN 'not a half point' WHEN value > 10 THEN 'out of range' END AS problem FROM events")
 def llm_response_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model answers: fences are stripped, the outermost object is parsed, scores are checked."""
-    e = table(spark, sf_dir, "events").where("event_type = 'signup'")
+    e = table(spark, sf_dir, "events")
     body = F.concat(F.lit("Sure.\n```json\n{\"id\": "), F.col("event_id").cast("string"), F.when(F.col("event_id") % 7 == 0, F.lit("")).otherwise(F.concat(F.lit(", \"score\": "), F.col("value").cast("string"))), F.lit("}\n```"))
     answer = F.when(F.col("event_id") % 9 == 0, F.lit("I can't.")).otherwise(body)
     v = F.try_parse_json(F.nullif(F.regexp_extract(answer, r"(?s)(\{.*\})", 1), F.lit("")))
@@ -578,14 +582,6 @@ def revision_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").groupBy(y.alias("y")).agg(F.count_if(y < 1997).alias("revisions"), F.count("*").alias("n"))
 
 
-@query(None)
-def random_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batches of about 15 by a seeded hash: each order lies in one, whatever the partitioning."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey")
-    n = max(1, -(-orders.count() // 15))
-    return orders.select("o_orderkey", F.pmod(F.xxhash64(F.lit(7), "o_orderkey"), F.lit(n)).alias("batch"))
-
-
 @query("SELECT CAST(time_bucket(INTERVAL 7 DAY, ts, TIMESTAMP '2024-01-01') AS VARCHAR) AS w, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def tumbling_window_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = F.window("ts", "7 days", startTime="4 days")

@@ -11,9 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 from litfunnel.operators.core import latest_per_key
 
 
-def tumbling_counts(events: DataFrame, at: str, key: str, width: str = "7 days", lateness: str = "14 days") -> DataFrame:
-    """Counts and sums by window and key, late rows up to lateness."""
-    return events.withWatermark(at, lateness).groupBy(F.window(at, width).alias("w"), key).agg(F.count("*").alias("n"))
+def tumbling_counts(events: DataFrame, at: str, key: str, width: str = "7 days", lateness: str = "14 days", start: str = "4 days") -> DataFrame:
+    """Counts by window and key, late rows up to lateness. Windows are counted from 1970-01-01 plus
+    start, a Thursday, so that weeks begin on Monday."""
+    return events.withWatermark(at, lateness).groupBy(F.window(at, width, startTime=start).alias("w"), key).agg(F.count("*").alias("n"))
 
 
 def keep_projection(log: DataFrame, keys: Sequence[str], at: str, tie: str, path: str, checkpoint: str) -> StreamingQuery:

@@ -7,7 +7,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from litfunnel.plans.queries import ORACLE, QUERIES
+from litfunnel.plans.oracle import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no test data")
