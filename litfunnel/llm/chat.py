@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from litfunnel.llm.common import staged
+from litfunnel.llm.common import discard, staged
 
 TURN, SAYS, END = "<|turn|>", "<|says|>", "<|end|>"
 ESCAPE = "\\"
@@ -35,41 +35,49 @@ def unescaped(text: F.Column) -> F.Column:
     return F.replace(out, F.lit(ESCAPE * 2), F.lit(ESCAPE))
 
 
-def branches(messages: DataFrame) -> DataFrame:
+def branches(messages: DataFrame, spent: list[DataFrame]) -> DataFrame:
     """Each leaf with its root path length and mean score: conv_id, leaf, n, score.
 
     messages: conv_id, node, parent (null at a root), score (null counts as 0). Nodes must be
-    unique in a conversation; a parent that doesn't exist makes its child a root. Nodes on a
-    cycle have no root and belong to no branch; cycles end the search after 40 rounds.
+    unique in a conversation; a parent that doesn't exist makes its child a root. Nodes on a cycle,
+    and those that lead to one, have no root and belong to no branch: a path is never longer than
+    its conversation, so what has not arrived after that many steps never will. Staged tables that
+    the result reads are added to spent.
     """
     m = messages.select("conv_id", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
     known = m.select(F.col("conv_id").alias("k_conv"), F.col("node").alias("k_node"))
     same = lambda x, y: x["conv_id"].eqNullSafe(y["k_conv"])
     linked = m.join(known, [same(m, known), m["parent"] == known["k_node"]], "left")
-    parents = linked.select("conv_id", "node", F.col("k_node").alias("up"), F.lit(1).alias("n"), "score")
-    walk = staged(parents, "walk")
+    parents = staged(linked.select("conv_id", "node", F.col("k_node").alias("up"), F.lit(1).cast("long").alias("n"), "score"), "walk")
+    spent.append(parents)
+    largest = parents.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
     # Nodes that have reached their root are set aside: only the others walk on.
-    done, active = walk.where("up IS NULL"), walk.where("up IS NOT NULL")
-    for _ in range(40):
-        if active.isEmpty():
-            break
+    done, active, steps = parents.where("up IS NULL"), parents.where("up IS NOT NULL"), 1
+    while steps < largest and not active.isEmpty():
         every = done.unionByName(active)
         hop = every.select(F.col("conv_id").alias("k_conv"), F.col("node").alias("k_node"), F.col("up").alias("k_up"), F.col("n").alias("k_n"), F.col("score").alias("k_score"))
         step = active.join(hop, [active["conv_id"].eqNullSafe(hop["k_conv"]), active["up"] == hop["k_node"]], "left")
         walk = staged(step.select("conv_id", "node", F.col("k_up").alias("up"), (F.col("n") + F.coalesce("k_n", F.lit(0))).alias("n"), (F.col("score") + F.coalesce("k_score", F.lit(0.0))).alias("score")), "walk")
-        done, active = done.unionByName(walk.where("up IS NULL")), walk.where("up IS NOT NULL")
+        spent.append(walk)
+        done, active, steps = done.unionByName(walk.where("up IS NULL")), walk.where("up IS NOT NULL"), 2 * steps
     inner = parents.where("up IS NOT NULL").select(F.col("conv_id").alias("i_conv"), F.col("up").alias("i_up")).distinct()
     leaf = done.join(inner, [done["conv_id"].eqNullSafe(inner["i_conv"]), done["node"] == inner["i_up"]], "left_anti")
     return leaf.select("conv_id", F.col("node").alias("leaf"), "n", (F.col("score") / F.col("n")).alias("score"))
 
 
 def best_branches(messages: DataFrame, keep: int | None = 1) -> DataFrame:
-    """The keep best branches of each tree by mean score, then length, then leaf; None keeps all."""
-    b = branches(messages)
+    """The keep best branches of each tree by mean score, then length, then leaf, staged; None keeps all."""
+    spent: list[DataFrame] = []
+    b = branches(messages, spent)
     if keep is None:
-        return b.withColumn("rank", F.lit(1))
-    order = Window.partitionBy("conv_id").orderBy(F.desc("score"), F.desc("n"), "leaf")
-    return b.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= keep)
+        ranked = b.withColumn("rank", F.lit(1))
+    else:
+        order = Window.partitionBy("conv_id").orderBy(F.desc("score"), F.desc("n"), "leaf")
+        ranked = b.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= keep)
+    out = staged(ranked, "branches")
+    for walk in spent:
+        discard(walk)
+    return out
 
 
 def paths(messages: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -79,16 +87,21 @@ def paths(messages: DataFrame, chosen: DataFrame) -> DataFrame:
     ancestor as many steps away as the round's distance.
     """
     m = messages.select("conv_id", "node", "parent")
-    found = staged(chosen.select("conv_id", "leaf", "n", F.col("leaf").alias("node"), F.lit(0).alias("up_by")), "path")
+    found = staged(chosen.select("conv_id", "leaf", "n", F.col("leaf").alias("node"), F.lit(0).cast("long").alias("up_by")), "path")
     jump, by = staged(m.where("parent IS NOT NULL").select(F.col("conv_id").alias("k_conv"), F.col("node").alias("k_node"), F.col("parent").alias("k_up")), "jump"), 1
     longest = chosen.agg(F.max("n")).first()[0] or 0
     while by < longest:
         more = found.join(jump, [found["conv_id"].eqNullSafe(jump["k_conv"]), found["node"] == jump["k_node"]]).select("conv_id", "leaf", "n", F.col("k_up").alias("node"), (F.col("up_by") + by).alias("up_by")).where("up_by < n")
-        found = staged(found.unionByName(more), "path")
+        longer = staged(found.unionByName(more), "path")
+        discard(found)
+        found = longer
         if 2 * by < longest:
             next_jump = jump.select(F.col("k_conv").alias("j_conv"), F.col("k_node").alias("j_node"), F.col("k_up").alias("j_up"))
-            jump = staged(jump.join(next_jump, [jump["k_conv"].eqNullSafe(next_jump["j_conv"]), jump["k_up"] == next_jump["j_node"]]).select("k_conv", "k_node", F.col("j_up").alias("k_up")), "jump")
+            farther = staged(jump.join(next_jump, [jump["k_conv"].eqNullSafe(next_jump["j_conv"]), jump["k_up"] == next_jump["j_node"]]).select("k_conv", "k_node", F.col("j_up").alias("k_up")), "jump")
+            discard(jump)
+            jump = farther
         by *= 2
+    discard(jump)
     return found.select("conv_id", "leaf", (F.col("n") - F.col("up_by") - 1).alias("place"), "node")
 
 
@@ -120,7 +133,7 @@ def format_conversations(messages: DataFrame, keep: int | None = 1, loss_role: s
     in stretches of CHUNK first. An empty table gives no rows.
     """
     messages = staged(messages, "messages")
-    chosen = staged(best_branches(messages, keep), "branches")
+    chosen = best_branches(messages, keep)
     p = paths(messages, chosen)
     body = messages.select(F.col("conv_id").alias("b_conv"), F.col("node").alias("b_node"), escaped(F.coalesce("role", F.lit(""))).alias("role"), escaped(F.coalesce("text", F.lit(""))).alias("text"))
     t = p.join(body, [p["conv_id"].eqNullSafe(body["b_conv"]), p["node"] == body["b_node"]])
