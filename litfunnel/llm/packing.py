@@ -1,20 +1,21 @@
 """Best-fit decreasing packing of token sequences.
 
-Every input partition tokenises its documents once, keeps only the piece table (never the
-ids) and packs it by best-fit decreasing: overlong documents give full windows first, and
-each remaining piece, longest first, goes to the open window with the tightest room, found
-by a segment tree over remaining capacities. No row is shuffled; a lost executor costs the
-partitions it held. Padding is at most about one window in each partition.
+Every input partition tokenises its documents once and packs them by best-fit decreasing:
+overlong documents give full windows first, and each remaining piece, longest first, goes to
+the open window with the tightest room, found by a segment tree over remaining capacities. No
+row is shuffled; a lost executor costs the partitions it held. A task holds the ids of its own
+partition, so partitions bound its memory. Padding is about one window in each partition: on
+tables of many small partitions coalesce them first.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from litfunnel.llm.common import TOKENIZER_FILE, slices, texts_of, tokenizer_path
 from litfunnel.llm.tokens import encoder_of
@@ -72,34 +73,59 @@ def best_fit_decreasing(lengths: np.ndarray, window: int) -> tuple[np.ndarray, n
     return number, offset
 
 
+def padded_length(used: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """What sequences of these lengths are padded to: the window, but a power of two stays as it is."""
+    return np.where(used & (used - 1) == 0, used, window)
+
+
+PIECES = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "padded_to")] + [("ids", pa.binary())])
+
+
 def pack(docs: DataFrame, window: int = WINDOW, tokenizer_file: str = TOKENIZER_FILE, end_id: int = END_ID) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+    """One row per piece: doc_id, start, length, doc_tokens, sequence_id, offset, padded_to, ids.
 
-    docs needs doc_id and text; other columns are ignored. Null text counts as empty and
-    gives the single end id. Null and repeated doc_ids are packed like any row. An empty
-    table gives no rows. sequence_id is unique over the table.
+    ids holds the piece's ids as little-endian unsigned 32-bit numbers; sequence_id is unique over
+    the table and padded_to the length of its sequence with padding. docs needs doc_id and text;
+    other columns are ignored. Null text counts as empty and gives the single end id. Null and
+    repeated doc_ids are packed like any row. An empty table gives no rows.
     """
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         encoder = encoder_of(tokenizer_path(tokenizer_file))
-        doc_ids, starts, lengths, sums, totals = [], [], [], [], []
+        doc_ids, starts, lengths, totals, pieces = [], [], [], [], []
         for batch in slices(batches, "text"):
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.ids(texts_of(batch.column("text"))), strict=True):
-                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-                for start in range(0, len(ids), window):
-                    piece = ids[start : start + window]
+                ids = np.append(ids, np.uint32(end_id)).astype("<u4").tobytes()
+                total = len(ids) // 4
+                for start in range(0, total, window):
                     doc_ids.append(doc_id)
                     starts.append(start)
-                    lengths.append(len(piece))
-                    sums.append(zlib.crc32(piece.tobytes()))
-                    totals.append(len(ids))
-        number, offset = best_fit_decreasing(np.array(lengths, np.int64), window)
+                    lengths.append(min(window, total - start))
+                    totals.append(total)
+                    pieces.append(ids[4 * start : 4 * (start + window)])
+        length = np.array(lengths, np.int64)
+        number, offset = best_fit_decreasing(length, window)
+        padded = padded_length(np.bincount(number, length).astype(np.int64), window)[number] if len(number) else number
         first = TaskContext.get().partitionId() * SEQUENCES_PER_PARTITION
-        columns = [doc_ids, starts, lengths, sums, totals, number + first, offset]
-        whole = pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
-        for i in range(0, whole.num_rows, 20_000):
-            yield whole.slice(i, 20_000)
+        for i in range(0, len(pieces), 2000):
+            cut = slice(i, i + 2000)
+            columns = [doc_ids[cut], starts[cut], length[cut], totals[cut], number[cut] + first, offset[cut], padded[cut]]
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.array(pieces[cut], pa.binary())], schema=PIECES)
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(packed, "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, padded_to long, ids binary")
+
+
+def with_digests(pieces: DataFrame) -> DataFrame:
+    """pieces with ids_crc32 in place of ids."""
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "padded_to")
+
 
-    return docs.select("doc_id", "text").mapInArrow(packed, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+def sequences(pieces: DataFrame, pad_id: int = 0) -> DataFrame:
+    """One row per sequence: sequence_id, n_tokens, ids (binary, little-endian unsigned 32-bit, padded to padded_to)."""
+    listed = F.array_sort(F.collect_list(F.struct("offset", "ids")))
+    g = pieces.groupBy("sequence_id", "padded_to").agg(F.sum("length").alias("n_tokens"), listed.alias("pieces"))
+    hexes = F.array_join(F.transform("pieces", lambda p: F.hex(p["ids"])), "")
+    pad = F.repeat(F.lit(np.uint32(pad_id).astype("<u4").tobytes().hex()), (F.col("padded_to") - F.col("n_tokens")).cast("int"))
+    return g.select("sequence_id", "n_tokens", F.unhex(F.concat(hexes, pad)).alias("ids"))

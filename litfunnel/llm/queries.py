@@ -45,7 +45,7 @@ def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    return packing.with_digests(packing.pack(table(spark, sf_dir, "documents")))
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

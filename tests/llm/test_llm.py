@@ -129,18 +129,29 @@ def test_packing_is_whole_and_tight(spark, texts):
 
     tk = Tokenizer.from_file(tokenizer_path())
     ids = {i: np.array([*tk.encode(t or "", add_special_tokens=False).ids, 1], "<u4") for i, t in enumerate(texts)}
-    rows = packing.pack(docs_of(spark, texts).coalesce(1)).collect()
-    cover, used = collections.defaultdict(list), collections.defaultdict(list)
+    pieces = packing.pack(docs_of(spark, texts).coalesce(1))
+    rows, digests = pieces.collect(), {(r.doc_id, r.start): r.ids_crc32 for r in packing.with_digests(pieces).collect()}
+    cover, used, tokens = collections.defaultdict(list), collections.defaultdict(list), collections.defaultdict(dict)
     for r in rows:
         piece = ids[r.doc_id][r.start : r.start + r.length]
-        assert len(piece) == r.length and zlib.crc32(piece.tobytes()) == r.ids_crc32 and r.doc_tokens == len(ids[r.doc_id])
+        assert len(piece) == r.length and piece.tobytes() == r.ids and r.doc_tokens == len(ids[r.doc_id]) and zlib.crc32(piece.tobytes()) == digests[r.doc_id, r.start]
         cover[r.doc_id].append((r.start, r.length))
         used[r.sequence_id].append((r.offset, r.length))
+        tokens[r.sequence_id][r.offset] = piece
     for spans, total in [(sorted(cover[i]), len(ids[i])) for i in ids]:
         assert [s for s, _ in spans] == list(np.cumsum([0, *(n for _, n in spans)])[:-1]) and sum(n for _, n in spans) == total
     for spans in map(sorted, used.values()):
         assert [s for s, _ in spans] == list(np.cumsum([0, *(n for _, n in spans)])[:-1]) and sum(n for _, n in spans) <= 2048
     assert len(used) <= sum(map(len, ids.values())) / 2048 + 2
+    whole = packing.sequences(pieces).collect()
+    assert len(whole) == len(used)
+    for s in whole:
+        plain = np.concatenate([p for _, p in sorted(tokens[s.sequence_id].items())])
+        length = len(plain) if bin(len(plain)).count("1") == 1 else 2048
+        assert s.n_tokens == len(plain) and bytes(s.ids) == np.r_[plain, np.zeros(length - len(plain), "<u4")].astype("<u4").tobytes()
+    # Many partitions: about a window of padding for each.
+    many = packing.pack(docs_of(spark, texts).repartition(8)).select("sequence_id").distinct().count()
+    assert many <= sum(map(len, ids.values())) / 2048 + 2 * 8
 
 
 def test_encoder_agrees_with_tokenizers():
@@ -187,6 +198,10 @@ def test_chat_trees(spark):
     assert [tuple(t) for t in rows[1].turns] == [("user", "q"), ("assistant", "<|end|> \\ [INST]"), ("user", "")]
     assert [tuple(t) for t in rows[2].turns] == [("", "x")]
     assert chat.format_conversations(m, keep=None).count() == 3
+    # Two nodes that reply to each other, one that replies to them, and a node that replies to itself.
+    cycles = spark.createDataFrame([(3, 0, 1, 1.0, "user", "a"), (3, 1, 0, 1.0, "user", "b"), (3, 2, 1, 1.0, "user", "c"), (3, 3, None, None, "user", "d"), (3, 4, 3, 0.5, "user", "e"), (4, 0, 0, 1.0, "user", "f")], m.schema)
+    made = chat.format_conversations(m.unionByName(cycles), keep=None).collect()
+    assert sorted((x.conv_id, x.leaf, x.n_turns) for x in made) == [(1, 1, 2), (1, 3, 3), (2, 0, 1), (3, 4, 2)]
     assert chat.format_conversations(m.limit(0)).count() == 0
 
 
