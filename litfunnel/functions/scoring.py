@@ -33,14 +33,15 @@ def quality(dimensions: Mapping[str, Column], weights: Mapping[str, float] = con
 
 
 def composite(quality_score: Column, evidence: Column, org_boost: Column | None = None, person_boost: Column | None = None) -> Column:
-    """min(10, quality * evidence factor + capped boosts)."""
+    """min(10, quality * evidence factor + capped boosts); null without a quality or evidence score."""
     base, slope = config.EVIDENCE_FACTOR
     factor = F.lit(base).cast("decimal(4,2)") + F.lit(slope).cast("decimal(4,2)") * as_score(evidence)
     total = quality_score * factor
     for boost, cap in ((org_boost, config.ORG_BOOST_CAP), (person_boost, config.PERSON_BOOST_CAP)):
         if boost is not None:
             total = total + F.greatest(F.lit(0).cast("decimal(10,4)"), F.least(as_score(F.coalesce(boost, F.lit(0))), F.lit(cap).cast("decimal(10,4)")))
-    return F.round(F.least(F.lit(10).cast("decimal(10,4)"), total), 4).cast("decimal(10,4)")
+    # least() skips nulls.
+    return F.when(total.isNotNull(), F.round(F.least(F.lit(10).cast("decimal(10,4)"), total), 4)).cast("decimal(10,4)")
 
 
 def quality_status(score: Column, gate: Column) -> Column:

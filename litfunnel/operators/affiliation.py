@@ -110,7 +110,7 @@ def affiliation_evidence(papers: DataFrame, key: str) -> DataFrame:
     rows = rows.select(key, "place", F.trim("entry").alias("entry"), F.lower(F.regexp_extract("entry", LABEL, 1)).alias("label"), cleaned(F.regexp_replace("entry", LABEL, "")).alias("line"))
     kept = rows.where((F.col("line") != "") & ~F.col("label").isin(*DROPPED_LABELS) & ~F.col("line").rlike(NOISE) & ~F.col("entry").rlike(NOISE) & ~F.lower("line").isin("corresponding author", "n/a", "none"))
     first = Window.partitionBy(key, F.lower("line")).orderBy("place")
-    kept = kept.withColumn("k", F.row_number().over(first)).where("k = 1").drop("k", "entry").withColumn("candidates", organisation_candidates(F.col("line")))
+    kept = kept.withColumn("_rank", F.row_number().over(first)).where("_rank = 1").drop("_rank", "entry").withColumn("candidates", organisation_candidates(F.col("line")))
     contact = F.col("line").rlike(r"@([A-Za-z0-9.-]+\.[A-Za-z]{2,})")
     return kept.where((F.size("candidates") > 0) | ~(contact | F.col("label").isin(*THANKS)))
 
@@ -143,7 +143,7 @@ def chosen_registry_match(matches: DataFrame, key: list[str], least_score: float
     m = m.withColumn("span", span(F.col("org_name"))).withColumn("alias_span", F.when(F.col("span").isNull(), by_alias)).where("span IS NOT NULL OR alias_span IS NOT NULL")
     rank = F.row_number().over(Window.partitionBy(*key).orderBy(F.col("span").isNull(), F.desc(F.when(F.col("span").isNotNull(), F.length("span"))), "place"))
     confidence = F.when(F.col("span").isNotNull(), F.least(F.lit(0.85), 0.6 + 0.25 * F.col("score"))).otherwise(0.6)
-    return m.withColumn("k", rank).where("k = 1").select(*key, "org_name", F.coalesce("span", "alias_span").alias("evidence_value"), confidence.alias("confidence"))
+    return m.withColumn("_rank", rank).where("_rank = 1").select(*key, "org_name", F.coalesce("span", "alias_span").alias("evidence_value"), confidence.alias("confidence"))
 
 
 def registry_records(raw: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from litfunnel.functions import text
+
 
 def latest_per_key(log: DataFrame, keys: Sequence[str], at: str, tie: str) -> DataFrame:
     """The newest row of each key; equal times go to the greatest tie. Spark prunes each partition
@@ -165,6 +167,35 @@ def first_match(items: DataFrame, matches: Sequence[tuple[DataFrame, str, str]],
     return items.select(item_key).join(best, item_key, "left").select(item_key, F.col(f"m.{entity}").alias(entity), F.col("m.matched_by").alias("matched_by"))
 
 
+def propagated(state: DataFrame, signals: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """state with columns taken over from signals where it has a row for the key, nulls included; the rest as before."""
+    s = signals.select(key, *(F.col(c).alias(f"_s_{c}") for c in columns), F.lit(True).alias("_there"))
+    j = state.join(s, key, "left")
+    return j.select(*(F.when(F.col("_there"), F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in state.columns))
+
+
+def grounded_pairs(texts: DataFrame, key: str, said: str, phrases: DataFrame, phrase_key: str, phrase: str) -> DataFrame:
+    """(key, phrase_key) of the phrases that stand as whole words in a text, whatever their length.
+
+    An equi-join on the first two words of the phrase (or its only one) finds candidates; only
+    their texts are read again to compare the whole phrase. An empty phrase stands nowhere.
+    """
+    p = phrases.select(phrase_key, text.grounding_key(F.col(phrase)).alias("_phrase")).where("_phrase <> ''")
+    p = p.withColumn("_start", F.substring_index("_phrase", " ", 2))
+    t = texts.select(key, text.grounding_key(F.col(said)).alias("_text"))
+    w = t.select(key, F.split("_text", " ").alias("_w"))
+    starts = F.array_distinct(F.concat("_w", F.transform(F.slice("_w", 1, F.size("_w") - 1), lambda x, i: F.concat(x, F.lit(" "), F.get("_w", i + 1)))))
+    near = w.where(F.size("_w") > 0).select(key, F.explode(starts).alias("_start")).join(p.select("_start").distinct(), "_start", "left_semi").join(p, "_start").select(key, phrase_key, "_phrase")
+    return near.join(t, key).where(F.contains(F.concat(F.lit(" "), "_text", F.lit(" ")), F.concat(F.lit(" "), "_phrase", F.lit(" ")))).select(key, phrase_key).distinct()
+
+
+def alias_matches(names: DataFrame, aliases: DataFrame, key: str, name: str, kind: str | None = None) -> DataFrame:
+    """(key, org_id): the least organisation with this alias, whatever its case, of one kind if given."""
+    a = aliases if kind is None else aliases.where(F.col("alias_type") == kind)
+    known = a.groupBy(F.lower("alias").alias("_alias")).agg(F.min("org_id").alias("org_id"))
+    return names.select(key, F.lower(name).alias("_alias")).join(known, "_alias").select(key, "org_id")
+
+
 def in_vocabulary(values: Column, vocabulary: Sequence[str]) -> Column:
     return F.filter(values, lambda x: x.isin(*vocabulary))
 

@@ -35,7 +35,7 @@ def run_totals(batches: DataFrame, run: str) -> DataFrame:
     status and its first ERRORS_SHOWN errors. Errors are cut per group by rank, not collected whole."""
     sums = batches.groupBy(run).agg(*(F.sum(c).alias(c) for c in ("calls", "tokens_in", "tokens_out")), F.round(F.sum("cost"), 6).alias("cost"), F.sum("ok").alias("ok"), F.sum("failed").alias("failed"))
     rank = F.row_number().over(Window.partitionBy(run).orderBy("batch"))
-    shown = batches.where("error IS NOT NULL").withColumn("k", rank).where(f"k <= {ERRORS_SHOWN}").groupBy(run).agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "error"))), lambda x: x["error"]).alias("errors"))
+    shown = batches.where("error IS NOT NULL").withColumn("_rank", rank).where(f"_rank <= {ERRORS_SHOWN}").groupBy(run).agg(F.transform(F.array_sort(F.collect_list(F.struct("_rank", "error"))), lambda x: x["error"]).alias("errors"))
     return sums.join(shown, run, "left").withColumn("errors", F.coalesce("errors", F.array().cast("array<string>"))).withColumn("status", rollup_status(F.col("ok") + F.col("failed"), F.col("failed")))
 
 

@@ -55,3 +55,21 @@ def rejected_records(scored: DataFrame, key: str, version: str, pipeline: str) -
     """The archive's record of each rejected paper."""
     r = scored.where(F.col("relevance_status") == REJECTED)
     return r.select(key, "title", F.col("summary").alias("abstract"), "categories", "relevance_score", "primary_topic", F.col("relevance_reason").alias("rejection_reason"), F.lit(version).alias("relevance_version"), F.lit(pipeline).alias("pipeline"))
+
+
+def topic_rows(scored: DataFrame, topics: DataFrame, key: str) -> DataFrame:
+    """(key, topic_id, is_primary, confidence) of the topics that are known by name; unknown names vanish."""
+    named = F.array_compact(F.concat(F.array("primary_topic"), "secondary_topics"))
+    rows = scored.select(key, "topic_confidence", F.posexplode(named).alias("place", "name"))
+    return rows.join(F.broadcast(topics.select("topic_id", "name")), "name").select(key, "topic_id", (F.col("place") == 0).alias("is_primary"), F.col("topic_confidence").alias("confidence"))
+
+
+def blinded(papers: DataFrame, key: str, chars: int = 2000) -> DataFrame:
+    """What a judge may see of a paper: key, title, categories and the beginning of the abstract, nothing of its authors."""
+    return papers.select(key, F.coalesce("title", F.lit("")).alias("title"), F.array_join(F.coalesce("categories", F.array().cast("array<string>")), ", ").alias("categories"), F.substring(F.coalesce("summary", F.lit("")), 1, chars).alias("abstract"))
+
+
+def affiliation_candidates(papers: DataFrame, authors: DataFrame, key: str) -> DataFrame:
+    """Papers with authors that have affiliation lines or a DOI."""
+    open_papers = papers.where((F.size("affiliation_text") > 0) | F.nullif("doi", F.lit("")).isNotNull())
+    return open_papers.join(authors.select(key), key, "left_semi")

@@ -153,7 +153,7 @@ BEST = f"""(SELECT l_orderkey, org_id, considered, org_score, CASE WHEN org_id I
   FROM (SELECT *, CAST(weight * least(1.0, confidence) AS DECIMAL(10,6)) AS s, confidence >= 0.6 AND l_suppkey IS NOT NULL AS strong FROM {EVIDENCE})) WHERE k = 1)"""
 STATE = f"""(SELECT w.user_id, coalesce(s.domain, 'none') AS domain, round({SCREEN_SQL}, 1) AS screen_score, {Q_SQL} AS q, b.org_id, coalesce(b.considered, 0) AS considered, coalesce(b.org_score, 0.0) AS org_score, coalesce(b.org_boost, 0.0) AS org_boost, coalesce(b.status, 'no_evidence_supplied') AS affiliation_status,
   click, view, coalesce(a.n, 0) AS author_count FROM {WIDE} w LEFT JOIN (SELECT c_custkey, c_mktsegment AS domain FROM customer) s ON s.c_custkey = w.user_id LEFT JOIN {BEST} b ON b.l_orderkey = w.user_id LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) a ON a.l_orderkey = w.user_id)"""
-ADJUDICATED = f"""(SELECT *, CASE WHEN final IS NOT NULL THEN round(q, 1) END AS quality_score FROM (SELECT *, least(10, round(q * (CAST(0.70 AS DECIMAL(4,2)) + CAST(0.03 AS DECIMAL(4,2)) * CAST(click AS DECIMAL(10,4))) + least(CAST(org_boost AS DECIMAL(10,4)), CAST(0.5 AS DECIMAL(10,4))), 4)) AS final FROM {STATE}))"""
+ADJUDICATED = f"""(SELECT *, CASE WHEN final IS NOT NULL THEN round(q, 1) END AS quality_score FROM (SELECT *, CASE WHEN total > 10 THEN 10 ELSE total END AS final FROM (SELECT *, round(q * (CAST(0.70 AS DECIMAL(4,2)) + CAST(0.03 AS DECIMAL(4,2)) * CAST(click AS DECIMAL(10,4))) + least(CAST(org_boost AS DECIMAL(10,4)), CAST(0.5 AS DECIMAL(10,4))), 4) AS total FROM {STATE})))"""
 
 
 def state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -463,3 +463,59 @@ def affiliation_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_linenumber").alias("author_position"), F.when(F.col("l_linenumber") == 1, "Line One").otherwise("Else Where").alias("normalized_name"))
     company = o.select("org_id", F.concat("canonical_name", F.lit(" Company")).alias("alias"), F.lit("name").alias("alias_type"))
     return affiliation.affiliation_cascade(p, a, o, aliases.unionByName(company), "o_orderkey").withColumn("evidence_value", F.regexp_replace("evidence_value", " Company$", ""))
+
+
+@query("SELECT s_suppkey, CAST(org_id AS BIGINT) AS org_id FROM (SELECT s_suppkey, s_nationkey FROM supplier) s JOIN (SELECT s_nationkey, min(s_suppkey) AS org_id FROM supplier GROUP BY 1) USING (s_nationkey)")
+def alias_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, aliases = known(spark, sf_dir)
+    names = table(spark, sf_dir, "supplier").select("s_suppkey", F.concat(F.lit("nAtIoN "), F.col("s_nationkey").cast("string")).alias("name"))
+    return core.alias_matches(names, aliases, "s_suppkey", "name", "name")
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN CASE WHEN c_custkey % 2 = 0 THEN 7 END ELSE c_nationkey END AS upvotes, c_mktsegment AS segment FROM customer")
+def propagated_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("upvotes"), F.col("c_mktsegment").alias("segment"))
+    return core.propagated(c, c.where("c_custkey % 3 = 0").select("c_custkey", F.when(F.col("c_custkey") % 2 == 0, 7).alias("upvotes")), "c_custkey", ["upvotes"])
+
+
+@query(f"SELECT doc_id, CAST(strpos(names, t.name) AS BIGINT) > 0 AND t.name = topics[1].name AS is_primary, t.topic_id, CAST(least(1.0, score / 10) AS DOUBLE) AS confidence FROM (SELECT *, array_to_string([x.name FOR x IN topics[1:4]], '|') AS names FROM {RELEVANCE}) JOIN (SELECT 1 AS topic_id, 'AI agents' AS name UNION ALL SELECT 2, 'AI evaluation' UNION ALL SELECT 3, 'Retrieval / RAG') t ON list_contains([x.name FOR x IN topics[1:4]], t.name)")
+def topic_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    topics = spark.sql("SELECT * FROM VALUES (1, 'AI agents'), (2, 'AI evaluation'), (3, 'Retrieval / RAG') AS t(topic_id, name)")
+    return relevance.topic_rows(relevance.score_relevance(papers(spark, sf_dir)), topics, "doc_id")
+
+
+@query(f"SELECT doc_id, coalesce({rest_sql('doc_id', 7, *TITLES)}, '') AS title, coalesce({rest_sql('doc_id', 4, *CATEGORIES)} || ', x.Y', '') AS categories, left(coalesce(text, ''), 2000) AS abstract FROM documents")
+def blinded_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relevance.blinded(papers(spark, sf_dir), "doc_id")
+
+
+@query("SELECT o_orderkey FROM orders WHERE (o_orderkey % 4 = 0 OR o_orderkey % 5 = 0) AND o_orderkey IN (SELECT l_orderkey FROM lineitem)")
+def affiliation_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("o_orderkey")
+    p = table(spark, sf_dir, "orders").select(n, F.when(n % 4 == 0, F.array(F.lit("Affiliation: X"))).when(n % 4 == 1, F.array().cast("array<string>")).alias("affiliation_text"), F.when(n % 5 == 0, "10.1/x").when(n % 5 == 1, "").alias("doi"))
+    return relevance.affiliation_candidates(p, table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey").select("o_orderkey")
+
+
+@query("SELECT event_type AS request, props AS payload FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, props DESC) AS k FROM events) WHERE k = 1")
+def newest_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select(F.col("event_type").alias("request"), "ts", F.col("props").alias("payload"))
+    return ledger.newest_responses(e, "request", "ts").select("request", "payload")
+
+
+@query("SELECT event_id, substr(sha256('{\"id\":' || event_id || ',\"type\":\"' || event_type || '\"}'), 1, 16) AS request_key, upper(event_type) || '_' || event_id || '.json' AS file FROM events")
+def request_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    request = F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("type"))
+    return table(spark, sf_dir, "events").select("event_id", ledger.request_key(request).alias("request_key"), ledger.file_name(F.concat(F.upper("event_type"), F.lit(" / "), F.col("event_id").cast("string"), F.lit(".json"))).alias("file"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE '2026-02-0' || (o_orderkey % 9 + 1) END AS day FROM orders")
+def dirty_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("o_orderkey")
+    said = F.when(n % 6 == 0, "").when(n % 6 == 3, "not yet").otherwise(F.concat(F.lit(" 2026-02-0"), (n % 9 + 1).cast("string"), F.lit("T01:02:03Z")))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.date_format(text.utc_time(said), "yyyy-MM-dd").alias("day"))
+
+
+@query("SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'Pekár ' || c_custkey WHEN 1 THEN 'naïve – ' || c_custkey ELSE '张伟 ' || c_custkey END AS name FROM customer")
+def repaired_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    broken = F.concat(by_rest("c_custkey", 3, "PekÃ¡r ", "naÃ¯ve â€“ ", "张伟 "), F.col("c_custkey").cast("string"))
+    return table(spark, sf_dir, "customer").select("c_custkey", text.repaired(broken).alias("name"))

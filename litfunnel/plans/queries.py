@@ -64,7 +64,9 @@ EVIDENCE = """(SELECT l_orderkey, l_linenumber, l_suppkey, l_returnflag, s_name,
 
 RUBRIC = {"technical_significance": "click", "apparent_novelty": "view", "practical_applicability": "purchase", "potential_value": "signup", "longevity": "error"}
 Q_SQL = "round(" + " + ".join(f"CAST({RUBRIC[d]} AS DECIMAL(10,4)) * CAST({w} AS DECIMAL(4,2))" for d, w in config.QUALITY_WEIGHTS.items()) + ", 4)"
-FINAL_SQL = f"least(10, round({Q_SQL} * (CAST(0.70 AS DECIMAL(4,2)) + CAST(0.03 AS DECIMAL(4,2)) * CAST(click AS DECIMAL(10,4))), 4))"
+FINAL_SQL = f"round({Q_SQL} * (CAST(0.70 AS DECIMAL(4,2)) + CAST(0.03 AS DECIMAL(4,2)) * CAST(click AS DECIMAL(10,4))), 4)"
+#: least() skips nulls.
+FINAL_SQL = f"(CASE WHEN {FINAL_SQL} > 10 THEN 10 ELSE {FINAL_SQL} END)"
 
 
 def quality_of(w: DataFrame) -> DataFrame:
@@ -421,14 +423,13 @@ def normalise_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select("s_suppkey", text.name_key(F.col("s_name")).alias("name_key"))
 
 
-@query(r"""SELECT n_nationkey, count(*) AS n FROM nation JOIN customer ON contains(' ' || trim(regexp_replace(lower('from ' || replace(c_mktsegment, 'A', 'a') || ' ' || 'NATION ' || c_nationkey || ' end'), '[^0-9a-z_]+', ' ', 'g')) || ' ', ' nation ' || n_nationkey || ' ') GROUP BY 1""")
+_GROUND = r"trim(regexp_replace(lower(replace({}, 'ß', 'ss')), '[^\p{{L}}\p{{N}}\p{{M}}_]+', ' ', 'g'))"
+
+
+@query(f"SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON {_GROUND.format('b.text')} <> '' AND contains(' ' || {_GROUND.format('d.text')} || ' ', ' ' || {_GROUND.format('b.text')} || ' ')")
 def grounding_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Phrase containment as an equi-join on word n-grams of the phrase's length instead of a nested loop."""
-    line = F.concat(F.lit("from "), F.replace("c_mktsegment", F.lit("A"), F.lit("a")), F.lit(" NATION "), F.col("c_nationkey").cast("string"), F.lit(" end"))
-    w = table(spark, sf_dir, "customer").select("c_custkey", F.split(text.grounding_key(line), " ").alias("w"))
-    grams = w.select("c_custkey", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - 1, F.lit(1))), lambda i: F.array_join(F.slice("w", i, 2), " "))).alias("phrase")).distinct()
-    names = table(spark, sf_dir, "nation").select("n_nationkey", text.grounding_key(F.concat(F.lit("Nation, "), F.col("n_nationkey").cast("string"))).alias("phrase"))
-    return grams.join(names, "phrase").groupBy("n_nationkey").agg(F.count("*").alias("n"))
+    """Phrases of any length in whole texts, by an equi-join on their first words instead of a nested loop."""
+    return core.grounded_pairs(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "benchmark"), "item_id", "text")
 
 
 @query(r"""WITH u AS (SELECT page_id, url, regexp_replace(trim(url), '#.*$', '') AS u FROM pages), p AS (SELECT page_id, url, lower(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) AS scheme,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +40,19 @@ def oai_records(xml: DataFrame, column: str = "xml") -> DataFrame:
     )
 
 
+def read_policy(spark: SparkSession, path: str, schema: str, defaults: dict) -> DataFrame:
+    """A policy or watch-list file (JSON) with this schema; fields it lacks take their defaults. A file
+    that can't be read or parsed gives the defaults alone."""
+    fallback = spark.createDataFrame([tuple(defaults.get(f.split()[0]) for f in schema.split(", "))], schema)
+    try:
+        rows = spark.read.schema(schema).json(path, multiLine=True, mode="DROPMALFORMED")
+        if rows.isEmpty():
+            return fallback
+    except AnalysisException:
+        return fallback
+    return rows.select(*(F.coalesce(F.col(c), F.lit(defaults[c]).cast(kind)).alias(c) if c in defaults and not isinstance(defaults[c], list) else F.col(c) for c, kind in rows.dtypes))
+
+
 def write_rejects(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("compression", "gzip").json(path)
 
@@ -46,7 +60,7 @@ def write_rejects(df: DataFrame, path: str) -> None:
 def write_report(df: DataFrame, path: str, columns: list[str]) -> None:
     """CSV with a header; array columns as JSON."""
     kinds = dict(df.dtypes)
-    df.select(*(F.to_json(c).alias(c) if kinds[c].startswith(("array", "struct", "map")) else c for c in columns)).write.mode("overwrite").csv(path, header=True)
+    df.select(*(F.to_json(c).alias(c) if kinds[c].startswith(("array", "struct", "map")) else c for c in columns)).write.mode("overwrite").csv(path, header=True, escape='"')
 
 
 def write_raw(df: DataFrame, path: str, provider: str, at: str) -> None:

@@ -20,7 +20,7 @@ def tumbling_counts(events: DataFrame, at: str, key: str, width: str = "7 days",
 def keep_projection(log: DataFrame, keys: Sequence[str], at: str, tie: str, path: str, checkpoint: str) -> StreamingQuery:
     """Maintain the latest row of each key under path: each micro-batch is merged with the state
     written before it and written beside it under its batch number, so a batch that runs again
-    gives the same table."""
+    gives the same table. The state before the last one is removed."""
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
@@ -28,6 +28,9 @@ def keep_projection(log: DataFrame, keys: Sequence[str], at: str, tie: str, path
         if number:
             rows = spark.read.schema(batch.schema).parquet(f"{path}/batch={number - 1}").unionByName(batch)
         latest_per_key(rows, keys, at, tie).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        if number > 1:
+            old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch={number - 2}")
+            old.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(old, True)
 
     return log.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
