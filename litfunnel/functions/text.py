@@ -102,8 +102,9 @@ def affiliation_lines(authors: Column) -> Column:
 
 def first_of_each(values: Column, key: Callable[[Column], Column]) -> Column:
     """Values whose key did not occur before them, in order."""
-    keys = F.transform(values, key)
-    return F.filter(values, lambda x, i: F.array_position(keys, key(x)) == i + 1)
+    keyed = F.transform(values, lambda x: F.struct(key(x).alias("key"), x.alias("value")))
+    first = lambda seen, x: F.when(F.exists(seen, lambda y: y["key"] == x["key"]), seen).otherwise(F.concat(seen, F.array(x)))
+    return F.transform(F.aggregate(keyed, F.array().cast("array<struct<key: string, value: string>>"), first), lambda x: x["value"])
 
 
 def emails(text: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -41,6 +42,11 @@ def _bare(token: Column, marks: str) -> Column:
     return F.trim(token, F.lit(marks))
 
 
+def _bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value) with value computed once, however often f reads it: lambdas know no common subexpressions."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def _leading(flags: Column) -> Column:
     """How many of the first flags are true."""
     return F.aggregate(flags, F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")), lambda s, f: F.struct((s["n"] + (s["on"] & f).cast("int")).alias("n"), (s["on"] & f).alias("on")))["n"]
@@ -49,23 +55,28 @@ def _leading(flags: Column) -> Column:
 def organisation_phrases(segment: Column) -> Column:
     """Names around head nouns: up to four capitalised words before one, less the first if it belongs
     to a preposition, and after a joiner up to four words of a name. As array expressions, no UDF."""
-    tokens = F.split(segment, " ")
     capital = lambda t: _bare(t, ".,;:()[]&").rlike(r"^\p{Lu}")
     joiner = lambda t: F.lower(_bare(t, ".,;:()[]&")).isin(*JOINERS)
-    named = lambda t: capital(t) | joiner(t)
-    at = lambda i: F.coalesce(F.get(tokens, i), F.lit(""))
 
-    def phrase(i: Column) -> Column:
-        left = _leading(F.transform(F.array(*map(F.lit, (1, 2, 3, 4))), lambda k: (i - k >= 0) & capital(F.when(i - k >= 0, at(i - k)).otherwise(""))))
-        before = i - left - 1
-        owned = (left > 0) & F.lower(F.when(before >= 0, at(before)).otherwise("")).isin(*PREPOSITIONS)
-        start = i - left + owned.cast("int")
-        more = F.lower(at(i + 1)).isin(*JOINERS) & named(at(i + 2))
-        right = F.when(more, 1 + _leading(F.transform(F.array(*map(F.lit, (2, 3, 4, 5))), lambda k: named(at(i + k))))).otherwise(0)
-        return cleaned(F.array_join(F.slice(tokens, start + 1, i - start + 1 + right), " "))
+    def phrases(words: Column) -> Column:
+        word = lambda i: F.get(words, i)
+
+        def grown(i: Column, left: Column) -> Column:
+            owned = (left > 0) & F.when(i - left > 0, word(i - left - 1)["low"].isin(*PREPOSITIONS)).otherwise(False)
+            more = F.coalesce(word(i + 1)["low"].isin(*JOINERS) & word(i + 2)["named"], F.lit(False))
+            right = F.when(more, 1 + _leading(F.transform(F.array(*map(F.lit, (2, 3, 4, 5))), lambda k: F.coalesce(word(i + k)["named"], F.lit(False))))).otherwise(0)
+            start = i - left + owned.cast("int")
+            return cleaned(F.array_join(F.transform(F.slice(words, start + 1, i - start + 1 + right), lambda w: w["token"]), " "))
+
+        def phrase(i: Column) -> Column:
+            left = _leading(F.transform(F.array(*map(F.lit, (1, 2, 3, 4))), lambda k: F.when(i - k >= 0, word(i - k)["capital"]).otherwise(False)))
+            return _bound(left, lambda n: grown(i, n))
+
+        heads = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: word(i)["head"])
+        return F.array_distinct(F.filter(F.transform(heads, phrase), lambda p: F.length(p) >= 4))
 
-    heads = F.filter(F.sequence(F.lit(0), F.size(tokens) - 1), lambda i: _bare(at(i), ".,;:()[]").rlike(HEADS))
-    return F.array_distinct(F.filter(F.transform(heads, phrase), lambda p: F.length(p) >= 4))
+    told = lambda t: F.struct(t.alias("token"), F.lower(t).alias("low"), capital(t).alias("capital"), (capital(t) | joiner(t)).alias("named"), _bare(t, ".,;:()[]").rlike(HEADS).alias("head"))
+    return _bound(F.transform(F.split(segment, " "), told), phrases)
 
 
 def like_an_organisation(segment: Column) -> Column:
@@ -93,10 +104,10 @@ def organisation_candidates(line: Column) -> Column:
     segments = F.filter(segments, lambda s: (F.length(s) >= 4) & ~s.rlike(MAIL))
 
     def names(s: Column) -> Column:
-        phrases = organisation_phrases(s)
-        return F.when(F.size(phrases) > 0, phrases).when(like_an_organisation(s) | like_a_name(s), F.array(s)).otherwise(F.array().cast("array<string>"))
+        other = F.when(like_an_organisation(s) | like_a_name(s), F.array(s)).otherwise(F.array().cast("array<string>"))
+        return _bound(organisation_phrases(s), lambda p: F.when(F.size(p) > 0, p).otherwise(other))
 
-    return text.first_of_each(F.flatten(F.transform(segments, names)), F.lower)
+    return _bound(F.flatten(F.transform(segments, names)), lambda found: text.first_of_each(found, F.lower))
 
 
 def affiliation_evidence(papers: DataFrame, key: str) -> DataFrame:

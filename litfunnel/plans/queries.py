@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from litfunnel import config
 from litfunnel.functions import scoring, text
-from litfunnel.operators import core
+from litfunnel.operators import core, relevance
 from litfunnel.sources.records import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -397,7 +397,7 @@ def _hits_sql(patterns: list[str]) -> str:
 
 def hits(patterns: list[str]) -> Column:
     """Patterns in the column text, which is lower-cased already."""
-    return sum((F.col("text").rlike(p).cast("int") for p in patterns[1:]), F.col("text").rlike(patterns[0]).cast("int"))
+    return sum((relevance.matched(F.col("text"), p).cast("int") for p in patterns[1:]), relevance.matched(F.col("text"), patterns[0]).cast("int"))
 
 
 def _relevance_sql(total: str) -> str:
