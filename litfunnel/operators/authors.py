@@ -20,6 +20,16 @@ def author_names(raw: Column) -> Column:
     return F.filter(F.transform(names, lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != ""))
 
 
+def text_values(raw: Column, fields: tuple[str, ...] = ("affiliation", "text", "name", "value", "email")) -> Column:
+    """Texts in a JSON list of strings or objects (the first of fields that holds any), or in a bare string; blanks fall out."""
+    v = F.try_parse_json(raw)
+    listed = F.from_json(F.when(F.schema_of_variant(v).startswith("ARRAY"), raw), "array<variant>")
+    field = lambda x, k: F.when(F.trim(F.try_variant_get(x, f"$.{k}", "string")) != "", F.try_variant_get(x, f"$.{k}", "string"))
+    one = lambda x: F.when(F.schema_of_variant(x) == "STRING", x.try_cast("string")).when(F.schema_of_variant(x).startswith("OBJECT"), F.coalesce(*(field(x, k) for k in fields)))
+    single = F.when(v.isNull(), raw).when(F.schema_of_variant(v) == "STRING", v.try_cast("string"))
+    return F.filter(F.coalesce(F.transform(listed, one), F.array(single)), lambda x: F.coalesce(F.trim(x) != "", F.lit(False)))
+
+
 def structured_first(enrichment: Column, raw: Column) -> Column:
     """The enriched author array unless it is null or empty, else the raw one."""
     return F.when(F.size(enrichment) > 0, enrichment).otherwise(raw)

@@ -40,6 +40,25 @@ def category_matches(categories: Column, allowed: Sequence[str] = config.INGESTE
     return F.coalesce(F.exists(categories, lambda c: c.isin(*allowed) | F.substring_index(c, ".", 1).isin(*archives)), F.lit(False))
 
 
+def categories_of(raw: Column) -> Column:
+    """Categories stored as a JSON list, or as one plain word; null for null."""
+    return F.when(F.startswith(F.trim(raw), F.lit("[")), F.coalesce(F.from_json(raw, "array<string>"), F.array(raw))).otherwise(F.when(raw.isNotNull(), F.array(raw)))
+
+
+def merged_json(old: Column, new: Column) -> Column:
+    """Shallow merge of two objects of text values; the new one wins, null counts as empty."""
+    read = lambda c: F.coalesce(F.from_json(c, "map<string,string>"), F.from_json(F.lit("{}"), "map<string,string>"))
+    kept = F.map_filter(read(old), lambda k, _: ~F.map_contains_key(read(new), k))
+    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(F.map_concat(kept, read(new))))))
+
+
+def gaps_filled(stored: DataFrame, fresh: DataFrame, key: str, columns: Sequence[str], metadata: str) -> DataFrame:
+    """stored with empty columns filled from fresh, never overwriting what is there, and metadata merged; fresh keys are added."""
+    filled = core.merged(stored, fresh, key, dict.fromkeys(columns, "fill"))
+    both = stored.select(key, F.col(metadata).alias("_old")).join(fresh.select(key, F.col(metadata).alias("_new")), key, "full")
+    return filled.join(both.select(key, merged_json(F.col("_old"), F.col("_new")).alias(metadata)), key)
+
+
 def items_of(parsed: DataFrame, seen_at: Column) -> DataFrame:
     """Items by canonical URL; records of one URL give one item, of the latest datestamp, then identifier."""
     items = parsed.select(

@@ -13,6 +13,7 @@ from litfunnel import config
 from litfunnel.functions import text
 from litfunnel.operators import adjudication, affiliation, authors, core, golden, ingest, ledger, organisations, relevance, responses, signals
 from litfunnel.plans.queries import EVIDENCE, HALF, Q_SQL, RUBRIC, SCREEN_SQL, WIDE, evidence, log, query, wide
+from litfunnel.sources.records import archive_manifest as manifest_of
 from litfunnel.sources.records import table
 
 
@@ -519,3 +520,66 @@ def dirty_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 def repaired_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     broken = F.concat(by_rest("c_custkey", 3, "PekÃ¡r ", "naÃ¯ve â€“ ", "张伟 "), F.col("c_custkey").cast("string"))
     return table(spark, sf_dir, "customer").select("c_custkey", text.repaired(broken).alias("name"))
+
+
+@query("SELECT '26.' || c_custkey AS arxiv_id FROM customer WHERE c_custkey % 3 = 0 ORDER BY '26.' || c_custkey LIMIT 40")
+def known_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer").select(F.concat(F.lit("26."), F.col("c_custkey").cast("string")).alias("arxiv_id"), "c_custkey")
+    return signals.known_papers(c.select("arxiv_id"), c.where("c_custkey % 3 = 0"), 40)
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_name WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS first_author FROM customer")
+def structured_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n, none = F.col("c_custkey"), F.array().cast("array<string>")
+    rich = F.when(n % 3 == 0, F.array("c_name")).when(n % 3 == 1, none)
+    raw = F.when(n % 2 == 0, F.array("c_mktsegment")).otherwise(none)
+    return table(spark, sf_dir, "customer").select("c_custkey", F.get(authors.structured_first(rich, raw), F.lit(0)).alias("first_author"))
+
+
+@query("SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN c_name || '|x@y.z' WHEN 1 THEN c_name WHEN 2 THEN '' ELSE 'é' END AS said FROM customer")
+def text_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n, name = F.col("c_custkey") % 4, F.col("c_name")
+    raw = F.when(n == 0, F.concat(F.lit('[{"affiliation": " ", "text": "'), name, F.lit('"}, 3, null, {"email": "x@y.z"}, {"z": "q"}]'))).when(n == 1, name).when(n == 2, "[]").otherwise('"é"')
+    return table(spark, sf_dir, "customer").select("c_custkey", F.array_join(authors.text_values(raw), "|").alias("said"))
+
+
+@query("SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'cs.AI|cs.LG' WHEN 1 THEN 'cs.CL' END AS categories FROM customer")
+def category_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select("c_custkey", F.array_join(ingest.categories_of(by_rest("c_custkey", 3, '["cs.AI", "cs.LG"]', "cs.CL", None)), "|").alias("categories"))
+
+
+@query("""WITH o AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 2 = 0 THEN '' ELSE 'doi' || c_custkey END AS doi, c_custkey % 5 AS a FROM customer WHERE c_custkey % 3 <> 0), n AS (SELECT c_custkey AS k, 'new' || c_custkey AS doi, c_custkey % 7 AS b FROM customer WHERE c_custkey % 4 <> 0)
+  SELECT coalesce(o.k, n.k) AS k, coalesce(nullif(o.doi, ''), n.doi) AS doi, '{' || concat_ws(',', CASE WHEN o.k IS NOT NULL THEN '"a":"' || a || '"' END, CASE WHEN n.k IS NOT NULL THEN '"b":"' || b || '"' WHEN o.k IS NOT NULL THEN '"b":"old"' END) || '}' AS meta FROM o FULL JOIN n ON o.k = n.k""")
+def metadata_gapfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c, k = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    meta = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts)).alias("meta")
+    old = c.where(k % 3 != 0).select(k.alias("k"), F.when(k % 2 == 0, "").otherwise(F.concat(F.lit("doi"), k.cast("string"))).alias("doi"), meta('{"a": "', k % 5, '", "b": "old"}'))
+    new = c.where(k % 4 != 0).select(k.alias("k"), F.concat(F.lit("new"), k.cast("string")).alias("doi"), meta('{"b": "', k % 7, '"}'))
+    return ingest.gaps_filled(old, new, "k", ["doi"], "meta").select("k", "doi", "meta")
+
+
+@query(f"SELECT 'rejects' AS path, count(*) FILTER (WHERE score < 5) AS records FROM {RELEVANCE}")
+def archive_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = relevance.rejected_records(relevance.score_relevance(papers(spark, sf_dir)), "doc_id", "v1", "funnel")
+    return manifest_of(r, "rejects").select("path", "records")
+
+
+@query("SELECT 's' || (doc_id % 3) AS name, CASE WHEN doc_id % 3 = 1 THEN doc_id + 1000000 ELSE doc_id END AS label FROM labels WHERE doc_id % 3 <> 1 OR doc_id % 2 = 0")
+def golden_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old = table(spark, sf_dir, "labels").select(F.concat(F.lit("s"), (F.col("doc_id") % 3).cast("string")).alias("name"), F.lit("v1").alias("version"), F.col("doc_id").alias("label"))
+    new = old.where("name = 's1' AND label % 2 = 0").withColumn("label", F.col("label") + 1_000_000)
+    return golden.reloaded(old, new).select("name", "label")
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'new' ELSE 'old' END AS v FROM customer WHERE c_custkey % 8 <> 7")
+def replaced_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old = table(spark, sf_dir, "customer").where("c_custkey % 8 <> 7 AND c_custkey % 16 <> 0").select("c_custkey", F.lit("old").alias("v"))
+    new = table(spark, sf_dir, "customer").where("c_custkey % 4 = 0").select("c_custkey", F.lit("new").alias("v"))
+    return adjudication.replaced_state(old, new, "c_custkey")
+
+
+@query("SELECT s_suppkey AS org_id, CASE WHEN s_suppkey % 4 = 0 THEN 'r' || s_suppkey WHEN s_suppkey % 2 = 0 THEN 'x' || s_suppkey END AS ror_id FROM supplier")
+def enriched_organisations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o, _ = known(spark, sf_dir)
+    found = o.where("org_id % 2 = 0").select("org_id", F.concat(F.lit("x"), F.col("org_id").cast("string")).alias("ror_id"), F.lit("").alias("openalex_id"))
+    return organisations.enriched(o, found.unionByName(found.withColumn("ror_id", F.lit(" ")))).select("org_id", "ror_id")

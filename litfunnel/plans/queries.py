@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from litfunnel import config
 from litfunnel.functions import scoring, text
-from litfunnel.operators import core, relevance
+from litfunnel.operators import core, organisations, relevance
 from litfunnel.sources.records import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -440,10 +440,10 @@ def url_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", text.normal_url(F.col("url")).alias("url"))
 
 
-@query(r"SELECT d AS domain, count(*) AS n FROM (SELECT unnest(list_distinct([lower(e) FOR e IN regexp_extract_all(text, '([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,})')])) AS e FROM documents), LATERAL (SELECT split_part(e, '@', 2) AS d) WHERE d NOT IN ('gmail.com', 'yahoo.com') GROUP BY 1")
+@query(r"SELECT d AS domain, count(*) AS n FROM (SELECT unnest(list_distinct([lower(e) FOR e IN regexp_extract_all(text, '([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,})')])) AS e FROM documents), LATERAL (SELECT split_part(e, '@', 2) AS d) WHERE d NOT IN " + str(organisations.PUBLIC_MAIL) + " GROUP BY 1")
 def email_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").where(F.contains("text", F.lit("@"))).select(F.explode(text.emails(F.col("text"))).alias("e"))
-    return d.select(F.substring_index("e", "@", -1).alias("domain")).where(~F.col("domain").isin("gmail.com", "yahoo.com")).groupBy("domain").agg(F.count("*").alias("n"))
+    return d.select(F.substring_index("e", "@", -1).alias("domain")).where(~organisations.public_mail(F.col("domain"))).groupBy("domain").agg(F.count("*").alias("n"))
 
 
 @query(r"""WITH h AS (SELECT page_id, lower(regexp_extract(url, '^[^:]+://([^/?#]*)', 1)) AS host FROM pages), k AS (SELECT 'example.com' AS domain, 1 AS org UNION ALL SELECT 'example.org', 2 UNION ALL SELECT 'm.example.net', 3 UNION ALL SELECT 'example.net', 4)

@@ -53,6 +53,14 @@ def read_policy(spark: SparkSession, path: str, schema: str, defaults: dict) ->
     return rows.select(*(F.coalesce(F.col(c), F.lit(defaults[c]).cast(kind)).alias(c) if c in defaults and not isinstance(defaults[c], list) else F.col(c) for c, kind in rows.dtypes))
 
 
+def archive_manifest(df: DataFrame, path: str) -> DataFrame:
+    """(path, records, sha256) of an archive: the digest covers its records in order, whatever their partitioning."""
+    line = F.to_json(F.struct(*sorted(df.columns)))
+    parts = df.select(F.sha2(line, 256).alias("h")).groupBy(F.substring("h", 1, 3).alias("part")).agg(F.count("*").alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("h"))
+    whole = F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "h"))), lambda x: x["h"]), ""), 256)
+    return parts.agg(F.lit(path).alias("path"), F.coalesce(F.sum("n"), F.lit(0)).alias("records"), whole.alias("sha256"))
+
+
 def write_rejects(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("compression", "gzip").json(path)
 
