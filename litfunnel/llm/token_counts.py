@@ -80,7 +80,8 @@ def count_tokens(blocks: DataFrame, separator: int = SEPARATOR, segment_blocks:
     Two-level exclusive prefix scan over blocks: inside segments of consecutive blocks, then
     over segment totals, so no task ever holds more than a segment of a huge file. Tokens
     after a file's last separator form a last document with closed = false. A file without
-    tokens, or an empty table, gives no rows. Blocks of one file must not repeat a block_no.
+    tokens, or an empty table, gives no rows; null data counts as an empty block. A document may
+    span any number of blocks. Blocks of one file must not repeat a block_no.
     """
     segment = F.floor(F.col("block_no") / segment_blocks)
     b = scan_separators(blocks, separator).withColumn("segment", segment)

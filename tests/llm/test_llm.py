@@ -535,3 +535,10 @@ def test_empty_tables(spark):
     assert packing.pack(d).count() == exact_dedup.exact_duplicates(d).count() == ngram_join.linked_documents(d).count() == 0
     assert decontaminate.contaminated(d, bench).count() == secret_scan.scan_secrets(d).count() == lm_score.cross_entropy_difference(d.withColumn("target", F.lit(True))).count() == 0
     assert decontaminate.contaminated(docs_of(spark, ["x y z"]), bench.limit(0)).count() == 0
+    files = token_counts.write_token_files(d)
+    assert files.count() == token_counts.count_tokens(files).count() == token_counts.manifest(files).count() == 0
+    none = spark.createDataFrame([(0, 0, None), (0, 1, b"")], "file_id long, block_no long, data binary")
+    assert token_counts.count_tokens(none).count() == 0
+    model = toxicity.fit(d, spark.createDataFrame([(1, 1, 1)], "doc_id long, quality int, toxic int"))
+    assert toxicity.score_toxicity(d, model).count() == 0
+    assert chat.format_conversations(chat.chain(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))).count() == 0
