@@ -86,6 +86,18 @@ def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+#: Rows of an Arrow batch of texts; Spark's own 10,000 can be 100 MB for each task, in the JVM and in Python.
+TEXT_ROWS = 2000
+
+
+def short_batches(df: DataFrame) -> DataFrame:
+    """df, whose session from now on sends at most TEXT_ROWS rows to Python at once."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(key)) <= TEXT_ROWS:
+        df.sparkSession.conf.set(key, TEXT_ROWS)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

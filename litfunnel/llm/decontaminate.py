@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from litfunnel.llm.common import slices, staged, texts_of
+from litfunnel.llm.common import short_batches, slices, staged, texts_of
 from litfunnel.llm.words import coded_words
 
 #: Edits allowed, as a share of the item's words. Items of fewer words allow none and are looked up as they are.
@@ -359,13 +359,13 @@ def scanned(docs: DataFrame, keys: list[str], block: Block, edits: float, exact:
                 names=["doc_id", "text_key", "edits", "item_words", "first_word", "end_word"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(rows, "doc_id long, text_key string, edits long, item_words long, first_word long, end_word long")
+    return short_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(rows, "doc_id long, text_key string, edits long, item_words long, first_word long, end_word long")
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, recall: float = RECALL, exact: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of docs in which no item is found, with all their columns; cases as in contaminated."""
     _, blocks = blocks_of(benchmark, edits, recall, block_bytes)
-    kept = docs
+    kept = short_batches(docs)
     for _, block in blocks:
         shared = docs.sparkSession.sparkContext.broadcast(block)
 

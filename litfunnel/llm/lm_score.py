@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from litfunnel.llm.common import BROADCAST_ROWS, discard, hidden, slices, staged, texts_of
+from litfunnel.llm.common import BROADCAST_ROWS, discard, hidden, short_batches, slices, staged, texts_of
 from litfunnel.llm.words import coded_words
 
 #: Words shipped to all tasks, the place of the rarer ones included.
@@ -279,7 +279,7 @@ def cross_entropy_difference(docs: DataFrame, target: str = "target", head: int
     doc_ids are scored like any row. An empty target gives every word the uniform share. An
     empty table gives no rows. head changes what travels, not the scores.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.col(target), F.lit(False)).alias("target"))
+    docs = short_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.col(target), F.lit(False)).alias("target"))
     models = fitted_words(docs, head, cutoff)
     models.frequent = frequent_pairs(docs, models)
     volume = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -35,7 +35,7 @@ PERCENT = 85
 SMALL_GROUP = 8
 #: A token has 32 bits and its shard; with 512 shards two different shingles of a pair agree by chance with 5e-13.
 SHARD_BYTES, LEAST_SHARDS, MOST_SHARDS = 6 << 20, 512, 1 << 16
-FLUSH_TOKENS, FLUSH_SETS = 1_000_000, (1 << 16) - 1
+FLUSH_TOKENS, FLUSH_SETS = 500_000, (1 << 16) - 1
 #: A token of more sets of one flush is dealt once, with their number.
 HOT_TOKEN = 64
 MARK = (1 << 16) - 1

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from litfunnel.llm.common import TOKENIZER_FILE, slices, texts_of, tokenizer_path
+from litfunnel.llm.common import TOKENIZER_FILE, short_batches, slices, texts_of, tokenizer_path
 from litfunnel.llm.tokens import encoder_of
 
 END_ID = 1
@@ -114,7 +114,7 @@ def pack(docs: DataFrame, window: int = WINDOW, tokenizer_file: str = TOKENIZER_
             columns = [doc_ids[cut], starts[cut], length[cut], totals[cut], number[cut] + first, offset[cut], padded[cut]]
             yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.array(pieces[cut], pa.binary())], schema=PIECES)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(packed, "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, padded_to long, ids binary")
+    return short_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(packed, "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, padded_to long, ids binary")
 
 
 def with_digests(pieces: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from litfunnel.llm.common import slices, staged, texts_of
+from litfunnel.llm.common import short_batches, slices, staged, texts_of
 
 WORD = re.compile(r"\w+")
 #: Size of the token table: a model holds so many numbers, whatever the corpus.
@@ -165,7 +165,7 @@ def corpus_counts(docs: DataFrame) -> np.ndarray:
         b = np.flatnonzero(n)
         yield pa.record_batch([pa.array(b.astype(np.int32)), pa.array(n[b])], names=["bucket", "n"])
 
-    sums = docs.select("text").mapInArrow(counted, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    sums = short_batches(docs).select("text").mapInArrow(counted, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(BUCKETS)
     out[sums["bucket"].to_numpy(int)] = sums["n"]
     return out
@@ -248,7 +248,7 @@ def score_toxicity(docs: DataFrame, model: Model, score_column: str = "score") -
 
     Null text counts as empty and gets the model's score of no evidence.
     """
-    docs = docs.drop(score_column)
+    docs = short_batches(docs.drop(score_column))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
