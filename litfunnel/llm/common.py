@@ -127,3 +127,5 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 8 <<
                 start, held = i, 0
             held += n
         yield batch.slice(start)
+    # Spark reuses its Python workers: what this task no longer needs goes back.
+    pa.default_memory_pool().release_unused()

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words remembered in a Python worker; further ones are encoded anew, so memory stays bounded.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 200_000
 #: The word pattern of the tokenizer file (a fixed value), and the same for texts of ASCII and
 #: Latin-1 letters only, where the classes \p{L} and \p{N} can be written out.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"

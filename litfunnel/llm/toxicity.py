@@ -34,7 +34,7 @@ SHRINK = 1.5
 DRIFT = 0.7
 #: Bound on the labelled documents a model is fitted on (those with the least hash of doc_id).
 FIT_ROWS = 20_000
-CACHE_WORDS = 150_000
+CACHE_WORDS = 100_000
 
 
 def features(word: str) -> list[int]:
