@@ -31,9 +31,9 @@ from litfunnel.llm.words import coded_words
 EDITS = 0.2
 LEAST_WORDS = 5
 #: Share of edited items that must share a key, of those with as many edits as allowed.
-RECALL = 0.99
+RECALL = 0.97
 SAMPLINGS, SAMPLED = 4, 3
-LEAST_WALKS, MOST_WALKS, TRIALS = 8, 48, 60
+LEAST_WALKS, MOST_WALKS, TRIALS = 4, 32, 40
 BLOCK_BYTES = 16 << 20
 #: Words of one piece of a longer item. Of an item within the edits some piece is, too; pieces nominate
 #: places, the whole item is verified there.
