@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from litfunnel.functions import text
+from litfunnel.sources import staging
 
 
 def latest_per_key(log: DataFrame, keys: Sequence[str], at: str, tie: str) -> DataFrame:
@@ -37,34 +38,79 @@ def in_days(df: DataFrame, at: str, first: str, last: str, inclusive: bool = Tru
     return df.where((F.col(at) >= F.to_timestamp_ntz(F.lit(first))) & (F.col(at) < end))
 
 
-def percentile_slice(df: DataFrame, score: str, key: str, percent: float) -> DataFrame:
+#: Rows that one task may sort: the size of a top-k, or of the bracket a selection ends with.
+ONE_TASK = 100_000
+
+
+def percentile_slice(df: DataFrame, score: str, key: str, percent: float, one_task: int = ONE_TASK) -> DataFrame:
     """The best max(1, round half even of n * percent / 100) rows by (score desc, null last, key); none of none.
 
-    A histogram of the distinct scores tells which score the cut falls in. Rows above it stay
-    where they are; only rows of that one score are ranked, in slices of their keys' hash.
+    A slice of up to one_task rows is a plain top-k. A larger one is cut where its last row is: the
+    score, and where it is shared the key, of that row are found by ever smaller brackets of
+    quantiles, and rows are only compared with them. Nothing is sorted as a whole or shuffled.
     """
     n = df.count()
     keep = max(1, round(n * percent / 100)) if n else 0
-    ranked = ranked_globally(df, [F.desc_nulls_last(score)], [score], [F.col(key)], key, "_place")
-    return ranked.where(F.col("_place") <= keep).drop("_place")
-
-
-def ranked_globally(df: DataFrame, order: Sequence[Column], coarse: Sequence[str], ties: Sequence[Column], key: str, name: str, slices: int = 64) -> DataFrame:
-    """df with its row number by order, then ties, in a column name; no task ranks all rows.
-
-    coarse are the columns that order sorts by; rows that agree in them are cut into ranges of key
-    (sorted like the first of ties), each range is ranked by itself, and the sizes of all ranges
-    before it, a table of at most slices rows for each distinct value of coarse, are added.
+    if keep <= one_task:
+        return df.orderBy(F.desc_nulls_last(score), key).limit(keep)
+    there = df.where(F.col(score).isNotNull())
+    m = there.count()
+    if keep > m:
+        tied, rest, better = df.where(F.col(score).isNull()), keep - m, F.col(score).isNotNull()
+    else:
+        cut, before = nth_value(there, score, keep, descending=True, one_task=one_task)
+        tied, rest, better = df.where(F.col(score) == F.lit(cut)), keep - before, F.col(score) > F.lit(cut)
+    if rest == tied.count():
+        return df.where(better).unionByName(tied)
+    last, before = nth_value(tied, key, rest, one_task=one_task)
+    # Rows that repeat the last key: as many of them as are missing.
+    same = tied.where(F.col(key) == F.lit(last))
+    return df.where(better).unionByName(tied.where(F.col(key) < F.lit(last))).unionByName(same.limit(rest - before))
+
+
+def nth_value(df: DataFrame, column: str, n: int, descending: bool = False, one_task: int = ONE_TASK) -> tuple[object, int]:
+    """The value of the n-th row (from 1) of df sorted by a column without nulls, and how many rows are before that value.
+
+    Each round narrows the rows by two approximate quantiles around the n-th, whose ranks are then
+    counted exactly, to some hundredth of them. Values that have no quantiles (text) are cut by
+    a sort whose partitions are counted.
+    """
+    c, order = F.col(column), F.desc(column) if descending else F.asc(column)
+    before = 0
+    while (rows := df.count()) > one_task:
+        if df.schema[column].dataType.typeName() in ("string", "binary", "boolean"):
+            value = numbered(df.select(column), [order], "place").where(F.col("place") == n - before).first()[0]
+            return value, before + df.where(c > F.lit(value) if descending else c < F.lit(value)).count()
+        at = (n - before) / rows
+        at = 1 - at if descending else at
+        low, high = df.agg(F.percentile_approx(column, [max(0.0, at - 0.004), min(1.0, at + 0.004)], 10_000)).first()[0]
+        inside = c.between(F.lit(low), F.lit(high))
+        less = df.where(c > F.lit(high) if descending else c < F.lit(low)).count()
+        held = df.where(inside).count()
+        if not less < n - before <= less + held:
+            low, high = df.agg(F.min(column), F.max(column)).first()
+            inside, less, held = F.lit(True), 0, rows
+        if low == high:
+            return low, before + less
+        if held == rows:
+            break
+        df, before = df.where(inside), before + less
+    value = df.select(column).orderBy(order).limit(n - before).agg(F.min(column) if descending else F.max(column)).first()[0]
+    return value, before + df.where(c > F.lit(value) if descending else c < F.lit(value)).count()
+
+
+def numbered(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """df with its row number by order, from 1, in a column name; rows equal in order are numbered as they come.
+
+    The rows are sorted by ranges and written with a number of range and place; the sizes of the
+    ranges before, one row for each range, make places into row numbers. No task sees all rows.
     """
-    bounds = [x for x in df.stat.approxQuantile(key, [i / slices for i in range(1, slices)], 0.001)] if df.schema[key].dataType.typeName() in ("long", "integer", "double") else []
-    part = sum((F.when(F.col(key) > b, 1).otherwise(0) for b in sorted(set(bounds))), F.lit(0)) if bounds else F.lit(0)
-    tagged = df.withColumn("_part", part)
-    sizes = tagged.groupBy(*coarse, "_part").agg(F.count("*").alias("_n"))
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy(*order, "_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    right = before.select(*(F.col(c).alias(f"_r_{c}") for c in (*coarse, "_part")), "_before")
-    inside = F.row_number().over(Window.partitionBy(*coarse, "_part").orderBy(*ties))
-    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in (*coarse, "_part")))
-    return tagged.withColumn("_inside", inside).join(right, same).select(*df.columns, (F.col("_before") + F.col("_inside")).alias(name))
+    at, part, rows = (staging.unused() for _ in range(3))
+    table = staging.written(df.orderBy(*order).withColumn(at, F.monotonically_increasing_id()), "sorted")
+    sizes = table.groupBy(F.shiftright(at, 33).alias(part)).agg(F.count("*").alias(rows))
+    before = sizes.select(part, (F.sum(rows).over(Window.orderBy(part)) - F.col(rows)).alias(rows))
+    joined = table.join(F.broadcast(before), F.shiftright(at, 33) == F.col(part))
+    return joined.select(*df.columns, (F.col(rows) + F.col(at).bitwiseAND((1 << 33) - 1) + 1).alias(name))
 
 
 def routed(routes: Mapping[str, DataFrame], key: str) -> DataFrame:

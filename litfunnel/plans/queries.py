@@ -321,7 +321,7 @@ def cross_day_best(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT user_id, CAST(row_number() OVER (ORDER BY final DESC, coalesce(quality, 0) DESC, user_id) AS BIGINT) AS our_rank FROM (SELECT user_id, {Q_SQL} AS quality, {FINAL_SQL} AS final FROM {WIDE}) WHERE final IS NOT NULL")
 def global_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = quality_of(wide(spark, sf_dir)).where("final IS NOT NULL").select("user_id", "final", F.coalesce("quality", F.lit(0)).alias("q"))
-    return core.ranked_globally(q, [F.desc("final"), F.desc("q")], ["final", "q"], [F.col("user_id")], "user_id", "our_rank", slices=8).select("user_id", "our_rank")
+    return core.numbered(q, [F.desc("final"), F.desc("q"), F.col("user_id")], "our_rank").select("user_id", "our_rank")
 
 
 A_SET, B_SET = "(SELECT DISTINCT user_id FROM events WHERE event_type = 'error' AND value > 20)", "(SELECT DISTINCT user_id FROM events WHERE event_type = 'signup' AND value > 18)"
