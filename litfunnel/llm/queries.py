@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litfunnel.llm import chat, decontaminate, exact_dedup, fixity, lm_score, ngram_join, packing, secret_scan, token_counts, toxicity
+from litfunnel.llm import chat, decontaminate, exact_dedup, fixity, lm_score, ngram_join, packing, secret_scan, token_counts, toxicity, vector_codes
 from litfunnel.llm.common import staged, table
 
 
@@ -72,7 +72,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest_columns(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_chat_format, op2_toxicity, op3_decontaminate, op4_lm_score, op5_pack, op6_ngram_join, op7_token_counts, op8_exact_dedup, op9_warc_fixity, op10_secret_scan)}
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_chat_format, op2_toxicity, op3_decontaminate, op4_lm_score, op5_pack, op6_ngram_join, op7_token_counts, op8_exact_dedup, op9_warc_fixity, op10_secret_scan, op12_vector_codes)}
 
 
 def _escaped(column: str) -> str:
@@ -87,7 +92,35 @@ def _warc(html: str) -> str:
     return lines.replace("crlf", "chr(13) || chr(10)").replace("html", html)
 
 
+def _product_codes(parts: int, entries: int, rounds: int) -> str:
+    """Assignments and codebooks of each round as common table expressions; distances by inner products, exact in doubles."""
+    steps = f"""
+        WITH kept AS (
+          SELECT vec_id, label, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+          WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        numbered AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id, v) AS r, * FROM kept),
+        parts AS MATERIALIZED (SELECT r, vec_id, p, v[p * len(v) // {parts} + 1 : (p + 1) * len(v) // {parts}] AS x, list_inner_product(x, x) AS xx FROM numbered, range({parts}) t(p)),
+        firsts AS (SELECT vec_id, min(r) AS r, row_number() OVER (ORDER BY vec_id) - 1 AS i FROM numbered GROUP BY vec_id QUALIFY i < {entries}),
+        book0 AS MATERIALIZED (SELECT p, i, x FROM firsts JOIN parts USING (r))"""
+    for n in range(rounds + 1):
+        steps += f""",
+        near{n} AS MATERIALIZED (
+          SELECT r, a.p, min({{'d': xx - 2 * list_inner_product(a.x, b.x) + list_inner_product(b.x, b.x), 'i': i}}) AS best FROM parts a JOIN book{n} b ON a.p = b.p GROUP BY r, a.p)"""
+        if n < rounds:
+            steps += f""",
+        mean{n} AS (
+          SELECT p, i, list(m ORDER BY j) AS x FROM (
+            SELECT p, best.i AS i, j, floor(sum(x[j]) / count(*)) AS m FROM near{n} JOIN parts USING (r, p), range(1, len(x) + 1) t(j) GROUP BY ALL) GROUP BY p, i),
+        book{n + 1} AS MATERIALIZED (SELECT p, i, coalesce(mean{n}.x, book{n}.x) AS x FROM book{n} LEFT JOIN mean{n} USING (p, i))"""
+    return f"""{steps},
+        codes AS (SELECT r, string_agg(printf('%02x', best.i), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM near{rounds} GROUP BY r),
+        seal AS (SELECT sha256(string_agg(array_to_string([c::BIGINT FOR c IN x], ','), ',' ORDER BY p, i)) AS codebooks_sha256 FROM book{rounds})
+        SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+        FROM codes JOIN numbered USING (r), seal"""
+
+
 ORACLE: dict[str, str] = {
+    "op12_vector_codes": _product_codes(vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS),
     "op1_chat_format": f"""
         WITH rows AS (
           SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
