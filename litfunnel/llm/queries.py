@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litfunnel.llm import chat, decontaminate, exact_dedup, fixity, lm_score, ngram_join, packing, secret_scan, token_counts, toxicity, vector_codes
+from litfunnel.llm import chat, decontaminate, exact_dedup, fixity, lm_score, mixing, ngram_join, packing, secret_scan, token_counts, toxicity, vector_codes
 from litfunnel.llm.common import staged, table
 
 
@@ -72,12 +72,17 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest_columns(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mixed_sizes(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = vector_codes.compressed(table(spark, sf_dir, "embeddings"))
     return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_chat_format, op2_toxicity, op3_decontaminate, op4_lm_score, op5_pack, op6_ngram_join, op7_token_counts, op8_exact_dedup, op9_warc_fixity, op10_secret_scan, op12_vector_codes)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_chat_format, op2_toxicity, op3_decontaminate, op4_lm_score, op5_pack, op6_ngram_join, op7_token_counts, op8_exact_dedup, op9_warc_fixity, op10_secret_scan, op11_mixing, op12_vector_codes)}
 
 
 def _escaped(column: str) -> str:
