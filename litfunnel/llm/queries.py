@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litfunnel.llm import chat, decontaminate, exact_dedup, fixity, lm_score, mixing, ngram_join, packing, secret_scan, token_counts, toxicity, vector_codes
+from litfunnel.llm import chat, decontaminate, exact_dedup, fixity, lm_score, mixing, ngram_join, packing, secret_scan, spelling, token_counts, toxicity, vector_codes
 from litfunnel.llm.common import staged, table
 
 
@@ -82,7 +82,11 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_chat_format, op2_toxicity, op3_decontaminate, op4_lm_score, op5_pack, op6_ngram_join, op7_token_counts, op8_exact_dedup, op9_warc_fixity, op10_secret_scan, op11_mixing, op12_vector_codes)}
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_chat_format, op2_toxicity, op3_decontaminate, op4_lm_score, op5_pack, op6_ngram_join, op7_token_counts, op8_exact_dedup, op9_warc_fixity, op10_secret_scan, op11_mixing, op12_vector_codes, op13_spelling_variants)}
 
 
 def _escaped(column: str) -> str:
@@ -124,7 +128,41 @@ def _product_codes(parts: int, entries: int, rounds: int) -> str:
         FROM codes JOIN numbered USING (r), seal"""
 
 
+#: CRC-32 of a text of code points below 256, in UTF-8: a table of 256 entries made by eight shifts each, then one step a byte.
+_CRC32 = """
+        crc_table AS MATERIALIZED (
+          SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, b) ORDER BY b) AS entry FROM range(256) t(b))"""
+
+
+def _crc32(text: str) -> str:
+    octets = f"flatten([CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)]::BIGINT[] END FOR c IN string_split({text}, '')])"
+    return f"xor(4294967295, list_reduce({octets}, lambda c, b: xor(c >> 8, entry[(xor(c, b) & 255) + 1]), 4294967295::BIGINT))"
+
+
 ORACLE: dict[str, str] = {
+    # Words with one letter left out meet those that are that string, or that lost a letter at the same place.
+    "op13_spelling_variants": rf"""
+        WITH RECURSIVE{_CRC32},
+        runs AS (
+          SELECT doc_id, w, count(*) AS times FROM (
+            SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS w FROM documents)
+          WHERE length(w) >= {spelling.LEAST_LETTERS} GROUP BY ALL),
+        sealed AS (SELECT *, {_crc32("coalesce(doc_id::VARCHAR, '') || ':' || w")} AS h FROM runs, crc_table),
+        spelt AS (SELECT times, CASE WHEN h % {spelling.TYPO_EVERY} = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word FROM sealed),
+        words AS MATERIALIZED (SELECT word, sum(times)::BIGINT AS n FROM spelt WHERE length(word) >= {spelling.LEAST_LETTERS} GROUP BY word HAVING sum(times) >= {spelling.LEAST_COUNT}),
+        cut AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest, substr(word, 1, i - 1) || ' ' || substr(word, i + 1) AS gap FROM words, range(1, length(word) + 1) t(i)),
+        near AS MATERIALIZED (
+          SELECT a.word, b.word AS near, b.n FROM cut a JOIN cut b ON a.gap = b.gap AND a.word <> b.word
+          UNION SELECT c.word, w.word, w.n FROM cut c JOIN words w ON c.rest = w.word
+          UNION SELECT w.word, c.word, c.n FROM cut c JOIN words w ON c.rest = w.word),
+        best AS (SELECT word, count(*) AS n_near, min({{'less': -n, 'near': near}}) AS b FROM near GROUP BY word),
+        judged AS MATERIALIZED (
+          SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.less >= {spelling.STRONGER} * w.n THEN b.near END AS form, CASE WHEN -b.less >= {spelling.STRONGER} * w.n THEN -b.less END AS form_n
+          FROM words w LEFT JOIN best USING (word)),
+        follow AS (
+          SELECT word, word AS root, form AS next FROM judged
+          UNION ALL SELECT f.word, f.next, j.form FROM follow f JOIN judged j ON j.word = f.next)
+        SELECT word, form, root, n, n_near, form_n FROM judged JOIN follow USING (word) WHERE next IS NULL""",
     "op12_vector_codes": _product_codes(vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS),
     "op1_chat_format": f"""
         WITH rows AS (
