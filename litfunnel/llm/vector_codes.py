@@ -172,11 +172,12 @@ def with_label_error(codes: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def codebooks_of(first: Sequence[Sequence[float]], parts: int) -> tuple[int, list[np.ndarray]]:
-    """Dimensions and first codebooks: those of the smallest vec_id; 0 and none where they can't be cut into equal parts."""
+    """Components of the vector of the smallest vec_id, and the first codebooks; none where they can't be cut into equal parts."""
     dims = len(first[0]) if first else 0
-    if dims % parts:
-        return -1, []
-    rows = np.array([v for v in first if len(v) == dims], np.float64).reshape(-1, dims)
+    if not first or dims % parts:
+        return dims, []
+    same = [v for v in first if len(v) == dims]
+    rows = np.array(same, np.float64).reshape(len(same), dims)
     return dims, [integers(x) for x in np.split(rows, parts, axis=1)]
 
 
