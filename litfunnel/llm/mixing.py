@@ -162,7 +162,7 @@ def judged(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: Fraction =
     ranked, settled = marked.where(cut), marked.where(~cut)
     spans = ranked.groupBy("source", "size", "span").agg(F.sum("n").alias("held"))
     before = spans.select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("span").alias("p"), (F.sum("held").over(Window.partitionBy("source", "size").orderBy("span")) - F.col("held")).alias("before"))
-    inside = Window.partitionBy("source", "size", "span").orderBy("mark", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "size", "span").orderBy(F.shiftrightunsigned("mark", 1), "mark", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     placed = ranked.withColumn("ahead", F.coalesce(F.sum("n").over(inside), F.lit(0)))
     placed = placed.join(before, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("span") == F.col("p")))
     columns = ["source", "doc_id", "size", "mark", "n", "source_size", "target", "copies"]
