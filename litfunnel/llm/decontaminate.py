@@ -31,9 +31,11 @@ from litfunnel.llm.words import coded_words
 EDITS = 0.2
 LEAST_WORDS = 5
 #: Share of edited items that must share a key, of those with as many edits as allowed.
-RECALL = 0.97
+RECALL = 0.99
 SAMPLINGS, SAMPLED = 4, 3
-LEAST_WALKS, MOST_WALKS, TRIALS = 4, 32, 40
+LEAST_WALKS, TRIALS = 8, 60
+#: Where twice as many walks still miss the recall, edits are too many for keys: only the exact way is left.
+HOPELESS_WALKS = 2048
 BLOCK_BYTES = 16 << 20
 #: Words of one piece of a longer item. Of an item within the edits some piece is, too; pieces nominate
 #: places, the whole item is verified there.
@@ -90,7 +92,8 @@ def edited(words: np.ndarray, n: int, kind: int, rng: np.random.Generator) -> np
 @lru_cache
 def walks_for(size: int, edits: float, recall: float) -> int:
     """Walks that reach the recall for windows of this size with as many edits as allowed, whatever
-    their kind, found on TRIALS edited items of each kind."""
+    their kind, found on TRIALS edited items of each kind. Edits that no number of walks up to
+    HOPELESS_WALKS covers are an error: exact=True finds them without keys."""
     rng = np.random.default_rng(7 * size + 1)
     length = max(size, min(int(size * _GRID_RATIO), ITEM_WORDS))
     words = rng.integers(1, 1 << 30, (4 * TRIALS, length))
@@ -107,8 +110,8 @@ def walks_for(size: int, edits: float, recall: float) -> int:
             trial += [t] * len(places)
     ids, item_at, text_at = np.concatenate(texts), np.array(item_at), np.array(text_at)
     walks = LEAST_WALKS
-    while walks < MOST_WALKS:
-        walks = min(2 * walks, MOST_WALKS)
+    while True:
+        walks *= 2
         same = embedded_keys(words.ravel(), item_at, size, walks) == embedded_keys(ids, text_at, size, walks)
         found = np.zeros((4 * TRIALS, walks), bool)
         np.logical_or.at(found, np.array(trial), same.reshape(len(trial), walks, SAMPLINGS).any(2))
@@ -116,7 +119,8 @@ def walks_for(size: int, edits: float, recall: float) -> int:
         enough = np.flatnonzero(by_kind >= recall)
         if len(enough):
             return max(LEAST_WALKS, int(enough[0]) + 1)
-    return MOST_WALKS
+        if walks >= HOPELESS_WALKS:
+            raise ValueError(f"a recall of {recall} is out of reach for {edits} edits a word in windows of {size} words; use exact=True")
 
 
 def closest_stretch(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
@@ -154,8 +158,9 @@ class Block:
     short: dict[int, list[int]]
 
 
-def block_of(texts: list[str], edits: float = EDITS, recall: float = RECALL) -> Block:
-    """Items are numbered by their place in texts; those without words aren't items."""
+def block_of(texts: list[str], edits: float = EDITS, recall: float = RECALL, exact: bool = False) -> Block:
+    """Items are numbered by their place in texts; those without words aren't items. The exact way needs
+    no walks, but one for the offsets of its windows."""
     distinct, codes, bounds = coded_words(texts)
     items, pieces, piece_words, short = [], [], [], {}
     for number, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
@@ -181,7 +186,7 @@ def block_of(texts: list[str], edits: float = EDITS, recall: float = RECALL) ->
     rarity = np.empty(len(distinct) + 1, np.int64)
     rarity[np.lexsort((-np.array([99, *map(len, distinct)]), held_by))] = np.arange(len(distinct) + 1)
     for size, own in by_size.items():
-        walks = walks_for(size, edits, recall)
+        walks = 1 if exact else walks_for(size, edits, recall)
         keys, number, offset = [], [], []
         filters = []
         for share in RARE_SHARES:
@@ -306,7 +311,7 @@ def matches(texts: list[str], block: Block, edits: float = EDITS, exact: bool =
     return out
 
 
-def blocks_of(benchmark: DataFrame, edits: float, recall: float, block_bytes: int) -> tuple[DataFrame, list[tuple[list[str], Block]]]:
+def blocks_of(benchmark: DataFrame, edits: float, recall: float, block_bytes: int, exact: bool) -> tuple[DataFrame, list[tuple[list[str], Block]]]:
     """The benchmark's (item_id, text_key), staged, and its distinct texts in blocks of about block_bytes.
 
     Texts that many items share are taken once. The driver reads one block after another; what it
@@ -319,7 +324,7 @@ def blocks_of(benchmark: DataFrame, edits: float, recall: float, block_bytes: in
     out = []
     for k in range(n):
         rows = list((texts if n == 1 else texts.where(F.pmod(F.xxhash64("text_key"), F.lit(n)) == k)).toLocalIterator())
-        out.append(([r.text_key for r in rows], block_of([r.text for r in rows], edits, recall)))
+        out.append(([r.text_key for r in rows], block_of([r.text for r in rows], edits, recall, exact)))
     return own.select("item_id", "text_key"), out
 
 
@@ -335,7 +340,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, re
     for each of its texts. recall is the share of items with as many edits as allowed that a
     window must lead to; with exact every window that could hold an item is verified.
     """
-    named, blocks = blocks_of(benchmark, edits, recall, block_bytes)
+    named, blocks = blocks_of(benchmark, edits, recall, block_bytes, exact)
     found = reduce(DataFrame.unionByName, [scanned(docs, keys, block, edits, exact) for keys, block in blocks])
     # As many rows as the benchmark has items: broadcast only if Spark finds them few.
     return found.join(named, "text_key").select("doc_id", "item_id", "edits", "item_words", "first_word", "end_word")
@@ -364,7 +369,7 @@ def scanned(docs: DataFrame, keys: list[str], block: Block, edits: float, exact:
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, recall: float = RECALL, exact: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of docs in which no item is found, with all their columns; cases as in contaminated."""
-    _, blocks = blocks_of(benchmark, edits, recall, block_bytes)
+    _, blocks = blocks_of(benchmark, edits, recall, block_bytes, exact)
     kept = short_batches(docs)
     for _, block in blocks:
         shared = docs.sparkSession.sparkContext.broadcast(block)
