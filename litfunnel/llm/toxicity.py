@@ -263,8 +263,26 @@ def score_toxicity(docs: DataFrame, model: Model, score_column: str = "score") -
     return docs.mapInArrow(scored, StructType([*docs.schema.fields]).add(score_column, DoubleType()))
 
 
+def word_spans(text: str) -> list[tuple[int, int]]:
+    """Where the words of the lower-case text stand in the text itself. One character may become several
+    in lower case; a word that begins or ends inside such a character takes all of it."""
+    low = text.lower()
+    spans = [m.span() for m in WORD.finditer(low)]
+    if len(low) == len(text):
+        return spans
+    ends = np.cumsum([len(c.lower()) for c in text])
+    at = np.array(spans, np.int64).reshape(-1, 2)
+    first, last = np.searchsorted(ends, at[:, 0], "right"), np.searchsorted(ends, at[:, 1] - 1, "right") + 1
+    return list(zip(first.tolist(), last.tolist(), strict=True))
+
+
 def toxic_passages(docs: DataFrame, model: Model, at_most: float = 0.01) -> DataFrame:
-    """One row per significant passage: doc_id, start, end (code points), significance (-log of the expectation), passage."""
+    """One row per significant passage: doc_id, start, end (code points of the text as it stands), significance
+    (-log of the expectation), passage.
+
+    Null and empty texts and those without words have none; texts are read whole. Repeated rows give their
+    passages again, a null doc_id stays null, other columns are ignored. An empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,10 +292,8 @@ def toxic_passages(docs: DataFrame, model: Model, at_most: float = 0.01) -> Data
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch.column("text")), strict=True):
                 segments, _ = shared.value.significant(text, cache, at_most)
                 if segments:
-                    low = text.lower()
-                    spans = [m.span() for m in WORD.finditer(low if len(low) == len(text) else text)]
-                    rows += [(doc_id, spans[a][0], spans[min(b, len(spans)) - 1][1], e) for a, b, e in segments if a < len(spans)]
-                    rows[:] = [(*r[:4], text[r[1] : r[2]]) if len(r) == 4 else r for r in rows]
+                    spans = word_spans(text)
+                    rows += [(doc_id, spans[a][0], spans[b - 1][1], e, text[spans[a][0] : spans[b - 1][1]]) for a, b, e in segments]
             columns = list(zip(*rows, strict=True)) or [[]] * 5
             kinds = [pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.string()]
             yield pa.record_batch([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "start", "end", "significance", "passage"])

@@ -267,6 +267,10 @@ def test_decontamination_exact_way_and_special_items(spark):
     kept = decontaminate.without_contaminated(d, bench)
     assert kept.columns == d.columns and sorted(x.doc_id for x in kept.collect()) == [1, 4, 5, 6, 7]
     assert decontaminate.walks_for(20, 0.2, 0.9) <= decontaminate.walks_for(20, 0.2, 0.99)
+    # More edits take more walks, without a silent end; where no number of them does, it is an error.
+    assert decontaminate.walks_for(20, 0.2, 0.99) < decontaminate.walks_for(20, 0.3, 0.99)
+    with pytest.raises(ValueError, match="exact"):
+        decontaminate.walks_for(60, 0.9, 0.99)
 
 
 def test_closest_stretch():
@@ -542,3 +546,42 @@ def test_empty_tables(spark):
     model = toxicity.fit(d, spark.createDataFrame([(1, 1, 1)], "doc_id long, quality int, toxic int"))
     assert toxicity.score_toxicity(d, model).count() == 0
     assert chat.format_conversations(chat.chain(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))).count() == 0
+
+
+def vile_model():
+    model = toxicity.Model(np.full(toxicity.BUCKETS, -0.4), np.full(toxicity.BUCKETS, 0.1), rate=1.0, scale=0.01)
+    model.delta[toxicity.features("vile")] = 5.0
+    return model
+
+
+def segments_by_definition(scores):
+    """The best stretch (of equal ones the leftmost shortest), then the same on either side of it."""
+    best = max(((sum(scores[a:b]), -(b - a), -a) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)), default=(0, 0, 0))
+    if best[0] <= 1e-9:
+        return []
+    a = -best[2]
+    b = a - best[1]
+    right = [(x + b, y + b, s) for x, y, s in segments_by_definition(scores[b:])]
+    return segments_by_definition(scores[:a]) + [(a, b, best[0])] + right
+
+
+def test_passages_against_definition(spark):
+    r = random.Random(8)
+    model = vile_model()
+    texts = ["İstanbul İzmir calm words here vile vile calm end of text", None, "", " . "]
+    for _ in range(60):
+        words = r.choices(["İzmir", "calm", "vile", "VILE", "Straße", "ΑΣ", "a"], weights=[2, 4, 3, 1, 1, 1, 2], k=r.randrange(1, 25))
+        texts.append("".join(w + r.choice([" ", ", ", "\n", "İ "]) for w in words))
+    docs = spark.createDataFrame([(i if i % 7 else None, t, "x", 1) for i, t in enumerate(texts)] + [(1, texts[0], "x", 1)] * 2, "doc_id long, text string, passage string, start int").repartition(4)
+    want = collections.Counter()
+    for doc_id, t in [(r.doc_id, r.text or "") for r in docs.collect()]:
+        owner = [i for i, c in enumerate(t) for _ in c.lower()]
+        spans = [m.span() for m in re.finditer(r"\w+", t.lower())]
+        scores = [model.word_score(t.lower()[a:b]) for a, b in spans]
+        for a, b, s in segments_by_definition(scores):
+            e = model.rate * s - np.log(max(model.scale * len(scores), 1e-9))
+            if e > -np.log(0.01):
+                first, last = owner[spans[a][0]], owner[spans[b - 1][1] - 1] + 1
+                want[doc_id, first, last, round(e, 6), t[first:last]] += 1
+    got = collections.Counter((x.doc_id, x.start, x.end, round(x.significance, 6), x.passage) for x in toxicity.toxic_passages(docs, model).collect())
+    assert got == want and any(p == "vile vile" for *_, p in got)
