@@ -378,6 +378,58 @@ def organisation_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("c_custkey", F.when(F.col("matched_by") != "created", F.col("org_id")).alias("org_id"), "matched_by")
 
 
+#: Customers as mentions: chains of shared ROR ids, OpenAlex ids and names inside each dozen, some of which name a supplier.
+MENTIONS = """(SELECT c_custkey, CASE WHEN c_custkey % 12 NOT IN (0, 7) AND c_custkey % 2 = 0 THEN 'q' || (c_custkey // 4) END AS ror, CASE WHEN c_custkey % 12 NOT IN (0, 7) AND c_custkey % 3 = 0 THEN 'w' || (c_custkey // 6) END AS oa,
+  CASE c_custkey % 60 WHEN 5 THEN 'supplier#' || lpad(CAST(c_custkey % 7 + 1 AS VARCHAR), 9, '0') WHEN 10 THEN 'supplier#' || lpad(CAST(c_custkey % 5 + 1 AS VARCHAR), 9, '0') ELSE 'lab ' || (c_custkey // 12) || '-' || (c_custkey % 12 // 3) END AS name FROM customer)"""
+
+
+def mentioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("c_custkey")
+    some = ~(n % 12).isin(0, 7)
+    part = lambda by: F.floor(n / by).cast("string")
+    supplier = lambda by: F.concat(F.lit("Supplier#"), F.lpad((n % by + 1).cast("string"), 9, "0"))
+    name = F.when(n % 60 == 5, supplier(7)).when(n % 60 == 10, supplier(5)).otherwise(F.concat(F.lit(" Lab "), part(12), F.lit("-"), F.floor(n % 12 / 3).cast("string")))
+    return table(spark, sf_dir, "customer").select(n, name.alias("name"), F.when(some & (n % 2 == 0), F.concat(F.lit("q"), part(4))).alias("ror_id"), F.when(some & (n % 3 == 0), F.concat(F.lit("w"), part(6))).alias("openalex_id"))
+
+
+@query(f"""WITH RECURSIVE m AS MATERIALIZED {MENTIONS},
+  direct AS (SELECT c_custkey, s_suppkey AS org_id, s_suppkey % 4 <> 0 AS no_ror, s_suppkey % 4 <> 1 AS no_oa FROM m JOIN supplier ON name = lower(s_name)),
+  keys AS (SELECT c_custkey, 'r' || ror AS k, 'ror' AS kind FROM m WHERE ror IS NOT NULL UNION ALL SELECT c_custkey, 'o' || oa, 'oa' FROM m WHERE oa IS NOT NULL UNION ALL SELECT c_custkey, 'n' || name, 'name' FROM m),
+  fresh AS MATERIALIZED (SELECT * FROM keys WHERE c_custkey NOT IN (SELECT c_custkey FROM direct)),
+  link AS MATERIALIZED (SELECT DISTINCT a.c_custkey AS a, b.c_custkey AS b FROM fresh a JOIN fresh b USING (k)),
+  reach AS (SELECT DISTINCT c_custkey AS a, c_custkey AS b FROM fresh UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+  class AS (SELECT a AS c_custkey, min(b) AS first FROM reach GROUP BY a),
+  taught AS (SELECT k, min(org_id) AS org_id FROM keys JOIN direct USING (c_custkey) WHERE kind = 'name' OR (kind = 'ror' AND no_ror) OR (kind = 'oa' AND no_oa) GROUP BY k),
+  linked AS (SELECT first, min(org_id) AS org_id FROM class JOIN fresh USING (c_custkey) JOIN taught USING (k) GROUP BY first)
+  SELECT c_custkey, org_id, 'name' AS matched_by, CAST(NULL AS BIGINT) AS first_mention FROM direct
+  UNION ALL SELECT c_custkey, org_id, CASE WHEN org_id IS NULL THEN 'created' ELSE 'linked' END, CASE WHEN org_id IS NULL THEN first END FROM class LEFT JOIN linked USING (first)""")
+def organisation_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New organisations are told by their first mention: their ids are hashes."""
+    o, aliases = known(spark, sf_dir)
+    found = organisations.resolved(mentioned(spark, sf_dir), o, aliases, "c_custkey")
+    new = F.col("matched_by") == "created"
+    first = found.where(new).groupBy("org_id").agg(F.min("c_custkey").alias("first_mention"))
+    return found.join(first, "org_id", "left").select("c_custkey", F.when(~new, F.col("org_id")).alias("org_id"), "matched_by", "first_mention")
+
+
+@query(f"""WITH w AS (SELECT c_nationkey AS entry, 'Nation Body ' || c_nationkey AS name, c_nationkey % 4 AS priority, 'nb' || c_nationkey || '.org' AS domain FROM customer GROUP BY ALL),
+  k AS (SELECT entry, CASE WHEN entry % 5 = 0 THEN (SELECT min(s_suppkey) FROM supplier WHERE s_suppkey % 4 = 0 AND s_suppkey > entry) END AS org_id, name, priority, domain FROM w),
+  listed AS (SELECT org_id, arg_min(priority, entry) AS priority FROM k WHERE org_id IS NOT NULL GROUP BY org_id)
+  SELECT s_name AS canonical_name, coalesce(priority, 0) AS priority, priority IS NOT NULL AS is_org_of_interest, 2 + coalesce((SELECT 3 * count(*) FROM k WHERE k.org_id = s_suppkey), 0) AS n_aliases FROM supplier LEFT JOIN listed ON listed.org_id = s_suppkey
+  UNION ALL SELECT name, priority, true, 3 FROM k WHERE org_id IS NULL""")
+def seeded_watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth nation's body is known by the ROR id of a supplier; the others are new organisations."""
+    o, aliases = known(spark, sf_dir)
+    n = F.col("c_nationkey")
+    rors = o.where("ror_id IS NOT NULL").select("org_id", F.col("ror_id").alias("r"))
+    w = table(spark, sf_dir, "customer").select(n.cast("int").alias("entry")).distinct()
+    first = w.where("entry % 5 = 0").join(rors, F.col("org_id") > F.col("entry")).groupBy("entry").agg(F.min_by("r", "org_id").alias("ror_id"))
+    entry = F.col("entry").cast("string")
+    w = w.join(first, "entry", "left").select("entry", F.concat(F.lit("Nation Body "), entry).alias("name"), (F.col("entry") % 4).alias("priority"), "ror_id", F.lit(None).cast("string").alias("openalex_id"), F.array(F.concat(F.lit("Body of "), entry)).alias("aliases"), F.array(F.concat(F.lit("@NB"), entry, F.lit(".org."))).alias("domains"))
+    orgs, names = organisations.seeded(w, o, aliases)
+    return orgs.join(names.groupBy("org_id").agg(F.count("*").alias("n_aliases")), "org_id").select("canonical_name", "priority", "is_org_of_interest", "n_aliases")
+
+
 @query("""SELECT s_suppkey AS org_id, CASE WHEN s_suppkey = 8 THEN 1 WHEN s_suppkey = 5 THEN 3 WHEN s_nationkey = 3 THEN 2 WHEN s_suppkey = 7 THEN 1 ELSE 0 END AS priority, s_suppkey IN (8, 5, 7) OR s_nationkey = 3 AS is_org_of_interest FROM supplier""")
 def watched_organisations(spark: SparkSession, sf_dir: str) -> DataFrame:
     o, aliases = known(spark, sf_dir)
