@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from litfunnel.functions import text
-from litfunnel.operators import organisations as org
 
 #: Fixed values of the line rules.
 LABEL = r"(?i)^\s*(affiliation|affiliations|email|e-mail|emails|address|corresponding author|correspondence|institution|authors?|thanks|acknowledg\w*|keywords?|subjects?|comments?|title|abstract|cite as|doi)\s*:\s*"
@@ -28,9 +26,6 @@ ORG_WORDS = (
 )
 ORG_ENDINGS = ("inc", "ltd", "llc", "plc", "gmbh", "ag", "bv", "sa", "spa", "pte", "pvt")
 MAIL = r"[\w.+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
-#: Confidence by kind of evidence, for an author and for a whole paper; what several authors take off.
-EXPLICIT, MAIL_OF_AUTHOR, MAIL_OF_PAPER, SHARED = 0.85, 0.9, 0.75, 0.75
-MOST_AUTHORS = 50
 
 
 def cleaned(c: Column) -> Column:
@@ -110,20 +105,33 @@ def organisation_candidates(line: Column) -> Column:
     return _bound(F.flatten(F.transform(segments, names)), lambda found: text.first_of_each(found, F.lower))
 
 
-def affiliation_evidence(papers: DataFrame, key: str) -> DataFrame:
-    """(key, place, line, label, candidates) of the lines that may name an organisation.
+def parsed_entries(papers: DataFrame, key: str) -> DataFrame:
+    """paper, place, entry, label, line, candidates, mails, domains of every entry of affiliation_text that has any text.
 
-    papers: key, affiliation_text (array of lines; null: none). Labels are stripped; author lists,
-    keywords and the like, mail lines, submission notes and repeated lines fall out, and so do
-    thanks and contact lines without a name.
+    Entries repeat a lot: each different one is read once, and the readings are joined back.
     """
-    rows = papers.select(key, F.posexplode("affiliation_text").alias("place", "entry"))
-    rows = rows.select(key, "place", F.trim("entry").alias("entry"), F.lower(F.regexp_extract("entry", LABEL, 1)).alias("label"), cleaned(F.regexp_replace("entry", LABEL, "")).alias("line"))
-    kept = rows.where((F.col("line") != "") & ~F.col("label").isin(*DROPPED_LABELS) & ~F.col("line").rlike(NOISE) & ~F.col("entry").rlike(NOISE) & ~F.lower("line").isin("corresponding author", "n/a", "none"))
-    first = Window.partitionBy(key, F.lower("line")).orderBy("place")
-    kept = kept.withColumn("_rank", F.row_number().over(first)).where("_rank = 1").drop("_rank", "entry").withColumn("candidates", organisation_candidates(F.col("line")))
-    contact = F.col("line").rlike(r"@([A-Za-z0-9.-]+\.[A-Za-z]{2,})")
-    return kept.where((F.size("candidates") > 0) | ~(contact | F.col("label").isin(*THANKS)))
+    entries = papers.select(F.col(key).alias("paper"), F.posexplode("affiliation_text").alias("place", "entry")).where("entry IS NOT NULL")
+    read = entries.select("entry").distinct().withColumn("label", F.lower(F.regexp_extract("entry", LABEL, 1))).withColumn("line", cleaned(F.regexp_replace(F.trim("entry"), LABEL, ""))).where("line <> ''")
+    read = read.select("*", organisation_candidates(F.col("line")).alias("candidates"), text.emails(F.col("line")).alias("mails"), text.mail_domains(F.col("line")).alias("domains"))
+    return entries.join(read, "entry").select("paper", "place", "entry", "label", "line", "candidates", "mails", "domains")
+
+
+def evidence_lines(parsed: DataFrame) -> DataFrame:
+    """paper, place, line, label, candidates of the parsed entries that may name an organisation.
+
+    Author lists, keywords and the like, mail lines, submission notes and repeated lines fall out, and so
+    do thanks and contact lines without a name.
+    """
+    entry = F.trim("entry")
+    kept = parsed.where(~F.col("label").isin(*DROPPED_LABELS) & ~F.col("line").rlike(NOISE) & ~entry.rlike(NOISE) & ~F.lower("line").isin("corresponding author", "n/a", "none"))
+    first = F.min_by(F.struct("place", "line", "label", "candidates", (F.size("domains") > 0).alias("contact")), "place")
+    one = kept.groupBy("paper", F.lower("line").alias("low")).agg(first.alias("x")).select("paper", "x.*")
+    return one.where((F.size("candidates") > 0) | ~(F.col("contact") | F.col("label").isin(*THANKS))).drop("contact")
+
+
+def affiliation_evidence(papers: DataFrame, key: str) -> DataFrame:
+    """(key, place, line, label, candidates) of the lines of papers (key, affiliation_text array; null: none) that may name an organisation."""
+    return evidence_lines(parsed_entries(papers, key)).withColumnRenamed("paper", key).select(key, "place", "line", "label", "candidates")
 
 
 def grounding_span(name: Column, line: Column) -> Column:
@@ -142,11 +150,11 @@ def less_specific(name: Column, candidate: Column) -> Column:
     return (text.grounding_key(name) != "") & (count(name) < count(candidate)) & F.contains(padded(candidate), padded(name)) & extra
 
 
-def chosen_registry_match(matches: DataFrame, key: list[str], least_score: float = 0.5) -> DataFrame:
+def chosen_registry_match(matches: DataFrame, key: list[str], least_score: float = 0.5, kept: Sequence[str] = ()) -> DataFrame:
     """One accepted registry record for each key (and raw line): the name with the longest literal
     span in line or candidate, then the earliest; else the first record one of whose aliases stands there.
 
-    matches: key, line, candidate, place (rank in the registry's answer), org_name, aliases, score.
+    matches: key, line, candidate, place (rank in the registry's answer), org_name, aliases, score, and columns to be kept.
     """
     m = matches.where((F.coalesce("score", F.lit(0.0)) >= least_score) & (F.nullif(F.trim("org_name"), F.lit("")).isNotNull())).where(~less_specific(F.col("org_name"), F.col("candidate")))
     span = lambda n: F.coalesce(grounding_span(n, F.col("line")), grounding_span(n, F.col("candidate")))
@@ -154,7 +162,7 @@ def chosen_registry_match(matches: DataFrame, key: list[str], least_score: float
     m = m.withColumn("span", span(F.col("org_name"))).withColumn("alias_span", F.when(F.col("span").isNull(), by_alias)).where("span IS NOT NULL OR alias_span IS NOT NULL")
     rank = F.row_number().over(Window.partitionBy(*key).orderBy(F.col("span").isNull(), F.desc(F.when(F.col("span").isNotNull(), F.length("span"))), "place"))
     confidence = F.when(F.col("span").isNotNull(), F.least(F.lit(0.85), 0.6 + 0.25 * F.col("score"))).otherwise(0.6)
-    return m.withColumn("_rank", rank).where("_rank = 1").select(*key, "org_name", F.coalesce("span", "alias_span").alias("evidence_value"), confidence.alias("confidence"))
+    return m.withColumn("_rank", rank).where("_rank = 1").select(*key, "org_name", *kept, F.coalesce("span", "alias_span").alias("evidence_value"), confidence.alias("confidence"))
 
 
 def registry_records(raw: DataFrame) -> DataFrame:
@@ -169,38 +177,3 @@ def registry_records(raw: DataFrame) -> DataFrame:
         F.array_except(F.array_distinct(F.concat(F.coalesce("r.aliases", empty), typed("alias"), typed("label"))), F.array(name)).alias("aliases"),
         F.array_distinct(F.concat(F.coalesce("r.acronyms", empty), typed("acronym"))).alias("acronyms"), F.coalesce("r.domains", empty).alias("domains"),
     )
-
-
-def paper_level(evidence: DataFrame, authors: DataFrame, key: str) -> DataFrame:
-    """Evidence on a paper for each of its authors; more than one author takes a quarter off its
-    confidence, more than MOST_AUTHORS make it too ambiguous to keep."""
-    n = authors.groupBy(key).agg(F.count("*").alias("n_authors"))
-    j = evidence.join(n.where(f"n_authors <= {MOST_AUTHORS}"), key)
-    single = F.col("n_authors") == 1
-    j = j.withColumn("confidence", F.when(single, F.col("confidence")).otherwise(F.round(F.col("confidence") * SHARED, 3))).withColumn("scope", F.when(single, "author_specific").otherwise("paper_level_unassigned"))
-    return j.drop("n_authors").join(authors.select(key, "author_position"), key)
-
-
-def affiliation_cascade(papers: DataFrame, authors: DataFrame, organisations: DataFrame, aliases: DataFrame, key: str) -> DataFrame:
-    """Evidence rows (key, author_position, org_id, evidence_type, evidence_value, confidence, scope) of
-    the paper's own words: names it states that are known, then domains of its mail addresses.
-
-    papers: key, affiliation_text, emails (arrays). Each (author, organisation, type, value) is kept once.
-    """
-    from litfunnel.operators.authors import author_of_mail
-
-    lines = affiliation_evidence(papers, key).select(key, "line", F.explode("candidates").alias("name"))
-    known = org.known_keys(organisations, aliases).where("tier >= 2").groupBy("key").agg(F.min(F.struct("tier", "org_id")).alias("m")).select("key", "m.org_id")
-    named = lines.join(known, F.lower(F.trim("name")) == F.col("key")).join(organisations.select("org_id", "canonical_name"), "org_id")
-    named = named.where(text.grounded(F.col("canonical_name"), F.col("line")) | text.grounded(F.col("name"), F.col("line")))
-    explicit = named.select(key, "org_id", F.lit("explicit_paper_affiliation").alias("evidence_type"), F.coalesce(grounding_span(F.col("name"), F.col("line")), F.col("name")).alias("evidence_value"), F.lit(EXPLICIT).alias("confidence"))
-    mails = papers.select(key, F.explode("emails").alias("email")).select(key, F.lower("email").alias("email")).distinct()
-    hosts = mails.withColumn("domain", F.substring_index("email", "@", -1))
-    hosts = hosts.join(org.of_domains(hosts.select(key, "domain").distinct(), aliases, key, "domain"), [key, "domain"])
-    owned = hosts.join(author_of_mail(mails, authors, key), [key, "email"], "left")
-    by_author = owned.where("author_position IS NOT NULL").select(key, "author_position", "org_id", F.lit("email_domain").alias("evidence_type"), F.col("domain").alias("evidence_value"), F.lit(MAIL_OF_AUTHOR).alias("confidence"), F.lit("author_specific").alias("scope"))
-    by_paper = owned.where("author_position IS NULL").select(key, "org_id", F.lit("email_domain").alias("evidence_type"), F.col("domain").alias("evidence_value"), F.lit(MAIL_OF_PAPER).alias("confidence"))
-    columns = [key, "author_position", "org_id", "evidence_type", "evidence_value", "confidence", "scope"]
-    rows = reduce(DataFrame.unionByName, [paper_level(explicit, authors, key).select(*columns), by_author.select(*columns), paper_level(by_paper, authors, key).select(*columns)])
-    best = F.max(F.struct("confidence", "scope")).alias("b")
-    return rows.groupBy(key, "author_position", "org_id", "evidence_type", "evidence_value").agg(best).select(*columns[:5], "b.confidence", "b.scope")

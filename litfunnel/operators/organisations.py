@@ -30,7 +30,7 @@ def known_keys(organisations: DataFrame, aliases: DataFrame) -> DataFrame:
     organisations: org_id, canonical_name, ror_id, openalex_id; aliases: org_id, alias, alias_type.
     """
     of = lambda tier, kind, column: organisations.where(F.nullif(F.trim(column), F.lit("")).isNotNull()).select(F.lit(tier).alias("tier"), F.lit(kind).alias("kind"), F.trim(column).alias("key"), "org_id")
-    parts = [of(0, "ror", "ror_id"), of(1, "openalex", "openalex_id"), of(2, "name", F.lower("canonical_name")), aliases.where("alias_type <> 'domain'").select(F.lit(3).alias("tier"), F.lit("alias").alias("kind"), F.lower(F.trim("alias")).alias("key"), "org_id")]
+    parts = [of(0, "ror", "ror_id"), of(1, "openalex", "openalex_id"), of(2, "name", F.lower("canonical_name")), aliases.select(F.lit(3).alias("tier"), F.lit("alias").alias("kind"), F.lower(F.trim("alias")).alias("key"), "org_id")]
     return reduce(DataFrame.unionByName, parts).groupBy("tier", "kind", "key").agg(F.min("org_id").alias("org_id"))
 
 

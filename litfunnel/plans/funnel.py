@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from litfunnel import config
 from litfunnel.functions import text
-from litfunnel.operators import adjudication, affiliation, authors, core, golden, ingest, ledger, organisations, relevance, responses, signals
+from litfunnel.operators import adjudication, affiliation, affiliation_stage, authors, core, golden, ingest, ledger, organisations, relevance, responses, signals
 from litfunnel.plans.queries import EVIDENCE, HALF, Q_SQL, RUBRIC, SCREEN_SQL, WIDE, evidence, log, query, wide
 from litfunnel.sources.records import archive_manifest as manifest_of
 from litfunnel.sources.records import table
@@ -489,33 +489,85 @@ def open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Affiliations
 
-PLACES = ("Affiliation: Department of Mathematics Purdue University, West Lafayette, IN", "Email: {a, b}@s3.edu", "Authors: Ada Jones", "Thanks: the kind people we met", "Institute of Applied Things for Everyone; Google DeepMind", "Submitted on 3 May", "corresponding author")
+PLACES = ("Affiliation: Department of Tides Westmark University, Port Ellen, QX", "Email: {a, b}@s3.edu", "Authors: Ada Jones", "Thanks: the kind people we met", "Institute of Applied Things for Everyone; Blue Heron", "Submitted on 3 May", "corresponding author")
 
 
-@query("""SELECT c_custkey, line, candidates FROM (SELECT c_custkey, CASE c_custkey % 7 WHEN 0 THEN 'Department of Mathematics Purdue University, West Lafayette, IN' WHEN 4 THEN 'Institute of Applied Things for Everyone; Google DeepMind' END AS line,
-  CASE c_custkey % 7 WHEN 0 THEN 'Purdue University|West Lafayette' WHEN 4 THEN 'Institute of Applied Things for Everyone|Google DeepMind' END AS candidates FROM customer) WHERE line IS NOT NULL""")
+@query("""SELECT c_custkey, line, candidates FROM (SELECT c_custkey, CASE c_custkey % 7 WHEN 0 THEN 'Department of Tides Westmark University, Port Ellen, QX' WHEN 4 THEN 'Institute of Applied Things for Everyone; Blue Heron' END AS line,
+  CASE c_custkey % 7 WHEN 0 THEN 'Westmark University|Port Ellen' WHEN 4 THEN 'Institute of Applied Things for Everyone|Blue Heron' END AS candidates FROM customer) WHERE line IS NOT NULL""")
 def affiliation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = by_rest("c_custkey", 7, *PLACES)
     p = table(spark, sf_dir, "customer").select("c_custkey", F.array(line, F.upper(line)).alias("affiliation_text"))
     return affiliation.affiliation_evidence(p, "c_custkey").select("c_custkey", "line", F.array_join("candidates", "|").alias("candidates"))
 
 
-@query("""WITH a AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1), p AS (SELECT o_orderkey, o_orderkey % 9 + 1 AS s, n FROM orders JOIN a ON l_orderkey = o_orderkey)
-  SELECT DISTINCT o_orderkey, l_linenumber AS author_position, CAST(s AS BIGINT) AS org_id, 'explicit_paper_affiliation' AS evidence_type, 'Supplier#' || lpad(CAST(s AS VARCHAR), 9, '0') AS evidence_value, CASE n WHEN 1 THEN 0.85 ELSE 0.638 END::DOUBLE AS confidence, CASE n WHEN 1 THEN 'author_specific' ELSE 'paper_level_unassigned' END AS scope
-  FROM p JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderkey % 2 = 0
-  UNION ALL SELECT o_orderkey, CAST(1 AS INT), CAST(s AS BIGINT), 'email_domain', 'cs.s' || s || '.edu', 0.9::DOUBLE, 'author_specific' FROM p WHERE o_orderkey % 3 = 0 AND EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_linenumber = 1)
-  UNION ALL SELECT DISTINCT o_orderkey, l_linenumber, CAST(s AS BIGINT), 'email_domain', CASE o_orderkey % 3 WHEN 0 THEN 'cs.s' ELSE 's' END || s || '.edu', CASE n WHEN 1 THEN 0.75 ELSE 0.563 END::DOUBLE, CASE n WHEN 1 THEN 'author_specific' ELSE 'paper_level_unassigned' END FROM p JOIN lineitem ON l_orderkey = o_orderkey
-    WHERE o_orderkey % 3 = 1 OR (o_orderkey % 3 = 0 AND NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o_orderkey AND l.l_linenumber = 1))""")
+#: Confidence and scope of paper-level evidence: a quarter off for several authors, ties in the third place going down.
+def _paper_level(one: str, several: str) -> str:
+    return f"CASE n WHEN 1 THEN {one} ELSE {several} END::DOUBLE AS confidence, CASE n WHEN 1 THEN 'author_specific' ELSE 'paper_level_unassigned' END AS scope"
+
+
+@query(f"""WITH a AS (SELECT l_orderkey, count(*) AS n, bool_or(l_linenumber = 1) AS has_one FROM lineitem GROUP BY 1),
+  p AS (SELECT o_orderkey, CAST(o_orderkey % 9 + 1 AS BIGINT) AS s, CAST(o_orderkey % 7 + 1 AS BIGINT) AS t, n, has_one FROM orders JOIN a ON l_orderkey = o_orderkey),
+  e AS (
+    SELECT o_orderkey, s AS org_id, 'explicit_paper_affiliation' AS evidence_type, 'Supplier#' || lpad(CAST(s AS VARCHAR), 9, '0') || ' Company' AS evidence_value, {_paper_level("0.85", "0.637")} FROM p WHERE o_orderkey % 2 = 0
+    UNION ALL SELECT o_orderkey, s, 'email_domain', CASE o_orderkey % 3 WHEN 0 THEN 'cs.s' ELSE 's' END || s || '.edu', {_paper_level("0.75", "0.562")} FROM p WHERE o_orderkey % 3 = 1 OR (o_orderkey % 3 = 0 AND NOT has_one)
+    UNION ALL SELECT o_orderkey, t, 'email_domain', 's' || t || '.edu', {_paper_level("0.75", "0.562")} FROM p WHERE o_orderkey % 2 = 0 AND NOT (o_orderkey % 3 = 1 AND s = t)
+    UNION ALL SELECT o_orderkey, NULL, 'explicit_paper_affiliation', 'Northern Institute of Quiet Studies', CASE n WHEN 1 THEN 0.5 ELSE 0.375 END, 'unresolved_raw' FROM p WHERE o_orderkey % 4 = 1)
+  SELECT o_orderkey, l_linenumber AS author_position, org_id, evidence_type, evidence_value, confidence, scope FROM e JOIN lineitem ON l_orderkey = o_orderkey
+  UNION SELECT o_orderkey, 1, s, 'email_domain', 'cs.s' || s || '.edu', 0.9, 'author_specific' FROM p WHERE o_orderkey % 3 = 0 AND has_one""")
 def affiliation_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known names, two mails of one domain (the first decides), groups of addresses, lines that nobody knows."""
     o, aliases = known(spark, sf_dir)
     n = F.col("o_orderkey")
-    s = (n % 9 + 1).cast("string")
+    s, t = ((n % k + 1).cast("string") for k in (9, 7))
     line = F.concat(F.lit("Affiliation: Dept. 7 | Supplier#"), F.lpad(s, 9, "0"), F.lit(" Company"))
-    mail = F.when(n % 3 == 0, F.concat(F.lit("line.one@cs.s"), s, F.lit(".edu"))).when(n % 3 == 1, F.concat(F.lit("x@s"), s, F.lit(".edu"))).otherwise("ada@gmail.com")
-    p = table(spark, sf_dir, "orders").select(n, F.when(n % 2 == 0, F.array(line)).alias("affiliation_text"), F.array(mail).alias("emails"))
-    a = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_linenumber").alias("author_position"), F.when(F.col("l_linenumber") == 1, "Line One").otherwise("Else Where").alias("normalized_name"))
-    company = o.select("org_id", F.concat("canonical_name", F.lit(" Company")).alias("alias"), F.lit("name").alias("alias_type"))
-    return affiliation.affiliation_cascade(p, a, o, aliases.unionByName(company), "o_orderkey").withColumn("evidence_value", F.regexp_replace("evidence_value", " Company$", ""))
+    lines = F.when(n % 2 == 0, F.array(line, F.concat(F.lit("E-mail: {a, b}@s"), t, F.lit(".edu")))).when(n % 4 == 1, F.array(F.lit("Northern Institute of Quiet Studies"), F.lit("northern institute of quiet studies")))
+    at = lambda name: F.concat(F.lit(name), s, F.lit(".edu"))
+    mails = F.when(n % 3 == 0, F.array(at("line.one@cs.s"), at("else.where@cs.s"))).when(n % 3 == 1, F.array(at("x@s"))).otherwise(F.array(F.lit("ada@gmail.com")))
+    p = table(spark, sf_dir, "orders").select(n, lines.alias("affiliation_text"), mails.alias("emails"))
+    found = affiliation_stage.affiliation_cascade(p, line_authors(spark, sf_dir), o, with_company(o, aliases), "o_orderkey", mode="fast")
+    return found.rows.select("o_orderkey", "author_position", "org_id", "evidence_type", "evidence_value", "confidence", "scope")
+
+
+def with_company(o: DataFrame, aliases: DataFrame) -> DataFrame:
+    return aliases.unionByName(o.select("org_id", F.concat("canonical_name", F.lit(" Company")).alias("alias"), F.lit("name").alias("alias_type")))
+
+
+def line_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = table(spark, sf_dir, "lineitem")
+    return a.select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_linenumber").alias("author_position"), F.when(F.col("l_linenumber") == 1, "Line One").otherwise("Else Where").alias("normalized_name"))
+
+
+@query(f"""WITH a AS (SELECT l_orderkey, count(*) AS n, bool_or(l_linenumber = 1) AS has_one FROM lineitem GROUP BY 1),
+  p AS (SELECT o_orderkey, n, has_one, o_orderkey % 4 AS k, o_orderkey % 8 = 0 AS early FROM orders JOIN a ON l_orderkey = o_orderkey),
+  e AS (
+    SELECT o_orderkey, 'Beta Institute of Rivers' AS organisation, 'ror_canonical_match' AS evidence_type, 'Beta Institute of Rivers' AS evidence_value, {_paper_level("0.8", "0.6")} FROM p WHERE k = 0
+    UNION ALL SELECT o_orderkey, 'Beta Institute of Rivers', 'explicit_paper_affiliation', 'Beta Institute of Rivers', {_paper_level("0.85", "0.637")} FROM p WHERE k = 0
+    UNION ALL SELECT o_orderkey, 'Beta Institute of Rivers', 'email_domain', 'beta.example.org', {_paper_level("0.75", "0.562")} FROM p WHERE k = 0 AND o_orderkey % 16 = 0
+    UNION ALL SELECT o_orderkey, 'Delta College of Lakes', 'ror_canonical_match', 'Delta College of Lakes', {_paper_level("0.85", "0.637")} FROM p WHERE k = 0 AND early
+    UNION ALL SELECT o_orderkey, 'Delta College of Lakes', 'explicit_paper_affiliation', 'Delta College of Lakes', {_paper_level("0.85", "0.637")} FROM p WHERE k = 0 AND early
+    UNION ALL SELECT o_orderkey, NULL, 'explicit_paper_affiliation', 'Gamma College of Lakes', CASE n WHEN 1 THEN 0.5 ELSE 0.375 END, 'unresolved_raw' FROM p WHERE k = 0 AND NOT early
+    UNION ALL SELECT o_orderkey, 'Works University', 'openalex_paper_specific', 'Works University', {_paper_level("0.8", "0.6")} FROM p WHERE k = 1 AND o_orderkey % 8 = 1 AND NOT has_one
+    UNION ALL SELECT o_orderkey, 'Works University', 'openalex_paper_specific', 'Works University', {_paper_level("0.6", "0.45")} FROM p WHERE k = 1 AND o_orderkey % 8 = 5
+    UNION ALL SELECT o_orderkey, 'Supplier#000000003', 'explicit_paper_affiliation', 'Supplier#000000003 Company', {_paper_level("0.85", "0.637")} FROM p WHERE k = 2)
+  SELECT o_orderkey, l_linenumber AS author_position, organisation, evidence_type, evidence_value, confidence, scope FROM e JOIN lineitem ON l_orderkey = o_orderkey
+  UNION SELECT o_orderkey, 1, 'Works University', 'openalex_paper_specific', 'Works University', 0.85, 'author_specific' FROM p WHERE k = 1 AND o_orderkey % 8 = 1 AND has_one""")
+def affiliation_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tiers: at most three look-ups a paper, works where nothing else is known, domains that a look-up taught."""
+    o, aliases = known(spark, sf_dir)
+    n = F.col("o_orderkey")
+    first = F.when(n % 8 == 0, "Beta Institute of Rivers; Alpha Institute of Rivers").otherwise("Alpha Institute of Rivers; Beta Institute of Rivers")
+    lines = F.when(n % 4 == 0, F.array(first, F.lit("Gamma College of Lakes; Delta College of Lakes"))).when(n % 4 == 2, F.array(F.lit("Supplier#000000003 Company")))
+    mails = F.when(n % 16 == 0, F.array(F.lit("x@beta.example.org")))
+    orders = table(spark, sf_dir, "orders")
+    p = orders.select(n, lines.alias("affiliation_text"), mails.alias("emails"))
+    registry = spark.sql("""SELECT * FROM VALUES ('Beta Institute of Rivers', 0, 'Gamma', 'z90', array(), array(), array(), 0.9D), ('Beta Institute of Rivers', 1, 'Beta Institute of Rivers', 'z91', array('BIR'), array(), array('beta.example.org'), 0.8D),
+      ('Delta College of Lakes', 0, 'Delta College of Lakes', 'z92', array(), array(), array(), 1.0D), ('Gamma College of Lakes', 0, 'Gamma College of Lakes', 'z93', array(), array(), array(), 0.4D)
+      AS r(query, place, org_name, ror_id, aliases, acronyms, domains, score)""")
+    known_author, none = n % 8 == 1, F.array().cast("array<string>")
+    works = orders.where(n % 4 != 0).select(n, F.when(known_author, "One, Line").otherwise("Nobody Atall").alias("author_name"), F.lit("Works University").alias("institution_name"), F.when(n % 4 == 1, "w1").alias("ror_id"), F.lit(None).cast("string").alias("openalex_id"), F.when(known_author, F.array(F.lit("Dept, Works University"))).otherwise(none).alias("raw_affiliations"))
+    found = affiliation_stage.affiliation_cascade(p, line_authors(spark, sf_dir), o, with_company(o, aliases), "o_orderkey", registry, works)
+    names = o.select("org_id", "canonical_name").unionByName(found.created.select("org_id", "canonical_name")).withColumnRenamed("canonical_name", "organisation")
+    return found.rows.join(F.broadcast(names), "org_id", "left").select("o_orderkey", "author_position", "organisation", "evidence_type", "evidence_value", "confidence", "scope")
 
 
 @query("SELECT s_suppkey, CAST(org_id AS BIGINT) AS org_id FROM (SELECT s_suppkey, s_nationkey FROM supplier) s JOIN (SELECT s_nationkey, min(s_suppkey) AS org_id FROM supplier GROUP BY 1) USING (s_nationkey)")

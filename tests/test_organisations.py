@@ -44,7 +44,7 @@ def test_new_organisations_share_any_key(spark):
     aliases = spark.createDataFrame([(2, "Deux", "name"), (2, "x.org", "domain")], ALIAS)
     rows = [
         (1, "Alpha", "r9", None), (2, "Beta", "r9", None), (3, " beta ", None, "w7"), (4, "Gamma", None, "w7"),  # one, through r9, beta and w7
-        (5, "Delta", None, None), (6, "DELTA", "", "  "), (7, "x.org", None, None),  # a domain is no name
+        (5, "Delta", None, None), (6, "DELTA", "", "  "), (7, "X.org", None, None),  # aliases of any kind are names
         (8, "known lab", "r5", "w99"), (9, "Elsewhere", "r5", None), (10, "Nowhere", None, "w99"),  # teaches r5; its organisation has an OpenAlex id already
         (11, "deux", "r8", None), (12, "Other", "r8", None), (13, "Second", None, None), (14, "z", "r2", "w1"), (15, None, "r9", None), (16, " ", "r9", None), (17, "Z", None, None),
     ]
@@ -53,12 +53,12 @@ def test_new_organisations_share_any_key(spark):
     got = {x.k: (x.org_id, x.matched_by) for x in out}
     assert len(out) == 16 and set(got) == {*range(1, 15), 17}
     assert got[1] == got[2] == got[3] == got[4] and got[1][0] < 0 and got[1][1] == "created"
-    assert got[5] == got[6] != got[1] and got[7][1] == "created" and got[10][1] == "created"
+    assert got[5] == got[6] != got[1] and got[7] == (2, "alias") and got[10][1] == "created"
     assert got[8] == (1, "name") and got[9] == (1, "linked")
     # Its organisation has a ROR id, so r8 teaches nothing.
     assert got[11] == (2, "alias") and got[12][1] == "created" and got[13] == (2, "name") and got[14] == (2, "ror") and got[17] == (2, "linked")
     new = {x.org_id: (x.canonical_name, x.ror_id, x.openalex_id) for x in organisations.created(m, organisations.resolved(m, orgs, aliases, "k"), "k").collect()}
-    assert new[got[1][0]] == ("Alpha", "r9", "w7") and new[got[5][0]] == ("Delta", None, None) and len(new) == 5
+    assert new[got[1][0]] == ("Alpha", "r9", "w7") and new[got[5][0]] == ("Delta", None, None) and len(new) == 4
     names = {(x.org_id, x.alias) for x in organisations.learned_aliases(m, organisations.resolved(m, orgs, aliases, "k"), aliases, "k").collect()}
     assert {(got[1][0], a) for a in ("Alpha", "Beta", "beta", "Gamma")} <= names and (2, "x.org") in names
 
