@@ -83,27 +83,29 @@ def stated(name: Column) -> Column:
     return F.coalesce(affiliation.grounding_span(name, F.col("line")), name)
 
 
-def contacts(parsed: DataFrame, papers: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """(paper, domain, email, place): the first address of each domain, in lines and then in emails; and
-    (paper, domain, place) of the domains that only groups of addresses name. Public mail hosts say nothing."""
-    given = papers.select(F.col(key).alias("paper"), F.posexplode("emails").alias("place", "entry")).where("entry IS NOT NULL")
+def contacts(parsed: DataFrame, papers: DataFrame) -> DataFrame:
+    """paper, domain, email, place of the domains in lines and then in emails: the first address of each, null where
+    only groups of addresses name it. Public mail hosts say nothing."""
+    given = papers.select("paper", F.posexplode("emails").alias("place", "entry")).where("entry IS NOT NULL")
     said = parsed.select("paper", F.lit(0).alias("part"), "place", "mails", "domains").unionByName(given.select("paper", F.lit(1).alias("part"), "place", text.emails(F.col("entry")).alias("mails"), text.mail_domains(F.col("entry")).alias("domains")))
-    each = lambda column, value: said.select("paper", "part", "place", F.posexplode(column).alias("at", value)).select("paper", F.struct("part", "place", "at").alias("place"), value)
-    mails = each("mails", "email").withColumn("domain", F.trim(F.substring_index("email", "@", -1), F.lit(".")))
-    first = mails.where(~org.public_mail(F.col("domain"))).groupBy("paper", "domain").agg(F.min(F.struct("place", "email")).alias("m")).select("paper", "domain", "m.email", "m.place")
-    groups = each("domains", "domain").where(~org.public_mail(F.col("domain"))).groupBy("paper", "domain").agg(F.min("place").alias("place"))
-    return first, groups.join(first, ["paper", "domain"], "left_anti")
+    host = lambda m: F.trim(F.substring_index(m, "@", -1), F.lit("."))
+    named = F.concat(F.transform("mails", lambda m: F.struct(m.alias("email"), host(m).alias("domain"))), F.transform("domains", lambda d: F.struct(F.lit(None).cast("string").alias("email"), d.alias("domain"))))
+    each = said.select("paper", "part", "place", F.posexplode(named).alias("at", "x")).where(~org.public_mail(F.col("x.domain")))
+    each = each.select("paper", "x.domain", "x.email", F.struct("part", "place", "at").alias("place"))
+    first = F.min(F.when(F.col("email").isNotNull(), F.struct("place", "email"))).alias("m")
+    return each.groupBy("paper", "domain").agg(first, F.min("place").alias("place")).select("paper", "domain", "m.email", F.coalesce("m.place", "place").alias("place"))
 
 
-def by_mail(first: DataFrame, groups: DataFrame, authors: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Facts of the domains that are known."""
-    hosts = first.select("domain").unionByName(groups.select("domain")).distinct().withColumn("host", F.col("domain"))
+def by_mail(domains: DataFrame, authors: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Facts of the domains (see contacts) that are known."""
+    hosts = domains.select("domain").distinct().withColumn("host", F.col("domain"))
     known = written(org.of_domains(hosts, aliases, "host", "domain").select("domain", "org_id"), "domains")
-    mails = written(first.join(known, "domain"), "mails")
+    found = written(domains.join(known, "domain"), "mails")
+    mails = found.where("email IS NOT NULL")
     owned = mails.join(author_of_mail(mails.select("paper", "email"), authors, "paper"), ["paper", "email"], "left")
     row = lambda df, raw, confidence: df.withColumn("raw_affiliation", F.col(raw)).withColumn("evidence_type", F.lit("email_domain")).withColumn("evidence_value", F.col("domain")).withColumn("confidence", F.lit(confidence)).withColumn("place", F.struct(F.lit(2).alias("tier"), F.col("place.part").alias("a"), F.col("place.place").alias("b")))
     author = row(owned, "email", MAIL_OF_PAPER).withColumn("confidence", F.when(F.col("author_position").isNull(), MAIL_OF_PAPER).otherwise(MAIL_OF_AUTHOR))
-    grouped = row(groups.join(known, "domain"), "domain", MAIL_OF_PAPER).withColumn("author_position", F.lit(None).cast(authors.schema["author_position"].dataType))
+    grouped = row(found.where("email IS NULL"), "domain", MAIL_OF_PAPER).withColumn("author_position", F.lit(None).cast(authors.schema["author_position"].dataType))
     return author.select(*FACT).unionByName(grouped.select(*FACT))
 
 
@@ -164,17 +166,17 @@ def affiliation_cascade(papers: DataFrame, authors: DataFrame, organisations: Da
     own = papers.select(F.col(key).alias("paper"), "affiliation_text", "emails").join(counted.select("paper"), "paper", "left_semi")
     parsed = written(affiliation.parsed_entries(own, "paper"), "entries")
     lines = affiliation.evidence_lines(parsed).select("paper", "place", "line", "candidates")
-    first, groups = contacts(parsed, own, "paper")
+    domains = contacts(parsed, own)
     if pages is not None:
-        some = lines.select("paper").unionByName(first.select("paper")).unionByName(groups.select("paper"))
+        some = lines.select("paper").unionByName(domains.select("paper"))
         other = pages.select(F.col(key).alias("paper"), "affiliation_text", "emails").join(counted.select("paper"), "paper", "left_semi").join(some, "paper", "left_anti")
         parsed = parsed.unionByName(written(affiliation.parsed_entries(other, "paper"), "entries"))
         lines = affiliation.evidence_lines(parsed).select("paper", "place", "line", "candidates")
-        first, groups = contacts(parsed, own.unionByName(other), "paper")
-    lines, first, groups = written(lines, "lines"), written(first, "first"), written(groups, "groups")
+        domains = contacts(parsed, own.unionByName(other))
+    lines, domains = written(lines, "lines"), written(domains, "contacts")
 
     names = written(known_names(lines, organisations, aliases), "names")
-    facts = [written(explicit(lines.join(names, "line"), 1).unionByName(by_mail(first, groups, people, aliases)), "facts")]
+    facts = [written(explicit(lines.join(names, "line"), 1).unionByName(by_mail(domains, people, aliases)), "facts")]
     used = lines.join(names.select("line").distinct(), "line", "left_semi").select("paper", "place")
     created = organisations.select("org_id", "canonical_name", "ror_id", "openalex_id").where("false")
     mentions = []
@@ -222,7 +224,7 @@ def affiliation_cascade(papers: DataFrame, authors: DataFrame, organisations: Da
             place = F.struct(F.lit(4).alias("tier"), F.lit(0).alias("a"), F.lit(0).alias("b"))
             facts.append(told.select("paper", "author_position", "org_id", F.col("raw").alias("raw_affiliation"), F.lit("openalex_paper_specific").alias("evidence_type"), F.col("value").alias("evidence_value"), confidence.alias("confidence"), place.alias("place")))
         aliases = written(reduce(DataFrame.unionByName, learned).distinct(), "aliases")
-        facts.append(by_mail(*(d.join(org_domains(facts[0]), ["paper", "domain"], "left_anti") for d in (first, groups)), people, aliases))
+        facts.append(by_mail(domains.join(org_domains(facts[0]), ["paper", "domain"], "left_anti"), people, aliases))
     # Equal facts are one before they are dealt.
     once = reduce(DataFrame.unionByName, facts).groupBy("paper", "author_position", "org_id", "evidence_type", "evidence_value").agg(F.min_by(F.struct("raw_affiliation", "confidence", "place"), F.struct("place", "raw_affiliation")).alias("x"))
     settled = written(once.select("paper", "author_position", "org_id", "evidence_type", "evidence_value", "x.*").select(*FACT), "evidence")
