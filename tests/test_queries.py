@@ -39,7 +39,7 @@ def test_query(spark, duck, name):
 
 def test_batches_cover_every_order(spark):
     b = QUERIES["random_batches"](spark, SF).toPandas()
-    assert b.o_orderkey.is_unique and b.groupby("batch").size().max() < 60
+    assert b.o_orderkey.is_unique and b.groupby("batch").size().max() <= 15
 
 
 def test_plans_have_no_cross_join(spark):
