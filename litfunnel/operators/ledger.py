@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from litfunnel.operators import core
+from litfunnel.sources.keyed_table import BUCKETS, KeyedTable
 
 ERRORS_SHOWN = 20
 
@@ -79,3 +80,32 @@ def open_windows(windows: DataFrame, events: DataFrame, force: bool = False) ->
         return windows
     key = ["source", "set_spec", "window_from", "window_until"]
     return windows.join(checkpoints(events).where("status = 'COMPLETE'").select(*key), key, "left_anti")
+
+
+WINDOW = ["source", "set_spec", "window_from", "window_until"]
+COUNTERS = ["seen", "kept", "new", "dupe"]
+#: Characters of an error that a checkpoint keeps.
+ERROR_CHARS = 2000
+
+
+def checkpoint_table(spark: SparkSession, path: str, buckets: int = BUCKETS) -> KeyedTable:
+    """A new table of the state of each harvest window, for start_windows and finish_windows."""
+    text = ", ".join(f"{c} string" for c in [*WINDOW, "status", "error", "started_at", "ended_at"])
+    return KeyedTable.create(spark, path, text + "".join(f", {c} long" for c in COUNTERS), WINDOW, buckets)
+
+
+def start_windows(table: KeyedTable, windows: DataFrame, at: Column) -> int:
+    """Set the windows to RUNNING; what an earlier run has left (counters, end, error) is reset."""
+    none = F.lit(None).cast("string")
+    return table.replace(windows.select(*WINDOW, F.lit("RUNNING").alias("status"), none.alias("error"), at.alias("started_at"), none.alias("ended_at"), *(F.lit(0).alias(c) for c in COUNTERS)))
+
+
+def finish_windows(table: KeyedTable, results: DataFrame, at: Column) -> int:
+    """Write status, error (its first ERROR_CHARS characters) and counters of windows that were started; others are left out."""
+    told = results.select(*WINDOW, "status", F.substring("error", 1, ERROR_CHARS).alias("error"), at.alias("ended_at"), *COUNTERS)
+    return table.change(told, lambda old, new: old.select(*WINDOW, "started_at").join(new, WINDOW))
+
+
+def unfinished(windows: DataFrame, table: KeyedTable, force: bool = False) -> DataFrame:
+    """The windows to harvest: all with force, else those that the table doesn't know as COMPLETE."""
+    return windows if force else windows.join(table.read().where("status = 'COMPLETE'").select(*WINDOW), WINDOW, "left_anti")

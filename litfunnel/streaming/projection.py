@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from litfunnel.operators.core import latest_per_key
+from litfunnel.sources.keyed_table import BUCKETS, KeyedTable
 
 
 def tumbling_counts(events: DataFrame, at: str, key: str, width: str = "7 days", lateness: str = "14 days", start: str = "4 days") -> DataFrame:
@@ -17,23 +18,27 @@ def tumbling_counts(events: DataFrame, at: str, key: str, width: str = "7 days",
     return events.withWatermark(at, lateness).groupBy(F.window(at, width, startTime=start).alias("w"), key).agg(F.count("*").alias("n"))
 
 
-def keep_projection(log: DataFrame, keys: Sequence[str], at: str, tie: str, path: str, checkpoint: str) -> StreamingQuery:
-    """Maintain the latest row of each key under path: each micro-batch is merged with the state
-    written before it and written beside it under its batch number, so a batch that runs again
-    gives the same table. The state before the last one is removed."""
+def keep_projection(log: DataFrame, keys: Sequence[str], at: str, tie: str, path: str, checkpoint: str, buckets: int = BUCKETS) -> StreamingQuery:
+    """Maintain the latest row of each key in a KeyedTable under path. A micro-batch writes only the
+    buckets in which it changes a row: late rows older than the stored one change nothing, and a
+    batch that runs again after a failure is known by its number and left out."""
+    spark = log.sparkSession
+    columns = log.columns
+    if not KeyedTable(spark, path).exists():
+        KeyedTable.create(spark, path, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in log.schema), keys, buckets)
 
     def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        rows = batch
-        if number:
-            rows = spark.read.schema(batch.schema).parquet(f"{path}/batch={number - 1}").unionByName(batch)
-        latest_per_key(rows, keys, at, tie).write.mode("overwrite").parquet(f"{path}/batch={number}")
-        if number > 1:
-            old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch={number - 2}")
-            old.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(old, True)
+        newest = lambda old, new: latest_per_key(old.unionByName(new.select(*columns)), keys, at, tie)
+        KeyedTable(batch.sparkSession, path).change(batch, newest, applied=(checkpoint, number))
 
     return log.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def read_projection(spark: SparkSession, path: str, number: int) -> DataFrame:
-    return spark.read.parquet(f"{path}/batch={number}")
+def read_projection(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    return KeyedTable(spark, path).read(version)
+
+
+def first_seen(log: DataFrame, keys: Sequence[str], at: str, lateness: str = "14 days") -> DataFrame:
+    """The first row to arrive of each key, exactly once, whatever is sent again within lateness. State is
+    kept by key and dropped behind the watermark. A key that returns later counts anew."""
+    return log.withWatermark(at, lateness).dropDuplicatesWithinWatermark(list(keys))
