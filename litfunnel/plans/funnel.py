@@ -13,8 +13,11 @@ from litfunnel import config
 from litfunnel.functions import text
 from litfunnel.operators import adjudication, affiliation, affiliation_stage, authors, core, golden, ingest, ledger, organisations, relevance, responses, signals
 from litfunnel.plans.queries import EVIDENCE, HALF, Q_SQL, RUBRIC, SCREEN_SQL, WIDE, evidence, log, query, wide
+from litfunnel.sources import paged
+from litfunnel.sources.keyed_table import KeyedTable
 from litfunnel.sources.records import archive_manifest as manifest_of
 from litfunnel.sources.records import table
+from litfunnel.sources.staging import shared_folder, unused
 
 
 def by_rest(c: str, n: int, *values: str | None) -> Column:
@@ -687,3 +690,51 @@ def enriched_organisations(spark: SparkSession, sf_dir: str) -> DataFrame:
     o, _ = known(spark, sf_dir)
     found = o.where("org_id % 2 = 0").select("org_id", F.concat(F.lit("x"), F.col("org_id").cast("string")).alias("ror_id"), F.lit("").alias("openalex_id"))
     return organisations.enriched(o, found.unionByName(found.withColumn("ror_id", F.lit(" ")))).select("org_id", "ror_id")
+
+
+# Paged harvests and versioned tables
+
+PAGE_SIZE = 10
+
+
+@query(f"""WITH d AS (SELECT doc_id, coalesce(lang, 'none') AS set_spec, DATE '2024-01-01' + CAST(7 * (doc_id % 4) AS INT) AS first FROM documents),
+  s AS (SELECT set_spec, first, count(*) AS n, count(*) FILTER (WHERE doc_id % 9 = 0) AS n_deleted, sum(doc_id) AS ids FROM d GROUP BY ALL),
+  w AS (SELECT *, first = DATE '2024-01-22' AND n > {PAGE_SIZE} AND set_spec = 'de' AS bad FROM (SELECT set_spec, CAST(x AS DATE) AS first FROM (SELECT DISTINCT set_spec FROM d), (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-29', INTERVAL 7 DAY)) AS x)) LEFT JOIN s USING (set_spec, first))
+  SELECT set_spec, CAST(first AS VARCHAR) AS window_from, CASE WHEN bad THEN 0 ELSE CAST(ceil(n / {PAGE_SIZE}) AS BIGINT) END AS n_pages, CASE WHEN bad THEN 0 ELSE n END AS n_records, CASE WHEN bad THEN 0 ELSE n_deleted END AS n_deleted, CASE WHEN NOT bad THEN CAST(ids AS BIGINT) END AS ids, CASE WHEN bad THEN 'error code=badResumptionToken message=expired' END AS failure FROM w WHERE bad OR n IS NOT NULL""")
+def paged_harvest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as records of a set for each language, harvested page by page in windows of a week. The last
+    week is empty; the token of one window has expired, which leaves the others as they are."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("lang", F.lit("none")).alias("set_spec"), F.date_add(F.lit("2024-01-01").cast("date"), (7 * (F.col("doc_id") % 4)).cast("int")).alias("first"))
+    gone = F.when(F.col("doc_id") % 9 == 0, ' status="deleted"').otherwise("")
+    xml = F.format_string('<record><header%s><identifier>oai:x:%d</identifier></header><metadata><arXiv><id>%d</id><title>a</title></arXiv></metadata></record>', gone, "doc_id", "doc_id")
+    pages = paged.pages_of(d.select("*", F.date_add("first", 6).alias("last"), xml.alias("record")), "set_spec", ("first", "last"), "doc_id", "record", PAGE_SIZE)
+    sets = sorted(r[0] for r in d.select("set_spec").distinct().limit(1000).collect())
+    last = paged.first_page(F.col("set_spec"), F.lit("2024-01-29"), F.lit("2024-02-04"))
+    empty = d.select("set_spec").distinct().select(last.alias("name"), F.lit(f'<OAI-PMH><error code="{paged.NO_RECORDS}">none</error></OAI-PMH>').alias("xml"))
+    expired = paged.next_page(F.lit("de|2024-01-22|2024-01-28|1"))
+    pages = pages.withColumn("xml", F.when(F.col("name") == expired, '<OAI-PMH><error code="badResumptionToken">expired</error></OAI-PMH>').otherwise(F.col("xml")))
+    folder = f"{shared_folder(spark)}/pages/{unused('harvest')}"
+    paged.store_pages(pages.unionByName(empty), folder)
+    paged.register(spark)
+    found = spark.read.format(paged.FORMAT).options(path=folder, sets=",".join(sets), until="2024-02-04", failures="keep", **{"from": "2024-01-01"}).load()
+    own = [F.col("set_spec"), F.col("window_from").cast("string").alias("window_from")]
+    records = ingest.oai_page(found).select(*own, "page", "failure", F.explode_outer("records").alias("xml"))
+    parsed = records.select("set_spec", "window_from", "page", "failure", F.col("xml").isNotNull().alias("is_record"), F.coalesce(F.contains("xml", F.lit('status="deleted"')), F.lit(False)).alias("gone"), F.regexp_extract("xml", r"<identifier>oai:x:(\d+)<", 1).try_cast("long").alias("id"))
+    return parsed.groupBy("set_spec", "window_from").agg(F.countDistinct("page").alias("n_pages"), F.count_if("is_record").alias("n_records"), F.count_if("gone").alias("n_deleted"), F.sum("id").alias("ids"), F.max("failure").alias("failure"))
+
+
+@query("""WITH o AS (SELECT o_orderkey AS k, o_orderpriority AS priority, CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE o_orderstatus END AS status, CAST(o_totalprice AS DOUBLE) AS price FROM orders WHERE o_orderkey % 4 <> 1),
+  n AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 <> 0 THEN 'fresh' END AS priority, o_orderstatus AS status, CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_totalprice AS DOUBLE) + 1 END AS price FROM orders WHERE o_orderkey % 4 IN (0, 1))
+  SELECT coalesce(o.k, n.k) AS k, coalesce(n.priority, o.priority) AS priority, CASE WHEN n.k IS NULL THEN o.status ELSE coalesce(nullif(o.status, ''), n.status) END AS status, CASE WHEN n.k IS NULL THEN o.price ELSE n.price END AS price FROM o FULL JOIN n ON o.k = n.k""")
+def table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table and a harvest that meets a part of it, merged twice: the second merge changes nothing."""
+    o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    price = F.col("o_totalprice").cast("double")
+    kept = KeyedTable.create(spark, f"{shared_folder(spark)}/tables/{unused('orders')}", "k long, priority string, status string, price double", ["k"])
+    kept.replace(o.where("o_orderkey % 4 <> 1").select(k.alias("k"), F.col("o_orderpriority").alias("priority"), F.when(k % 3 == 0, "").otherwise(F.col("o_orderstatus")).alias("status"), price.alias("price")))
+    new = o.where("o_orderkey % 4 IN (0, 1)").select(k.alias("k"), F.when(k % 5 != 0, "fresh").alias("priority"), F.col("o_orderstatus").alias("status"), F.when(k % 7 != 0, price + 1).alias("price"))
+    policies = {"priority": "new", "status": "fill", "price": "overwrite"}
+    version = kept.upsert(new, policies)
+    if kept.upsert(new, policies) != version:
+        raise AssertionError("an upsert that ran again changed the table")
+    return kept.read(version)
