@@ -13,7 +13,7 @@ from litfunnel import config
 from litfunnel.functions import text
 from litfunnel.operators import adjudication, affiliation, affiliation_stage, authors, core, golden, ingest, ledger, organisations, relevance, responses, signals
 from litfunnel.plans.queries import EVIDENCE, HALF, Q_SQL, RUBRIC, SCREEN_SQL, WIDE, evidence, log, query, wide
-from litfunnel.sources import paged
+from litfunnel.sources import html_contacts, paged
 from litfunnel.sources.keyed_table import KeyedTable
 from litfunnel.sources.records import archive_manifest as manifest_of
 from litfunnel.sources.records import table
@@ -738,3 +738,23 @@ def table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     if kept.upsert(new, policies) != version:
         raise AssertionError("an upsert that ran again changed the table")
     return kept.read(version)
+
+
+MAIL_SQL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+
+
+@query(f"""SELECT page_id, array_to_string(list_distinct_in_order, ',') AS emails, CASE WHEN page_id % 4 = 0 THEN 'Lab A & ' || page_id ELSE 'Lab A & ' || page_id || '|' || 'Host of ' || page_id % 10 END AS affiliations,
+  'Ana ' || page_id || ':1,2:Lab A & ' || page_id || CASE WHEN page_id % 4 = 0 THEN '' ELSE '/Host of ' || page_id % 10 END || '|Bo:2:' || CASE WHEN page_id % 4 = 0 THEN '' ELSE 'Host of ' || page_id % 10 END AS authors
+  FROM (SELECT page_id, list_filter(m, lambda x, i: list_position(m, x) = i) AS list_distinct_in_order FROM (SELECT page_id, list_concat(CASE WHEN page_id % 3 = 0 THEN ['ana@h' || page_id || '.edu', 'bo@h' || page_id || '.edu'] ELSE [] END, regexp_extract_all(html, '{MAIL_SQL}')) AS m FROM pages))""")
+def contacts_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page behind a block of two authors: marks, notes that are left open, a group of mail addresses."""
+    k = F.col("page_id").cast("string")
+    mails = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit('<span class="ltx_note"><sup class="ltx_note_mark">*</sup>Equal contribution. Email: {ana, bo}@h'), k, F.lit(".edu</span>"))).otherwise("")
+    second = F.when(F.col("page_id") % 4 == 0, "Corresponding author").otherwise(F.concat(F.lit("Host of "), (F.col("page_id") % 10).cast("string")))
+    block = F.concat(
+        F.lit('<div><span class="ltx_personname">Ana '), k, F.lit('<sup>1,2</sup><span class="ltx_personname">Bo<sup>2</sup></div><p><span class="ltx_note"><sup class="ltx_note_mark">1</sup>Lab A &amp; '), k,
+        F.lit('</p><span class="ltx_note"><sup class="ltx_note_mark">2</sup>'), second, F.lit("</span>"), mails,
+    )
+    c = table(spark, sf_dir, "pages").select("page_id", html_contacts.html_contacts(F.concat(block, "html")).alias("c"))
+    one = lambda a: F.concat_ws(":", a["name"], F.array_join(a["markers"], ","), F.array_join(a["affiliations"], "/"))
+    return c.select("page_id", F.array_join("c.emails", ",").alias("emails"), F.array_join("c.affiliations", "|").alias("affiliations"), F.array_join(F.transform("c.authors", one), "|").alias("authors"))
