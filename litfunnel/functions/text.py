@@ -121,3 +121,12 @@ def parent_domains(domain: Column) -> Column:
     """domain and its parents of two labels or more, longest first."""
     parts = F.split(domain, r"\.")
     return F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), lambda i: F.array_join(F.slice(parts, i, F.size(parts) - i + 1), "."))
+
+
+def merged_json(old: Column, new: Column) -> Column:
+    """Shallow merge of two JSON objects; the new one wins, values keep their types, null and what is no object
+    count as empty. Keys come in order."""
+    read = lambda c: F.coalesce(F.from_json(c, "map<string,variant>"), F.from_json(F.lit("{}"), "map<string,variant>"))
+    kept = F.map_filter(read(old), lambda k, _: ~F.map_contains_key(read(new), k))
+    both = F.map_concat(kept, read(new))
+    return F.to_json(F.map_from_arrays(F.array_sort(F.map_keys(both)), F.transform(F.array_sort(F.map_keys(both)), lambda k: both[k])))

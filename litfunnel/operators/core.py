@@ -147,7 +147,8 @@ def with_evidence(items: DataFrame, best: DataFrame, key: str) -> DataFrame:
 
 def merged(old: DataFrame, new: DataFrame, key: str, policies: Mapping[str, str]) -> DataFrame:
     """Upsert by full outer join. Policies by column: new (new else old), old (old else new),
-    overwrite (new row wins, null too), fill (old unless null or empty), list (new array unless null or empty)."""
+    overwrite (new row wins, null too), fill (old unless null or empty), list (new array unless null or empty),
+    json (objects merged key by key, the new one wins)."""
     o, n = old.alias("o"), new.alias("n")
     both = o.join(n, F.col(f"o.{key}") == F.col(f"n.{key}"), "full")
     there = F.col(f"n.{key}").isNotNull()
@@ -164,6 +165,8 @@ def merged(old: DataFrame, new: DataFrame, key: str, policies: Mapping[str, str]
             return F.when(F.size(b) > 0, b).otherwise(a)
         if policy == "overwrite":
             return F.when(there, b).otherwise(a)
+        if policy == "json":
+            return F.when(there & F.col(f"o.{key}").isNotNull(), text.merged_json(a, b)).otherwise(F.coalesce(b, a))
         raise ValueError(f"unknown policy {policy!r}")
 
     return both.select(F.coalesce(f"o.{key}", f"n.{key}").alias(key), *(value(c, p).alias(c) for c, p in policies.items()), F.col(f"o.{key}").isNull().alias("is_new"))

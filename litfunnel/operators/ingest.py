@@ -45,18 +45,11 @@ def categories_of(raw: Column) -> Column:
     return F.when(F.startswith(F.trim(raw), F.lit("[")), F.coalesce(F.from_json(raw, "array<string>"), F.array(raw))).otherwise(F.when(raw.isNotNull(), F.array(raw)))
 
 
-def merged_json(old: Column, new: Column) -> Column:
-    """Shallow merge of two objects of text values; the new one wins, null counts as empty."""
-    read = lambda c: F.coalesce(F.from_json(c, "map<string,string>"), F.from_json(F.lit("{}"), "map<string,string>"))
-    kept = F.map_filter(read(old), lambda k, _: ~F.map_contains_key(read(new), k))
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(F.map_concat(kept, read(new))))))
-
-
 def gaps_filled(stored: DataFrame, fresh: DataFrame, key: str, columns: Sequence[str], metadata: str) -> DataFrame:
     """stored with empty columns filled from fresh, never overwriting what is there, and metadata merged; fresh keys are added."""
     filled = core.merged(stored, fresh, key, dict.fromkeys(columns, "fill"))
     both = stored.select(key, F.col(metadata).alias("_old")).join(fresh.select(key, F.col(metadata).alias("_new")), key, "full")
-    return filled.join(both.select(key, merged_json(F.col("_old"), F.col("_new")).alias(metadata)), key)
+    return filled.join(both.select(key, text.merged_json(F.col("_old"), F.col("_new")).alias(metadata)), key)
 
 
 def items_of(parsed: DataFrame, seen_at: Column) -> DataFrame:
@@ -87,3 +80,50 @@ def ingested_window(parsed: DataFrame, stored: DataFrame, window_year: int, seen
     fresh = items.join(stored.select("canonical_url"), "canonical_url", "left_anti").agg(F.count("*").alias("new"))
     both = counts.join(F.broadcast(fresh)).select("*", (F.col("kept") - F.col("new")).alias("dupe"))
     return core.merged(stored, items, "canonical_url", ITEM_POLICIES), both
+
+
+def distinct_bitmaps(df: DataFrame, by: Sequence[str], number: str) -> DataFrame:
+    """(by, bucket, bitmap): the distinct numbers of each group as bitmaps of 32,768 of them, built before the
+    shuffle. Numbers are not negative; null ones are left out. Kept bitmaps of new windows are merged with
+    old ones without reading the rows again."""
+    n = df.where(F.col(number).isNotNull())
+    return n.groupBy(*by, F.bitmap_bucket_number(number).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bitmap"))
+
+
+def distinct_counts(bitmaps: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by, n): exact distinct numbers of each group of by, any part of the columns that the bitmaps were built
+    for, or none: a number that several of the merged groups hold counts once."""
+    merged = bitmaps.groupBy(*by, "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+    return merged.groupBy(*by).agg(F.coalesce(F.sum(F.bitmap_count("bitmap")), F.lit(0)).alias("n"))
+
+
+def arxiv_number(arxiv_id: Column) -> Column:
+    """An identifier of the form YYMM.NNNNN as a number of its own; null for any other."""
+    parts = [F.regexp_extract(arxiv_id, r"^(\d{4})\.(\d{4,5})$", i).try_cast("long") for i in (1, 2)]
+    # Four and five digits of one number are two identifiers.
+    wide = F.when(F.length(arxiv_id) == 10, 1).otherwise(0)
+    return (parts[0] * 2 + wide) * 100_000 + parts[1]
+
+
+def projected_harvest(parsed: DataFrame, set_spec: str, windows: int, window_year: int) -> DataFrame:
+    """What a harvest of so many windows would bring, from parsed records of the first one in every set: rows of
+    each set and one of all (null set) with seen, deleted, kept, revision, unique (identifiers of arxiv_number
+    across the sets), and for all projected_unique, projected_revision and projected_new.
+    Identifiers of another form count as unique by their sets."""
+    gone = F.coalesce(F.col("deleted"), F.lit(False)) | F.nullif("arxiv_id", F.lit("")).isNull()
+    kept = ~gone & category_matches(F.col("categories"))
+    old = kept & F.coalesce(F.year(text.utc_time(F.col("created"))) < window_year, F.lit(False))
+    m = parsed.select(F.col(set_spec).alias("set_spec"), gone.alias("gone"), kept.alias("kept"), old.alias("old"), F.when(kept, F.col("arxiv_id")).alias("id"), F.when(kept, arxiv_number(F.col("arxiv_id"))).alias("number"))
+    counters = [F.count("*").alias("seen"), F.count_if("gone").alias("deleted"), F.count_if("kept").alias("kept"), F.count_if("old").alias("revision")]
+    sums = m.groupBy("set_spec").agg(*counters)
+    bits = distinct_bitmaps(m, ["set_spec"], "number")
+    other = m.where("id IS NOT NULL AND number IS NULL").groupBy("set_spec").agg(F.countDistinct("id").alias("other"))
+    each = distinct_counts(bits, ["set_spec"]).join(other, "set_spec", "full").select("set_spec", (F.coalesce("n", F.lit(0)) + F.coalesce("other", F.lit(0))).alias("unique"))
+    sets = sums.join(each, "set_spec", "left").withColumn("unique", F.coalesce("unique", F.lit(0)))
+    total = sets.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("seen", "deleted", "kept", "revision")))
+    across = distinct_counts(bits, []).join(F.broadcast(other.agg(F.coalesce(F.sum("other"), F.lit(0)).alias("other"))))
+    total = total.join(F.broadcast(across.select((F.col("n") + F.col("other")).alias("unique"))))
+    unique = F.col("unique") * windows
+    revisions = F.coalesce(F.round(unique * F.try_divide(F.col("revision"), F.col("kept"))), F.lit(0)).cast("long")
+    total = total.select(F.lit(None).cast("string").alias("set_spec"), "*", unique.alias("projected_unique"), revisions.alias("projected_revision"), (unique - revisions).alias("projected_new"))
+    return sets.unionByName(total, allowMissingColumns=True)

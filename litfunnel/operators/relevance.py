@@ -87,3 +87,14 @@ def affiliation_candidates(papers: DataFrame, authors: DataFrame, key: str) -> D
     """Papers with authors that have affiliation lines or a DOI."""
     open_papers = papers.where((F.size("affiliation_text") > 0) | F.nullif("doi", F.lit("")).isNotNull())
     return open_papers.join(authors.select(key), key, "left_semi")
+
+
+#: How a new score meets a stored one.
+SCORE_POLICIES = {"ai_relevance": "overwrite", "scoring_reason": "json", "scored_at": "overwrite"}
+
+
+def score_rows(scored: DataFrame, key: str, via: str, at: Column) -> DataFrame:
+    """(key, ai_relevance, scoring_reason, scored_at) for the table of scores, merged there by SCORE_POLICIES: what
+    other stages have noted in scoring_reason stays."""
+    reason = F.to_json(F.struct("relevance_reason", F.lit(via).alias("via")))
+    return scored.select(key, F.col("relevance_score").alias("ai_relevance"), reason.alias("scoring_reason"), at.alias("scored_at"))

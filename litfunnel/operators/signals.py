@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TECH_PRODUCT = ("practitioner", "technical_leadership", "enterprise_adoption")
-SIGNAL_POLICIES = {c: "new" for c in ("upvotes", "day_rank", "featured_date", "submitter", "comments", "github_url", "github_stars", "project_url", "title")}
+SIGNAL_POLICIES = {c: "new" for c in ("upvotes", "day_rank", "featured_date", "submitter", "comments", "github_url", "github_stars", "project_url", "title")} | {"metadata": "json"}
 
 
 def truthy(*values: Column) -> Column:

@@ -13,7 +13,7 @@ from litfunnel import config
 from litfunnel.functions import text
 from litfunnel.operators import adjudication, affiliation, affiliation_stage, authors, core, golden, ingest, ledger, organisations, relevance, responses, signals
 from litfunnel.plans.queries import EVIDENCE, HALF, Q_SQL, RUBRIC, SCREEN_SQL, WIDE, evidence, log, query, wide
-from litfunnel.sources import html_contacts, paged
+from litfunnel.sources import html_contacts, paged, raw_files
 from litfunnel.sources.keyed_table import KeyedTable
 from litfunnel.sources.records import archive_manifest as manifest_of
 from litfunnel.sources.records import table
@@ -307,9 +307,19 @@ def signal_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return core.merged(old, new, "arxiv_id", {c: signals.SIGNAL_POLICIES[c] for c in ("upvotes", "github_stars")})
 
 
-@query("SELECT CAST(d AS VARCHAR) AS day FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-12', INTERVAL 1 DAY))::DATE AS d)")
+@query("""WITH e AS (SELECT DISTINCT CAST(ts AS DATE) AS day, user_id FROM events), d AS (SELECT CAST(unnest(generate_series(CAST(min(day) AS TIMESTAMP), max(day) + INTERVAL 3 DAY, INTERVAL 1 DAY)) AS DATE) AS day FROM e)
+  SELECT CAST(day AS VARCHAR) AS day, count(user_id) FILTER (WHERE user_id % 31 <> 0) AS entries, count(user_id) FILTER (WHERE user_id % 31 = 0) AS broken, count(user_id) = 0 AS missing FROM d LEFT JOIN (SELECT * FROM e WHERE day(day) % 5 <> 0) USING (day) GROUP BY 1""")
 def feed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.range(1).select(F.explode(signals.feed_days("2024-01-01", "2024-01-05", "2024-01-12")).alias("day")).select(F.col("day").cast("string").alias("day"))
+    """A stored feed read over its days and those after them: each fifth day of a month was never stored, some lines are cut."""
+    e = table(spark, sf_dir, "events").select(F.col("ts").cast("date").alias("day"), "user_id").distinct()
+    line = F.when(F.col("user_id") % 31 == 0, '[{"paper": {"id"').otherwise(F.format_string('[{"paper": {"id": "26.%d"}}]', "user_id"))
+    folder = f"{shared_folder(spark)}/feeds/{unused('days')}"
+    e.where(F.day("day") % 5 != 0).select("day", line.alias("value")).repartition("day").write.partitionBy("day").text(folder)
+    first, last = e.agg(F.min("day").cast("string"), F.max("day").cast("string")).first()
+    lines = raw_files.feed_lines(spark, folder, signals.feed_days(first, last, F.date_add(F.lit(last).cast("date"), 3)))
+    counted = lines.groupBy("day").agg(F.count("body").alias("n"), F.count_if(F.col("error") == raw_files.BROKEN).alias("broken"), F.max(F.col("error") == raw_files.MISSING).alias("m"))
+    entries = signals.feed_entries(lines.where("body IS NOT NULL").select("day", "body")).groupBy("day").agg(F.count("arxiv_id").alias("entries"))
+    return counted.join(entries, "day", "left").select(F.col("day").cast("string").alias("day"), F.coalesce("entries", F.lit(0)).alias("entries"), "broken", F.coalesce("m", F.lit(False)).alias("missing"))
 
 
 @query("SELECT c_custkey, coalesce(nullif(concat_ws('; ', CASE WHEN c_custkey % 4 <> 0 THEN 'final_score=' || (c_custkey % 10) END, CASE WHEN c_custkey % 5 = 0 THEN 'org_boost=0.5' END, CASE WHEN c_custkey % 3 = 0 THEN 'notable_org=' || c_mktsegment END, CASE WHEN c_custkey % 2 = 0 THEN 'audiences=a,b' END), ''), 'no stored score components') AS why, CASE WHEN c_custkey % 4 = 0 THEN 'no final_score (not in quality/adjudication slice)' || CASE WHEN c_custkey % 8 = 0 THEN '; screen_score=' || (c_custkey % 7) ELSE '' END END AS why_not FROM customer")
@@ -758,3 +768,30 @@ def contacts_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "pages").select("page_id", html_contacts.html_contacts(F.concat(block, "html")).alias("c"))
     one = lambda a: F.concat_ws(":", a["name"], F.array_join(a["markers"], ","), F.array_join(a["affiliations"], "/"))
     return c.select("page_id", F.array_join("c.emails", ",").alias("emails"), F.array_join("c.affiliations", "|").alias("affiliations"), F.array_join(F.transform("c.authors", one), "|").alias("authors"))
+
+
+@query("""WITH f AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n, max(ts) AS newest FROM events GROUP BY ALL)
+  SELECT event_type AS entity, substr(sha256(event_type), 1, 16) AS request, CASE WHEN n % 3 <> 0 THEN n END AS n, CASE WHEN n % 3 = 0 THEN 'not valid JSON' END AS error FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY newest DESC) AS k FROM f) WHERE k = 1""")
+def newest_response_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One stored response a day for each event type; the newest file counts, broken or not."""
+    e = table(spark, sf_dir, "events")
+    f = e.groupBy("event_type", F.col("ts").cast("date").alias("day")).agg(F.count("*").alias("n"), F.max("ts").alias("at"))
+    body = F.when(F.col("n") % 3 == 0, '{"n": ').otherwise(F.format_string('{"n": %d}', "n"))
+    folder = f"{shared_folder(spark)}/responses/{unused('raw')}"
+    paged.store_pages(f.select(raw_files.response_name(F.col("at"), F.substring(F.sha2("event_type", 256), 1, 16), F.col("event_type")).alias("name"), body.alias("xml")), folder)
+    return raw_files.newest_responses(spark, folder).select("entity", "request", F.try_variant_get(F.try_parse_json("payload"), "$.n", "bigint").alias("n"), "error")
+
+
+@query(f"""WITH r AS (SELECT doc_id, lang AS set_spec FROM documents UNION ALL SELECT doc_id, 'all' FROM documents WHERE doc_id % 3 = 0),
+  m AS (SELECT coalesce(set_spec, 'none') AS set_spec, doc_id // 2 AS id, doc_id % 11 = 0 AS gone, doc_id % 11 <> 0 AND doc_id % 4 IN (0, 2) AS kept, doc_id % 11 <> 0 AND doc_id % 4 IN (0, 2) AND doc_id % 5 = 0 AS old FROM r),
+  s AS (SELECT set_spec, count(*) AS seen, count(*) FILTER (WHERE gone) AS deleted, count(*) FILTER (WHERE kept) AS kept, count(*) FILTER (WHERE old) AS revision, count(DISTINCT id) FILTER (WHERE kept) AS "unique" FROM m GROUP BY GROUPING SETS ((set_spec), ()))
+  SELECT *, CASE WHEN set_spec IS NULL THEN 26 * "unique" END AS projected_unique, CASE WHEN set_spec IS NULL THEN CAST(coalesce(round(26 * "unique" * (revision / nullif(kept, 0))), 0) AS BIGINT) END AS projected_revision, CASE WHEN set_spec IS NULL THEN 26 * "unique" - CAST(coalesce(round(26 * "unique" * (revision / nullif(kept, 0))), 0) AS BIGINT) END AS projected_new FROM s""")
+def projected_harvest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first window in all sets: some records stand in two, and each identifier has two records."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("lang", F.lit("none")).alias("set_spec"))
+    n = F.col("doc_id")
+    half = F.floor(n / 2)
+    name = F.format_string("%04d.%05d", (F.lit(2401) + F.floor(half / 100_000)).cast("int"), (half % 100_000).cast("int"))
+    r = d.unionByName(d.where(n % 3 == 0).withColumn("set_spec", F.lit("all")))
+    r = r.select("set_spec", name.alias("arxiv_id"), (n % 11 == 0).alias("deleted"), F.array(by_rest("doc_id", 4, *CATEGORIES)).alias("categories"), F.when(n % 5 == 0, "2023-06-01").otherwise("2024-01-02").alias("created"))
+    return ingest.projected_harvest(r, "set_spec", 26, 2024)
