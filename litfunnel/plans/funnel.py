@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from litfunnel import config
 from litfunnel.functions import text
-from litfunnel.operators import adjudication, affiliation, affiliation_stage, authors, core, golden, ingest, ledger, organisations, relevance, responses, signals
+from litfunnel.operators import adjudication, affiliation, affiliation_stage, authors, core, golden, ingest, ledger, organisations, quality, relevance, responses, signals
 from litfunnel.plans.queries import EVIDENCE, HALF, Q_SQL, RUBRIC, SCREEN_SQL, WIDE, evidence, log, query, wide
 from litfunnel.sources import html_contacts, paged, raw_files
 from litfunnel.sources.keyed_table import KeyedTable
@@ -795,3 +795,22 @@ def projected_harvest(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = d.unionByName(d.where(n % 3 == 0).withColumn("set_spec", F.lit("all")))
     r = r.select("set_spec", name.alias("arxiv_id"), (n % 11 == 0).alias("deleted"), F.array(by_rest("doc_id", 4, *CATEGORIES)).alias("categories"), F.when(n % 5 == 0, "2023-06-01").otherwise("2024-01-02").alias("created"))
     return ingest.projected_harvest(r, "set_spec", 26, 2024)
+
+
+@query(f"""WITH l AS (SELECT user_id, floor(value) % 10 AS a, CASE WHEN event_id % 9 <> 0 THEN floor(value * 10) % 10 END AS b, event_id % 10 AS c, event_id % 3 <> 0 AS passed FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM events) WHERE k = 1),
+  s AS (SELECT user_id, CAST(a + b + c AS DOUBLE) / 3 AS mean FROM l WHERE passed),
+  top AS (SELECT user_id FROM (SELECT user_id, row_number() OVER (ORDER BY mean DESC, user_id) AS k, count(*) OVER () AS n FROM s WHERE mean IS NOT NULL) WHERE k <= greatest(1, round_even(n * {config.PERCENTILE} / 100, 0))),
+  r AS (SELECT user_id, 'top' AS route FROM top
+    UNION SELECT user_id, 'org' FROM s JOIN lineitem ON l_orderkey = user_id WHERE l_suppkey % 17 = 0 AND l_suppkey % 2 = 0
+    UNION SELECT user_id, 'person' FROM s JOIN orders ON o_orderkey = user_id WHERE o_custkey % 23 = 0)
+  SELECT user_id, string_agg(route, ',' ORDER BY route) AS routes FROM r GROUP BY 1""")
+def quality_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Screenings of users, affiliations by line items, people by orders."""
+    n, v = F.col("event_id"), F.col("value")
+    screens = table(spark, sf_dir, "events").select("user_id", "ts", n.alias("id"), (F.floor(v) % 10).alias("technical_significance"), F.when(n % 9 != 0, F.floor(v * 10) % 10).alias("apparent_novelty"), (n % 10).alias("evidence_strength"), (n % 3 != 0).alias("passed"))
+    links = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("user_id"), F.col("l_suppkey").alias("organisation_id"))
+    k, c = F.col("s_suppkey"), F.col("c_custkey")
+    listed = table(spark, sf_dir, "supplier").select(k.alias("organisation_id"), (k % 17 == 0).alias("is_org_of_interest"), F.when(k % 2 == 0, F.lit(True)).alias("active"))
+    wrote = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("user_id"), F.col("o_custkey").alias("person_id"))
+    people = table(spark, sf_dir, "customer").select(c.alias("person_id"), (c % 23 == 0).alias("is_person_of_interest"), F.lit(True).alias("active"))
+    return quality.quality_candidates(screens, links, listed, wrote, people, "user_id", "ts")
