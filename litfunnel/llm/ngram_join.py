@@ -1,18 +1,21 @@
-"""Exact self-join of documents on the Jaccard similarity of their word n-gram sets.
+"""Exact self-join of documents on the Jaccard similarity of their word n-gram sets, by a token-group matrix.
 
-A token-group matrix tells, for each token (a shingle), which groups hold it. At first each
-distinct shingle set is a group of its own; its row is dealt by token, so that each shard sees
-all groups of its tokens and sends back, for every group, the tokens that some other group holds
-too. These bound what a set can have in common with the union of all others: sets below the
+Distinct shingle sets are first bounded against the union of all others: the matrix is dealt by
+token, so that each shard tells which tokens of a set some other set holds too. Sets below the
 threshold of their own size can't be linked and drop out, most of a corpus at once. The others
-are queries. Ordered from tokens of few groups to tokens of many, a query must share one of its
-first tokens with any partner, so it opens only the groups under those, and of them only pairs
-whose places and sizes still allow enough overlap.
-
-Linked sets then become one group. Under a token of few groups all pairs are opened; under a
-token of many, first those with the set that has least to itself, and after that only sets that
-are still in different groups. Every opened pair is decided on all its tokens. Nothing is sampled
-or capped, and no text is shuffled.
+keep their shared tokens, ordered from tokens of few sets to tokens of many.
+
+These are partitioned into groups of similar sets, by the least hash of their tokens; a large
+group is cut by digest into parts of at most some GROUP_TOKENS. One row of the matrix holds a group: the
+union of its tokens, the places of each member's tokens in it, and what is linked inside, where
+every pair is decided unless links already join it.
+
+A query is a set that shares one of its first tokens with a set of another group, so near in size and
+place that a link is possible; a partner must share one of those. Each query counts its tokens in the
+stored union and opens the group only if that bound reaches the threshold; an open group's members are
+decided exactly, all at once. First each query asks the group of the set that has least to itself under
+its tokens, which joins families around their original; then it asks all groups that aren't known to be
+of its component. Nothing is sampled or capped, and no text is shuffled.
 """
 
 from __future__ import annotations
@@ -31,10 +34,12 @@ from litfunnel.llm.components import connected_components
 
 SIZE = 4
 PERCENT = 85
-#: Tokens of up to so many groups are opened pair by pair.
-SMALL_GROUP = 8
+#: A group is cut into parts of some so many tokens; a set counts as LEAST_TOKENS at least, so that a part has few sets too.
+GROUP_TOKENS, LEAST_TOKENS = 1 << 17, 1 << 9
+#: A group row is sent once for so many queries.
+GROUP_QUERIES = 512
 #: A token has 32 bits and its shard; with 512 shards two different shingles of a pair agree by chance with 5e-13.
-SHARD_BYTES, LEAST_SHARDS, MOST_SHARDS = 6 << 20, 512, 1 << 16
+SHARD_BYTES, LEAST_SHARDS = 6 << 20, 512
 FLUSH_TOKENS, FLUSH_SETS = 500_000, (1 << 16) - 1
 #: A token of more sets of one flush is dealt once, with their number.
 HOT_TOKEN = 64
@@ -86,8 +91,8 @@ SENT = pa.schema([
     ("doc_ids", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("digests", pa.list_(pa.string())),
 ])
 SENT_SQL = "kind int, shard int, flush long, tokens binary, owners binary, weights binary, doc_ids array<long>, keys array<long>, sizes array<int>, digests array<string>"
-MEMBERS = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("digest", pa.string()), ("n", pa.int32()), ("shared", pa.int32()), ("tokens", pa.binary()), ("prefix", pa.list_(pa.int64()))])
-MEMBERS_SQL = "kind int, doc_id long, text_key long, digest string, n int, shared int, tokens binary, prefix array<long>"
+MEMBERS = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("digest", pa.string()), ("n", pa.int32()), ("shared", pa.int32()), ("least", pa.int64()), ("tokens", pa.binary()), ("prefix", pa.list_(pa.int64()))])
+MEMBERS_SQL = "kind int, doc_id long, text_key long, digest string, n int, shared int, least long, tokens binary, prefix array<long>"
 
 
 def filled(schema: pa.Schema, **columns: object) -> pa.RecordBatch:
@@ -115,9 +120,14 @@ def dealt_tokens(docs: DataFrame, shards: int, size: int) -> DataFrame:
 
         def dealt() -> Iterator[pa.RecordBatch]:
             owner = np.repeat(np.arange(len(keys), dtype=np.uint64), [len(x) for x in keys])
-            # Shard, token and owner in one number: one sort puts all in order.
-            packed = np.sort((np.concatenate(keys) << np.uint64(16)) | owner)
-            key, owner = packed >> np.uint64(16), (packed & np.uint64(MARK)).astype("<u2")
+            key = np.concatenate(keys)
+            if shards <= 1 << 16:
+                # Shard, token and owner in one number: one sort puts all in order.
+                packed = np.sort((key << np.uint64(16)) | owner)
+                key, owner = packed >> np.uint64(16), (packed & np.uint64(MARK)).astype("<u2")
+            else:
+                order = np.argsort(key, kind="stable")
+                key, owner = key[order], owner[order].astype("<u2")
             start = runs_of(key)
             count = np.diff(np.r_[start, len(key)])
             hot = count > HOT_TOKEN
@@ -131,11 +141,11 @@ def dealt_tokens(docs: DataFrame, shards: int, size: int) -> DataFrame:
                 stay = ~inside
                 stay[start] = True
                 key, owner, weight = key[stay], owner[stay], weight[stay]
-            edges = np.searchsorted(key, np.arange(shards + 1, dtype=np.uint64) << np.uint64(32))
-            full = np.flatnonzero(np.diff(edges)).tolist()
+            edges = np.append(runs_of(key >> np.uint64(32)), len(key))
+            full = (key[edges[:-1]] >> np.uint64(32)).astype(np.int64).tolist()
             token = key.astype("<u4")
             for i in range(0, len(full), 256):
-                cuts = [slice(edges[k], edges[k + 1]) for k in full[i : i + 256]]
+                cuts = [slice(*edges[k : k + 2]) for k in range(i, min(i + 256, len(full)))]
                 marked = [owner[c] == MARK for c in cuts]
                 yield filled(
                     SENT, kind=[1] * len(cuts), shard=full[i : i + 256], flush=[flush] * len(cuts), tokens=[token[c].tobytes() for c in cuts],
@@ -150,7 +160,7 @@ def dealt_tokens(docs: DataFrame, shards: int, size: int) -> DataFrame:
                 own_digests.append(digest.hex())
                 if len(shingles) and digest not in known:
                     known.add(digest)
-                    key = np.unique(((shingles >> np.uint64(40)) % np.uint64(shards) << np.uint64(32)) | (shingles & np.uint64(0xFFFFFFFF)))
+                    key = np.unique(((shingles >> np.uint64(32)) % np.uint64(shards) << np.uint64(32)) | (shingles & np.uint64(0xFFFFFFFF)))
                     keys.append(key)
                     sizes.append(len(shingles))
                     digests.append(digest.hex())
@@ -237,116 +247,229 @@ def surviving_sets(table: pa.Table, percent: int) -> pa.Table:
         prefix = [x[: max(0, int(first[i] - (sizes[i] - shared[i])))].astype(np.int64) for i, x in zip(own, cut, strict=True)]
         for a in range(0, len(own), 2000):
             part = slice(a, a + 2000)
-            out.append(filled(MEMBERS, kind=[1] * len(own[part]), digest=[digests[i] for i in own[part]], n=sizes[own[part]], shared=shared[own[part]], tokens=[x.tobytes() for x in cut[part]], prefix=prefix[part]))
+            out.append(filled(MEMBERS, kind=[1] * len(own[part]), digest=[digests[i] for i in own[part]], n=sizes[own[part]], shared=shared[own[part]], least=[int(mixed(x).min().astype(np.int64)) for x in cut[part]], tokens=[x.tobytes() for x in cut[part]], prefix=prefix[part]))
     return pa.Table.from_batches(out, MEMBERS)
 
 
 def members_of(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """kind 0: documents (doc_id, text_key, digest, n); kind 1: sets that may be linked (digest, n, shared, tokens, prefix)."""
+    """kind 0: documents (doc_id, text_key, digest, n); kind 1: sets that may be linked (digest, n, shared, least, tokens, prefix)."""
     volume = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     # About one token of 6 bytes for 6 characters.
-    shards = min(MOST_SHARDS, max(LEAST_SHARDS, int(volume) // SHARD_BYTES))
+    shards = max(LEAST_SHARDS, int(volume) // SHARD_BYTES)
     with arrow_rows(docs.sparkSession, 1000):
         sent = dealt_tokens(docs, shards, size).groupBy("shard").applyInArrow(shared_tokens, SENT_SQL)
         return staged(sent.groupBy("flush").applyInArrow(lambda t: surviving_sets(t, percent), MEMBERS_SQL), "members")
 
 
-def fits(x: str, y: str, percent: int) -> Column:
-    """Whether two queries that meet first at a token can be linked, by their sizes, what they share
-    with any set and their tokens behind that place."""
-    n, p, s = (lambda side, c=c: F.col(f"{side}.{c}") for c in ("n", "place", "shared"))
-    both = F.lit(percent) * (n(x) + n(y))
-    after = 1 + F.least(n(x) - p(x), n(y) - p(y))
-    return (100 * F.least(n(x), n(y)) >= percent * F.greatest(n(x), n(y))) & ((100 + percent) * F.least(after, s(x), s(y)) >= both)
+def reach(x: np.ndarray, y: np.ndarray, both: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of x and y tokens, both of them common, reach the threshold."""
+    return (100 + percent) * both >= percent * (x + y)
 
 
-def ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).where("u <> v").distinct()
+def linked_inside(starts: np.ndarray, posts: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+    """The component of each member of a group, as the number of its first member. starts and posts:
+    where each member's tokens begin, and their places in the union.
 
+    Members with least to themselves come first. The greatest component asks nobody while it is
+    that: whatever is apart from it asks for both sides.
+    """
+    m, comp = len(n), np.arange(len(n))
+    held = np.diff(np.r_[starts, len(posts)])
+    todo, mark = np.argsort(n - held, kind="stable"), np.zeros(int(posts.max()) + 1, bool)
+    while len(todo):
+        size = np.bincount(comp, minlength=m)
+        if size.max() > 1:
+            todo = todo[comp[todo] != size.argmax()]
+            if not len(todo):
+                break
+        i, todo = todo[0], todo[1:]
+        own = posts[starts[i] : starts[i] + held[i]]
+        mark[own] = True
+        joined = np.unique(comp[reach(n[i], n, np.add.reduceat(mark[posts], starts, dtype=np.int64), percent)])
+        mark[own] = False
+        if len(joined) > 1:
+            comp[np.isin(comp, joined)] = joined[0]
+    return comp
+
+
+GROUPS = pa.schema([("g", pa.int64()), ("members", pa.list_(pa.string())), ("sizes", pa.list_(pa.int32())), ("first", pa.list_(pa.int32())), ("starts", pa.binary()), ("posts", pa.binary()), ("union", pa.binary())])
+GROUPS_SQL = "g long, members array<string>, sizes array<int>, first array<int>, starts binary, posts binary, union binary"
+
+
+def group_rows(sets: DataFrame, percent: int) -> DataFrame:
+    """The token-group matrix: one row per group, with its members (digest order), the number of the first
+    member of each one's component, and the union of their tokens. sets: g, digest, n, tokens."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[str, int, bytes]] = []
+        made: list[tuple] = []
+        volume, at = 0, None
+
+        def row() -> tuple:
+            tokens = [np.frombuffer(t, np.uint64) for _, _, t in held]
+            starts = np.cumsum([0, *map(len, tokens)])[:-1]
+            union, posts = np.unique(np.concatenate(tokens), return_inverse=True)
+            n = np.array([x for _, x, _ in held], np.int64)
+            first = linked_inside(starts, posts, n, percent) if len(held) > 1 else np.zeros(1, np.int64)
+            return at, [d for d, _, _ in held], n.tolist(), first.tolist(), starts.astype("<u4").tobytes(), posts.astype("<u4").tobytes(), union.tobytes()
+
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made, strict=True), GROUPS, strict=True)], schema=GROUPS)
+
+        for part in slices(batches, "tokens"):
+            for g, *one in zip(*(part.column(c).to_pylist() for c in ("g", "digest", "n", "tokens")), strict=True):
+                if held and g != at:
+                    made.append(row())
+                    volume += len(made[-1][-1]) + len(made[-1][-2])
+                    held = []
+                    if volume > 4 << 20 or len(made) == 1000:
+                        yield batch()
+                        made, volume = [], 0
+                at = g
+                held.append(tuple(one))
+        if held:
+            made.append(row())
+        if made:
+            yield batch()
+
+    return sets.select("g", "digest", "n", "tokens").repartition("g").sortWithinPartitions("g", "digest").mapInArrow(rows, GROUPS_SQL)
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """A table of (u, v): the pairs (digests u < v) whose shingle sets reach the threshold."""
-    a, b = (sets.select(F.col("digest").alias(c), F.col("n").alias(f"n_{c}"), F.col("tokens").alias(f"t_{c}")) for c in ("u", "v"))
 
-    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(slices(batches, "t_u"), "t_v"):
-            n = batch.column("n_u").to_numpy().astype(np.int64) + batch.column("n_v").to_numpy()
-            both = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True)) for x, y in zip(batch.column("t_u").to_pylist(), batch.column("t_v").to_pylist(), strict=True)]
-            keep = (100 + percent) * np.array(both, np.int64) >= percent * n
-            yield pa.record_batch([batch.column("u"), batch.column("v")], names=["u", "v"]).filter(pa.array(keep))
+def in_groups(sets: DataFrame) -> DataFrame:
+    """sets with g, the group of similar sets: those of one least hash, cut by digest where they are many."""
+    weight = F.greatest(F.octet_length("tokens") / 8, F.lit(LEAST_TOKENS))
+    large = sets.groupBy("least").agg(F.ceil(F.sum(weight) / GROUP_TOKENS).alias("parts")).where("parts > 1")
+    part = F.pmod(F.xxhash64("digest"), F.coalesce("parts", F.lit(1)))
+    return sets.join(large, "least", "left").withColumn("g", F.xxhash64("least", part)).drop("parts", "least")
 
-    with arrow_rows(sets.sparkSession, 1000):
-        return staged(pairs.join(a, "u").join(b, "v").select("u", "v", "n_u", "n_v", "t_u", "t_v").mapInArrow(linked, "u string, v string"), "links")
+
+def member_links(groups: DataFrame) -> DataFrame:
+    """(u, v): each member linked inside its group, with the first member of its component."""
+    pairs = groups.select("members", F.posexplode("first").alias("i", "j")).where("i <> j")
+    return pairs.select(F.element_at("members", F.col("i") + 1).alias("u"), F.element_at("members", F.col("j") + 1).alias("v"))
 
 
 def query_places(sets: DataFrame) -> DataFrame:
-    """(h, digest, n, shared, own, place): each first token of each query, its place and how many tokens are the query's own."""
+    """(h, digest, g, n, shared, own, place): each first token of each query, its place and how many tokens are the query's own."""
     own = F.col("n") - F.col("shared")
-    return sets.select("digest", "n", "shared", own.alias("own"), F.posexplode("prefix").alias("i", "h")).select("h", "digest", "n", "shared", "own", (F.col("own") + F.col("i") + 1).alias("place"))
-
-
-def opened_pairs(places: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
-    """(u, v): all pairs under tokens of few queries, and those with the least own set under tokens of many."""
-    item = F.struct("digest", "n", "shared", "place").alias("y")
-    few = places.join(heads.where(f"k <= {SMALL_GROUP}").select("h"), "h").groupBy("h").agg(F.collect_list(item).alias("g"))
-    few = few.select(F.posexplode("g").alias("i", "x"), "g").select("x", F.explode(F.slice("g", F.col("i") + 2, F.size("g"))).alias("y"))
-    many = places.join(heads.where(f"k > {SMALL_GROUP}").select("h", F.col("head").alias("x")), "h").select("x", item)
-    a, b = (d.where(fits("x", "y", percent)).select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b")) for d in (few, many))
-    return ordered(a.unionByName(b))
-
-
-def with_component(places: DataFrame, parts: DataFrame) -> DataFrame:
-    return places.join(parts.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
-
-
-def still_apart(places: DataFrame, percent: int, hub_only: bool) -> DataFrame:
-    """(u, v) of queries in different groups that meet under one token and can still be linked;
-    with hub_only only those with the least own set that is not in the token's greatest component."""
-    bounds = places.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("n").alias("least")).where("lo <> hi").drop("lo")
-    # A place that leaves too little for even the smallest partner under the token is of no use.
-    partner = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
-    open_places = places.join(bounds, "h").where((100 + percent) * F.least(1 + F.col("n") - F.col("place"), "shared") >= percent * (F.col("n") + partner))
-    open_places = staged(open_places.select("h", "digest", "n", "shared", "own", "place", "component", "hi"), "open-places")
-    x = open_places
-    if hub_only:
-        best = open_places.where("component <> hi").groupBy("h").agg(F.min(F.struct("own", "digest", "n", "shared", "place", "component")).alias("best"))
-        x = best.select("h", "best.*")
-    a, b = x.select("h", F.struct("digest", "n", "shared", "place", "component").alias("x")), open_places.select("h", F.struct("digest", "n", "shared", "place", "component").alias("y"))
-    order = F.col("x.component") != F.col("y.component") if hub_only else F.col("x.component") < F.col("y.component")
-    out = staged(ordered(a.join(b, "h").where(order & fits("x", "y", percent)).select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b"))), "late")
-    discard(open_places)
-    return out
+    return sets.select("digest", "g", "n", "shared", own.alias("own"), F.posexplode("prefix").alias("i", "h")).withColumn("place", F.col("own") + F.col("i") + 1).drop("i")
+
+
+def held_by_groups(places: DataFrame) -> DataFrame:
+    """(h, to, low, high, most_after, most_shared): the groups whose sets have the first token h, with the least and
+    greatest of these sets and how much they can have in common with others from there."""
+    return places.groupBy("h", F.col("g").alias("to")).agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("place")).alias("most_after"), F.max("shared").alias("most_shared")
+    )
+
+
+def may_link(percent: int) -> Column:
+    """Whether a query and some set of a group that first meet at a token can be linked, by their sizes,
+    what they share with any set and their tokens behind that place."""
+    n = F.col("n")
+    partner = F.greatest("low", F.ceil(n * percent / 100))
+    both = F.least(1 + F.least(n - F.col("place"), "most_after"), "shared", "most_shared")
+    return (100 * F.col("high") >= percent * n) & (100 * n >= percent * F.col("low")) & ((100 + percent) * both >= percent * (n + partner))
+
+
+def opened_links(asked: DataFrame, sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """A table of links (u, v) between queries and members of the groups they ask: one to each component that is
+    joined inside such a group. asked: distinct (digest, to).
+
+    A group's row meets its queries in one task, once for each GROUP_QUERIES of them.
+    """
+    copies = asked.groupBy(F.col("to").alias("g")).agg(F.ceil(F.count("*") / GROUP_QUERIES).cast("int").alias("copies"))
+    salted = groups.join(copies, "g").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    rows = salted.select("g", "salt", F.lit("").alias("digest"), F.lit(0).alias("n"), F.lit(None).cast("binary").alias("tokens"), "members", "sizes", "first", "starts", "posts", "union")
+    queries = asked.join(sets.select("digest", "n", "tokens"), "digest").withColumnRenamed("to", "g").join(copies, "g")
+    salt = F.pmod(F.xxhash64("digest"), "copies").cast("int")
+    queries = queries.select("g", salt.alias("salt"), "digest", "n", "tokens", *(F.lit(None).cast(groups.schema[c].dataType).alias(c) for c in ("members", "sizes", "first", "starts", "posts", "union")))
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        union = posts = starts = sizes = first = np.empty(0, np.int64)
+        members: list[str] = []
+        for batch in slices(slices(batches, "union"), "tokens"):
+            u, v = [], []
+            whole = batch.column("union")
+            for i, (digest, n, tokens) in enumerate(zip(batch.column("digest").to_pylist(), batch.column("n").to_pylist(), batch.column("tokens").to_pylist(), strict=True)):
+                if tokens is None:
+                    union, posts, starts = (np.frombuffer(batch.column(c)[i].as_py(), k) for c, k in (("union", np.uint64), ("posts", "<u4"), ("starts", "<u4")))
+                    members, sizes, first = batch.column("members")[i].as_py(), np.array(batch.column("sizes")[i].as_py(), np.int64), np.array(batch.column("first")[i].as_py(), np.int64)
+                    starts = starts.astype(np.int64)
+                    continue
+                own = np.frombuffer(tokens, np.uint64)
+                at = np.minimum(np.searchsorted(union, own), len(union) - 1)
+                at = at[union[at] == own]
+                # The union holds at least what any member has in common with the query.
+                if 100 * len(at) < percent * n or not reach(n, sizes.min(), len(at), percent):
+                    continue
+                mark = np.zeros(len(union), bool)
+                mark[at] = True
+                hit = np.flatnonzero(reach(n, sizes, np.add.reduceat(mark[posts], starts, dtype=np.int64), percent))
+                if len(hit):
+                    _, one = np.unique(first[hit], return_index=True)
+                    u += [digest] * len(one)
+                    v += [members[k] for k in hit[one]]
+            yield pa.record_batch([pa.array(u, pa.string()), pa.array(v, pa.string())], names=["u", "v"])
+            del whole
+
+    with arrow_rows(sets.sparkSession, 500):
+        # The group's row comes before its queries, as the empty digest does.
+        return staged(rows.unionByName(queries).repartition("g", "salt").sortWithinPartitions("g", "salt", "digest").mapInArrow(links, "u string, v string"), "links")
+
+
+def with_component(sets: DataFrame, parts: DataFrame) -> DataFrame:
+    """sets (with digest) and the component each is known to be of, itself where it has no link."""
+    return sets.join(parts.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
+
+
+def first_groups(places: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """(digest, to): each query and, under each of its first tokens, the group of the set that has least to itself,
+    where that set is in another group and not known to be of one component with the query."""
+    known = with_component(places, parts)
+    heads = known.groupBy("h").agg(F.min(F.struct("own", "digest", "g", "component")).alias("head"), F.count("*").alias("k")).where("k > 1")
+    heads = heads.select("h", F.col("head.g").alias("to"), F.col("head.component").alias("its"))
+    return known.join(heads, "h").where("g <> to AND component <> its").join(held_by_groups(places), ["h", "to"]).where(may_link(percent)).select("digest", "to").distinct()
+
+
+def other_groups(places: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """(digest, to): each query and all later groups with one of its first tokens that aren't known to be of its component."""
+    known = with_component(places, parts)
+    held = known.groupBy("h", F.col("g").alias("to")).agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("place")).alias("most_after"), F.max("shared").alias("most_shared"),
+        F.min("component").alias("least_part"), F.max("component").alias("last_part"),
+    )
+    apart = held.groupBy("h").agg(F.min("least_part").alias("a"), F.max("last_part").alias("z"), F.count("*").alias("k")).where("k > 1 AND a <> z").select("h")
+    asked = known.join(apart, "h").join(held.join(apart, "h"), "h").where("g < to AND NOT (least_part = component AND last_part = component)")
+    return asked.where(may_link(percent)).select("digest", "to").distinct()
 
 
 def set_components(members: DataFrame, percent: int) -> DataFrame:
     """(node, component) of every digest that is linked with another."""
-    sets = staged(members.where("kind = 1").select("digest", "n", "shared", "tokens", "prefix").dropDuplicates(["digest"]), "sets")
-    places = staged(query_places(sets.drop("tokens")), "places")
-    heads = staged(places.groupBy("h").agg(F.count("*").alias("k"), F.min(F.struct("own", "digest", "n", "shared", "place")).alias("head")).where("k > 1"), "heads")
-    pairs = staged(opened_pairs(places, heads, percent), "pairs")
-    links = verified(pairs, sets, percent)
-    parts = connected_components(links)
-    wide = staged(places.join(heads.where(f"k > {SMALL_GROUP}").select("h"), "h"), "wide")
-    for spent in (places, heads):
-        discard(spent)
-    # Hubs of what is left first, at last all that is still apart.
-    for hub_only in (True, False):
-        late = still_apart(with_component(wide, parts), percent, hub_only)
-        fresh = staged(late.join(pairs, ["u", "v"], "left_anti"), "fresh")
-        discard(late)
-        if not fresh.isEmpty():
-            more = verified(fresh, sets, percent)
-            joined = staged(parts.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more), "links")
+    sets = staged(members.where("kind = 1").select("digest", "n", "shared", "least", "tokens", "prefix").dropDuplicates(["digest"]), "sets")
+    grouped = staged(in_groups(sets), "grouped-sets")
+    discard(sets)
+    with arrow_rows(members.sparkSession, 500):
+        groups = staged(group_rows(grouped, percent), "groups")
+    places = query_places(grouped.drop("tokens"))
+    # Tokens of one set lead nowhere.
+    places = staged(places.join(places.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h"), "h"), "places")
+    parts = connected_components(member_links(groups))
+    before = None
+    for ask in (first_groups, other_groups):
+        asked = ask(places, parts, percent)
+        asked = staged(asked if before is None else asked.join(before, ["digest", "to"], "left_anti"), "asked")
+        if not asked.isEmpty():
+            links = opened_links(asked, grouped, groups, percent)
+            joined = staged(parts.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(links), "joined")
             newer = connected_components(joined)
-            for spent in (parts, more, joined):
+            for spent in (parts, links, joined):
                 discard(spent)
             parts = newer
-            if hub_only:
-                both = staged(pairs.unionByName(fresh), "pairs")
-                discard(pairs)
-                pairs = both
-        discard(fresh)
-    for spent in (sets, pairs, links, wide):
+        if before is not None:
+            discard(before)
+        before = asked
+    for spent in (before, places, groups, grouped):
         discard(spent)
     return parts
 

@@ -61,7 +61,7 @@ def components(texts, size=4, percent=85):
 
 
 def test_ngram_join_finds_every_link(spark, texts, monkeypatch):
-    monkeypatch.setattr(ngram_join, "SMALL_GROUP", 4)
+    monkeypatch.setattr(ngram_join, "GROUP_TOKENS", 1 << 10)
     got = {r.doc_id: r for r in ngram_join.linked_documents(docs_of(spark, texts)).collect()}
     want, n = components(texts)
     assert [got[i].component_id for i in range(len(texts))] == want
