@@ -285,7 +285,10 @@ def linked_inside(starts: np.ndarray, posts: np.ndarray, n: np.ndarray, percent:
         i, todo = todo[0], todo[1:]
         own = posts[starts[i] : starts[i] + held[i]]
         mark[own] = True
-        joined = np.unique(comp[reach(n[i], n, np.add.reduceat(mark[posts], starts, dtype=np.int64), percent)])
+        hit = reach(n[i], n, np.add.reduceat(mark[posts], starts, dtype=np.int64), percent)
+        # Tokens that no other set holds aren't in the group: a set can fail to reach itself.
+        hit[i] = True
+        joined = np.unique(comp[hit])
         mark[own] = False
         if len(joined) > 1:
             comp[np.isin(comp, joined)] = joined[0]

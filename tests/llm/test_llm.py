@@ -89,6 +89,74 @@ def test_ngram_join_group_large_in_one_partition_only(spark):
     assert [got[i] for i in range(len(texts))] == want
 
 
+@pytest.mark.parametrize("n", [500, 2500])
+def test_ngram_join_family_around_the_threshold(spark, monkeypatch, n):
+    r = random.Random(9)
+    base = [f"b{i}" for i in range(120)]
+    texts = []
+    for i in range(n):
+        w = list(base)
+        for j in r.sample(range(120), 1 + i % 2):
+            w[j] = f"o{i}x{j}"
+        texts.append(" ".join(w))
+    number: dict[tuple, int] = {}
+    rows = [[number.setdefault(x, len(number)) for x in shingles(t)] for t in texts]
+    held = common_counts(rows, len(number))
+    size = np.array([len(x) for x in rows])
+    linked = 100 * held >= 85 * (size[:, None] + size[None, :] - held)
+    want = np.arange(n)
+    while True:
+        newer = np.array([want[row].min() for row in linked])
+        if (newer == want).all():
+            break
+        want = newer
+    asked = []
+    plain = ngram_join.opened_links
+    monkeypatch.setattr(ngram_join, "GROUP_TOKENS", 1 << 14)
+    monkeypatch.setattr(ngram_join, "opened_links", lambda a, *rest: asked.append(a.count()) or plain(a, *rest))
+    got = {x.doc_id: x.component_id for x in ngram_join.linked_documents(docs_of(spark, texts)).collect()}
+    assert [got[i] for i in range(n)] == want.tolist()
+    # Whatever the family's size, a query asks a few groups, of thousands of other sets.
+    assert sum(asked) <= 12 * n
+
+
+def common_counts(rows, width):
+    """How many shingles each two sets have in common, for shingles that more than one holds."""
+    m = np.zeros((len(rows), width), np.float32)
+    for i, x in enumerate(rows):
+        m[i, x] = 1
+    several = m[:, m.sum(0) > 1]
+    both = several @ several.T
+    np.fill_diagonal(both, m.sum(1))
+    return both.astype(np.int64)
+
+
+@pytest.mark.parametrize("shards", [512, (1 << 16) + 3])
+def test_ngram_join_shards_have_no_limit(spark, texts, monkeypatch, shards):
+    monkeypatch.setattr(ngram_join, "LEAST_SHARDS", shards)
+    got = {x.doc_id: x.component_id for x in ngram_join.linked_documents(docs_of(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == components(texts)[0]
+
+
+def test_linked_inside_by_definition():
+    r = np.random.default_rng(3)
+    for _ in range(60):
+        m = int(r.integers(2, 25))
+        core = np.arange(20)
+        tokens = [np.unique(np.r_[r.permutation(core)[: r.integers(14, 21)], 100 + 30 * i + np.arange(r.integers(0, 3))]) for i in range(m)]
+        extra = r.integers(0, 3, m)
+        n = np.array([len(t) for t in tokens]) + extra
+        starts = np.cumsum([0, *map(len, tokens)])[:-1]
+        _, posts = np.unique(np.concatenate(tokens), return_inverse=True)
+        want = list(range(m))
+        for i in range(m):
+            for j in range(i):
+                if 185 * len(np.intersect1d(tokens[i], tokens[j])) >= 85 * (n[i] + n[j]):
+                    a, b = sorted((want[i], want[j]))
+                    want = [a if x == b else x for x in want]
+        assert ngram_join.linked_inside(starts, posts, n, 85).tolist() == want
+
+
 def test_one_of_each_keeps_columns(spark, texts):
     d = docs_of(spark, texts)
     kept = ngram_join.one_of_each(d)
