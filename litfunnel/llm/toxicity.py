@@ -14,6 +14,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,8 @@ WORD = re.compile(r"\w+")
 #: Size of the token table: a model holds so many numbers, whatever the corpus.
 BUCKETS = 1 << 19
 STEMS = (3, 4, 5, 6, 7)
+#: Where the checksums of words and of stems of each length begin, so that equal letters differ by length.
+WHOLE, BEGUN = zlib.crc32(b"99:"), tuple((n, zlib.crc32(f"{n}:".encode())) for n in STEMS)
 #: Pseudo-counts: so many in each bucket, and so many more dealt by the bucket's share of the corpus.
 PRIOR_EACH, PRIOR = 0.5, 500.0
 #: Standard errors by which log-odds are drawn towards zero.
@@ -39,7 +42,11 @@ CACHE_WORDS = 100_000
 
 def features(word: str) -> list[int]:
     """Buckets of the word and of its stems."""
-    return [zlib.crc32(f"{n}:{word[:n]}".encode()) % BUCKETS for n in (99, *(n for n in STEMS if n < len(word)))]
+    size = len(word)
+    if word.isascii():
+        letters = word.encode()
+        return [zlib.crc32(letters[:99], WHOLE) % BUCKETS, *[zlib.crc32(letters[:n], begun) % BUCKETS for n, begun in BEGUN if n < size]]
+    return [zlib.crc32(word[:99].encode(), WHOLE) % BUCKETS, *[zlib.crc32(word[:n].encode(), begun) % BUCKETS for n, begun in BEGUN if n < size]]
 
 
 def log_odds(toxic: np.ndarray, clean: np.ndarray, corpus: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -66,17 +73,15 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     sums, ends = np.add.reduceat(scores, cut), np.r_[cut[1:], len(scores)]
     held: list[tuple[int, int, float, float]] = []  # start, end, total before start, total at end
     total = 0.0
-    for i, (a, b, s) in enumerate(zip(cut.tolist(), ends.tolist(), sums.tolist(), strict=True)):
-        if not sign[cut[i]]:
-            total += s
-            continue
+    above = bool(sign[0])
+    for a, b, s in zip(cut.tolist(), ends.tolist(), sums.tolist(), strict=True):
         start, left, right = a, total, total + s
-        total = right
+        total, above = right, not above
+        if above:  # this run was below zero
+            continue
         while True:
             j = len(held) - 1
-            passed = []
             while j >= 0 and held[j][2] >= left:
-                passed.append(held[j])
                 j -= 1
             if j < 0 or held[j][3] >= right:
                 held.append((start, b, left, right))
@@ -86,9 +91,17 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(a, b, right - left) for a, b, left, right in held]
 
 
+def best_segment(scores: np.ndarray) -> float:
+    """Score of the best segment, 0 if no token scores above zero."""
+    if not len(scores):
+        return 0.0
+    total = np.cumsum(scores)
+    return max(float((total - np.minimum(np.minimum.accumulate(total), 0.0)).max()), 0.0)
+
+
 @dataclass
 class Model:
-    """Bounded: two arrays of BUCKETS numbers and four parameters."""
+    """Bounded: two arrays of BUCKETS numbers and four parameters. Once words are scored, the arrays stay as they are."""
 
     delta: np.ndarray
     error: np.ndarray
@@ -97,27 +110,37 @@ class Model:
     slope: float = 1.0
     intercept: float = -1.0
 
+    @cached_property
+    def of_buckets(self) -> tuple[memoryview, memoryview]:
+        """How sure each bucket's log-odds are, and what they give a token."""
+        d, e = self.delta.astype(float), SHRINK * self.error.astype(float)
+        given = np.where(d > e, d - e, np.where(d < -e, d + e, 0.0)) - DRIFT
+        return memoryview(np.abs(self.delta / self.error)), memoryview(given)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "of_buckets"}
+
     def word_score(self, word: str) -> float:
-        f = features(word)
-        z = self.delta[f] / self.error[f]
-        i = int(np.argmax(np.abs(z)))
-        d, e = float(self.delta[f[i]]), SHRINK * float(self.error[f[i]])
-        return (d - e if d > e else d + e if d < -e else 0.0) - DRIFT
+        """What the surest of the word's buckets (the first of several) gives."""
+        sure, given = self.of_buckets
+        return given[max(features(word), key=sure.__getitem__)]
 
     def scores(self, text: str, cache: dict[str, float]) -> np.ndarray:
         words = WORD.findall(text.lower())
-        fresh = {w: self.word_score(w) for w in set(words) if w not in cache}
-        if len(cache) + len(fresh) <= CACHE_WORDS:
-            cache.update(fresh)
-            return np.fromiter((cache[w] for w in words), float, len(words))
-        out = np.fromiter((fresh[w] if w in fresh else cache[w] for w in words), float, len(words))
-        cache.clear()
+        for w in set(words).difference(cache):
+            cache[w] = self.word_score(w)
+        out = np.fromiter(map(cache.__getitem__, words), float, len(words))
+        if len(cache) > CACHE_WORDS:
+            cache.clear()
         return out
 
     def significant(self, text: str, cache: dict[str, float], at_most: float = 1.0) -> tuple[list[tuple[int, int, float]], int]:
         """Segments (first token, end token, -log of the expectation) whose expectation is below at_most; tokens."""
         s = self.scores(text, cache)
         base = np.log(max(self.scale * len(s), 1e-9))
+        # Most texts have no segment that could be significant; sums of runs and of tokens differ by rounding.
+        if self.rate * (best_segment(s) + 1e-6) - base <= -np.log(at_most):
+            return [], len(s)
         return [(a, b, e) for a, b, x in maximal_segments(s) if (e := self.rate * x - base) > -np.log(at_most)], len(s)
 
     def evidence(self, text: str, cache: dict[str, float]) -> float:
