@@ -236,10 +236,14 @@ def affiliation_cascade(papers: DataFrame, authors: DataFrame, organisations: Da
     left = unused.join(told, ["paper", "place"], "left_anti").groupBy("paper", raw.alias("evidence_value")).agg(F.min_by("line", "place").alias("raw_affiliation"), F.min("place").alias("a"))
     nowhere = F.lit(None).cast(organisations.schema["org_id"].dataType)
     left = left.select("paper", nobody(), nowhere.alias("org_id"), "raw_affiliation", F.lit("explicit_paper_affiliation").alias("evidence_type"), "evidence_value", F.lit(UNRESOLVED).alias("confidence"), F.struct(F.lit(6).alias("tier"), "a", F.lit(0).alias("b")).alias("place"))
-    out = dealt(settled.unionByName(left), counted)
-    if works is not None:
-        # An author of a work may also be one of those that another entry of the work can't tell apart.
-        out = out.groupBy("paper", "author_position", "org_id", "evidence_type", "evidence_value").agg(F.min_by(F.struct("raw_affiliation", "scope", "confidence"), F.struct("place", F.col("scope") != "author_specific")).alias("x")).select("paper", "author_position", "org_id", "evidence_type", "evidence_value", "x.*")
+    if works is None:
+        out = dealt(settled.unionByName(left), counted)
+    else:
+        # An author of a work may also be one of those that another entry of the work can't tell apart. Evidence of
+        # the other kinds never names an author, so that equal facts are one already.
+        named = F.col("evidence_type").isin("openalex_paper_specific", "email_domain")
+        once = dealt(settled.where(named), counted).groupBy("paper", "author_position", "org_id", "evidence_type", "evidence_value").agg(F.min_by(F.struct("raw_affiliation", "scope", "confidence"), F.struct("place", F.col("scope") != "author_specific")).alias("x")).select("paper", "author_position", "org_id", "evidence_type", "evidence_value", "x.*")
+        out = dealt(settled.where(~named).unionByName(left), counted).drop("place").unionByName(once)
     return Affiliations(out.select(F.col("paper").alias(key), "author_position", "org_id", "raw_affiliation", "scope", "evidence_type", "evidence_value", "confidence"), created, aliases)
 
 

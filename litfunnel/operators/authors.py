@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from litfunnel.functions import text
+from litfunnel.sources.staging import written
 
 
 def author_names(raw: Column) -> Column:
@@ -46,7 +47,8 @@ def author_of_mail(mails: DataFrame, authors: DataFrame, key: str) -> DataFrame:
     words of the author's name; the first such author, null if none."""
     local = F.lower(F.substring_index("email", "@", 1))
     words = F.filter(F.split(local, r"[._\-+0-9]+"), lambda w: F.length(w) > 2)
-    named = authors.select(key, "author_position", F.split(text.grounding_key(F.col("normalized_name")), " ").alias("name_words"))
+    asked = authors.join(mails.select(key).distinct(), key, "left_semi")
+    named = asked.select(key, "author_position", F.split(text.grounding_key(F.col("normalized_name")), " ").alias("name_words"))
     pairs = mails.withColumn("words", words).where(F.size("words") > 0).join(named, key).where(F.size(F.array_except("words", "name_words")) == 0)
     best = pairs.groupBy(key, "email").agg(F.min("author_position").alias("author_position"))
     return mails.select(key, "email").join(best, [key, "email"], "left")
@@ -55,11 +57,18 @@ def author_of_mail(mails: DataFrame, authors: DataFrame, key: str) -> DataFrame:
 def author_of_name(names: DataFrame, authors: DataFrame, key: str) -> DataFrame:
     """(key, name, author_position): the first author that shares a spelling of the name, else the only
     one with its surname and initial; null if none."""
-    forms = lambda df, c: df.withColumn("form", F.explode(text.name_forms(F.col(c))))
-    same = forms(names, "name").join(forms(authors.select(key, "author_position", "normalized_name"), "normalized_name"), [key, "form"])
+    asked = names.select(key).distinct()
+    mine = authors.join(asked, key, "left_semi").select(key, "author_position", F.col("normalized_name").alias("name"))
+    mine, names = written(mine, "authors-asked"), written(names.select(key, "name"), "names-asked")
+    # Names repeat a lot: each different one is read once, and the readings are joined back.
+    every = mine.select("name").unionByName(names.select("name")).where("name IS NOT NULL").distinct()
+    read = written(every.select("name", text.name_forms(F.col("name")).alias("forms"), text.surname_key(F.col("name")).alias("surname")), "names-read")
+    of_names, of_authors = names.join(read, "name"), mine.join(read, "name")
+    forms = lambda df, *kept: df.select(key, *kept, F.explode("forms").alias("form"))
+    same = forms(of_names, "name").join(forms(of_authors, "author_position"), [key, "form"])
     by_form = same.groupBy(key, "name").agg(F.min("author_position").alias("by_form"))
-    surname = lambda df, c: df.withColumn("surname", text.surname_key(F.col(c))).where("surname IS NOT NULL")
-    near = surname(names, "name").join(surname(authors.select(key, "author_position", "normalized_name"), "normalized_name"), [key, "surname"])
+    surname = lambda df, *kept: df.where("surname IS NOT NULL").select(key, *kept, "surname")
+    near = surname(of_names, "name").join(surname(of_authors, "author_position"), [key, "surname"])
     by_surname = near.groupBy(key, "name").agg(F.countDistinct("author_position").alias("n"), F.min("author_position").alias("by_surname")).where("n = 1")
-    found = names.select(key, "name").join(by_form, [key, "name"], "left").join(by_surname.drop("n"), [key, "name"], "left")
+    found = names.join(by_form, [key, "name"], "left").join(by_surname.drop("n"), [key, "name"], "left")
     return found.select(key, "name", F.coalesce("by_form", "by_surname").alias("author_position"))
